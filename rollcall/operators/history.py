@@ -112,6 +112,7 @@ def snapshot_calendar(catalog: DataFrame) -> DataFrame:
 
 
 def replay_history(snaps: DataFrame, catalog: DataFrame, order: str | None = None,
+                   initial: DataFrame | None = None,
                    max_calendar_rows: int = 2_000_000) -> DataFrame:
     """K8: all periods from snapshot rows ``(snap_ts, pk, username, full_name)``.
 
@@ -121,26 +122,48 @@ def replay_history(snaps: DataFrame, catalog: DataFrame, order: str | None = Non
     aggregate first) and one exchange on pk shared by the island window and
     the period aggregate.  A pk has at most one row per snapshot, so no
     window partition outgrows the snapshot count.
+
+    ``initial``: an existing history to continue from (the same result as
+    folding ``apply_snapshot`` over the new snapshots starting from it).
+    Its open rows take part as snapshot number 0, carrying their entry date
+    and welcome mark; its closed rows are returned unchanged.
     """
     valid, _ = clean_snapshot(snaps)
     rows = dedupe_snapshot(valid, order, extra_keys=("snap_ts",))
     cal = bounded_broadcast(snapshot_calendar(catalog), max_calendar_rows)
-    m = rows.join(cal, "snap_ts")
+    m = rows.join(cal, "snap_ts").select(
+        "pk", "username", "full_name", "snap_date", "n", "next_date",
+        F.lit(None).cast("date").alias("_entrada0"), F.lit(None).cast("int").alias("_welcome0"))
+    closed = None
+    if initial is not None:
+        initial = conform(initial, FOLLOWERS)
+        closed = initial.where(F.col("data_saida").isNotNull())
+        # one scalar from the small, already checkpointed calendar
+        head = cal.where(F.col("n") == 1).select("snap_date").first()
+        first = F.lit(head[0] if head else None).cast("date")
+        seed = initial.where(F.col("data_saida").isNull()).select(
+            "pk", "username", "full_name", F.col("data_update").alias("snap_date"),
+            F.lit(0).cast(m.schema["n"].dataType).alias("n"), first.alias("next_date"),
+            F.col("data_entrada").alias("_entrada0"), F.col("welcome").alias("_welcome0"))
+        m = m.unionByName(seed)
     island = F.col("n") - F.row_number().over(Window.partitionBy("pk").orderBy("n"))
     periods = (m.withColumn("island", island)
                .groupBy("pk", "island")
                .agg(F.max_by(F.struct("username", "full_name"), F.col("n")).alias("_names"),
-                    F.min("snap_date").alias("data_entrada"),
+                    F.min("snap_date").alias("_first_seen"),
+                    F.min("_entrada0").alias("_entrada0"),
+                    F.max("_welcome0").alias("_welcome0"),
                     F.max("snap_date").alias("data_update"),
                     F.count(F.lit(1)).alias("_rows"),
                     F.count("next_date").alias("_with_next"),
                     F.max("next_date").alias("_last_next")))
-    return periods.select(
+    out = periods.select(
         "pk",
         F.col("_names.username").alias("username"),
         F.col("_names.full_name").alias("full_name"),
-        "data_entrada",
+        F.coalesce("_entrada0", "_first_seen").alias("data_entrada"),
         F.when(F.col("_rows") == F.col("_with_next"), F.col("_last_next")).alias("data_saida"),
         "data_update",
-        F.lit(None).cast("int").alias("welcome"),
+        F.col("_welcome0").cast("int").alias("welcome"),
     )
+    return out if closed is None else closed.unionByName(out)

@@ -117,6 +117,7 @@ def _history_before_last(spark: SparkSession, sf: str):
     nameless = prev.select("snap_ts", "pk", F.lit(None).cast("string").alias("username"),
                            F.lit(None).cast("string").alias("full_name"))
     hist = X.attach_names(H.replay_history(nameless, X.snapshot_catalog_rows(prev)), ppl)
+    hist = hist.checkpoint()  # a history version is a stored table: cut lineage, compute once
     snap = X.with_names(rows.where(F.col("snap_date") == F.lit(last)).select("pk"), ppl)
     return hist, snap, last
 
