@@ -7,7 +7,7 @@ snapshot time from characters 14-30.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.functions.scalars import name_of
@@ -17,6 +17,12 @@ SNAPSHOT_MARK = "df_followers"
 STAMP_FORMAT = "yyyy-MM-dd HHmmss"
 
 
+def snapshot_time(path: Column) -> Column:
+    """Snapshot time (TIMESTAMP_NTZ) read from a snapshot file's path."""
+    return F.try_to_timestamp(F.substring(name_of(path), 14, 17), F.lit(STAMP_FORMAT)).cast(
+        "timestamp_ntz")
+
+
 def snapshot_catalog(paths: DataFrame, path_col: str = "path") -> DataFrame:
     """(arquivo, snap_ts, snap_date) for every snapshot file name, ordered by name."""
     name = name_of(F.col(path_col))

@@ -104,11 +104,13 @@ def write_raw(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).json(path)
 
 
-def read_export_csv(spark: SparkSession, path: str, schema: T.StructType,
-                    has_index: bool = False) -> DataFrame:
+def read_export_csv(spark: SparkSession, path, schema: T.StructType,
+                    has_index: bool = False, source_col: str | None = None) -> DataFrame:
     """Read ``;`` CSV written by K1 (or by the studied code) into ``schema``.
 
-    The unnamed leading index column, when present, is dropped by position.
+    ``path`` is a path or a list of paths.  The unnamed leading index
+    column, when present, is dropped by position.  ``source_col`` adds the
+    file each row came from (decoded path).
     Text is read as text, then cast: decimal commas become dots for
     DOUBLE / FLOAT, and casts fail loudly (ANSI) on bad text.
     """
@@ -126,4 +128,7 @@ def read_export_csv(spark: SparkSession, path: str, schema: T.StructType,
         if not isinstance(f.dataType, T.StringType):
             c = c.cast(f.dataType)
         cols.append(c.alias(f.name))
+    if source_col:
+        cols.append(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+                    .alias(source_col))
     return raw.select(*cols)
