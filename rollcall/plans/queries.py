@@ -99,13 +99,15 @@ def q11_upsert_replace_row(spark: SparkSession, sf: str) -> DataFrame:
 
 def q12_insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
     e = X.table(spark, sf, "events")
-    ppl = X.people(spark, sf).select("pk", "username")
-    rows = e.join(ppl, e.user_id == ppl.pk, "left").select(
-        F.col("user_id").alias("pk"), "username", F.col("ts").alias("follow_time"), "event_id")
+    rows = e.select(F.col("user_id").alias("pk"), F.lit(None).cast("string").alias("username"),
+                    F.col("ts").alias("follow_time"), "event_id")
     split = F.lit(X.SPLIT_TS).cast("timestamp_ntz")
     order = ["follow_time", "event_id"]
     first = U.insert_ignore(empty(spark, NEW_FOLLOWERS), rows.where(F.col("follow_time") < split), ["pk"], order)
-    return U.insert_ignore(first, rows.where(F.col("follow_time") >= split), ["pk"], order)
+    kept = U.insert_ignore(first, rows.where(F.col("follow_time") >= split), ["pk"], order)
+    # names depend on pk only in the stand-in: attach them to the kept rows, not to every event
+    return X.attach_names(kept.withColumn("full_name", F.lit(None).cast("string")),
+                          X.people(spark, sf)).drop("full_name")
 
 
 def _history_before_last(spark: SparkSession, sf: str):
@@ -192,7 +194,8 @@ def q23_last_per_name(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q24_accepted_prefix(spark: SparkSession, sf: str) -> DataFrame:
-    return A.accepted_prefix(X.send_results(spark, sf), "run_id", ["seq"], "status")
+    accepted = A.accepted_prefix(X.send_results(spark, sf), "run_id", ["seq"], "status")
+    return X.with_usernames(accepted, X.people(spark, sf))
 
 
 def q25_local_time(spark: SparkSession, sf: str) -> DataFrame:

@@ -80,21 +80,29 @@ def interactions(spark: SparkSession, sf_dir: str, kind: str, as_text: bool = Fa
 
 
 def send_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """results(run_id, seq, username, status): a day's sends in event order.
+    """results(run_id, seq, user_id, status): a day's sends in event order.
 
-    status = sent (false on ``error``), unknown (null) on ``signup``.
+    status = sent (false on ``error``), unknown (null) on ``signup``.  The
+    recipient's username is attached by ``with_usernames`` after the rows are
+    cut down, so the name join never runs over the whole log.
     """
     e = table(spark, sf_dir, "events")
-    r = e.join(people(spark, sf_dir).select("pk", "username"), e.user_id == F.col("pk"), "left")
-    return r.select(
+    return e.select(
         F.date_format("ts", "yyyy-MM-dd").alias("run_id"),
         F.col("event_id").alias("seq"),
-        F.col("username"),
+        F.col("user_id"),
         F.when(F.col("event_type") == "signup", F.lit(None).cast("boolean"))
         .otherwise(F.col("event_type") != "error").alias("status"),
     )
 
 
+def with_usernames(df: DataFrame, ppl: DataFrame, key: str = "user_id") -> DataFrame:
+    """Replace ``key`` by the person's username (left join: unknown ids keep a null name)."""
+    names = ppl.select(F.col("pk").alias(key), "username")
+    cols = [c if c != key else "username" for c in df.columns]
+    return df.join(names, key, "left").select(*cols)
+
+
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     return d.select(F.struct(F.col("doc_id").cast("string").alias("pk"),
