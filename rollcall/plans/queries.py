@@ -111,15 +111,20 @@ def q12_insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _history_before_last(spark: SparkSession, sf: str):
-    """(history of all days before the last, the last day's snapshot, last date)."""
+    """(history of all snapshots before the last, the last snapshot, its date).
+
+    The catalogue (one row per snapshot) is materialised once; the last date
+    is read from it, not from another scan of the events.
+    """
     rows = X.snapshot_rows(spark, sf)
-    last = rows.agg(F.max("snap_date")).first()[0]  # one scalar
+    catalog = X.snapshot_catalog_rows(rows).checkpoint()
+    last = catalog.agg(F.max("snap_date")).first()[0]  # one scalar from a small table
     prev = rows.where(F.col("snap_date") < F.lit(last))
     ppl = X.people(spark, sf)
     nameless = prev.select("snap_ts", "pk", F.lit(None).cast("string").alias("username"),
                            F.lit(None).cast("string").alias("full_name"))
-    hist = X.attach_names(H.replay_history(nameless, X.snapshot_catalog_rows(prev)), ppl)
-    hist = hist.checkpoint()  # a history version is a stored table: cut lineage, compute once
+    hist = H.replay_history(nameless, catalog.where(F.col("snap_date") < F.lit(last)))
+    hist = X.attach_names(hist, ppl).checkpoint()  # a history version is a stored table
     snap = X.with_names(rows.where(F.col("snap_date") == F.lit(last)).select("pk"), ppl)
     return hist, snap, last
 

@@ -20,8 +20,19 @@ SPLIT_TS = "2024-01-15 00:00:00"             # first batch before, second batch
 PROTECTED_SEGMENT = "BUILDING"               # protect list = customers of this segment
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table; its schema is read once per path and then stated, so later
+    reads skip the footer-reading job (as a catalog table would)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    known = _SCHEMAS.get(path)
+    if known is not None:
+        return spark.read.schema(known).parquet(path)
+    df = spark.read.parquet(path)
+    _SCHEMAS[path] = df.schema
+    return df
 
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,3 +91,16 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     frozen = df.checkpoint(eager=True)
     n = frozen.count()
     return F.broadcast(frozen) if n <= max_rows else frozen
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when it has fewer partitions.
+
+    For CPU-heavy per-row work (caption parsing over whole texts) on an input
+    with few splits, e.g. one parquet row group.  A large input already has
+    more splits than cores, and then this is a no-op (no shuffle).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

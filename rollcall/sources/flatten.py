@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from rollcall.functions.captions import parse_caption, scrub_quotes
 from rollcall.functions.scalars import to_pk
 from rollcall.functions.times import LOCAL_ZONE, to_local, utc_wall, weekday0
+from rollcall.session import spread
 
 
 def read_landed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json") -> DataFrame:
@@ -46,7 +47,7 @@ def flatten_posts(raw: DataFrame, weekday_basis: str = "utc", zone: str = LOCAL_
     The weekday comes from the source instant (UTC) by default, as observed;
     ``weekday_basis="local"`` takes it from the local time instead.
     """
-    p = raw.select("p.*")
+    p = spread(raw.select("p.*"))
     local, day = _local_and_weekday(p, "taken_at", weekday_basis, zone)
     cap = parse_caption(F.col("caption"))
     return p.select(
