@@ -48,7 +48,10 @@ def with_row_index(df: DataFrame, order: Sequence[str]) -> DataFrame:
     so ids are stable.
     """
     checkpoint_root(df.sparkSession)
-    sorted_df = df.orderBy(*order).withColumn("_pid", F.spark_partition_id()).withColumn(
+    # a unique tie-breaker lets equal sort keys spread over several range partitions,
+    # so one value holding a third of the rows does not become one task
+    tagged = df.withColumn("_tie", F.monotonically_increasing_id())
+    sorted_df = tagged.orderBy(*order, "_tie").withColumn("_pid", F.spark_partition_id()).withColumn(
         "_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
     counts = sorted_df.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(

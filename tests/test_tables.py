@@ -59,3 +59,16 @@ def test_no_interaction_with_a_hot_liker(spark):
     assert out.count() == 500 and out.where("pk = 7").count() == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate(keys=[pk" in plan  # interaction keys are de-duplicated before the anti-join
+
+
+def test_row_index_with_a_hot_sort_key(spark):
+    from rollcall.sources.csv_io import with_row_index
+    df = spark.range(40000).select(F.when(F.col("id") < 20000, 0).otherwise(F.col("id")).alias("k"),
+                                   "id").repartition(8)
+    out = with_row_index(df, ["k"]).checkpoint()
+    r = out.agg(F.min("_index"), F.max("_index"), F.countDistinct("_index")).first()
+    assert tuple(r) == (0, 39999, 40000)
+    # order holds: every hot-key row precedes every other row
+    assert out.where("k = 0").agg(F.max("_index")).first()[0] == 19999
+    sizes = [row[1] for row in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 20000  # the hot key is not one partition
