@@ -192,6 +192,8 @@ union all
     "q25_local_time": """select event_id, timezone('America/Sao_Paulo', timezone('UTC', ts)) as ts_local,
         cast(isodow(ts) - 1 as integer) as weekday from events""",
 
+    "q27_key_violations": "select p_name, count(*) as n from part group by p_name having count(*) > 1",
+
     "q26_outbox": f"""{HIST_ALL},
 cand as (select username, convites from (
   select username, coalesce(full_name, username) as convites,
@@ -199,3 +201,6 @@ cand as (select username, convites from (
   from hist where welcome is null and data_saida is null) x where rn = 1)
 select username, replace({_sql_text(WELCOME_TEMPLATE)}, '{{}}', convites) as message from cand""",
 }
+
+ORACLE["q28_inventory_csv"] = ORACLE["q07_file_inventory"]
+ORACLE["q29_raw_dump"] = ORACLE["q02_caption_parse"]

@@ -17,7 +17,7 @@ from rollcall.operators import history as H
 from rollcall.operators import upsert as U
 from rollcall.operators.preview import preview
 from rollcall.plans import standins as X
-from rollcall.schemas import NEW_FOLLOWERS, empty
+from rollcall.schemas import FILE_INVENTORY, NEW_FOLLOWERS, RAW_POSTS, empty, key_violations
 from rollcall.session import scratch_path
 from rollcall.sources import catalog as C
 from rollcall.sources import csv_io as IO
@@ -213,6 +213,24 @@ def q26_outbox(spark: SparkSession, sf: str) -> DataFrame:
     return A.render_outbox(q14_welcome_candidates(spark, sf))
 
 
+def q27_key_violations(spark: SparkSession, sf: str) -> DataFrame:
+    return key_violations(X.table(spark, sf, "part"), ["p_name"])
+
+
+def q28_inventory_csv(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "q28-inventory")
+    IO.write_inventory_csv(INV.file_inventory(spark, sf), path)
+    back = IO.read_export_csv(spark, path, FILE_INVENTORY, encoding="ISO-8859-1")
+    return back.select("pasta", "arquivo", "tamanho")
+
+
+def q29_raw_dump(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "q29-raw")
+    IO.write_raw(X.raw_posts(spark, sf), path)
+    back = FL.read_landed(spark, path, RAW_POSTS)
+    return FL.flatten_posts(back).select("post_id", "caption_text", "hashtags", "repost")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }

@@ -108,7 +108,8 @@ def write_raw(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def read_export_csv(spark: SparkSession, path, schema: T.StructType,
-                    has_index: bool = False, source_col: str | None = None) -> DataFrame:
+                    has_index: bool = False, source_col: str | None = None,
+                    encoding: str = "UTF-8") -> DataFrame:
     """Read ``;`` CSV written by K1 (or by the studied code) into ``schema``.
 
     ``path`` is a path or a list of paths.  The unnamed leading index
@@ -122,7 +123,7 @@ def read_export_csv(spark: SparkSession, path, schema: T.StructType,
         fields = [T.StructField(INDEX_COL, T.StringType(), True)] + fields
     raw = (spark.read.schema(T.StructType(fields)).option("sep", SEP).option("header", True)
            .option("quote", QUOTE).option("escape", QUOTE).option("multiLine", True)
-           .option("encoding", "UTF-8").option("mode", "FAILFAST").csv(path))
+           .option("encoding", encoding).option("mode", "FAILFAST").csv(path))
     cols = []
     for f in schema.fields:
         c = F.col(f.name)

@@ -6,7 +6,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from tests.compare import compare, duck
 
 SMALL = "/root/testdata/sf0.001"
-PINNED = {"q07_file_inventory": "/root/testdata/sf0.01"}  # oracle path is fixed to the compared scale
+PINNED = {"q07_file_inventory": "/root/testdata/sf0.01", "q28_inventory_csv": "/root/testdata/sf0.01"}  # oracle path is fixed to the compared scale
 
 
 def test_entry_smoke(spark):
