@@ -204,3 +204,4 @@ select username, replace({_sql_text(WELCOME_TEMPLATE)}, '{{}}', convites) as mes
 
 ORACLE["q28_inventory_csv"] = ORACLE["q07_file_inventory"]
 ORACLE["q29_raw_dump"] = ORACLE["q02_caption_parse"]
+ORACLE["q30_snapshot_files_stream"] = ORACLE["q15_replay_history"]

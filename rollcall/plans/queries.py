@@ -231,6 +231,25 @@ def q29_raw_dump(spark: SparkSession, sf: str) -> DataFrame:
     return FL.flatten_posts(back).select("post_id", "caption_text", "hashtags", "repost")
 
 
+def q30_snapshot_files_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """K1 export of each day's snapshot as its own file, then the file stream."""
+    from rollcall.streaming.snapshots import read_history, snapshot_stream
+
+    rows = X.snapshot_rows(spark, sf)
+    stamps = X.table(spark, sf, "events").groupBy(F.to_date("ts").alias("snap_date")).agg(
+        F.concat(F.lit("df_followers_"), F.date_format(F.min("ts"), "yyyy-MM-dd HHmmss")).alias("snapshot"))
+    snaps = X.with_names(rows.select("snap_date", "pk").distinct(), X.people(spark, sf)).join(
+        stamps, "snap_date").select("snapshot", "pk", "username", "full_name")
+    folder = scratch_path(spark, "q30-snapshots")
+    IO.write_export_csv(snaps, folder, index_order=["snapshot", "pk"], one_file_per="snapshot")
+    root = scratch_path(spark, "q30-history")
+    # all files land at once: one micro-batch, ordered inside by snapshot time
+    q = snapshot_stream(spark, folder, root, scratch_path(spark, "q30-stream"),
+                        max_files_per_trigger=1_000_000)
+    q.awaitTermination()
+    return read_history(spark, root)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }

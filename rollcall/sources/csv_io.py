@@ -70,11 +70,19 @@ def _writer(df: DataFrame, encoding: str):
 
 
 def write_export_csv(df: DataFrame, path: str, index_order: Sequence[str] | None = None,
-                     mode: str = "errorifexists") -> None:
-    """K1: ``;`` CSV, decimal comma, UTF-8; a leading row index only when asked."""
+                     mode: str = "errorifexists", one_file_per: str | None = None) -> None:
+    """K1: ``;`` CSV, decimal comma, UTF-8; a leading row index only when asked.
+
+    ``one_file_per``: write one file per value of that column, in a
+    ``<column>=<value>`` folder (a snapshot per file, as the exports are).
+    """
     if index_order:
         df = with_row_index(df, index_order)
-    _writer(_decimal_comma(df), "UTF-8").mode(mode).csv(path)
+    out = _decimal_comma(df)
+    w = _writer(out.repartition(one_file_per) if one_file_per else out, "UTF-8").mode(mode)
+    if one_file_per:
+        w = w.partitionBy(one_file_per)
+    w.csv(path)
 
 
 def check_latin1(df: DataFrame) -> None:

@@ -26,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rollcall.operators.history import replay_history
 from rollcall.schemas import FOLLOWERS, conform, empty
-from rollcall.sources.catalog import SNAPSHOT_MARK, snapshot_catalog, snapshot_time
+from rollcall.sources.catalog import snapshot_catalog, snapshot_time
 from rollcall.sources.csv_io import read_export_csv
 
 SNAPSHOT_FILE = T.StructType([T.StructField("pk", T.LongType()),
@@ -104,7 +104,7 @@ def snapshot_stream(spark: SparkSession, folder: str, root: str, checkpoint_loca
                     max_files_per_trigger: int = 100, available_now: bool = True) -> StreamingQuery:
     """Start the stream of snapshot files in ``folder`` into the history at ``root``."""
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE)
-             .option("pathGlobFilter", f"*{SNAPSHOT_MARK}*")
+             .option("recursiveFileLookup", True)
              .option("maxFilesPerTrigger", max_files_per_trigger)
              .load(folder).select("path"))
     writer = (files.writeStream.option("checkpointLocation", checkpoint_location)
