@@ -250,6 +250,15 @@ def q30_snapshot_files_stream(spark: SparkSession, sf: str) -> DataFrame:
     return read_history(spark, root)
 
 
+def q31_file_inventory_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """S7 through the Python data source (hidden entries included)."""
+    return INV.file_inventory(spark, sf, hidden=True).select("pasta", "arquivo", "tamanho")
+
+
+def q32_inventory_count(spark: SparkSession, sf: str) -> DataFrame:
+    return INV.inventory_count(INV.file_inventory(spark, sf))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }
