@@ -1,4 +1,4 @@
-"""The driver queries Q01-Q26: each operator of the inventory run over whole test tables.
+"""The driver queries q01-q32: each operator of the inventory run over whole test tables.
 
 Every builder takes (spark, sf_dir) and returns a DataFrame; columns are
 aliased exactly as in the oracle SQL of ``rollcall.plans.oracle``.
@@ -24,6 +24,7 @@ from rollcall.sources import csv_io as IO
 from rollcall.sources import flatten as FL
 from rollcall.sources import inventory as INV
 from rollcall.sources import tables as TB
+from rollcall.streaming.snapshots import read_history, snapshot_stream
 
 
 def q01_flatten_users(spark: SparkSession, sf: str) -> DataFrame:
@@ -233,8 +234,6 @@ def q29_raw_dump(spark: SparkSession, sf: str) -> DataFrame:
 
 def q30_snapshot_files_stream(spark: SparkSession, sf: str) -> DataFrame:
     """K1 export of each day's snapshot as its own file, then the file stream."""
-    from rollcall.streaming.snapshots import read_history, snapshot_stream
-
     rows = X.snapshot_rows(spark, sf)
     stamps = X.table(spark, sf, "events").groupBy(F.to_date("ts").alias("snap_date")).agg(
         F.concat(F.lit("df_followers_"), F.date_format(F.min("ts"), "yyyy-MM-dd HHmmss")).alias("snapshot"))

@@ -21,5 +21,3 @@ select f.username,
 from {table} f
 where f.welcome is null and f.data_saida is null
 """
-
-UNWELCOMED_SQL = "select count(1) as n from {table} f where f.welcome is null"
