@@ -81,13 +81,17 @@ def apply_snapshot_split(open_rows: DataFrame, snap: DataFrame, run_date) -> Dat
     )
 
 
-def apply_snapshot(history: DataFrame, snap: DataFrame, run_date) -> DataFrame:
-    """K7: history after applying snapshot ``snap`` taken on ``run_date``."""
+def apply_snapshot(history: DataFrame, snap: DataFrame, run_date, order: str | None = None) -> DataFrame:
+    """K7: history after applying snapshot ``snap`` taken on ``run_date``.
+
+    A pk listed twice in the snapshot counts once; its first row by ``order``
+    (a row-position column) supplies the names.
+    """
     history = conform(history, FOLLOWERS)
     valid, _ = clean_snapshot(snap)
     closed = history.where(F.col("data_saida").isNotNull())
     opened = history.where(F.col("data_saida").isNull())
-    updated = apply_snapshot_split(opened, dedupe_snapshot(valid), run_date)
+    updated = apply_snapshot_split(opened, dedupe_snapshot(valid, order), run_date)
     return closed.unionByName(updated)
 
 
