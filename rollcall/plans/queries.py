@@ -244,7 +244,7 @@ def q30_snapshot_files_stream(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "q30-history")
     # all files land at once: one micro-batch, ordered inside by snapshot time
     q = snapshot_stream(spark, folder, root, scratch_path(spark, "q30-stream"),
-                        max_files_per_trigger=1_000_000)
+                        max_files_per_trigger=100)
     q.awaitTermination()
     return read_history(spark, root)
 
