@@ -100,6 +100,8 @@ def spread(df: DataFrame) -> DataFrame:
     with few splits, e.g. one parquet row group.  A large input already has
     more splits than cores, and then this is a no-op (no shuffle).
     """
+    if df.isStreaming:
+        return df  # a stream's micro-batches are partitioned by the source
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)

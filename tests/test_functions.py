@@ -94,3 +94,16 @@ def test_run_date_and_stamp(spark):
     assert r.t == "20240305" and r.d == dt.date(2024, 3, 5)
     assert stamp(dt.datetime(2024, 3, 5, 7, 8, 9)) == "2024-03-05 070809"
     assert stamp(dt.datetime(2024, 3, 5, 7, 8, 9), inventory=True) == "20240305"
+
+
+def test_flatten_posts_on_a_stream(spark, tmp_path):
+    utc = dt.timezone.utc
+    raw = spark.createDataFrame([((("1", dt.datetime(2024, 1, 1, 0, 30, tzinfo=utc), 1, 2, 3, "t\n.\n#a", 4)),)],
+                                RAW_POSTS)
+    raw.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(RAW_POSTS).parquet(str(tmp_path / "in"))
+    q = (flatten_posts(stream).writeStream.format("memory").queryName("posts_stream_t")
+         .trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    r = spark.table("posts_stream_t").collect()[0]
+    assert (r.post_id, r.caption_text, r.hashtags, r.dia_semana_post) == ("1", "t", "#a", 0)
