@@ -117,3 +117,17 @@ def test_snapshot_catalogue_from_files(spark):
     assert [r.arquivo for r in cat] == ["df_followers_2024-01-01 090000.csv",
                                          "df_followers_2024-01-02 101500.csv"]
     assert cat[1].snap_ts == dt.datetime(2024, 1, 2, 10, 15) and cat[1].snap_date == dt.date(2024, 1, 2)
+
+
+def test_data_source_splits_a_huge_flat_folder(spark):
+    root = tempfile.mkdtemp(prefix="rollcall-flat-")
+    os.makedirs(f"{root}/big")
+    for i in range(300):
+        open(f"{root}/big/f{i:03d}.txt", "w").write("x")
+    open(f"{root}/top.txt", "w").write("y")
+    df = file_inventory(spark, root, hidden=True, files_per_part=50)
+    assert df.rdd.getNumPartitions() > 1
+    rows = df.collect()
+    names = sorted(r.arquivo for r in rows if r.pasta == f"{root}/big")
+    assert names == [f"f{i:03d}.txt" for i in range(300)]  # each file once
+    assert [r.arquivo for r in rows if r.pasta == root] == ["top.txt"]
