@@ -1,8 +1,9 @@
 """Fixed table definitions (one StructType per table, never inferred).
 
 Table and column names are the data model's own (fixed values): followers,
-new_followers, followings, posts, likes, comments, convites_instagrow, plus
-the extraction inputs, the send-result log and the file inventory.
+new_followers, followings, posts, likes, comments and the invite list
+(``invites``), plus the extraction inputs, the send-result log and the file
+inventory.
 """
 
 from __future__ import annotations
@@ -55,7 +56,7 @@ TABLES: dict[str, T.StructType] = {
     "posts": POSTS,
     "likes": LIKES,
     "comments": COMMENTS,
-    "convites_instagrow": INVITES,
+    "invites": INVITES,
 }
 
 # Keys.  followers carries one row per membership period, so its key is
@@ -67,7 +68,7 @@ KEYS: dict[str, list[str]] = {
     "posts": ["post_id"],
     "likes": ["post_pk", "follower_pk"],
     "comments": ["comment_pk"],
-    "convites_instagrow": ["username"],
+    "invites": ["username"],
 }
 
 
