@@ -20,8 +20,10 @@ from __future__ import annotations
 import datetime as _dt
 import math
 import os
+import sys
 import zlib
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -144,6 +146,8 @@ class FileTreeSource(DataSource):
 
 def _tree(spark: SparkSession, path: str, partitions: int | None = None,
           files_per_part: int = FILES_PER_PART) -> DataFrame:
+    # ship this module's code with the source, so Python workers need no install
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(FileTreeSource)
     n = partitions or max(2, spark.sparkContext.defaultParallelism * 2)
     return (spark.read.format("rollcall_filetree").option("partitions", str(n))
