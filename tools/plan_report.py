@@ -82,7 +82,7 @@ NOTES = """
 - **No cartesian or nested-loop join anywhere.** Every join is an equi-join.
 - **Every shuffle follows a map-side combine or is keyed on a unique key.**
   - `hashpartitioning` exchanges under `HashAggregate` / `SortAggregate` / `ObjectHashAggregate` ship partial aggregates, not raw rows. So a key holding a third of the rows is reduced before it moves. This covers q10-q12, q14, q15, q23 and q27.
-  - The only joins that shuffle both sides are q13's full outer join and q12's anti-join. Both join on `pk` with unique keys on both sides.
+  - Where a join shuffles both sides (a sort-merge join, e.g. q13's full outer join on `pk`, or an upsert anti-join once AQE keeps it sort-merge), its keys are unique on both sides after de-duplication, so no join key can be hot.
 - **Broadcast build sides and their bounds.**
   - The replay calendar (one row per snapshot) and the accepted-prefix cut table (one row per run) go through `bounded_broadcast`: checkpoint, count, then broadcast under 2M rows.
   - `customer` is broadcast here only because it is small; at scale it is a sort-merge join. AQE may still convert it at runtime.
