@@ -131,3 +131,24 @@ def test_data_source_splits_a_huge_flat_folder(spark):
     names = sorted(r.arquivo for r in rows if r.pasta == f"{root}/big")
     assert names == [f"f{i:03d}.txt" for i in range(300)]  # each file once
     assert [r.arquivo for r in rows if r.pasta == root] == ["top.txt"]
+
+
+def test_csv_compatible_with_pandas_both_ways(spark):
+    import pandas as pd
+
+    folder = tempfile.mkdtemp(prefix="rollcall-pandas-")
+    pdf = pd.DataFrame({"pk": [1, 2, 3], "txt": ["a;b", 'say "hi"', "two\nlines ç"],
+                        "x": [1.5, -2.25, float("nan")]})
+    pdf.to_csv(f"{folder}/export.csv", sep=";", decimal=",", encoding="utf-8")  # with the row index
+    schema = T.StructType([T.StructField("pk", T.LongType()), T.StructField("txt", T.StringType()),
+                           T.StructField("x", T.DoubleType())])
+    got = sorted(tuple(r) for r in read_export_csv(spark, f"{folder}/export.csv", schema, has_index=True)
+                 .collect())
+    assert got == [(1, "a;b", 1.5), (2, 'say "hi"', -2.25), (3, "two\nlines ç", None)]
+
+    path = scratch_path(spark, "t-to-pandas")
+    write_export_csv(spark.createDataFrame([(1, "a;b", 1.5), (2, "two\nlines ç", None)], schema), path)
+    part = sorted(glob.glob(f"{_local(path)}/part-*.csv"))
+    frames = [pd.read_csv(p, sep=";", decimal=",") for p in part]
+    back = pd.concat([f for f in frames if len(f)]).sort_values("pk")
+    assert back["txt"].tolist() == ["a;b", "two\nlines ç"] and back["x"].tolist()[0] == 1.5
