@@ -27,8 +27,12 @@ def scrub_quotes(c: Column) -> Column:
 
 
 def strip_ws(c: Column) -> Column:
-    """T2d: strip Unicode white space at both ends (``trim`` removes spaces only)."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """T2d: strip white space at both ends as Python's ``str.strip`` does.
+
+    ``trim`` removes spaces only; Java's Unicode ``\s`` lacks the four
+    separators U+001C-U+001F that ``str.strip`` also removes.
+    """
+    return F.regexp_replace(c, r"(?U)^[\s\x{1C}-\x{1F}]+|[\s\x{1C}-\x{1F}]+$", "")
 
 
 def caption_pieces(c: Column) -> Column:

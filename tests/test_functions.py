@@ -19,6 +19,7 @@ CAPTIONS = [
     (None, None, "", ""),
     ("t\n.\n#one\n.\n#two", "t", "#two", ""),
     ("t\n.\n#REPOST @u", "t", "", "#REPOST @u"),
+    ("t\n.\n\u00a0\x1f#a\u2003\t", "t", "#a", ""),  # str.strip white space, not only spaces
 ]
 
 

@@ -101,3 +101,21 @@ def test_preview_and_estimate(spark):
     assert [r.k for r in preview(df, "k", 2, tail=True).collect()] == [99, 98]
     est = {r.metric: r.value for r in extraction_estimate(df).collect()}
     assert est == {"posts_to_process": 100.0, "estimated_minutes": 100 * 2.5 / 60}
+
+
+def test_flatten_likes_and_comments(spark):
+    import datetime as _d
+    from rollcall.schemas import RAW_COMMENTS, RAW_LIKES
+    from rollcall.sources import flatten_comments, flatten_likes
+    likes = spark.createDataFrame([("p1", [("10", True, "s"), ("11", False, None)]), ("p2", []),
+                                   ("p3", [("12", None, None)])], RAW_LIKES)
+    posts = spark.createDataFrame([("p1",), ("p2",)], "post_id string")
+    got = sorted(tuple(r) for r in flatten_likes(likes, posts).collect())
+    assert got == [("p1", 10, True, "s"), ("p1", 11, False, None)]  # p2 has none, p3 not selected
+    utc = _d.timezone.utc
+    comments = spark.createDataFrame([("p1", [("5", "hi", ("77", True, None), _d.datetime(2024, 1, 1, 0, 30, tzinfo=utc),
+                                               "comment", "Active", False, 3)])], RAW_COMMENTS)
+    r = flatten_comments(comments).collect()[0]
+    assert (r.post_pk, r.comment_pk, r.follower_pk, r.is_private, r.has_liked_comment, r.like_count) == \
+        ("p1", 5, 77, True, False, 3)
+    assert r.created_at == _d.datetime(2023, 12, 31, 21, 30) and r.dia_semana == 0
