@@ -27,7 +27,7 @@ def scrub_quotes(c: Column) -> Column:
 
 
 def strip_ws(c: Column) -> Column:
-    """T2d: strip white space at both ends as Python's ``str.strip`` does.
+    r"""T2d: strip white space at both ends as Python's ``str.strip`` does.
 
     ``trim`` removes spaces only; Java's Unicode ``\s`` lacks the four
     separators U+001C-U+001F that ``str.strip`` also removes.
