@@ -2,6 +2,7 @@
 
     python -m rollcall inventory FOLDER OUT [--hidden]
     python -m rollcall history SNAPSHOTS STORE [--max-files N]
+    python -m rollcall apply SNAPSHOT_CSV STORE --date YYYY-MM-DD
     python -m rollcall candidates STORE OUT [--template TEXT]
     python -m rollcall welcomed STORE RESULTS OUT
     python -m rollcall no-interaction POSTS LIKES COMMENTS FOLLOWINGS OUT --as-of YYYY-MM-DD [--days 115]
@@ -27,7 +28,8 @@ from rollcall.session import build_session, checkpoint_root
 from rollcall.sources import csv_io as IO
 from rollcall.sources import flatten as FL
 from rollcall.sources import inventory as INV
-from rollcall.streaming.snapshots import committed_versions, read_history, snapshot_stream
+from rollcall.sources import history_store as HS
+from rollcall.streaming.snapshots import SNAPSHOT_FILE, committed_versions, read_history, snapshot_stream
 
 
 def _inventory(spark: SparkSession, a) -> None:
@@ -50,6 +52,15 @@ def _history(spark: SparkSession, a) -> None:
     print(f"history at version {done[-1] if done else 'none'}")
 
 
+def _apply(spark: SparkSession, a) -> None:
+    """One daily run (K7) against the bucketed store: the next version after the last one."""
+    done = committed_versions(spark, a.store)
+    version = done[-1] + 1 if done else 0
+    snap = IO.read_export_csv(spark, a.snapshot, SNAPSHOT_FILE, has_index=True)
+    HS.apply_daily(spark, a.store, snap, a.date, version)
+    print(f"history run {version} committed")
+
+
 def _candidates(spark: SparkSession, a) -> None:
     cands = A.welcome_candidates(read_history(spark, a.store))
     IO.write_export_csv(A.render_outbox(cands, a.template), a.out)
@@ -79,6 +90,10 @@ def parser() -> argparse.ArgumentParser:
     s = sub.add_parser("history")
     s.add_argument("snapshots"), s.add_argument("store"), s.add_argument("--max-files", type=int, default=100)
     s.set_defaults(run=_history)
+    s = sub.add_parser("apply")
+    s.add_argument("snapshot"), s.add_argument("store")
+    s.add_argument("--date", required=True, type=_dt.date.fromisoformat)
+    s.set_defaults(run=_apply)
     s = sub.add_parser("candidates")
     s.add_argument("store"), s.add_argument("out"), s.add_argument("--template", default=A.WELCOME_TEMPLATE)
     s.set_defaults(run=_candidates)

@@ -207,3 +207,4 @@ ORACLE["q29_raw_dump"] = ORACLE["q02_caption_parse"]
 ORACLE["q30_snapshot_files_stream"] = ORACLE["q15_replay_history"]
 ORACLE["q31_file_inventory_tree"] = ORACLE["q07_file_inventory"]
 ORACLE["q32_inventory_count"] = "select count(*) as files from read_blob('/root/testdata/sf0.01/*')"
+ORACLE["q33_daily_apply_store"] = ORACLE["q13_apply_snapshot"]

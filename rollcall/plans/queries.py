@@ -22,6 +22,7 @@ from rollcall.session import scratch_path
 from rollcall.sources import catalog as C
 from rollcall.sources import csv_io as IO
 from rollcall.sources import flatten as FL
+from rollcall.sources import history_store as HS
 from rollcall.sources import inventory as INV
 from rollcall.sources import tables as TB
 from rollcall.streaming.snapshots import read_history, snapshot_stream
@@ -258,6 +259,15 @@ def q32_inventory_count(spark: SparkSession, sf: str) -> DataFrame:
     return INV.inventory_count(INV.file_inventory(spark, sf))
 
 
+def q33_daily_apply_store(spark: SparkSession, sf: str) -> DataFrame:
+    """K7 as a daily run against the store: open set bucketed by pk, closed rows appended."""
+    hist, snap, last = _history_before_last(spark, sf)
+    root = scratch_path(spark, "q33-store")
+    HS.seed_store(spark, root, hist)
+    HS.apply_daily(spark, root, snap, last, version=1)
+    return HS.read_store(spark, root, 1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }

@@ -77,3 +77,14 @@ def test_inventory_command(spark, capsys):
     out = scratch_path(spark, "t-cli-inv")
     assert main(["inventory", folder, out]) == 0
     assert "files found: 2" in capsys.readouterr().out
+
+
+def test_daily_apply_command(spark):
+    from rollcall.sources.history_store import read_store
+    folder = tempfile.mkdtemp(prefix="rollcall-cli-daily-")
+    _write_snapshots(folder)
+    store = scratch_path(spark, "t-cli-daily")
+    for ts, _rows in STEPS:
+        path = f"{folder}/df_followers_{ts:%Y-%m-%d %H%M%S}.csv"
+        assert main(["apply", path, store, "--date", ts.date().isoformat()]) == 0
+    assert _as_map(read_store(spark, store, len(STEPS) - 1)) == EXPECTED
