@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def to_pk(c: Column) -> Column:
@@ -11,6 +12,16 @@ def to_pk(c: Column) -> Column:
     return F.trim(c.cast("string")).try_cast("bigint")
 
 
+def pk_of(df: DataFrame, name: str) -> Column:
+    """``name`` of ``df`` as a BIGINT id: integral columns are cast, only text goes through ``to_pk``."""
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, T.LongType):
+        return F.col(name)
+    if isinstance(dtype, (T.IntegerType, T.ShortType, T.ByteType)):
+        return F.col(name).cast("bigint")
+    return to_pk(F.col(name))
+
+
 def to_ts(c: Column) -> Column:
     """T5: text to TIMESTAMP_NTZ; unparsable text gives null."""
     return c.cast("string").try_cast("timestamp_ntz")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.functions.scalars import greeting_name, render, to_pk
+from rollcall.functions.scalars import greeting_name, pk_of, render
 from rollcall.operators.upsert import pick_row
 from rollcall.session import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 
@@ -57,9 +57,10 @@ def no_interaction(followings: DataFrame, likes: DataFrame, comments: DataFrame,
     successive masks, which commute.  AQE broadcasts the distinct keys when
     they are small and keeps a shuffle join otherwise.
     """
-    f = followings.withColumn("pk", to_pk(F.col("pk")))
-    touched = (rename_pk(likes, likes_key).select(to_pk(F.col("pk")).alias("pk"))
-               .unionByName(rename_pk(comments, comments_key).select(to_pk(F.col("pk")).alias("pk")))
+    f = followings.withColumn("pk", pk_of(followings, "pk"))
+    likes, comments = rename_pk(likes, likes_key), rename_pk(comments, comments_key)
+    touched = (likes.select(pk_of(likes, "pk").alias("pk"))
+               .unionByName(comments.select(pk_of(comments, "pk").alias("pk")))
                .where(F.col("pk").isNotNull())
                .distinct())
     return f.join(touched, "pk", "left_anti")
