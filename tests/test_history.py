@@ -167,3 +167,21 @@ def test_replay_plan_broadcasts_the_calendar(spark):
     catalog = spark.createDataFrame([(dt.datetime(2024, 1, 1), D(2024, 1, 1))], CAT)
     plan = replay_history(snaps, catalog)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastExchange" in plan
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_replay_with_duplicate_pks_first_row_wins(spark, seed):
+    rnd = random.Random(seed)
+    t = dt.datetime(2024, 4, 1)
+    steps, rows = [], []
+    for s in range(12):
+        t += dt.timedelta(hours=11)
+        snap = []
+        for pos in range(rnd.randint(0, 25)):
+            pk = rnd.randint(0, 9)  # repeats inside one snapshot
+            snap.append((pk, f"u{pk}_{s}_{pos}", None))
+        steps.append((t, snap))
+        rows.extend((t, pk, u, f, pos) for pos, (pk, u, f) in enumerate(snap))
+    df = spark.createDataFrame(rows, "snap_ts timestamp_ntz, pk long, username string, full_name string, pos int")
+    catalog = spark.createDataFrame([(ts, ts.date()) for ts, _ in steps], CAT)
+    assert _as_map(replay_history(df, catalog, order="pos")) == fold_py(steps)
