@@ -95,6 +95,7 @@ def q11_upsert_replace_row(spark: SparkSession, sf: str) -> DataFrame:
     e = X.table(spark, sf, "events")
     split = F.lit(X.SPLIT_TS).cast("timestamp_ntz")
     target = U.upsert_replace(empty(spark, e.schema), e.where(F.col("ts") < split), _EVENT_KEYS, _EVENT_ORDER)
+    target = target.checkpoint()  # the table as written after the first batch
     batch = e.where(F.col("ts") >= split).drop("props")
     return U.upsert_replace(target, batch, _EVENT_KEYS, _EVENT_ORDER)
 
@@ -106,6 +107,7 @@ def q12_insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
     split = F.lit(X.SPLIT_TS).cast("timestamp_ntz")
     order = ["follow_time", "event_id"]
     first = U.insert_ignore(empty(spark, NEW_FOLLOWERS), rows.where(F.col("follow_time") < split), ["pk"], order)
+    first = first.checkpoint()  # the table as written after the first batch
     kept = U.insert_ignore(first, rows.where(F.col("follow_time") >= split), ["pk"], order)
     # names depend on pk only in the stand-in: attach them to the kept rows, not to every event
     return X.attach_names(kept.withColumn("full_name", F.lit(None).cast("string")),
