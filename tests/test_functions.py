@@ -35,17 +35,17 @@ def test_caption_golden(spark):
 
 
 def _python_reading(caption):
-    """Plain reading of the caption rule, used as brute force."""
+    """Brute force from the rule as stated (T2): first piece; last later piece with
+    a tag and no repost mark; last later piece with a repost mark."""
     if caption is None:
         return None, "", ""
-    chunks = re.split("\n ?\\.+ ?\n", caption)
-    tags, credit = "", ""
-    for piece in chunks[1:]:
-        if "#repost" in piece.lower():
-            credit = piece.replace(".", "").replace(",", "").replace("\n", "").replace("#Repost ", "").strip()
-        if "#" in piece and "#repost" not in piece.lower():
-            tags = piece.replace(".", "").replace(",", "").replace("\n", "").strip()
-    return chunks[0], tags, credit
+    first, *later = re.split("\n ?\\.+ ?\n", caption)
+    drop = str.maketrans("", "", ".,\n")
+    tagged = [p for p in later if "#" in p and "#repost" not in p.lower()]
+    credited = [p for p in later if "#repost" in p.lower()]
+    tags = tagged[-1].translate(drop).strip() if tagged else ""
+    credit = credited[-1].translate(drop).replace("#Repost ", "").strip() if credited else ""
+    return first, tags, credit
 
 
 ALPHABET = st.sampled_from(list("ab #.,\n@ ") + ["#Repost ", "#repost", "\n.\n", "\n ... \n", "ç"])
