@@ -116,7 +116,7 @@ def snapshot_calendar(catalog: DataFrame) -> DataFrame:
 
 
 def replay_history(snaps: DataFrame, catalog: DataFrame, order: str | None = None,
-                   initial: DataFrame | None = None,
+                   initial: DataFrame | None = None, partitions: int | None = None,
                    max_calendar_rows: int = 2_000_000) -> DataFrame:
     """K8: all periods from snapshot rows ``(snap_ts, pk, username, full_name)``.
 
@@ -131,6 +131,11 @@ def replay_history(snaps: DataFrame, catalog: DataFrame, order: str | None = Non
     folding ``apply_snapshot`` over the new snapshots starting from it).
     Its open rows take part as snapshot number 0, carrying their entry date
     and welcome mark; its closed rows are returned unchanged.
+
+    ``partitions``: when ``initial`` is a table bucketed by pk into that many
+    buckets, the new rows are hashed by pk into the same number of
+    partitions; the union then keeps that partitioning and the stored open
+    set is never shuffled (only the new snapshot rows move).
     """
     valid, _ = clean_snapshot(snaps)
     rows = dedupe_snapshot(valid, order, extra_keys=("snap_ts",))
@@ -139,6 +144,8 @@ def replay_history(snaps: DataFrame, catalog: DataFrame, order: str | None = Non
         "pk", "username", "full_name", "snap_date", "n", "next_date",
         F.lit(None).cast("date").alias("_entrada0"), F.lit(None).cast("int").alias("_welcome0"))
     closed = None
+    if partitions:
+        m = m.repartition(partitions, "pk")
     if initial is not None:
         initial = conform(initial, FOLLOWERS)
         closed = initial.where(F.col("data_saida").isNotNull())

@@ -8,8 +8,10 @@ files).  Storage, below ``root``:
 
 * ``closed/batch=<id>/``: periods closed by micro-batch ``id`` (append-only;
   closed periods are never rewritten);
-* ``open/v=<id>/``: the open periods after micro-batch ``id``; its
-  ``_SUCCESS`` file is the commit mark of the batch.
+* ``open/v=<id>/``: the open periods after micro-batch ``id``, bucketed by pk
+  (as in ``rollcall.sources.history_store``), so the next batch reads them in
+  place and only the new snapshot rows are shuffled; its ``_SUCCESS`` file is
+  the commit mark of the batch.
 
 A re-delivered batch whose open version is committed is skipped; a batch
 that failed half-way is rewritten whole (both folders are overwritten).
@@ -28,6 +30,7 @@ from rollcall.operators.history import replay_history
 from rollcall.schemas import FOLLOWERS, conform, empty
 from rollcall.sources.catalog import snapshot_catalog, snapshot_time
 from rollcall.sources.csv_io import read_export_csv
+from rollcall.sources.history_store import register_open, write_open
 
 SNAPSHOT_FILE = T.StructType([T.StructField("pk", T.LongType()),
                               T.StructField("username", T.StringType()),
@@ -86,18 +89,21 @@ def apply_files(spark: SparkSession, files: DataFrame, root: str, batch_id: int)
     catalog = snapshot_catalog(files.select("path")).where(F.col("snap_ts").isNotNull()).checkpoint()
     paths = [r[0] for r in catalog.select("_path").collect()]  # file names of one trigger (bounded)
     previous = [v for v in committed_versions(spark, root) if v < batch_id]
-    opened = (spark.read.schema(FOLLOWERS).parquet(f"{root}/open/v={previous[-1]}") if previous
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the open set is stored bucketed by pk: it is read in place, never shuffled
+    opened = (spark.table(register_open(spark, root, previous[-1], buckets)) if previous
               else empty(spark, FOLLOWERS))
     if paths:
         rows = read_export_csv(spark, paths, SNAPSHOT_FILE, has_index=True, source_col="_file")
         rows = rows.select(snapshot_time(F.col("_file")).alias("snap_ts"), "pk", "username", "full_name")
-        out = replay_history(rows, catalog.select("snap_ts", "snap_date"), initial=opened)
+        out = replay_history(rows, catalog.select("snap_ts", "snap_date"), initial=opened,
+                             partitions=buckets if previous else None)
     else:
         out = opened
     out = out.checkpoint()
     (out.where(F.col("data_saida").isNotNull()).write.mode("overwrite")
      .parquet(f"{root}/closed/batch={batch_id}"))
-    out.where(F.col("data_saida").isNull()).write.mode("overwrite").parquet(f"{root}/open/v={batch_id}")
+    write_open(out.where(F.col("data_saida").isNull()), root, batch_id, buckets)
 
 
 def snapshot_stream(spark: SparkSession, folder: str, root: str, checkpoint_location: str,

@@ -33,3 +33,32 @@ def test_stream_of_snapshot_files_equals_replay(spark):
     q2 = snapshot_stream(spark, folder, root, ckpt, max_files_per_trigger=2)
     q2.awaitTermination(300)
     assert _as_map(read_history(spark, root)) == EXPECTED
+
+
+def test_next_batch_reads_the_open_set_in_place(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from rollcall.operators.history import replay_history
+    from rollcall.schemas import SNAPSHOT
+    from rollcall.sources.history_store import register_open
+    from rollcall.streaming.snapshots import committed_versions
+    folder = tempfile.mkdtemp(prefix="rollcall-stream-plan-")
+    _write_snapshots(folder)
+    root = scratch_path(spark, "t-hist-plan")
+    snapshot_stream(spark, folder, root, scratch_path(spark, "t-ckpt-plan")).awaitTermination(300)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    opened = spark.table(register_open(spark, root, committed_versions(spark, root)[-1], buckets))
+    ts = dt.datetime(2024, 1, 5, 9)
+    rows = spark.createDataFrame([(ts, 2, "b", "B"), (ts, 5, "e", None)], SNAPSHOT)
+    cat = rows.select("snap_ts", F.to_date("snap_ts").alias("snap_date")).distinct()
+    for k in ("spark.sql.autoBroadcastJoinThreshold",):
+        spark.conf.set(k, "-1")
+    try:
+        out = replay_history(rows, cat, initial=opened, partitions=buckets)
+        out.collect()
+        final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Bucketed: true" in final  # the stored open set keeps its layout: no shuffle of it
