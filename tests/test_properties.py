@@ -68,3 +68,10 @@ def test_text_ids_and_rejects(spark):
     assert sorted(r.pk for r in good.collect() if r.pk is not None) == [7, 12]
     assert good.where("pk is null").count() == 1  # a null id is not a reject
     assert [r.pk for r in bad.collect()] == ["x9"]
+
+
+def test_text_datetimes(spark):
+    from rollcall.functions.scalars import to_ts
+    df = spark.createDataFrame([("2022-04-25 18:08:49",), ("2022-04-25",), ("nope",), (None,)], "t string")
+    got = [r[0] for r in df.select(to_ts(F.col("t"))).collect()]
+    assert got == [dt.datetime(2022, 4, 25, 18, 8, 49), dt.datetime(2022, 4, 25), None, None]
