@@ -90,7 +90,7 @@ NOTES = """
 - **q19**'s `SinglePartition` + `ObjectHashAggregate` is Spark's runtime bloom filter for the semi-join (built from the small side).
 - **q21 / q32** `SinglePartition` exchanges carry one partial count per task.
 - **Pushed filters** reach every scan that has a predicate: the cutoff in q03 / q17 / q18 / q20, the split date in q11 / q12, and the snapshot day in q13 / q19.
-- **q05, q28-q31** write and read files, so their plans are scans only.
+- **q05, q28-q31, q33** write and read files, so their plans are scans only. The work happens while the query is built: the export and stream (q30), and the store's seed and daily apply (q33, whose join reads the pk-bucketed open set in place; see `tests/test_history_store.py`).
 """
 
 
