@@ -10,7 +10,7 @@ credit also loses the literal ``#Repost `` (case as written).
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values (must equal the studied behaviour).
@@ -68,3 +68,20 @@ def parse_caption(c: Column) -> Column:
         caption_hashtags(pieces).alias("hashtags"),
         caption_repost(pieces).alias("repost"),
     )
+
+
+def with_caption_parts(df: DataFrame, caption: str, pieces: str = "_pieces") -> DataFrame:
+    """``df`` with the split pieces of ``caption`` as a column, split once per row.
+
+    Inline, the split would run once per derived field: Catalyst does not
+    merge a projection that would repeat an expensive expression, so giving
+    the pieces their own projection keeps it to one regex split.
+    """
+    return df.withColumn(pieces, caption_pieces(F.col(caption)))
+
+
+def caption_fields(pieces: str = "_pieces") -> list[Column]:
+    """caption_text, hashtags, repost from a pieces column."""
+    k = F.col(pieces)
+    return [F.element_at(k, 1).alias("caption_text"), caption_hashtags(k).alias("hashtags"),
+            caption_repost(k).alias("repost")]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.functions.captions import parse_caption, scrub_quotes
+from rollcall.functions.captions import caption_fields, scrub_quotes, with_caption_parts
 from rollcall.functions.scalars import to_pk
 from rollcall.functions.times import LOCAL_ZONE, to_local, utc_wall, weekday0
 from rollcall.session import spread
@@ -47,18 +47,18 @@ def flatten_posts(raw: DataFrame, weekday_basis: str = "utc", zone: str = LOCAL_
     The weekday comes from the source instant (UTC) by default, as observed;
     ``weekday_basis="local"`` takes it from the local time instead.
     """
-    p = spread(raw.select("p.*"))
+    p = with_caption_parts(spread(raw.select("p.*")), "caption")
     local, day = _local_and_weekday(p, "taken_at", weekday_basis, zone)
-    cap = parse_caption(F.col("caption"))
+    text, tags, credit = caption_fields()
     return p.select(
         F.col("id").alias("post_id"),
         F.col("media_type").cast("int").alias("media_type"),
         F.col("comment_count").cast("bigint").alias("comment_count"),
         F.col("like_count").cast("bigint").alias("like_count"),
-        cap["caption_text"].alias("caption_text"),
-        cap["hashtags"].alias("hashtags"),
+        text,
+        tags,
         F.col("view_count").cast("bigint").alias("view_count"),
-        cap["repost"].alias("repost"),
+        credit,
         local.alias("criado_em_post"),
         day.cast("int").alias("dia_semana_post"),
     )
