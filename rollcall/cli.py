@@ -84,23 +84,23 @@ def _no_interaction(spark: SparkSession, a) -> None:
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="rollcall")
     sub = p.add_subparsers(dest="cmd", required=True)
-    s = sub.add_parser("inventory")
+    s = sub.add_parser("inventory", help="files below a folder → Latin-1 ; CSV")
     s.add_argument("folder"), s.add_argument("out"), s.add_argument("--hidden", action="store_true")
     s.set_defaults(run=_inventory)
-    s = sub.add_parser("history")
+    s = sub.add_parser("history", help="apply new df_followers_* snapshot files (incremental)")
     s.add_argument("snapshots"), s.add_argument("store"), s.add_argument("--max-files", type=int, default=100)
     s.set_defaults(run=_history)
-    s = sub.add_parser("apply")
+    s = sub.add_parser("apply", help="one daily snapshot run against the pk-bucketed store")
     s.add_argument("snapshot"), s.add_argument("store")
     s.add_argument("--date", required=True, type=_dt.date.fromisoformat)
     s.set_defaults(run=_apply)
-    s = sub.add_parser("candidates")
+    s = sub.add_parser("candidates", help="welcome outbox from the current history")
     s.add_argument("store"), s.add_argument("out"), s.add_argument("--template", default=A.WELCOME_TEMPLATE)
     s.set_defaults(run=_candidates)
-    s = sub.add_parser("welcomed")
+    s = sub.add_parser("welcomed", help="mark accepted sends (prefix before the first failure)")
     s.add_argument("store"), s.add_argument("results"), s.add_argument("out")
     s.set_defaults(run=_welcomed)
-    s = sub.add_parser("no-interaction")
+    s = sub.add_parser("no-interaction", help="followed accounts without likes or comments")
     for name in ("posts", "likes", "comments", "followings", "out"):
         s.add_argument(name)
     s.add_argument("--as-of", required=True, type=_dt.date.fromisoformat)
