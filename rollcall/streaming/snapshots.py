@@ -6,7 +6,7 @@ new snapshot files; ``foreachBatch`` reads them, and ``replay_history``
 continues the stored history over all of them in one pass (no loop over
 files).  Storage, below ``root``:
 
-* ``closed/batch=<id>/``: periods closed by micro-batch ``id`` (append-only;
+* ``closed/run=<id>/``: periods closed by micro-batch ``id`` (append-only;
   closed periods are never rewritten);
 * ``open/v=<id>/``: the open periods after micro-batch ``id``, bucketed by pk
   (as in ``rollcall.sources.history_store``), so the next batch reads them in
@@ -16,7 +16,9 @@ files).  Storage, below ``root``:
 A re-delivered batch whose open version is committed is skipped; a batch
 that failed half-way is rewritten whole (both folders are overwritten).
 Snapshots must arrive in time order across micro-batches (the file source
-takes files by modification time).
+takes files by modification time).  The layout is that of
+``rollcall.sources.history_store``, so ``read_history`` serves both; a store
+is grown by one of the two (the stream's batch ids number its runs).
 """
 
 from __future__ import annotations
@@ -27,10 +29,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rollcall.operators.history import replay_history
-from rollcall.schemas import FOLLOWERS, conform, empty
+from rollcall.schemas import FOLLOWERS, empty
 from rollcall.sources.catalog import snapshot_catalog, snapshot_time
 from rollcall.sources.csv_io import read_export_csv
-from rollcall.sources.history_store import register_open, write_open
+from rollcall.sources.history_store import read_store, register_open, write_open
 
 SNAPSHOT_FILE = T.StructType([T.StructField("pk", T.LongType()),
                               T.StructField("username", T.StringType()),
@@ -68,18 +70,11 @@ def committed_versions(spark: SparkSession, root: str) -> list[int]:
 
 
 def read_history(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
-    """The history after the last committed batch (or after batch ``upto``)."""
+    """The history after the last committed run (or after run ``upto``)."""
     versions = [v for v in committed_versions(spark, root) if upto is None or v <= upto]
     if not versions:
         return empty(spark, FOLLOWERS)
-    last = versions[-1]
-    opened = spark.read.schema(FOLLOWERS).parquet(f"{root}/open/v={last}")
-    closed_root = f"{root}/closed"
-    if not _exists(spark, closed_root):
-        return opened
-    closed_schema = T.StructType(FOLLOWERS.fields + [T.StructField("batch", T.IntegerType())])
-    closed = spark.read.schema(closed_schema).parquet(closed_root).where(F.col("batch") <= last)
-    return conform(closed, FOLLOWERS).unionByName(opened)
+    return read_store(spark, root, versions[-1])
 
 
 def apply_files(spark: SparkSession, files: DataFrame, root: str, batch_id: int) -> None:
@@ -102,7 +97,7 @@ def apply_files(spark: SparkSession, files: DataFrame, root: str, batch_id: int)
         out = opened
     out = out.checkpoint()
     (out.where(F.col("data_saida").isNotNull()).write.mode("overwrite")
-     .parquet(f"{root}/closed/batch={batch_id}"))
+     .parquet(f"{root}/closed/run={batch_id}"))
     write_open(out.where(F.col("data_saida").isNull()), root, batch_id, buckets)
 
 

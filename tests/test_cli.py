@@ -88,3 +88,11 @@ def test_daily_apply_command(spark):
         path = f"{folder}/df_followers_{ts:%Y-%m-%d %H%M%S}.csv"
         assert main(["apply", path, store, "--date", ts.date().isoformat()]) == 0
     assert _as_map(read_store(spark, store, len(STEPS) - 1)) == EXPECTED
+    # the readers of the other commands see the same store, closed periods included
+    assert _as_map(read_history(spark, store)) == EXPECTED
+    results = tempfile.mkdtemp(prefix="rollcall-cli-res2-")
+    with open(f"{results}/r.csv", "w") as fh:
+        fh.write("run_id;seq;username;status\nr;1;b;true\n")
+    marked = scratch_path(spark, "t-cli-marked2")
+    assert main(["welcomed", store, results, marked]) == 0
+    assert len(_csv_rows(marked)) == len(EXPECTED)
