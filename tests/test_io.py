@@ -152,3 +152,16 @@ def test_csv_compatible_with_pandas_both_ways(spark):
     frames = [pd.read_csv(p, sep=";", decimal=",") for p in part]
     back = pd.concat([f for f in frames if len(f)]).sort_values("pk")
     assert back["txt"].tolist() == ["a;b", "two\nlines ç"] and back["x"].tolist()[0] == 1.5
+
+
+def test_snapshot_names_from_files_and_partition_folders(spark):
+    from rollcall.sources.catalog import snapshot_catalog
+    paths = spark.createDataFrame([
+        ("file:/x/CSVs/df_followers_2024-01-02 101500.csv",),
+        ("file:/x/out/snapshot=df_followers_2024-01-03 080000/part-00000-abc.csv",),
+        ("file:/x/CSVs/df_followings_2024-01-02 101500.csv",),
+        ("file:/x/CSVs/notes.txt",),
+    ], "path string")
+    got = [(r.arquivo, r.snap_ts, r.snap_date) for r in snapshot_catalog(paths).collect()]
+    assert got == [("df_followers_2024-01-02 101500.csv", dt.datetime(2024, 1, 2, 10, 15), dt.date(2024, 1, 2)),
+                   ("df_followers_2024-01-03 080000", dt.datetime(2024, 1, 3, 8, 0), dt.date(2024, 1, 3))]
