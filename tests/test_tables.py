@@ -76,3 +76,22 @@ def test_row_index_with_a_hot_sort_key(spark):
     assert out.where("k = 0").agg(F.max("_index")).first()[0] == 19999
     sizes = [row[1] for row in out.groupBy(F.spark_partition_id()).count().collect()]
     assert max(sizes) < 20000  # the hot key is not one partition
+
+
+def test_bounded_broadcast_hints_only_under_the_bound(spark):
+    from rollcall.session import bounded_broadcast
+    big = spark.range(5000).withColumnRenamed("id", "k")
+    small = spark.range(100).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        under = big.join(bounded_broadcast(small, max_rows=1000), "k")
+        over = big.join(bounded_broadcast(small, max_rows=10), "k")
+        under.collect(), over.collect()
+        p_under = under._jdf.queryExecution().executedPlan().toString()
+        p_over = over._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in p_under          # 100 rows ≤ 1000: hinted
+    assert "SortMergeJoin" in p_over and "BroadcastHashJoin" not in p_over  # over the bound: shuffle join
