@@ -2,8 +2,9 @@
 
 Export format (fixed values): separator ``;``, header, double quotes doubled
 inside quoted values, floats written with a decimal comma, UTF-8 (Latin-1
-for the file inventory).  An empty text and a null are both written empty
-and both read back as null.
+for the file inventory), values kept whole (no trimming of surrounding white
+space).  An empty text and a null are both written empty and both read back
+as null.
 
 Spark has no decimal-comma option, so DOUBLE / FLOAT columns are formatted
 as text with the dot replaced, and parsed back the same way.  Every read
@@ -63,8 +64,10 @@ def with_row_index(df: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def _writer(df: DataFrame, encoding: str):
+    # Spark trims values on write by default; the export keeps them whole
     return (df.write.option("sep", SEP).option("header", True).option("quote", QUOTE)
             .option("escape", QUOTE).option("emptyValue", "").option("nullValue", "")
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .option("encoding", encoding).option("timestampNTZFormat", TS_FORMAT)
             .option("dateFormat", DATE_FORMAT))
 
@@ -131,6 +134,7 @@ def read_export_csv(spark: SparkSession, path, schema: T.StructType,
         fields = [T.StructField(INDEX_COL, T.StringType(), True)] + fields
     raw = (spark.read.schema(T.StructType(fields)).option("sep", SEP).option("header", True)
            .option("quote", QUOTE).option("escape", QUOTE).option("multiLine", True)
+           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
            .option("encoding", encoding).option("mode", "FAILFAST").csv(path))
     cols = []
     for f in schema.fields:

@@ -165,3 +165,24 @@ def test_snapshot_names_from_files_and_partition_folders(spark):
     got = [(r.arquivo, r.snap_ts, r.snap_date) for r in snapshot_catalog(paths).collect()]
     assert got == [("df_followers_2024-01-02 101500.csv", dt.datetime(2024, 1, 2, 10, 15), dt.date(2024, 1, 2)),
                    ("df_followers_2024-01-03 080000", dt.datetime(2024, 1, 3, 8, 0), dt.date(2024, 1, 3))]
+
+
+from hypothesis import HealthCheck, example, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+TEXT = st.text(alphabet=st.sampled_from(list('ab ;",.çé') + ["\n", "\t", " ", "→"]), max_size=12)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@example([(" a", None), ("a ", 1.5), (" ", None), ("\ta\n", -0.25), (" ; ", 1e-7), ("D Ávila  Zé ", None)])
+@given(st.lists(st.tuples(TEXT, st.one_of(st.none(), st.floats(allow_nan=False, allow_infinity=False,
+                                                                  width=64))), min_size=1, max_size=6))
+def test_csv_round_trip_property(spark, rows):
+    schema = T.StructType([T.StructField("i", T.LongType()), T.StructField("t", T.StringType()),
+                           T.StructField("x", T.DoubleType())])
+    data = [(i, t, x) for i, (t, x) in enumerate(rows)]
+    path = scratch_path(spark, "t-csv-prop")
+    write_export_csv(spark.createDataFrame(data, schema), path)
+    back = {r.i: (r.t, r.x) for r in read_export_csv(spark, path, schema).collect()}
+    for i, t, x in data:
+        assert back[i] == ((t if t != "" else None), x)  # an empty text returns as null
