@@ -28,6 +28,8 @@ TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 DATE_FORMAT = "yyyy-MM-dd"
 INDEX_COL = "_index"
 LATIN1_OUTSIDE = "[^\\x{00}-\\x{FF}]"
+JSON_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+JSON_TS_NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def _decimal_comma(df: DataFrame) -> DataFrame:
@@ -114,8 +116,12 @@ def write_inventory_csv(df: DataFrame, path: str, mode: str = "errorifexists") -
 
 
 def write_raw(df: DataFrame, path: str, mode: str = "append") -> None:
-    """K3: untouched nested records before projection (bronze layer), as JSON."""
-    df.write.mode(mode).json(path)
+    """K3: untouched nested records before projection (bronze layer), as JSON.
+
+    Timestamps keep microseconds: Spark's default JSON format writes milliseconds.
+    """
+    (df.write.mode(mode).option("timestampFormat", JSON_TS)
+     .option("timestampNTZFormat", JSON_TS_NTZ).json(path))
 
 
 def read_export_csv(spark: SparkSession, path, schema: T.StructType,

@@ -24,12 +24,13 @@ def test_create_tables_and_key_check(spark):
 
 def test_raw_dump_round_trip(spark):
     utc = dt.timezone.utc
-    raw = spark.createDataFrame([((("9", dt.datetime(2024, 1, 1, tzinfo=utc), 1, 2, 3,
-                                    "t\n.\n#a", 4)),)], RAW_POSTS)
+    raw = spark.createDataFrame([((("9", dt.datetime(2024, 1, 1, 0, 0, 7, 123456, tzinfo=utc), 1, 2, 3,
+                                    " t\n.\n#a ", 4)),)], RAW_POSTS)
     path = scratch_path(spark, "t-raw")
     write_raw(raw, path)
     back = read_landed(spark, path, RAW_POSTS)
     assert [tuple(r) for r in flatten_posts(back).collect()] == [tuple(r) for r in flatten_posts(raw).collect()]
+    assert back.collect()[0].p.taken_at.microsecond == 123456  # Spark's default JSON format keeps ms only
 
 
 def test_accepted_prefix_with_a_hot_run(spark):
