@@ -25,6 +25,7 @@ from rollcall.session import bounded_broadcast, checkpoint_root
 SEP = ";"
 QUOTE = '"'
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+TS_ZONED_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSSxxx"
 DATE_FORMAT = "yyyy-MM-dd"
 INDEX_COL = "_index"
 LATIN1_OUTSIDE = "[^\\x{00}-\\x{FF}]"
@@ -71,6 +72,7 @@ def _writer(df: DataFrame, encoding: str):
             .option("escape", QUOTE).option("emptyValue", "").option("nullValue", "")
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .option("encoding", encoding).option("timestampNTZFormat", TS_FORMAT)
+            .option("timestampFormat", TS_ZONED_FORMAT)
             .option("dateFormat", DATE_FORMAT))
 
 

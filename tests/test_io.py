@@ -186,3 +186,13 @@ def test_csv_round_trip_property(spark, rows):
     back = {r.i: (r.t, r.x) for r in read_export_csv(spark, path, schema).collect()}
     for i, t, x in data:
         assert back[i] == ((t if t != "" else None), x)  # an empty text returns as null
+
+
+def test_csv_zoned_timestamps_keep_microseconds(spark):
+    schema = T.StructType([T.StructField("i", T.LongType()), T.StructField("z", T.TimestampType())])
+    t = dt.datetime(2024, 1, 1, 0, 30, 7, 123456, tzinfo=dt.timezone.utc)
+    path = scratch_path(spark, "t-csv-tz")
+    write_export_csv(spark.createDataFrame([(1, t)], schema), path)
+    assert "2024-01-01 00:30:07.123456+00:00" in _text(path)
+    back = read_export_csv(spark, path, schema).collect()[0].z
+    assert back.replace(tzinfo=dt.timezone.utc) == t or back == t.replace(tzinfo=None)
