@@ -130,3 +130,34 @@ class Windows:
             at = at[(at >= 0) & (at < len(keep))]
             keep[at] = False
         return keep
+
+
+def leftmost_minima(values: np.ndarray, width: int) -> np.ndarray:
+    """Index of the leftmost smallest of every ``width`` consecutive values."""
+    at, span = np.arange(len(values)), 1
+    while span < width:
+        step = min(span, width - span)
+        left, right = at[: max(len(at) - step, 0)], at[step:]
+        at = np.where(values[left] <= values[right], left, right)
+        span += step
+    return at
+
+
+class Spans:
+    """Hashes of byte spans of one buffer."""
+
+    def __init__(self, data: np.ndarray):
+        n = len(data)
+        self.total = np.zeros(n + 1, U)
+        np.cumsum((data.astype(U) + U(1)) * powers(BYTE_BASE, n), out=self.total[1:])
+        self.inverse = powers(pow(BYTE_BASE, -1, 1 << 64), n + 1)
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((self.total[ends] - self.total[starts]) * self.inverse[starts])
+
+
+def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Indices ``starts[i] .. starts[i] + lengths[i] - 1`` of all i in turn."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
