@@ -168,7 +168,7 @@ def write(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: st
                         done.append((path, size, count))
                     system.create_dir(root, recursive=True)
                     name = f"part-{uuid.uuid4().hex}.warc.gz"
-                    out, path, size, count = system.open_output_stream(f"{root}/{name}"), f"{folder}/{name}", 0, 0
+                    out, path, size, count = system.open_output_stream(f"{root}/{name}", compression=None), f"{folder}/{name}", 0, 0
                 data = member(*row)
                 out.write(data)
                 size, count = size + len(data), count + 1
