@@ -11,8 +11,8 @@ full, from the whole texts.
   global order gives the same links; the counts only keep frequent n-grams out of the block.
 * Equal sets are one class before anything else, so copies are never paired.
 * A group of near copies shares its block columns.  Columns with more than ``LEADERS`` documents
-  first link to their ``LEADERS`` smallest members; the product then leaves out pairs that are
-  already in one component and pairs only documents outside a column's largest component with
+  first link to the ``LEADERS`` members that share most; the product then leaves out pairs that
+  are already in one component and pairs only documents outside a column's largest component with
   the others.  No pair between different components is left out.
 
 N-grams, sets and classes are named by 64-bit hashes.
@@ -35,6 +35,8 @@ from rollcall.session import bounded_broadcast
 SKETCH_BITS = 20
 SKETCH_PARTS = 64
 LEADERS = 16
+ROWS = 1024  # members of a column that meet in one block of the product
+CELLS = 4096  # n-grams of one side of a block that are multiplied at a time
 SMALLEST = 9  # with 90 of 100, sets of up to 8 n-grams link with equal sets only
 
 
@@ -139,8 +141,76 @@ def _size_fits(a: str, b: str, percent: int):
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def ngram_links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 3, percent: int = 90) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` per row of ``docs``.
+def _asked(na, nb, percent: int):
+    """Overlap inside the blocks without which two sets of these sizes can't link: beyond its block a set of n has ``ceil(percent * n / 100) - 1`` n-grams."""
+    return _ceil(percent * (na + nb), 100 + percent) - (_ceil(percent * np.maximum(na, nb), 100) - 1)
+
+
+def _small_columns(small: DataFrame, large: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different parts from columns with few members; columns with many count as shared here."""
+    held = large.groupBy("node").agg(F.count("*").alias("h"))
+    rows = small.join(held, "node", "left").fillna(0, ["h"])
+    x = rows.where("part <> main").select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("part").alias("px"), F.col("h").alias("hx"))
+    y = rows.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("part").alias("py"), F.col("h").alias("hy"), "main")
+    product = x.join(y, "key").where("px <> py and (py = main or x < y)").where(_size_fits("nx", "ny", percent))
+    counted = product.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.least("nx", "ny").alias("low"), F.greatest("nx", "ny").alias("high"), F.least("hx", "hy").alias("h"))
+    asked = F.expr(f"({percent} * (low + high) + {99 + percent}) div {100 + percent} - (({percent} * high + 99) div 100 - 1)")
+    return counted.agg(F.count("*").alias("overlap")).where(F.col("overlap") + F.col("h") >= asked).select("a", "b")
+
+
+def _large_columns(large: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The same from columns with many: members outside the largest part times all, in blocks of rows, each block's product a dense one in numpy."""
+
+    def product(batches):
+        key, held = None, []
+
+        def flush():
+            x, y = ([r for r in held if r[0] is side] for side in (True, False))
+            if not x or not y:
+                return
+            lengths = np.cumsum([len(r[5]) for r in x])
+            ny, nodes, parts = (np.array([r[i] for r in y], np.int64) for i in (3, 2, 4))
+            rows, flat = np.repeat(np.arange(len(y)), [len(r[5]) for r in y]), np.concatenate([r[5] for r in y])
+            at = 0
+            while at < len(x):
+                end = max(at + 1, int(np.searchsorted(lengths, (lengths[at - 1] if at else 0) + CELLS, "right")))
+                some = x[at:end]
+                names, column = np.unique(np.concatenate([r[5] for r in some]), return_inverse=True)
+                left = np.zeros((len(some), len(names)), np.float32)
+                left[np.repeat(np.arange(len(some)), [len(r[5]) for r in some]), column] = 1
+                place = np.minimum(np.searchsorted(names, flat), len(names) - 1)
+                own = names[place] == flat
+                right = np.zeros((len(y), len(names)), np.float32)
+                right[rows[own], place[own]] = 1
+                overlap = left @ right.T
+                nx, mine, other, main = (np.array([r[i] for r in some], np.int64)[:, None] for i in (3, 2, 4, 1))
+                keep = (other != parts) & ((parts == main) | (mine < nodes)) & (100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny))
+                i, j = np.nonzero(keep & (overlap >= _asked(nx, ny, percent)))
+                a, b = mine[i, 0], nodes[j]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                at = end
+
+        for batch in batches:
+            blocks = batch.column(8)
+            flat, ends = blocks.flatten().to_numpy(), np.cumsum([0, *(len(b) for b in blocks)])
+            for i, (k, o, p, *row) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:8]), strict=True)):
+                if (k, o, p) != key:
+                    yield from flush()
+                    key, held = (k, o, p), []
+                held.append((*row, flat[ends[i] : ends[i + 1]]))
+        yield from flush()
+
+    rows = large.join(classes.select("node", "block"), "node")
+    rows = rows.withColumns({"os": F.ceil((F.col("all") - F.col("most")) / ROWS).cast("int"), "ps": F.ceil(F.col("all") / ROWS).cast("int")})
+    each = ["main", "node", "n", "part", "block"]
+    x = rows.where("part <> main").select("key", F.pmod("node", "os").cast("int").alias("o"), F.explode(F.expr("sequence(0, ps - 1)")).alias("p"), F.lit(True).alias("x"), *each)
+    y = rows.select("key", F.explode(F.expr("sequence(0, os - 1)")).alias("o"), F.pmod("node", "ps").cast("int").alias("p"), F.lit(False).alias("x"), *each)
+    dealt = x.unionByName(y).repartition("key", "o", "p").sortWithinPartitions("key", "o", "p")
+    return dealt.mapInArrow(product, "a long, b long")
+
+
+def ngram_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 3, percent: int = 90) -> DataFrame:
+    """``doc_id, tk, n_shingles, root, component_id`` per row of ``docs``; tk hashes its text, root names its component.
 
     Two documents link when ``100 * |A and B| >= percent * |A or B|`` for their sets of distinct
     word n-grams (A-Z lower-cased; fewer than n words: the whole sequence as one).  A null or
@@ -156,41 +226,52 @@ def ngram_links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
     )
     column = Window.partitionBy("key").orderBy("node")
     shared = classes.select(F.explode("block").alias("key"), "node", "n")
-    shared = shared.withColumns({"rank": F.row_number().over(column), "next": F.lead("node").over(column)})
-    shared = written(shared.where("rank > 1 or next is not null").drop("next"), "columns")
-
-    leaders = shared.where(F.col("rank") <= LEADERS).select("key", F.col("node").alias("a"), F.col("n").alias("na"))
-    late = shared.where(F.col("rank") > LEADERS).select("key", F.col("node").alias("b"), F.col("n").alias("nb"))
+    shared = shared.withColumns({"one": F.row_number().over(column), "next": F.lead("node").over(column)})
+    shared = written(shared.where("one > 1 or next is not null").drop("one", "next"), "columns")
+
+    # the members that share most with others lead a crowded column: near copies hang on to them
+    crowded = shared.join(shared.groupBy("key").count().where(F.col("count") > LEADERS), "key")
+    weight = crowded.groupBy("node").agg(F.sum("count").alias("weight"))
+    central = Window.partitionBy("key").orderBy(F.desc("weight"), "node")
+    crowded = crowded.join(weight, "node").withColumn("rank", F.row_number().over(central))
+    leaders = crowded.where(F.col("rank") <= LEADERS).select("key", F.col("node").alias("a"), F.col("n").alias("na"))
+    late = crowded.where(F.col("rank") > LEADERS).select("key", F.col("node").alias("b"), F.col("n").alias("nb"))
     star = late.join(leaders, "key").where(_size_fits("na", "nb", percent)).select("a", "b").distinct()
     near = _overlapping(star, classes, docs, text, n, percent)
     parts = components(near).withColumnsRenamed({"root": "part"})
 
-    lit = shared.drop("rank").join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
-    lit = written(lit, "parts")
-    largest = lit.groupBy("key", "part").count().groupBy("key").agg(F.max_by("part", F.struct("count", "part")).alias("main"), F.count("*").alias("parts"))
-    lit = lit.join(largest.where("parts > 1").drop("parts"), "key")
-    x = lit.where("part <> main").select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("part").alias("px"))
-    y = lit.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("part").alias("py"), "main")
-    product = x.join(y, "key").where("px <> py and (py = main or x < y)").where(_size_fits("nx", "ny", percent))
-    first = F.col("x") < F.col("y")
-    pairs = product.select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
-        F.when(first, F.col("nx")).otherwise(F.col("ny")).alias("na"), F.when(first, F.col("ny")).otherwise(F.col("nx")).alias("nb"),
-    ).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("overlap"))
-    # beyond its block a set of n has ceil(percent * n / 100) - 1 n-grams
-    beyond = F.expr(f"(percent_n + 99) div 100 - 1")
-    pairs = pairs.withColumn("percent_n", percent * F.greatest("na", "nb")).withColumn("beyond", beyond)
-    asked = F.expr(f"({percent} * (na + nb) + {99 + percent}) div {100 + percent}")
-    far = _overlapping(pairs.where(F.col("overlap") + F.col("beyond") >= asked), classes, docs, text, n, percent)
+    lit = written(shared.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node")), "parts")
+    sizes = lit.groupBy("key", "part").count().groupBy("key")
+    sizes = sizes.agg(F.max_by("part", F.struct("count", "part")).alias("main"), F.max("count").alias("most"), F.sum("count").alias("all"), F.count("*").alias("parts"))
+    lit = written(lit.join(sizes.where("parts > 1").drop("parts"), "key"), "open")
+    small, large = lit.where(F.col("all") <= LEADERS), lit.where(F.col("all") > LEADERS)
+    pairs = _small_columns(small, large, percent).unionByName(_large_columns(large, classes, percent)).distinct()
+    far = _overlapping(pairs, classes, docs, text, n, percent)
 
     roots = components(near.unionByName(far))
     joined = classes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = joined.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = joined.select("node", "root").join(smallest, "root").select("node", "component_id")
-    out = rows.select("doc_id", "node", F.col("n").alias("n_shingles")).join(named, "node", "left")
+    named = joined.select("node", "root").join(smallest, "root").select("node", "root", "component_id")
+    out = rows.select("doc_id", "tk", "node", F.col("n").alias("n_shingles")).join(named, "node", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"))
+    return out.select("doc_id", "tk", "n_shingles", "root", own.alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the smallest id, and of rows with that id the one whose text hashes lowest.
+
+    Rows without words are in no component and all stay.
+    """
+    groups = written(ngram_groups(docs, doc_id, text).where("n_shingles > 0").select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tk").alias("row"), "root"), "groups")
+    first = groups.groupBy("root").agg(F.min("row").alias("first"))
+    others = groups.join(first, "root").where("row <> first").select("row").distinct()
+    repeats = groups.groupBy("row").count().where("count > 1").select("row")
+    rows = docs.withColumn("_row", F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("tk")))
+    rows = rows.join(bounded_broadcast(others.withColumnRenamed("row", "_row")), "_row", "left_anti")
+    repeats = bounded_broadcast(repeats.withColumnRenamed("row", "_row"))
+    alone = rows.join(repeats, "_row", "left_anti")
+    return alone.unionByName(rows.join(repeats, "_row", "left_semi").dropDuplicates(["_row"])).drop("_row")
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_links(table(spark, sf_dir, "documents"))
+    return ngram_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
