@@ -2,7 +2,8 @@
 
 score = sigmoid(b + sum w_i + sum_{i<j} <v_i, v_j>) over the distinct terms of a text: the pairwise
 part learns that two terms count together (an insult with a mention of a group) what neither does
-alone.  Terms are runs of letters and digits, A-Z lower-cased, hashed to ``2**BITS`` numbers.
+alone.  Terms are runs of letters and digits, A-Z lower-cased,
+and the first bytes of longer ones, hashed to ``2**BITS`` numbers.
 
 Training takes at most ``SAMPLE`` labelled rows, those whose ids have the smallest hashes (a stated
 bound), and keeps the ``ACTIVE`` terms whose presence differs most between the labels.  Scoring
@@ -17,17 +18,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.llm.store import table
-from rollcall.llm.textvec import U, Words, chunks
+from rollcall.llm.textvec import Spans, U, Words, chunks, mix
 
 BITS = 20
+STEMS = (5, 6, 7, 8)
 SAMPLE = 20_000
 ACTIVE = 2048
-LEAST_ROWS = 8
+LEAST_ROWS = 4
+LEAST_SPREAD = 4.5  # standard deviations between a term's rows of label 1 and those expected of it
 FACTORS = 8
-EPOCHS = 12
-BATCH = 256
-RATE = 0.1
-DECAY = 2e-4
+EPOCHS = 40
+BATCH = 64
+RATE = 0.2
+DECAY = 2e-5
 SEED = 11
 THRESHOLD = 0.3
 
@@ -43,12 +46,19 @@ def _letters() -> np.ndarray:
 
 
 def terms(column: pa.Array):
-    """``(first row, rows, row of each term, number of each term)`` of each chunk."""
+    """``(first row, rows, row of each term, number of each term)`` of each chunk: its words, and their first ``STEMS`` bytes, which inflected forms share."""
     to = _letters()
     for row, end, data, offsets in chunks(column):
         words = Words(to[data], offsets)
-        numbers = (words.hashes() >> U(64 - BITS)).astype(np.int64)
-        yield row, end - row, np.repeat(np.arange(end - row), words.counts()), numbers
+        spans = Spans(words.data)
+        of = np.repeat(np.arange(end - row), words.counts())
+        rows, hashes = [of], [spans.hashes(words.starts, words.ends)]
+        for length in STEMS:
+            longer = words.ends - words.starts > length
+            starts = words.starts[longer]
+            rows.append(of[longer])
+            hashes.append(mix(spans.hashes(starts, starts + length) + U(length)))
+        yield row, end - row, np.concatenate(rows), (np.concatenate(hashes) >> U(64 - BITS)).astype(np.int64)
 
 
 class Machine:
@@ -80,7 +90,7 @@ def train(labels: np.ndarray, texts: list[np.ndarray]) -> Machine:
     all_, toxic = np.bincount(flat, minlength=1 << BITS), np.bincount(flat[of == 1], minlength=1 << BITS)
     share = (all_ + 1) / (rows + 2)
     spread = np.abs(toxic - ones * share) / np.sqrt(ones * share * (1 - share))
-    spread[all_ < LEAST_ROWS] = 0
+    spread[(all_ < LEAST_ROWS) | (spread < LEAST_SPREAD)] = 0
     chosen = np.argsort(-spread, kind="stable")[:ACTIVE]
     chosen = np.sort(chosen[spread[chosen] > 0])
     active[chosen] = np.arange(len(chosen))
@@ -123,8 +133,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str)
         for batch in batches:
             column = batch.column(1)
             for first, rows, row, number in terms(column):
-                each = np.split(number, np.searchsorted(row, np.arange(1, rows)))
-                lists = [np.unique(x).astype(np.int32) for x in each]
+                both = np.unique(row << BITS | number)
+                lists = np.split((both & ((1 << BITS) - 1)).astype(np.int32), np.searchsorted(both >> BITS, np.arange(1, rows)))
                 yield pa.RecordBatch.from_arrays([batch.column(0)[first : first + rows], pa.array([x.tobytes() for x in lists], pa.binary())], ["label", "terms"])
 
     texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(sample), "_id")  # SAMPLE rows
