@@ -22,6 +22,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollcall.operators.upsert import pick_row
 from rollcall.schemas import FOLLOWERS, conform
 from rollcall.session import bounded_broadcast
 
@@ -45,15 +46,14 @@ def dedupe_snapshot(snap: DataFrame, order: str | None = None,
                     extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """One row per pk (per ``extra_keys`` group): the first by ``order``.
 
-    A partial aggregate, so a pk repeated in a third of the rows collapses
-    map-side instead of landing whole in one task.  Without ``order`` the
-    smallest (username, full_name) is kept, which is deterministic.
+    ``row_number() = 1`` leaves one row per key and task before the shuffle
+    (``WindowGroupLimit``), so a pk repeated in a third of the rows is reduced
+    there.  Without ``order`` the smallest (username, full_name) is kept,
+    which is deterministic.
     """
     keys = [*extra_keys, "pk"]
-    names = F.struct("username", "full_name")
-    pick = F.min_by(names, F.col(order)) if order else F.min(names)
-    return (snap.groupBy(*keys).agg(pick.alias("_n"))
-            .select(*keys, "_n.username", "_n.full_name"))
+    rows = pick_row(snap, keys, [order] if order else ["username", "full_name"], last=False)
+    return rows.select(*keys, "username", "full_name")
 
 
 def apply_snapshot_split(open_rows: DataFrame, snap: DataFrame, run_date) -> DataFrame:
@@ -122,8 +122,8 @@ def replay_history(snaps: DataFrame, catalog: DataFrame, order: str | None = Non
 
     ``catalog``: ``(snap_ts, snap_date)`` for every snapshot, empty ones
     included.  Two snapshots on one date stay distinct (ordered by time,
-    labelled by date).  Shuffles: the (snap_ts, pk) de-duplication (partial
-    aggregate first) and one exchange on pk shared by the island window and
+    labelled by date).  Shuffles: the (snap_ts, pk) de-duplication (one row per
+    key and task first) and one exchange on pk shared by the island window and
     the period aggregate.  A pk has at most one row per snapshot, so no
     window partition outgrows the snapshot count.
 

@@ -26,7 +26,9 @@ def snapshot_name(path: Column) -> Column:
 
 
 def _stamp_time(name: Column) -> Column:
-    return F.try_to_timestamp(F.substring(name, 14, 17), F.lit(STAMP_FORMAT)).cast("timestamp_ntz")
+    """The stamp's time; a name with a date only counts as that day's midnight."""
+    full = F.try_to_timestamp(F.substring(name, 14, 17), F.lit(STAMP_FORMAT)).cast("timestamp_ntz")
+    return F.coalesce(full, _stamp_date(name).cast("timestamp_ntz"))
 
 
 def _stamp_date(name: Column) -> Column:
@@ -39,6 +41,11 @@ def snapshot_time(path: Column) -> Column:
     return _stamp_time(snapshot_name(path))
 
 
+def snapshot_date(path: Column) -> Column:
+    """Snapshot date read from a snapshot file's path."""
+    return _stamp_date(snapshot_name(path))
+
+
 def snapshot_catalog(paths: DataFrame, path_col: str = "path") -> DataFrame:
     """(_path, arquivo, snap_ts, snap_date) for every snapshot file, ordered by name."""
     files = paths.select(F.col(path_col).alias("_path"),

@@ -1,93 +1,158 @@
-"""History store for the daily apply (K7): the open set bucketed by pk, closed periods append-only.
+"""History store (K7, K8): the open set bucketed by pk, closed periods append-only.
 
-Layout below ``root``:
+Layout below ``root``, for run ``n``:
 
-* ``open/v=<n>/``: the open periods after run ``n``, written ``bucketBy(buckets, "pk")`` and
-  sorted by pk.  As a bucketed table it is the join side that never moves: the
-  full outer join with a snapshot shuffles only the snapshot into the same
+* ``open/v=<n>/``: the open periods after the run, written ``bucketBy(buckets, "pk")``
+  and sorted by pk.  As a bucketed table it is the join side that never moves:
+  the full outer join with a snapshot shuffles only the snapshot into the same
   buckets.  Each run writes a new version; no path is overwritten while read.
-* ``closed/run=<n>/``: periods closed by run ``n`` (never rewritten).
-
-A version folder is registered as a catalog table (``CREATE TABLE ... CLUSTERED
-BY (pk) INTO n BUCKETS LOCATION``) so a new session sees its bucketing again.
-Spark keeps the bucketed side in place only when its bucket count is at least
-the session's ``spark.sql.shuffle.partitions``; otherwise it re-shuffles both
-sides (still correct).  The bucket count therefore defaults to the writing
-session's shuffle partitions.
+* ``closed/run=<n>/``: periods closed by the run (never rewritten).
+* ``snaps/run=<n>/``: the snapshot rows it took, where it came from snapshot files.
+* ``meta/run=<n>/``: one row, and the run's commit mark: the bucket count its open
+  set was written with, the first run whose closed periods count (a rebuilt
+  history starts again at its own run), the latest snapshot applied, whether
+  ``snaps`` holds all of them, and the stream's batch if it was one.
+
+Every reader declares the bucket count that the version was *written* with, so
+the session's ``spark.sql.shuffle.partitions`` may change between runs; Spark
+shuffles the stored side too where the counts don't fit each other.  A version
+is registered as a table named after a hash of its full path, and declared anew
+when it is read, so stores never share a table.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.operators.history import apply_snapshot_split, clean_snapshot, dedupe_snapshot
-from rollcall.schemas import FOLLOWERS, conform
+from rollcall.schemas import FOLLOWERS, conform, empty
 
+META = T.StructType([T.StructField("buckets", T.IntegerType()), T.StructField("base", T.IntegerType()),
+                     T.StructField("last_ts", T.TimestampNTZType()), T.StructField("replayable", T.BooleanType()),
+                     T.StructField("batch", T.LongType())])
 
-def _table(root: str, version: int) -> str:
-    tag = "".join(ch if ch.isalnum() else "_" for ch in root.rsplit("/", 1)[-1])
-    return f"history_open_{tag}_v{version}"
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(p), fs
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def committed_versions(spark: SparkSession, root: str) -> list[int]:
+    """Runs that carry their commit mark."""
+    p, fs = _fs(spark, f"{root.rstrip('/')}/meta")
+    if not fs.exists(p):
+        return []
+    names = [st.getPath() for st in fs.listStatus(p)]
+    return sorted(int(n.getName()[4:]) for n in names
+                  if n.getName().startswith("run=") and fs.exists(n.suffix("/_SUCCESS")))
 
-def register_open(spark: SparkSession, root: str, version: int, buckets: int) -> str:
-    """Register an existing open-set folder as a bucketed table; returns its name."""
-    name = _table(root, version)
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in FOLLOWERS.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
-              f"CLUSTERED BY (pk) SORTED BY (pk) INTO {buckets} BUCKETS "
-              f"LOCATION '{root.rstrip('/')}/open/v={version}'")
-    return name
 
+def meta(spark: SparkSession, root: str, version: int):
+    """The one row of a committed run."""
+    return spark.read.schema(META).parquet(f"{root.rstrip('/')}/meta/run={version}").first()
 
-def write_open(df: DataFrame, root: str, version: int, buckets: int) -> str:
-    """Write the open set of run ``version`` bucketed by pk; returns the table name."""
-    name = _table(root, version)
-    # overwrite: a retried run rewrites its own version (it only ever reads the previous one)
-    (conform(df, FOLLOWERS).write.mode("overwrite").bucketBy(buckets, "pk").sortBy("pk")
-     .option("path", f"{root.rstrip('/')}/open/v={version}").saveAsTable(name))
+
+def register_open(spark: SparkSession, root: str, version: int) -> str:
+    """Declare a version's open set as the bucketed table it was written as; returns its name."""
+    path = _fs(spark, f"{root.rstrip('/')}/open/v={version}")[0].toString()
+    name = "history_open_" + hashlib.sha1(path.encode()).hexdigest()[:24]
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in FOLLOWERS.fields)
+    quoted = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # only the declaration: the table is external
+    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet "
+              f"CLUSTERED BY (pk) SORTED BY (pk) INTO {meta(spark, root, version)['buckets']} BUCKETS "
+              f"LOCATION '{quoted}'")
     return name
 
 
-def _buckets(spark: SparkSession, buckets: int | None) -> int:
-    return buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+def read_open(spark: SparkSession, root: str, version: int) -> DataFrame:
+    return spark.table(register_open(spark, root, version))
 
 
-def read_store(spark: SparkSession, root: str, version: int, buckets: int | None = None) -> DataFrame:
-    """The whole history after run ``version``: closed periods of runs up to it plus its open set."""
-    opened = spark.table(register_open(spark, root, version, _buckets(spark, buckets)))
-    schema = T.StructType(FOLLOWERS.fields + [T.StructField("run", T.IntegerType())])
-    try:
-        closed = (spark.read.schema(schema).parquet(f"{root.rstrip('/')}/closed")
-                  .where(F.col("run") <= version).drop("run"))
-    except Exception:  # noqa: BLE001 - no run has closed a period yet
+def read_store(spark: SparkSession, root: str, version: int) -> DataFrame:
+    """The whole history after run ``version``: its closed periods and its open set."""
+    opened, root = read_open(spark, root, version), root.rstrip("/")
+    if not exists(spark, f"{root}/closed"):
         return opened
+    schema = T.StructType(FOLLOWERS.fields + [T.StructField("run", T.IntegerType())])
+    base = meta(spark, root, version)["base"]
+    closed = (spark.read.schema(schema).parquet(f"{root}/closed")
+              .where(F.col("run").between(base, version)).drop("run"))
     return closed.unionByName(opened)
 
 
+def default_buckets(spark: SparkSession, root: str, buckets: int | None = None) -> int:
+    """Asked count, else that of the store, else the session's shuffle partitions."""
+    done = committed_versions(spark, root)
+    return buckets or (meta(spark, root, done[-1])["buckets"] if done
+                       else int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def commit(spark: SparkSession, root: str, version: int, history: DataFrame, buckets: int, base: int,
+           last_ts: _dt.datetime | None = None, replayable: bool = False, batch: int | None = None) -> None:
+    """Write run ``version``: the closed periods among ``history``, its open set, and at last the mark.
+
+    A run that was cut off before its mark is written again whole; it only
+    ever reads earlier versions.
+    """
+    root = root.rstrip("/")
+    history = conform(history, FOLLOWERS).checkpoint()
+    (history.where(F.col("data_saida").isNotNull()).write.mode("overwrite")
+     .parquet(f"{root}/closed/run={version}"))
+    opened = history.where(F.col("data_saida").isNull())
+    path = _fs(spark, f"{root}/open/v={version}")[0].toString()
+    name = "history_write_" + hashlib.sha1(path.encode()).hexdigest()[:24]
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    (opened.write.mode("overwrite").bucketBy(buckets, "pk").sortBy("pk")
+     .option("path", path).saveAsTable(name))
+    spark.sql(f"DROP TABLE {name}")
+    row = spark.createDataFrame([(buckets, base, last_ts, replayable, batch)], META)
+    row.coalesce(1).write.mode("overwrite").parquet(f"{root}/meta/run={version}")
+
+
 def apply_daily(spark: SparkSession, root: str, snap: DataFrame, run_date: _dt.date | str,
-                version: int, buckets: int | None = None, order: str | None = None) -> str:
+                version: int, buckets: int | None = None, order: str | None = None) -> None:
     """K7 as one run: apply ``snap`` (taken on ``run_date``) to the open set of run
-    ``version - 1``, append the newly closed periods, write open set ``version``."""
-    buckets = _buckets(spark, buckets)
+    ``version - 1``, append the newly closed periods, write open set ``version``.
+
+    ``order`` is the snapshot's row position: of a pk listed twice the first row names it.
+    """
+    opened, base = empty(spark, FOLLOWERS), version
     if version > 0:
-        opened = spark.table(register_open(spark, root, version - 1, buckets))
-    else:
-        opened = spark.createDataFrame([], FOLLOWERS)
+        opened, base = read_open(spark, root, version - 1), meta(spark, root, version - 1)["base"]
     valid, _ = clean_snapshot(snap)
-    updated = apply_snapshot_split(opened, dedupe_snapshot(valid, order), run_date).checkpoint()
-    (updated.where(F.col("data_saida").isNotNull()).write.mode("overwrite")
-     .parquet(f"{root.rstrip('/')}/closed/run={version}"))
-    return write_open(updated.where(F.col("data_saida").isNull()), root, version, buckets)
+    updated = apply_snapshot_split(opened, dedupe_snapshot(valid, order), run_date)
+    day = _dt.date.fromisoformat(run_date) if isinstance(run_date, str) else run_date
+    taken = _dt.datetime(day.year, day.month, day.day)
+    commit(spark, root, version, updated, default_buckets(spark, root, buckets), base, taken)
 
 
-def seed_store(spark: SparkSession, root: str, history: DataFrame, buckets: int | None = None) -> str:
+def seed_store(spark: SparkSession, root: str, history: DataFrame, buckets: int | None = None) -> None:
     """Start a store at run 0 from an existing history (closed rows appended, open set bucketed)."""
-    buckets = _buckets(spark, buckets)
     history = conform(history, FOLLOWERS).checkpoint()
-    (history.where(F.col("data_saida").isNotNull()).write.mode("overwrite")
-     .parquet(f"{root.rstrip('/')}/closed/run=0"))
-    return write_open(history.where(F.col("data_saida").isNull()), root, 0, buckets)
+    last = history.agg(F.greatest(F.max("data_entrada"), F.max("data_saida"), F.max("data_update"))).first()[0]
+    last = last and _dt.datetime(last.year, last.month, last.day)
+    commit(spark, root, 0, history, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), 0, last)
+
+
+def mark_store(spark: SparkSession, root: str, accepted: DataFrame) -> int:
+    """K9 on the store: the next run, with ``welcome = 1`` on the open periods of the accepted pks."""
+    from rollcall.operators.audience import mark_open
+
+    last = committed_versions(spark, root)[-1]
+    known = meta(spark, root, last)
+    marked = mark_open(read_open(spark, root, last), accepted)
+    commit(spark, root, last + 1, marked, known["buckets"], known["base"], known["last_ts"], known["replayable"])
+    return last + 1

@@ -4,21 +4,20 @@ This is the streaming form of the repeated runs that each apply one snapshot.
 A ``binaryFile`` stream (path only; ``content`` is never selected) yields the
 new snapshot files; ``foreachBatch`` reads them, and ``replay_history``
 continues the stored history over all of them in one pass (no loop over
-files).  Storage, below ``root``:
-
-* ``closed/run=<id>/``: periods closed by micro-batch ``id`` (append-only;
-  closed periods are never rewritten);
-* ``open/v=<id>/``: the open periods after micro-batch ``id``, bucketed by pk
-  (as in ``rollcall.sources.history_store``), so the next batch reads them in
-  place and only the new snapshot rows are shuffled; its ``_SUCCESS`` file is
-  the commit mark of the batch.
-
-A re-delivered batch whose open version is committed is skipped; a batch
-that failed half-way is rewritten whole (both folders are overwritten).
-Snapshots must arrive in time order across micro-batches (the file source
-takes files by modification time).  The layout is that of
-``rollcall.sources.history_store``, so ``read_history`` serves both; a store
-is grown by one of the two (the stream's batch ids number its runs).
+files).  Storage is that of ``rollcall.sources.history_store``; a batch also
+keeps the snapshot rows it took.
+
+The file source hands files over by modification time, a bounded number per
+trigger, while history runs by snapshot time.  So a batch whose snapshots all
+come after the latest one applied continues the stored open set, which is read
+in place; a batch with an earlier snapshot, or with more rows of one already
+applied, replays all stored snapshot rows and starts a new base.  Marks set on
+periods meanwhile are carried over by (pk, data_entrada).  A store that was
+seeded, or grown by daily runs, has no earlier rows to replay: there a late
+snapshot is an error that names it.
+
+A re-delivered batch that is committed is skipped; one that failed half-way is
+rewritten whole.
 """
 
 from __future__ import annotations
@@ -30,14 +29,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rollcall.operators.history import replay_history
 from rollcall.schemas import FOLLOWERS, empty
-from rollcall.sources.catalog import snapshot_catalog, snapshot_time
-from rollcall.sources.csv_io import read_export_csv
-from rollcall.sources.history_store import read_store, register_open, write_open
+from rollcall.sources.catalog import snapshot_catalog, snapshot_date, snapshot_time
+from rollcall.sources.csv_io import INDEX_COL, read_export_csv
+from rollcall.sources.history_store import META, commit, committed_versions, default_buckets, meta, read_open, read_store
 
 SNAPSHOT_FILE = T.StructType([T.StructField("pk", T.LongType()),
                               T.StructField("username", T.StringType()),
                               T.StructField("full_name", T.StringType())])
 
+STORED = T.StructType([T.StructField("snap_ts", T.TimestampNTZType()), T.StructField("snap_date", T.DateType()),
+                       T.StructField("place", T.StructType([T.StructField("file", T.StringType()),
+                                                            T.StructField("row", T.LongType())])),
+                       *SNAPSHOT_FILE.fields])
 
 BINARY_FILE = T.StructType([T.StructField("path", T.StringType()),
                             T.StructField("modificationTime", T.TimestampType()),
@@ -45,30 +48,6 @@ BINARY_FILE = T.StructType([T.StructField("path", T.StringType()),
                             T.StructField("content", T.BinaryType())])
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    """Batch ids whose open version carries its commit mark."""
-    p, fs = _fs(spark, f"{root}/open")
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
-
-
 def read_history(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
     """The history after the last committed run (or after run ``upto``)."""
     versions = [v for v in committed_versions(spark, root) if upto is None or v <= upto]
@@ -77,28 +56,53 @@ def read_history(spark: SparkSession, root: str, upto: int | None = None) -> Dat
     return read_store(spark, root, versions[-1])
 
 
+def _rows(spark: SparkSession, catalog: DataFrame, paths: list[str]) -> DataFrame:
+    """Rows of the files with their place; a file without rows leaves one row without pk, so that its snapshot counts."""
+    if not paths:
+        return empty(spark, STORED)
+    read = read_export_csv(spark, paths, SNAPSHOT_FILE, has_index=True, keep_index=True, source_col="_file")
+    file = F.col("_file")
+    rows = read.select(
+        snapshot_time(file).alias("snap_ts"), snapshot_date(file).alias("snap_date"),
+        F.struct(file.alias("file"), F.col(INDEX_COL).cast("bigint").alias("row")).alias("place"), "pk", "username", "full_name")
+    marks = catalog.select("snap_ts", "snap_date", *[F.lit(None).cast(f.dataType).alias(f.name) for f in STORED.fields[2:]])
+    return rows.unionByName(marks)
+
+
+def _replay(rows: DataFrame, initial: DataFrame | None = None, partitions: int | None = None) -> DataFrame:
+    calendar = rows.select("snap_ts", "snap_date").distinct()
+    return replay_history(rows.where(F.col("pk").isNotNull()), calendar, order="place", initial=initial, partitions=partitions)
+
+
 def apply_files(spark: SparkSession, files: DataFrame, root: str, batch_id: int) -> None:
     """Extend the history at ``root`` with the snapshot files listed in ``files.path``."""
-    if _exists(spark, f"{root}/open/v={batch_id}/_SUCCESS"):
+    root = root.rstrip("/")
+    done = committed_versions(spark, root)
+    if done and spark.read.schema(META).parquet(f"{root}/meta").where(F.col("batch") == batch_id).limit(1).count():
         return  # re-delivered batch, already committed
-    catalog = snapshot_catalog(files.select("path")).where(F.col("snap_ts").isNotNull()).checkpoint()
-    paths = [r[0] for r in catalog.select("_path").collect()]  # file names of one trigger (bounded)
-    previous = [v for v in committed_versions(spark, root) if v < batch_id]
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # the open set is stored bucketed by pk: it is read in place, never shuffled
-    opened = (spark.table(register_open(spark, root, previous[-1], buckets)) if previous
-              else empty(spark, FOLLOWERS))
-    if paths:
-        rows = read_export_csv(spark, paths, SNAPSHOT_FILE, has_index=True, source_col="_file")
-        rows = rows.select(snapshot_time(F.col("_file")).alias("snap_ts"), "pk", "username", "full_name")
-        out = replay_history(rows, catalog.select("snap_ts", "snap_date"), initial=opened,
-                             partitions=buckets if previous else None)
+    run, known = (done[-1] + 1, meta(spark, root, done[-1])) if done else (0, None)
+    catalog = snapshot_catalog(files.select("path")).checkpoint()
+    listed = catalog.select("_path", "arquivo", "snap_ts").collect()  # file names of one trigger (bounded)
+    if undated := [r["arquivo"] for r in listed if r["snap_ts"] is None]:
+        raise ValueError(f"snapshot files without a date in their names: {undated[:5]}")
+    _rows(spark, catalog, [r["_path"] for r in listed]).write.mode("overwrite").parquet(f"{root}/snaps/run={run}")
+    new = spark.read.schema(STORED).parquet(f"{root}/snaps/run={run}")
+    latest = max([r["snap_ts"] for r in listed] + ([known["last_ts"]] if known and known["last_ts"] else []), default=None)
+    buckets, base = default_buckets(spark, root), known["base"] if known else run
+
+    late = [r["arquivo"] for r in listed if known and known["last_ts"] and r["snap_ts"] <= known["last_ts"]]
+    if not late:
+        opened = read_open(spark, root, done[-1]) if done else empty(spark, FOLLOWERS)
+        # the open set is stored bucketed by pk: it is read in place, never shuffled
+        out = _replay(new, opened, known["buckets"] if known else None) if listed else opened
+    elif not known["replayable"]:
+        raise ValueError(f"snapshots not later than the stored history, which has no rows to replay: {late[:5]}")
     else:
-        out = opened
-    out = out.checkpoint()
-    (out.where(F.col("data_saida").isNotNull()).write.mode("overwrite")
-     .parquet(f"{root}/closed/run={batch_id}"))
-    write_open(out.where(F.col("data_saida").isNull()), root, batch_id, buckets)
+        stored = spark.read.schema(T.StructType([*STORED.fields, T.StructField("run", T.IntegerType())])).parquet(f"{root}/snaps")
+        stored = stored.where(F.col("run").isin(*done, run)).drop("run")  # none of runs cut off
+        marks = read_history(spark, root).where(F.col("welcome").isNotNull()).select("pk", "data_entrada", "welcome")
+        out, base = _replay(stored).drop("welcome").join(marks, ["pk", "data_entrada"], "left"), run
+    commit(spark, root, run, out, buckets, base, latest, known["replayable"] if known else True, batch_id)
 
 
 def snapshot_stream(spark: SparkSession, folder: str, root: str, checkpoint_location: str,
