@@ -22,6 +22,20 @@ def pk_of(df: DataFrame, name: str) -> Column:
     return to_pk(F.col(name))
 
 
+def strict_pk(df: DataFrame, name: str) -> Column:
+    """``name`` as a BIGINT id; text that is no id ends the query instead of becoming null."""
+    parsed = pk_of(df, name)
+    if not isinstance(df.schema[name].dataType, (T.StringType, T.DoubleType, T.FloatType, T.DecimalType)):
+        return parsed
+    shown = F.concat(F.lit(f"not an id in {name}: "), F.col(name).cast("string"))
+    return F.coalesce(parsed, F.when(F.col(name).isNotNull(), F.raise_error(shown)).cast("bigint"))
+
+
+def split_ids(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """T5: rows whose id ``name`` parses (as BIGINT, or is null), and the rejected rows as they are."""
+    return split_rejects(df, name, pk_of(df, name))
+
+
 def to_ts(c: Column) -> Column:
     """T5: text to TIMESTAMP_NTZ; unparsable text gives null."""
     return c.cast("string").try_cast("timestamp_ntz")

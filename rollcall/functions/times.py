@@ -23,9 +23,9 @@ def utc_wall(df: DataFrame, name: str) -> Column:
     c = F.col(name)
     if isinstance(dtype, T.TimestampNTZType):
         return c
-    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
-    # cast to NTZ gives wall time in the session zone; shift that to UTC
-    return F.convert_timezone(F.lit(zone), F.lit("UTC"), c.cast("timestamp_ntz"))
+    # from the instant itself: going through session wall time would fold a zone's repeated hour
+    seconds = F.unix_micros(c).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 
 
 def to_local(utc_ntz: Column, zone: str = LOCAL_ZONE) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.functions.scalars import greeting_name, pk_of, render
+from rollcall.functions.scalars import greeting_name, render, strict_pk
 from rollcall.operators.upsert import pick_row
 from rollcall.session import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 
@@ -51,19 +51,21 @@ def no_interaction(followings: DataFrame, likes: DataFrame, comments: DataFrame,
                    likes_key: str = "follower_pk", comments_key: str = "follower_pk") -> DataFrame:
     """Followed accounts with neither a like nor a comment.
 
-    Both sides are cast to BIGINT (text ids still match).  The interaction
+    Both sides are cast to BIGINT (text ids still match); text that is no id
+    ends the query (take such rows out with ``scalars.split_ids`` and report
+    them), since dropping it would change who counts as inactive.  The interaction
     keys are unioned and de-duplicated first (partial aggregate, so a heavy
     liker collapses map-side); one anti-join then replaces the two
     successive masks, which commute.  AQE broadcasts the distinct keys when
     they are small and keeps a shuffle join otherwise.
     """
-    f = followings.withColumn("pk", pk_of(followings, "pk"))
+    f = followings.withColumn("pk", strict_pk(followings, "pk"))
     likes, comments = rename_pk(likes, likes_key), rename_pk(comments, comments_key)
-    touched = (likes.select(pk_of(likes, "pk").alias("pk"))
-               .unionByName(comments.select(pk_of(comments, "pk").alias("pk")))
+    touched = (likes.select(strict_pk(likes, "pk").alias("pk"))
+               .unionByName(comments.select(strict_pk(comments, "pk").alias("pk")))
                .where(F.col("pk").isNotNull())
                .distinct())
-    return f.join(touched, "pk", "left_anti")
+    return f.join(touched, "pk", "left_anti").select(*followings.columns)
 
 
 def exclude_protected(df: DataFrame, protected, column: str = "username",
@@ -76,7 +78,7 @@ def exclude_protected(df: DataFrame, protected, column: str = "username",
     else:
         schema = T.StructType([T.StructField(column, T.StringType())])
         names = F.broadcast(df.sparkSession.createDataFrame([(n,) for n in set(protected)], schema))
-    return df.join(names, column, "left_anti")
+    return df.join(names, column, "left_anti").select(*df.columns)
 
 
 def open_periods(history: DataFrame) -> DataFrame:
@@ -84,11 +86,16 @@ def open_periods(history: DataFrame) -> DataFrame:
     return history.where(F.col("welcome").isNull() & F.col("data_saida").isNull())
 
 
+def candidate_periods(history: DataFrame, order: Sequence[str] = ("data_entrada", "pk")) -> DataFrame:
+    """D1 + T6: (username, convites, pk) per username, of its open periods the last by ``order``."""
+    rows = open_periods(history).select(
+        "username", greeting_name(F.col("full_name"), F.col("username")).alias("convites"), "pk", *[c for c in order if c != "pk"])
+    return pick_row(rows, ["username"], list(order), last=True).select("username", "convites", "pk")
+
+
 def welcome_candidates(history: DataFrame, order: Sequence[str] = ("data_entrada", "pk")) -> DataFrame:
     """D1 + T6: (username, convites) per username, the last row by ``order`` wins."""
-    rows = open_periods(history).select(
-        "username", greeting_name(F.col("full_name"), F.col("username")).alias("convites"), *order)
-    return pick_row(rows, ["username"], list(order), last=True).select("username", "convites")
+    return candidate_periods(history, order).select("username", "convites")
 
 
 def render_outbox(candidates: DataFrame, template: str = WELCOME_TEMPLATE,
@@ -112,7 +119,8 @@ def accepted_prefix(results: DataFrame, run: str = "run_id", order: Sequence[str
     cut = (results.where(F.col(status) == F.lit(False))
            .groupBy(run).agg(F.min(key).alias("_cut")))
     cut = bounded_broadcast(cut, max_runs)
-    j = results.join(cut, run, "left")
+    cut = cut.withColumnRenamed(run, "_run")
+    j = results.join(cut, F.col(run).eqNullSafe(F.col("_run")), "left")
     before = (key <= F.col("_cut")) if include_failing else (key < F.col("_cut"))
     return j.where(F.col("_cut").isNull() | before).select(*results.columns)
 
@@ -128,6 +136,20 @@ def mark_welcomed(people: DataFrame, accepted: DataFrame, key: str = "username",
         *people.columns, *([] if mark in people.columns else [mark]))
 
 
+def accepted_pks(history: DataFrame, accepted: DataFrame) -> DataFrame:
+    """The pks behind the accepted usernames: those whose greeting was in the outbox."""
+    names = accepted.select("username").where(F.col("username").isNotNull()).distinct()
+    return candidate_periods(history).join(names, "username", "left_semi").select("pk").distinct()
+
+
+def mark_open(history: DataFrame, accepted: DataFrame) -> DataFrame:
+    """K9 keyed by pk: ``welcome = 1`` on the open periods of the accepted pks; closed and earlier periods stay."""
+    keys = accepted.select("pk").where(F.col("pk").isNotNull()).distinct().withColumn("_hit", F.lit(True))
+    j = history.join(keys, "pk", "left")
+    hit = F.col("_hit").isNotNull() & F.col("data_saida").isNull()
+    return j.withColumn("welcome", F.when(hit, F.lit(1)).otherwise(F.col("welcome")).cast("int")).select(*history.columns)
+
+
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """A2: one row per table: (metric, value)."""
     parts = [df.agg(F.count(F.lit(1)).cast("double").alias("value"))

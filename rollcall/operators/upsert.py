@@ -1,34 +1,28 @@
 """Keyed table maintenance (K4 replace, K5 insert-or-replace, K6 insert-or-ignore).
 
-Parquet tables take no MERGE or primary key, so each upsert is set based:
-de-duplicate the batch per key (W2), then an anti-join and a union.  Both
-sides are unique per key when they meet, so no join key can be skewed.
+Parquet tables take no MERGE or primary key, so an upsert is one pass: tag
+target and batch, union them, and keep one row per key.  Each side is read
+and shuffled once.  Null keys are one key like any other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def pick_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool = True) -> DataFrame:
-    """One row per key, the last (or first) by ``order``.
+    """One row per key, the last (or first) by ``order``; ties are broken arbitrarily.
 
-    Expressed as ``max_by`` / ``min_by`` in a grouped aggregate rather than a
-    ``row_number`` window: the aggregate combines map-side, so a key holding
-    a third of all rows is reduced before the shuffle.  ``order`` should be
-    unique within a key.
+    ``row_number() = 1`` is planned with a ``WindowGroupLimit`` before the
+    shuffle, which leaves one row per key and task: a key holding a third of
+    all rows is reduced there.
     """
-    keys = list(keys)
-    others = [c for c in df.columns if c not in keys]
-    by = F.struct(*[F.col(c) for c in order])
-    chooser = F.max_by if last else F.min_by
-    return (df.groupBy(*keys)
-            .agg(chooser(F.struct(*others), by).alias("_row"))
-            .select(*keys, *[F.col("_row")[c].alias(c) for c in others])
-            .select(*df.columns))
+    by = [F.col(c).desc_nulls_last() if last else F.col(c).asc_nulls_first() for c in order]
+    w = Window.partitionBy(*keys).orderBy(*by)
+    return df.withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") == 1).drop("_nth")
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
@@ -40,6 +34,16 @@ def replace_table(df: DataFrame, name: str, path: str | None = None) -> DataFram
     return df.sparkSession.table(name)
 
 
+def _one_pass(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool) -> DataFrame:
+    names = [f"_by{i}" for i in range(len(order))]
+    new = batch.select(*[c for c in batch.columns if c in target.columns], F.lit(True).alias("_new"),
+                       *[F.col(c).alias(n) for c, n in zip(order, names, strict=True)])
+    old = target.withColumn("_new", F.lit(False))
+    both = old.unionByName(new, allowMissingColumns=True)
+    kept = pick_row(both, keys, ["_new", *names], last=last)
+    return kept.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields])
+
+
 def upsert_replace(target: DataFrame, batch: DataFrame, keys: Sequence[str],
                    order: Sequence[str]) -> DataFrame:
     """K5: INSERT OR REPLACE; later batch rows win and replace the whole row.
@@ -47,20 +51,10 @@ def upsert_replace(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     Columns the batch does not supply become null; batch columns unknown to
     the target are dropped.
     """
-    keys = list(keys)
-    b = pick_row(batch, keys, order, last=True)
-    b = b.select(*[c for c in b.columns if c in target.columns])
-    kept = target.join(b.select(*keys), keys, "left_anti")
-    return kept.unionByName(b, allowMissingColumns=True).select(
-        *[F.col(f.name).cast(f.dataType) for f in target.schema.fields])
+    return _one_pass(target, batch, keys, order, last=True)
 
 
 def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str],
                   order: Sequence[str]) -> DataFrame:
     """K6: INSERT OR IGNORE; existing rows stay, the first batch row per new key wins."""
-    keys = list(keys)
-    b = pick_row(batch, keys, order, last=False)
-    b = b.select(*[c for c in b.columns if c in target.columns])
-    new = b.join(target.select(*keys), keys, "left_anti")
-    return target.unionByName(new, allowMissingColumns=True).select(
-        *[F.col(f.name).cast(f.dataType) for f in target.schema.fields])
+    return _one_pass(target, batch, keys, order, last=False)

@@ -35,6 +35,7 @@ COMMENTS = _s(("post_pk", S), ("comment_pk", L), ("text", S), ("follower_pk", L)
 INVITES = _s(("username", S))
 RESULTS = _s(("run_id", S), ("seq", L), ("username", S), ("status", B))
 FILE_INVENTORY = _s(("pasta", S), ("arquivo", S), ("tamanho", D), ("data_criacao", DT))
+PAGE_INVENTORY = _s(("pasta", S), ("arquivo", S), ("tamanho", D))
 SCAN_ERRORS = _s(("pasta", S), ("error", S))
 
 # --- extraction inputs (landed records, fields by name) ---------------------

@@ -13,12 +13,14 @@ takes a fixed schema; nothing is inferred.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollcall.functions.times import stamp
 from rollcall.session import bounded_broadcast, checkpoint_root
 
 # Fixed values of the export format.
@@ -33,25 +35,45 @@ JSON_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 JSON_TS_NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
+def plain_float(c: F.Column) -> F.Column:
+    """Shortest decimal text of a float with a comma: plain from 1e-4 up to 1e16, else as ``1,5e-07``."""
+    s = F.lower(c.cast("string"))
+    sign = F.when(s.startswith("-"), "-").otherwise("")
+    s = F.regexp_replace(s, "^-", "")
+    exponent = F.coalesce(F.regexp_extract(s, r"e(-?\d+)$", 1).try_cast("int"), F.lit(0))
+    mantissa = F.regexp_replace(F.regexp_replace(s, r"e.*$", ""), r"\.0$", "")
+    digits = F.replace(mantissa, F.lit("."), F.lit(""))
+    shown = F.length(digits) - 1  # digits after the first
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+    whole = F.concat(F.rpad(digits, exponent + 1, "0"), F.lit(".0"))
+    broken = F.concat(F.substring(digits, F.lit(1), exponent + 1), F.lit("."), F.substring(digits, exponent + 2, F.length(digits)))
+    power = F.concat(mantissa, F.when(exponent < 0, "e-").otherwise("e+"), F.lpad(F.abs(exponent).cast("string"), F.greatest(F.lit(2), F.length(F.abs(exponent).cast("string"))), "0"))
+    plain = F.when(exponent < 0, small).when(exponent >= shown, whole).otherwise(broken)
+    text = F.when(s == "infinity", "inf").when(~s.contains("e"), s).when((exponent < -4) | (exponent >= 16), power).otherwise(plain)
+    # Java turns to an exponent below 1e-3 and from 1e7 on only
+    return F.when(F.isnan(c), F.lit(None).cast("string")).otherwise(F.replace(F.concat(sign, text), F.lit("."), F.lit(",")))
+
+
 def _decimal_comma(df: DataFrame) -> DataFrame:
     out = []
     for f in df.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.replace(c.cast("string"), F.lit("."), F.lit(","))
+            c = plain_float(c)
         out.append(c.alias(f.name))
     return df.select(*out)
 
 
-def with_row_index(df: DataFrame, order: Sequence[str]) -> DataFrame:
+def with_row_index(df: DataFrame, order: Sequence[str], per: str | None = None) -> DataFrame:
     """Opt-in leading row index 0..n-1 by ``order`` without a single-task window.
 
     Range-partition and sort, take each partition's row count (one row per
     partition), turn the counts into offsets, and add the offset to the
     position inside the partition.  The sorted rows are checkpointed first
-    so ids are stable.
+    so ids are stable.  ``per``: start again at 0 for each value of that column.
     """
     checkpoint_root(df.sparkSession)
+    order = [per, *[c for c in order if c != per]] if per else list(order)
     # a unique tie-breaker lets equal sort keys spread over several range partitions,
     # so one value holding a third of the rows does not become one task
     tagged = df.withColumn("_tie", F.monotonically_increasing_id())
@@ -62,8 +84,13 @@ def with_row_index(df: DataFrame, order: Sequence[str]) -> DataFrame:
         "_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
     offsets = bounded_broadcast(offsets)
     pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-    return (sorted_df.join(offsets, "_pid")
-            .select((F.col("_off") + pos).alias(INDEX_COL), *df.columns))
+    out = (sorted_df.join(offsets, "_pid")
+           .select((F.col("_off") + pos).alias(INDEX_COL), *df.columns))
+    if not per:
+        return out
+    first = bounded_broadcast(out.groupBy(F.col(per).alias("_per")).agg(F.min(INDEX_COL).alias("_first")))
+    out = out.join(first, F.col(per).eqNullSafe(F.col("_per")))
+    return out.select((F.col(INDEX_COL) - F.col("_first")).alias(INDEX_COL), *df.columns)
 
 
 def _writer(df: DataFrame, encoding: str):
@@ -77,19 +104,32 @@ def _writer(df: DataFrame, encoding: str):
 
 
 def write_export_csv(df: DataFrame, path: str, index_order: Sequence[str] | None = None,
-                     mode: str = "errorifexists", one_file_per: str | None = None) -> None:
+                     mode: str = "errorifexists", folder_per: str | None = None) -> None:
     """K1: ``;`` CSV, decimal comma, UTF-8; a leading row index only when asked.
 
-    ``one_file_per``: write one file per value of that column, in a
-    ``<column>=<value>`` folder (a snapshot per file, as the exports are).
+    ``folder_per``: the rows of each value of that column go to a
+    ``<column>=<value>`` folder (a snapshot each, as the exports are), as
+    several part files where there are many; the index starts at 0 in each,
+    and part files follow it.
     """
     if index_order:
-        df = with_row_index(df, index_order)
-    out = _decimal_comma(df)
-    w = _writer(out.repartition(one_file_per) if one_file_per else out, "UTF-8").mode(mode)
-    if one_file_per:
-        w = w.partitionBy(one_file_per)
-    w.csv(path)
+        df = with_row_index(df, index_order, folder_per)
+    if folder_per:
+        write_folders(df, path, folder_per, mode)
+    else:
+        _writer(_decimal_comma(df), "UTF-8").mode(mode).csv(path)
+
+
+def write_folders(df: DataFrame, path: str, folder_per: str, mode: str = "errorifexists") -> None:
+    """The folders of ``write_export_csv``, of rows that already have their index (or need none)."""
+    keys = [folder_per, *([INDEX_COL] if INDEX_COL in df.columns else [])]
+    out = _decimal_comma(df).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    _writer(out, "UTF-8").mode(mode).partitionBy(folder_per).csv(path)
+
+
+def stamped(folder: str, name: str, ts: _dt.datetime) -> str:
+    """The path of a stamped output, ``folder/name_YYYY-MM-DD HHMMSS``."""
+    return f"{folder.rstrip('/')}/{name}_{stamp(ts)}"
 
 
 def check_latin1(df: DataFrame) -> None:
@@ -128,23 +168,34 @@ def write_raw(df: DataFrame, path: str, mode: str = "append") -> None:
 
 def read_export_csv(spark: SparkSession, path, schema: T.StructType,
                     has_index: bool = False, source_col: str | None = None,
-                    encoding: str = "UTF-8") -> DataFrame:
+                    encoding: str = "UTF-8", keep_index: bool = False) -> DataFrame:
     """Read ``;`` CSV written by K1 (or by the studied code) into ``schema``.
 
-    ``path`` is a path or a list of paths.  The unnamed leading index
-    column, when present, is dropped by position.  ``source_col`` adds the
-    file each row came from (decoded path).
-    Text is read as text, then cast: decimal commas become dots for
-    DOUBLE / FLOAT, and casts fail loudly (ANSI) on bad text.
+    ``path`` is a path or a list of paths.  Columns are taken by the names in
+    the header; a name missing from it, or unknown to ``schema``, is an error.
+    All files of one call share the first one's header (checked by Spark where
+    there is no unnamed index column).  The leading index column is dropped, or
+    kept as ``INDEX_COL``.  ``source_col`` adds the file each row came from
+    (decoded path).  Text is read as text, then cast: decimal commas become
+    dots for DOUBLE / FLOAT, and casts fail loudly (ANSI) on bad text.
     """
-    fields = [T.StructField(f.name, T.StringType(), True) for f in schema.fields]
-    if has_index:
-        fields = [T.StructField(INDEX_COL, T.StringType(), True)] + fields
-    raw = (spark.read.schema(T.StructType(fields)).option("sep", SEP).option("header", True)
-           .option("quote", QUOTE).option("escape", QUOTE).option("multiLine", True)
-           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-           .option("encoding", encoding).option("mode", "FAILFAST").csv(path))
-    cols = []
+    def reader():
+        return (spark.read.option("sep", SEP).option("header", True)
+                .option("quote", QUOTE).option("escape", QUOTE).option("multiLine", True)
+                .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+                .option("encoding", encoding).option("mode", "FAILFAST")
+                .option("recursiveFileLookup", True))  # part folders name no columns
+
+    paths = [path] if isinstance(path, str) else list(path)
+    header = reader().csv(paths[:1]).columns
+    if not header:  # nothing was written
+        header = [INDEX_COL] * has_index + schema.fieldNames()
+    names = header[1:] if has_index else header
+    if sorted(names) != sorted(schema.fieldNames()):
+        raise ValueError(f"columns {names} where {schema.fieldNames()} are expected")
+    fields = [T.StructField(n, T.StringType(), True) for n in ([INDEX_COL] if has_index else []) + names]
+    raw = reader().schema(T.StructType(fields)).option("enforceSchema", has_index).csv(paths)
+    cols = [F.col(INDEX_COL)] if keep_index else []
     for f in schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):

@@ -8,13 +8,14 @@ posts' arrays are ever expanded.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.functions.captions import caption_fields, scrub_quotes, with_caption_parts
 from rollcall.functions.scalars import to_pk
 from rollcall.functions.times import LOCAL_ZONE, to_local, utc_wall, weekday0
+from rollcall.schemas import POSTS
 from rollcall.session import spread
 
 
@@ -23,12 +24,17 @@ def read_landed(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return spark.read.schema(schema).format(fmt).load(path)
 
 
-def flatten_users(raw: DataFrame) -> DataFrame:
+def _id(c: Column, as_text: bool) -> Column:
+    """A BIGINT id (null where the text is none), or the text itself, for ``scalars.split_ids``."""
+    return c.cast("string") if as_text else to_pk(c)
+
+
+def flatten_users(raw: DataFrame, ids_as_text: bool = False) -> DataFrame:
     """S1 + T1: user records ``u`` → (pk, username, full_name), quotes scrubbed."""
     lead = ["snap_ts"] if "snap_ts" in raw.columns else []
     return raw.select(
         *lead,
-        to_pk(F.col("u.pk")).alias("pk"),
+        _id(F.col("u.pk"), ids_as_text).alias("pk"),
         F.col("u.username").alias("username"),
         scrub_quotes(F.col("u.full_name")).alias("full_name"),
     )
@@ -61,7 +67,7 @@ def flatten_posts(raw: DataFrame, weekday_basis: str = "utc", zone: str = LOCAL_
         credit,
         local.alias("criado_em_post"),
         day.cast("int").alias("dia_semana_post"),
-    )
+    ).select(*POSTS.fieldNames())
 
 
 def _selected(raw: DataFrame, posts: DataFrame | None) -> DataFrame:
@@ -71,19 +77,19 @@ def _selected(raw: DataFrame, posts: DataFrame | None) -> DataFrame:
     return raw.join(ids, "post_id", "left_semi")
 
 
-def flatten_likes(raw: DataFrame, posts: DataFrame | None = None) -> DataFrame:
+def flatten_likes(raw: DataFrame, posts: DataFrame | None = None, ids_as_text: bool = False) -> DataFrame:
     """S3: one row per liker of each selected post; a post without likers gives nothing."""
     sel = _selected(raw, posts)
     return sel.select("post_id", F.explode("likers").alias("l")).select(
         F.col("post_id").alias("post_pk"),
-        to_pk(F.col("l.pk")).alias("follower_pk"),
+        _id(F.col("l.pk"), ids_as_text).alias("follower_pk"),
         F.col("l.is_private").alias("is_private"),
         F.col("l.stories").alias("stories"),
     )
 
 
 def flatten_comments(raw: DataFrame, posts: DataFrame | None = None, weekday_basis: str = "utc",
-                     zone: str = LOCAL_ZONE) -> DataFrame:
+                     zone: str = LOCAL_ZONE, ids_as_text: bool = False) -> DataFrame:
     """One row per comment of each selected post, author struct flattened.
 
     Names follow the comments table (follower_pk, created_at,
@@ -97,7 +103,7 @@ def flatten_comments(raw: DataFrame, posts: DataFrame | None = None, weekday_bas
         F.col("post_id").alias("post_pk"),
         to_pk(F.col("pk")).alias("comment_pk"),
         F.col("text"),
-        to_pk(F.col("user.pk")).alias("follower_pk"),
+        _id(F.col("user.pk"), ids_as_text).alias("follower_pk"),
         F.col("user.is_private").alias("is_private"),
         local.alias("created_at"),
         day.cast("int").alias("dia_semana"),

@@ -171,6 +171,11 @@ def file_inventory(spark: SparkSession, path: str, hidden: bool = False,
     )
 
 
+def inventory_of(rows: DataFrame, path: str, size: F.Column) -> DataFrame:
+    """S7 + T8 + T10 over a table of paths and byte sizes: (pasta, arquivo, tamanho in MB)."""
+    return rows.select(folder_of(F.col(path)).alias("pasta"), name_of(F.col(path)).alias("arquivo"), to_mb(size).alias("tamanho"))
+
+
 def inventory_errors(spark: SparkSession, path: str) -> DataFrame:
     """Folders whose listing raised: (pasta, error)."""
     errors = _tree(spark, path).where(F.col("error").isNotNull())

@@ -32,7 +32,7 @@ def test_pick_row_handles_a_hot_key(spark):
     out = pick_row(df, ["k"], ["o"]).where("k = 0").collect()
     assert [(r.k, r.o) for r in out] == [(0, 14999)]
     plan = pick_row(df, ["k"], ["o"])._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max_by" in plan  # combined map-side before the shuffle
+    assert "WindowGroupLimit" in plan  # combined map-side before the shuffle
 
 
 def test_no_interaction_text_ids(spark):
