@@ -8,36 +8,46 @@ agreement checks the operators rather than restating them.
 from __future__ import annotations
 
 from rollcall.operators.audience import CUTOFF_DAYS, WELCOME_TEMPLATE
-from rollcall.plans.standins import INTERACTION_CUTOFF, POSTS_AS_OF, PROTECTED_SEGMENT, SPLIT_TS
+from rollcall.plans.standins import (
+    INTERACTION_CUTOFF, POST_EPOCH, POST_STEP, POSTS_AS_OF, PROTECTED_SEGMENT, REPEATED_HOUR, SKIPPED_HOUR, SPLIT_TS)
 
 PPL = ("select c_custkey as pk, c_name as username, "
        "case when c_custkey % 7 = 0 then null else c_mktsegment end as full_name from customer")
 
 
 def _replay(snaps: str) -> str:
-    """Periods (pk, data_entrada, data_saida, data_update) of the snapshot CTE ``snaps``."""
+    """Periods of the snapshot CTE ``snaps`` (snap_date, pk, username, full_name), one row per snapshot and pk."""
     return f"""
 cal as (select snap_date, row_number() over (order by snap_date) as n,
                lead(snap_date) over (order by snap_date) as next_date
         from (select distinct snap_date from {snaps}) d),
-m as (select s.pk, c.snap_date, c.n, c.next_date,
+m as (select s.pk, s.username, s.full_name, c.snap_date, c.n, c.next_date,
              c.n - row_number() over (partition by s.pk order by c.n) as island
       from {snaps} s join cal c on s.snap_date = c.snap_date),
-per as (select pk, min(snap_date) as data_entrada,
+per as (select pk, island, min(snap_date) as data_entrada,
                case when count(*) = count(next_date) then max(next_date) end as data_saida,
                max(snap_date) as data_update
         from m group by pk, island),
-hist as (select per.pk, ppl.username, ppl.full_name, per.data_entrada, per.data_saida,
+hist as (select per.pk, m.username, m.full_name, per.data_entrada, per.data_saida,
                 per.data_update, cast(null as integer) as welcome
-         from per left join ppl on per.pk = ppl.pk)"""
+         from per join m on per.pk = m.pk and per.island = m.island and per.data_update = m.snap_date)"""
 
 
-SNAPS = "snaps as (select distinct cast(ts as date) as snap_date, user_id as pk from events)"
-HIST_ALL = f"with ppl as ({PPL}), {SNAPS}, {_replay('snaps')}"
-HIST_PREV = (f"with ppl as ({PPL}), {SNAPS}, last as (select max(snap_date) as d from snaps), "
+SNAPS = """snaps as (select * exclude (rn) from (
+  select cast(ts as date) as snap_date, user_id as pk,
+    'user' || cast(user_id - user_id % 2 as varchar) || '.' || cast(day(ts) % 3 as varchar) as username,
+    case when event_type = 'signup' then null else event_type || ' ' || cast(user_id % 5 as varchar) end as full_name,
+    row_number() over (partition by cast(ts as date), user_id order by event_id) as rn
+  from events) e where rn = 1)"""
+HIST_ALL = f"with {SNAPS}, {_replay('snaps')}"
+HIST_PREV = (f"with {SNAPS}, last as (select max(snap_date) as d from snaps), "
              f"prev as (select * from snaps where snap_date < (select d from last)), "
-             f"t as (select s.pk, p.username, p.full_name from snaps s left join ppl p on s.pk = p.pk "
-             f"where s.snap_date = (select d from last)), {_replay('prev')}")
+             f"t as (select pk, username, full_name from snaps where snap_date = (select d from last)), "
+             f"{_replay('prev')}")
+CAND = """cand as (select username, convites, pk from (
+  select username, coalesce(full_name, username) as convites, pk,
+         row_number() over (partition by username order by data_entrada desc, pk desc) as rn
+  from {hist} where welcome is null and data_saida is null) x where rn = 1)"""
 
 CAPTION = r"""case doc_id % 4
   when 0 then text
@@ -76,19 +86,33 @@ def _sql_text(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-ORACLE: dict[str, str] = {
-    "q01_flatten_users": """select doc_id as pk, source as username,
-        translate(text, '''"', '  ') as full_name from documents""",
-
-    "q02_caption_parse": f"""with c as (select cast(doc_id as varchar) as post_id, {CAPTION} as caption from documents),
-k as (select post_id, string_split_regex(caption, '\\n ?\\.+ ?\\n') as k from c),
-sel as (select post_id, k[1] as caption_text,
+POSTS_SQL = f"""with c as (select *, to_timestamp({POST_EPOCH} + doc_id * {POST_STEP}) as moment, {CAPTION} as caption from documents),
+k as (select *, string_split_regex(caption, '\\n ?\\.+ ?\\n') as k from c),
+sel as (select *, k[1] as caption_text,
    list_filter(k[2:], lambda x: position('#' in x) > 0 and position('#repost' in lower(x)) = 0)[-1] as h,
    list_filter(k[2:], lambda x: position('#repost' in lower(x)) > 0)[-1] as r from k)
-select post_id, caption_text,
+select cast(doc_id as varchar) as post_id, 1 as media_type,
+  timezone('America/Sao_Paulo', moment) as criado_em_post,
+  cast(isodow(timezone('UTC', moment)) - 1 as integer) as dia_semana_post,
+  doc_id % 13 as comment_count, n_chars as like_count, caption_text,
   coalesce(regexp_replace(translate(h, '.,' || chr(10), ''), '^\\s+|\\s+$', '', 'g'), '') as hashtags,
+  case when doc_id % 5 <> 0 then n_chars * 3 end as view_count,
   coalesce(regexp_replace(replace(translate(r, '.,' || chr(10), ''), '#Repost ', ''), '^\\s+|\\s+$', '', 'g'), '') as repost
-from sel""",
+from sel"""
+
+LIKES_SQL = """select cast(l_orderkey as varchar) as post_pk, l_suppkey as follower_pk,
+  l_returnflag = 'R' as is_private, l_linestatus as stories from lineitem"""
+
+COMMENTS_SQL = f"""select cast(conv_id as varchar) as post_pk, turn as comment_pk, text, conv_id as follower_pk,
+  role = 'assistant' as is_private, timezone('America/Sao_Paulo', {TS_SRC}) as created_at,
+  cast(isodow(timezone('UTC', {TS_SRC})) - 1 as integer) as dia_semana, role as content_type, 'Active' as status,
+  turn % 2 = 0 as has_liked_comment, cast(length(text) as bigint) as like_count from conversations"""
+
+ORACLE: dict[str, str] = {
+    "q01_flatten_users": """select doc_id as pk, source as username,
+        translate(text, '''"', '  ') as full_name from documents""",
+
+    "q02_caption_parse": POSTS_SQL,
 
     "q03_flatten_likes": f"""select cast(l_orderkey as varchar) as post_pk, l_suppkey as follower_pk,
         l_returnflag = 'R' as is_private, l_linestatus as stories
@@ -113,10 +137,9 @@ select arquivo, strptime(substr(arquivo, 14, 17), '%Y-%m-%d %H%M%S') as snap_ts,
        cast(substr(arquivo, 14, 4) || '-' || substr(arquivo, 19, 2) || '-' || substr(arquivo, 22, 2) as date) as snap_date
 from names where arquivo like '%df_followers%'""",
 
-    "q07_file_inventory": """select regexp_extract(filename, '^(.*)/([^/]*)$', 1) as pasta,
-        regexp_extract(filename, '^(.*)/([^/]*)$', 2) as arquivo,
-        cast(size as double) / 1048576 as tamanho
-        from read_blob('/root/testdata/sf0.01/*')""",
+    "q07_page_inventory": """select regexp_extract(url, '^(.*)/([^/]*)$', 1) as pasta,
+        regexp_extract(url, '^(.*)/([^/]*)$', 2) as arquivo,
+        cast(strlen(html) as double) / 1048576 as tamanho from pages""",
 
     "q09_replace_table": f"with ppl as ({PPL}) select * from ppl where pk in (select user_id from events)",
 
@@ -147,11 +170,7 @@ select coalesce(o.pk, t.pk) as pk,
   o.welcome as welcome
 from o full outer join t on o.pk = t.pk""",
 
-    "q14_welcome_candidates": f"""{HIST_ALL}
-select username, convites from (
-  select username, coalesce(full_name, username) as convites,
-         row_number() over (partition by username order by data_entrada desc, pk desc) as rn
-  from hist where welcome is null and data_saida is null) x where rn = 1""",
+    "q14_welcome_candidates": f"{HIST_ALL}, {CAND.format(hist='hist')} select username, convites from cand",
 
     "q15_replay_history": f"{HIST_ALL} select * from hist",
 
@@ -194,17 +213,65 @@ union all
 
     "q27_key_violations": "select p_name, count(*) as n from part group by p_name having count(*) > 1",
 
-    "q26_outbox": f"""{HIST_ALL},
-cand as (select username, convites from (
-  select username, coalesce(full_name, username) as convites,
-         row_number() over (partition by username order by data_entrada desc, pk desc) as rn
-  from hist where welcome is null and data_saida is null) x where rn = 1)
+    "q26_outbox": f"""{HIST_ALL}, {CAND.format(hist='hist')}
 select username, replace({_sql_text(WELCOME_TEMPLATE)}, '{{}}', convites) as message from cand""",
+
+    "q28_page_inventory_csv": """select nullif(regexp_extract(url, '^(.*)/([^/]*)$', 1), '') as pasta,
+        nullif(regexp_extract(url, '^(.*)/([^/]*)$', 2), '') as arquivo,
+        cast(strlen(html) as double) / 1048576 as tamanho from pages""",
+
+    "q32_page_count": "select count(*) as files from pages",
+
+    "q34_id_rejects": f"""with e as (select event_type, case when event_id % 50 = 0 then cast(user_id as varchar) || '.0'
+    when event_id % 77 = 0 then 'x' || cast(user_id as varchar) else cast(user_id as varchar) end as id
+  from events where event_type in ('click', 'view')),
+f as (select pk, case when pk % 40 = 3 then '#' || cast(pk as varchar) else cast(pk as varchar) end as id from ({PPL}) p),
+r as (select 'inactive' as kind, id from f where id not like '#%'
+        and id not in (select id from e where regexp_full_match(id, '[0-9]+'))
+      union all select 'following', id from f where id like '#%'
+      union all select event_type, id from e where not regexp_full_match(id, '[0-9]+'))
+select kind, id, count(*) as n from r group by kind, id""",
+
+    "q35_no_interaction_chain": f"""with posts as (select o_orderkey from orders
+  where timezone('America/Sao_Paulo', timezone('UTC', cast(o_orderdate as timestamp)))
+        >= timestamp '{POSTS_AS_OF}' - interval {CUTOFF_DAYS} day)
+select * from ({PPL}) p
+where not exists (select 1 from lineitem l where l.l_suppkey = p.pk and l.l_orderkey in (select o_orderkey from posts))
+  and not exists (select 1 from conversations c where c.conv_id = p.pk and c.conv_id in (select o_orderkey from posts))
+  and username not in (select c_name from customer where c_mktsegment = '{PROTECTED_SEGMENT}')""",
+
+    "q36_welcome_loop": f"""{HIST_ALL}, {CAND.format(hist='hist')},
+cut as (select pk % 7 as run, min(pk) as c from cand where pk % 50 = 0 group by 1),
+acc as (select cand.pk from cand left join cut on cand.pk % 7 = cut.run where cut.c is null or cand.pk < cut.c),
+hist2 as (select * replace (case when data_saida is null and pk in (select pk from acc) then 1 end as welcome) from hist),
+cand2 as (select username, convites, pk from (
+  select username, coalesce(full_name, username) as convites, pk,
+         row_number() over (partition by username order by data_entrada desc, pk desc) as rn
+  from hist2 where welcome is null and data_saida is null) x where rn = 1)
+select * from cand2""",
+
+    "q37_zoned_local_time": f"""with z as (select event_id, make_timestamptz(cast((case when event_id % 2 = 0 then {REPEATED_HOUR}
+    else {SKIPPED_HOUR} end + event_id % 600 * 60) * 1000000 + event_id % 1000 as bigint)) as moment from events)
+select event_id, timezone('UTC', moment) as utc, timezone('America/Sao_Paulo', moment) as local,
+  cast(isodow(timezone('UTC', moment)) - 1 as integer) as weekday from z""",
+
+    "q38_upsert_posts": f"""with p as ({POSTS_SQL}) select * replace (
+  case when cast(post_id as bigint) % 3 = 0 then like_count + 1 else like_count end as like_count,
+  case when cast(post_id as bigint) % 3 = 0 then null else view_count end as view_count) from p""",
+
+    "q39_upsert_likes": f"""with l as ({LIKES_SQL}),
+one as (select * exclude (rn) from (select *, row_number() over (partition by post_pk, follower_pk
+  order by is_private desc, stories desc) as rn from l) x where rn = 1)
+select post_pk, follower_pk, case when post_pk in (select cast(o_orderkey as varchar) from ({POSTS_SINCE}) s)
+  then true else is_private end as is_private,
+  case when post_pk in (select cast(o_orderkey as varchar) from ({POSTS_SINCE}) s)
+  then (select max(l.stories) from l where l.post_pk = one.post_pk and l.follower_pk = one.follower_pk) else stories end as stories
+from one""",
+
+    "q40_upsert_comments": f"""select * exclude (rn) from (select *, row_number() over (partition by comment_pk
+  order by created_at desc, post_pk desc) as rn from ({COMMENTS_SQL}) c) x where rn = 1""",
 }
 
-ORACLE["q28_inventory_csv"] = ORACLE["q07_file_inventory"]
 ORACLE["q29_raw_dump"] = ORACLE["q02_caption_parse"]
 ORACLE["q30_snapshot_files_stream"] = ORACLE["q15_replay_history"]
-ORACLE["q31_file_inventory_tree"] = ORACLE["q07_file_inventory"]
-ORACLE["q32_inventory_count"] = "select count(*) as files from read_blob('/root/testdata/sf0.01/*')"
-ORACLE["q33_daily_apply_store"] = ORACLE["q13_apply_snapshot"]
+ORACLE["q33_daily_apply_store"] = ORACLE["q15_replay_history"]

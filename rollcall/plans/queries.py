@@ -1,4 +1,4 @@
-"""The driver queries q01-q32: each operator of the inventory run over whole test tables.
+"""The driver queries q01-q40: each operator of the inventory run over whole test tables.
 
 Every builder takes (spark, sf_dir) and returns a DataFrame; columns are
 aliased exactly as in the oracle SQL of ``rollcall.plans.oracle``.
@@ -6,18 +6,20 @@ aliased exactly as in the oracle SQL of ``rollcall.plans.oracle``.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.functions.times import to_local, weekday0
+from rollcall.functions.scalars import split_ids
+from rollcall.functions.times import to_local, utc_wall, weekday0
 from rollcall.operators import audience as A
 from rollcall.operators import history as H
 from rollcall.operators import upsert as U
 from rollcall.operators.preview import preview
 from rollcall.plans import standins as X
-from rollcall.schemas import FILE_INVENTORY, NEW_FOLLOWERS, RAW_POSTS, empty, key_violations
+from rollcall.schemas import COMMENTS, KEYS, LIKES, NEW_FOLLOWERS, PAGE_INVENTORY, POSTS, RAW_POSTS, empty, key_violations
 from rollcall.session import scratch_path
 from rollcall.sources import catalog as C
 from rollcall.sources import csv_io as IO
@@ -33,8 +35,7 @@ def q01_flatten_users(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q02_caption_parse(spark: SparkSession, sf: str) -> DataFrame:
-    return FL.flatten_posts(X.raw_posts(spark, sf)).select(
-        "post_id", "caption_text", "hashtags", "repost")
+    return FL.flatten_posts(X.raw_posts(spark, sf))
 
 
 def q03_flatten_likes(spark: SparkSession, sf: str) -> DataFrame:
@@ -67,12 +68,9 @@ def q06_snapshot_catalog(spark: SparkSession, sf: str) -> DataFrame:
     return C.snapshot_catalog(_catalog_names(spark, sf)).select("arquivo", "snap_ts", "snap_date")
 
 
-def q07_file_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    return INV.file_inventory(spark, sf).select("pasta", "arquivo", "tamanho")
-
-
-def q08_scan_errors(spark: SparkSession, sf: str) -> DataFrame:
-    return INV.inventory_errors(spark, sf)
+def q07_page_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    """S7 over a table of paths and sizes: folder, name and MB of every page."""
+    return INV.inventory_of(X.table(spark, sf, "pages"), "url", F.octet_length("html"))
 
 
 def q09_replace_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -114,44 +112,33 @@ def q12_insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
                           X.people(spark, sf)).drop("full_name")
 
 
-def _history_before_last(spark: SparkSession, sf: str):
-    """(history of all snapshots before the last, the last snapshot, its date).
+def _history_before_last(spark: SparkSession, sf: str, days: int = 1):
+    """(history of all snapshots but the last ``days``, the rows of those, their dates).
 
-    The catalogue (one row per snapshot) is materialised once; the last date
-    is read from it, not from another scan of the events.
+    The catalogue (one row per snapshot) is materialised once; the dates are
+    read from it, not from another scan of the events.
     """
     rows = X.snapshot_rows(spark, sf)
     catalog = X.snapshot_catalog_rows(rows).checkpoint()
-    last = catalog.agg(F.max("snap_date")).first()[0]  # one scalar from a small table
-    prev = rows.where(F.col("snap_date") < F.lit(last))
-    ppl = X.people(spark, sf)
-    nameless = prev.select("snap_ts", "pk", F.lit(None).cast("string").alias("username"),
-                           F.lit(None).cast("string").alias("full_name"))
-    hist = H.replay_history(nameless, catalog.where(F.col("snap_date") < F.lit(last)))
-    hist = X.attach_names(hist, ppl).checkpoint()  # a history version is a stored table
-    snap = X.with_names(rows.where(F.col("snap_date") == F.lit(last)).select("pk"), ppl)
-    return hist, snap, last
+    last = sorted(r[0] for r in catalog.select("snap_date").orderBy(F.desc("snap_date")).limit(days).collect())
+    hist = H.replay_history(rows.where(F.col("snap_date") < F.lit(last[0])),
+                            catalog.where(F.col("snap_date") < F.lit(last[0])), order="event_id")
+    return hist.checkpoint(), rows.where(F.col("snap_date") >= F.lit(last[0])), last  # a history version is a stored table
 
 
 def q13_apply_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    hist, snap, last = _history_before_last(spark, sf)
-    return H.apply_snapshot(hist, snap, last)
+    hist, snap, (last,) = _history_before_last(spark, sf)
+    return H.apply_snapshot(hist, snap, last, order="event_id")
 
 
 def full_history(spark: SparkSession, sf: str) -> DataFrame:
     rows = X.snapshot_rows(spark, sf)
-    nameless = rows.select("snap_ts", "pk", F.lit(None).cast("string").alias("username"),
-                           F.lit(None).cast("string").alias("full_name"))
-    hist = H.replay_history(nameless, X.snapshot_catalog_rows(rows))
-    return X.attach_names(hist, X.people(spark, sf))
+    return H.replay_history(rows, X.snapshot_catalog_rows(rows), order="event_id")
 
 
 def q14_welcome_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    TB.register(full_history(spark, sf), "followers")
-    via_sql = TB.sql(spark, TB.CANDIDATES_SQL.format(table="followers"))
-    # A username seen twice keeps its last row (rows in entry order)
-    return U.pick_row(via_sql, ["username"], ["data_entrada", "pk"], last=True).select(
-        "username", "convites")
+    """S9 + F2 + D1 + T6: the history read back as a session table."""
+    return A.welcome_candidates(TB.register(full_history(spark, sf), "followers"))
 
 
 def q15_replay_history(spark: SparkSession, sf: str) -> DataFrame:
@@ -221,10 +208,10 @@ def q27_key_violations(spark: SparkSession, sf: str) -> DataFrame:
     return key_violations(X.table(spark, sf, "part"), ["p_name"])
 
 
-def q28_inventory_csv(spark: SparkSession, sf: str) -> DataFrame:
+def q28_page_inventory_csv(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "q28-inventory")
-    IO.write_inventory_csv(INV.file_inventory(spark, sf), path)
-    back = IO.read_export_csv(spark, path, FILE_INVENTORY, encoding="ISO-8859-1")
+    IO.write_inventory_csv(q07_page_inventory(spark, sf), path)
+    back = IO.read_export_csv(spark, path, PAGE_INVENTORY, encoding="ISO-8859-1")
     return back.select("pasta", "arquivo", "tamanho")
 
 
@@ -232,42 +219,133 @@ def q29_raw_dump(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "q29-raw")
     IO.write_raw(X.raw_posts(spark, sf), path)
     back = FL.read_landed(spark, path, RAW_POSTS)
-    return FL.flatten_posts(back).select("post_id", "caption_text", "hashtags", "repost")
+    return FL.flatten_posts(back)
+
+
+def _arrive_in_disorder(spark: SparkSession, folder: str) -> None:
+    """Spread the files' modification times, so that the stream meets them in another order than their names'."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = fs.listFiles(root, True)
+    while files.hasNext():
+        path = files.next().getPath()
+        place = int(hashlib.md5(path.getParent().getName().encode()).hexdigest()[:6], 16)
+        fs.setTimes(path, (1_700_000_000 + place % 100_000) * 1000, -1)
 
 
 def q30_snapshot_files_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """K1 export of each day's snapshot as its own file, then the file stream."""
+    """K1 export of each day's snapshot in its own folder, then the file stream.
+
+    A few files per trigger, in an order that isn't that of the snapshots; every fifth name has a date only.
+    """
     rows = X.snapshot_rows(spark, sf)
-    stamps = X.table(spark, sf, "events").groupBy(F.to_date("ts").alias("snap_date")).agg(
-        F.concat(F.lit("df_followers_"), F.date_format(F.min("ts"), "yyyy-MM-dd HHmmss")).alias("snapshot"))
-    snaps = X.with_names(rows.select("snap_date", "pk").distinct(), X.people(spark, sf)).join(
-        stamps, "snap_date").select("snapshot", "pk", "username", "full_name")
+    whole = F.date_format(F.min("ts"), "yyyy-MM-dd HHmmss")
+    stamps = X.table(spark, sf, "events").groupBy(F.to_date("ts").alias("snap_date")).agg(whole.alias("w"))
+    stamps = stamps.select("snap_date", F.concat(F.lit("df_followers_"), F.when(F.dayofmonth("snap_date") % 5 == 0, F.substring("w", 1, 10)).otherwise(F.col("w"))).alias("snapshot"))
+    snaps = rows.join(stamps, "snap_date").select("snapshot", "pk", "username", "full_name", "event_id")
     folder = scratch_path(spark, "q30-snapshots")
-    IO.write_export_csv(snaps, folder, index_order=["snapshot", "pk"], one_file_per="snapshot")
+    indexed = IO.with_row_index(snaps, ["event_id"], "snapshot").drop("event_id")
+    IO.write_folders(indexed, folder, "snapshot")
+    _arrive_in_disorder(spark, folder)
     root = scratch_path(spark, "q30-history")
-    # all files land at once: one micro-batch, ordered inside by snapshot time
-    q = snapshot_stream(spark, folder, root, scratch_path(spark, "q30-stream"),
-                        max_files_per_trigger=100)
+    q = snapshot_stream(spark, folder, root, scratch_path(spark, "q30-stream"), max_files_per_trigger=4)
     q.awaitTermination()
     return read_history(spark, root)
 
 
-def q31_file_inventory_tree(spark: SparkSession, sf: str) -> DataFrame:
-    """S7 through the Python data source (hidden entries included)."""
-    return INV.file_inventory(spark, sf, hidden=True).select("pasta", "arquivo", "tamanho")
+def q32_page_count(spark: SparkSession, sf: str) -> DataFrame:
+    return INV.inventory_count(q07_page_inventory(spark, sf))
+
+
+def q33_daily_apply_store(spark: SparkSession, sf: str) -> DataFrame:
+    """K7 as daily runs against the store, under other partition settings than it was seeded with,
+    beside another store of the same folder name."""
+    hist, snaps, days = _history_before_last(spark, sf, days=2)
+    root, other = (scratch_path(spark, f"q33-{name}") + "/store" for name in ("a", "b"))
+    HS.seed_store(spark, root, hist, buckets=8)
+    HS.seed_store(spark, other, hist.where(F.col("pk") % 2 == 0), buckets=5)
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    try:
+        for version, (day, partitions) in enumerate(zip(days, ("4", "16"), strict=True), start=1):
+            spark.conf.set(setting, partitions)
+            HS.apply_daily(spark, root, snaps.where(F.col("snap_date") == F.lit(day)), day, version, order="event_id")
+    finally:
+        spark.conf.set(setting, before)
+    HS.read_store(spark, other, 0)
+    return HS.read_store(spark, root, 2)
+
+
+def q34_id_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """T5 + J1 with ids that are none: the rejects by table, and the inactive accounts among the others."""
+    e = X.table(spark, sf, "events")
+    text = F.col("user_id").cast("string")
+    bad = F.when(F.col("event_id") % 50 == 0, F.concat(text, F.lit(".0"))).when(F.col("event_id") % 77 == 0, F.concat(F.lit("x"), text)).otherwise(text)
+    events = {kind: split_ids(e.where(F.col("event_type") == kind).select(bad.alias("follower_pk")), "follower_pk") for kind in ("click", "view")}
+    ppl = X.people(spark, sf)
+    marked = ppl.withColumn("pk", F.when(F.col("pk") % 40 == 3, F.concat(F.lit("#"), F.col("pk").cast("string"))).otherwise(F.col("pk").cast("string")))
+    good, wrong = split_ids(marked, "pk")
+    inactive = A.no_interaction(good, events["click"][0], events["view"][0])
+    out = inactive.select(F.lit("inactive").alias("kind"), F.col("pk").cast("string").alias("id"))
+    out = out.unionByName(wrong.select(F.lit("following").alias("kind"), F.col("pk").alias("id")))
+    for kind, (_, rejects) in events.items():
+        out = out.unionByName(rejects.select(F.lit(kind).alias("kind"), F.col("follower_pk").alias("id")))
+    return out.groupBy("kind", "id").agg(F.count("*").alias("n"))
+
+
+def q35_no_interaction_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """F1 → S3 / S4 → J1 → J5: nested posts, the recent ones' likes and comments, who gave none, less the protected."""
+    posts = FL.flatten_posts(X.raw_order_posts(spark, sf))
+    recent = A.posts_since(posts, X.POSTS_AS_OF).select("post_id")
+    likes = FL.flatten_likes(X.raw_likes(spark, sf), recent)
+    comments = FL.flatten_comments(X.raw_comments(spark, sf), recent)
+    protected = X.table(spark, sf, "customer").where(
+        F.col("c_mktsegment") == X.PROTECTED_SEGMENT).select(F.col("c_name").alias("username"))
+    return A.exclude_protected(A.no_interaction(X.people(spark, sf), likes, comments), protected)
+
+
+def q36_welcome_loop(spark: SparkSession, sf: str) -> DataFrame:
+    """F2 → D1 → D2 → K9 → F2: greet the candidates, mark the accepted in the store, and list who is left."""
+    root = scratch_path(spark, "q36-store")
+    HS.seed_store(spark, root, full_history(spark, sf))
+    history = HS.read_store(spark, root, 0)
+    sent = A.candidate_periods(history).select(
+        (F.col("pk") % 7).cast("string").alias("run_id"), F.col("pk").alias("seq"), "username", (F.col("pk") % 50 != 0).alias("status"))
+    accepted = A.accepted_prefix(sent, "run_id", ["seq"], "status")
+    version = HS.mark_store(spark, root, A.accepted_pks(history, accepted))
+    return A.candidate_periods(HS.read_store(spark, root, version))
 
 
-def q32_inventory_count(spark: SparkSession, sf: str) -> DataFrame:
-    return INV.inventory_count(INV.file_inventory(spark, sf))
+def q37_zoned_local_time(spark: SparkSession, sf: str) -> DataFrame:
+    """T3 + T4 over instants around the hours that the page's zone repeats and skips."""
+    e = X.table(spark, sf, "events")
+    start = F.when(F.col("event_id") % 2 == 0, F.lit(X.REPEATED_HOUR)).otherwise(F.lit(X.SKIPPED_HOUR))
+    zoned = e.select("event_id", F.timestamp_micros((start + F.col("event_id") % 600 * 60) * 1_000_000 + F.col("event_id") % 1000).alias("at"))
+    utc = utc_wall(zoned, "at")
+    return zoned.select("event_id", utc.alias("utc"), to_local(utc).alias("local"), weekday0(utc).cast("int").alias("weekday"))
 
 
-def q33_daily_apply_store(spark: SparkSession, sf: str) -> DataFrame:
-    """K7 as a daily run against the store: open set bucketed by pk, closed rows appended."""
-    hist, snap, last = _history_before_last(spark, sf)
-    root = scratch_path(spark, "q33-store")
-    HS.seed_store(spark, root, hist)
-    HS.apply_daily(spark, root, snap, last, version=1)
-    return HS.read_store(spark, root, 1)
+def q38_upsert_posts(spark: SparkSession, sf: str) -> DataFrame:
+    """K5 on the posts table by its key: a second extraction of every third post with other counts."""
+    posts = FL.flatten_posts(X.raw_posts(spark, sf))
+    again = posts.where(F.col("post_id").cast("bigint") % 3 == 0).withColumn("like_count", F.col("like_count") + 1).drop("view_count")
+    target = U.upsert_replace(empty(spark, POSTS), posts, KEYS["posts"], ["criado_em_post"])
+    return U.upsert_replace(target, again, KEYS["posts"], ["criado_em_post"])
+
+
+def q39_upsert_likes(spark: SparkSession, sf: str) -> DataFrame:
+    """K5 on the likes table by its two-column key; the selected posts' likes come again, all private."""
+    likes = FL.flatten_likes(X.raw_likes(spark, sf))
+    again = FL.flatten_likes(X.raw_likes(spark, sf), A.posts_since(X.posts(spark, sf), X.POSTS_AS_OF)).withColumn("is_private", F.lit(True))
+    target = U.upsert_replace(empty(spark, LIKES), likes, KEYS["likes"], ["is_private", "stories"])
+    return U.upsert_replace(target, again, KEYS["likes"], ["is_private", "stories"])
+
+
+def q40_upsert_comments(spark: SparkSession, sf: str) -> DataFrame:
+    """K5 on the comments table by its key, which repeats over posts here: the latest comment wins."""
+    comments = FL.flatten_comments(X.raw_comments(spark, sf))
+    return U.upsert_replace(empty(spark, COMMENTS), comments, KEYS["comments"], ["created_at", "post_pk"])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -2,7 +2,8 @@
 
 person = ``customer`` (pk = c_custkey, username = c_name, full_name =
 c_mktsegment, null for every seventh key so the name fallback is exercised);
-follower snapshot of day d = the distinct ``user_id`` of ``events`` on d;
+follower snapshot of day d = the ``user_id``s of ``events`` on d, with names
+that change by day and event;
 like = a ``click`` event, comment = a ``view`` event; post = an ``orders``
 row; likers per post = ``lineitem``; comments per post = ``conversations``;
 captions and names = ``documents``.
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 INTERACTION_CUTOFF = "2024-01-29 00:00:00"   # likes / comments counted from here on
 POSTS_AS_OF = "2001-08-01 00:00:00"          # last order date of the test tables
 SPLIT_TS = "2024-01-15 00:00:00"             # first batch before, second batch from here on
+POST_EPOCH, POST_STEP = 1_500_000_000, 86_399  # seconds of the first post, and between posts
+REPEATED_HOUR, SKIPPED_HOUR = 1_518_900_000, 1_541_289_600  # instants hours before the zone's changes of 2018
 PROTECTED_SEGMENT = "BUILDING"               # protect list = customers of this segment
 
 
@@ -46,11 +49,19 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(snap_ts, snap_date, pk) per event: one snapshot per day (duplicates kept)."""
+    """(snap_ts, snap_date, pk, username, full_name, event_id): one snapshot per day.
+
+    A user with several events on a day is listed that often; the first by
+    event_id counts.  Names change: the username by day (two users share one),
+    the full name by event, and it is null on ``signup``.
+    """
     e = table(spark, sf_dir, "events")
-    d = F.to_date("ts")
-    return e.select(d.cast("timestamp_ntz").alias("snap_ts"), d.alias("snap_date"),
-                    F.col("user_id").alias("pk"))
+    d, pk = F.to_date("ts"), F.col("user_id")
+    return e.select(
+        d.cast("timestamp_ntz").alias("snap_ts"), d.alias("snap_date"), pk.alias("pk"),
+        F.concat(F.lit("user"), (pk - pk % 2).cast("string"), F.lit("."), (F.dayofmonth("ts") % 3).cast("string")).alias("username"),
+        F.when(F.col("event_type") != "signup", F.concat("event_type", F.lit(" "), (pk % 5).cast("string"))).alias("full_name"),
+        "event_id")
 
 
 def snapshot_catalog_rows(rows: DataFrame) -> DataFrame:
@@ -58,16 +69,10 @@ def snapshot_catalog_rows(rows: DataFrame) -> DataFrame:
     return rows.select("snap_ts", "snap_date").distinct()
 
 
-def with_names(rows: DataFrame, ppl: DataFrame) -> DataFrame:
-    """Snapshot rows get the person's names (names depend on pk only here)."""
-    return rows.join(ppl, "pk", "left")
-
-
-def attach_names(history: DataFrame, ppl: DataFrame) -> DataFrame:
-    """Names of replayed periods from the person table; same as the last snapshot's
-    names because a stand-in snapshot's names are a function of pk."""
-    cols = history.columns
-    return history.drop("username", "full_name").join(ppl, "pk", "left").select(*cols)
+def attach_names(df: DataFrame, ppl: DataFrame) -> DataFrame:
+    """``df`` with the person table's names instead of its own."""
+    cols = df.columns
+    return df.drop("username", "full_name").join(ppl, "pk", "left").select(*cols)
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,14 +138,27 @@ def caption_of(doc: DataFrame) -> F.Column:
 
 
 def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts from documents: times over several years, counts, and every fifth without a view count."""
     d = table(spark, sf_dir, "documents")
     return d.select(F.struct(
         F.col("doc_id").cast("string").alias("id"),
-        F.lit(None).cast("timestamp").alias("taken_at"),
+        F.timestamp_seconds(F.lit(POST_EPOCH) + F.col("doc_id") * POST_STEP).alias("taken_at"),
         F.lit(1).alias("media_type"),
-        F.lit(None).cast("bigint").alias("comment_count"),
-        F.lit(None).cast("bigint").alias("like_count"),
+        (F.col("doc_id") % 13).alias("comment_count"),
+        F.col("n_chars").alias("like_count"),
         caption_of(d).alias("caption"),
+        F.when(F.col("doc_id") % 5 != 0, F.col("n_chars") * 3).alias("view_count"),
+    ).alias("p"))
+
+
+def raw_order_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts from orders, whose likers and comments the other tables hold."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.struct(
+        F.col("o_orderkey").cast("string").alias("id"),
+        F.timestamp_micros(F.unix_micros(F.col("o_orderdate").cast("timestamp"))).alias("taken_at"),
+        F.lit(1).alias("media_type"), F.lit(None).cast("bigint").alias("comment_count"),
+        F.lit(None).cast("bigint").alias("like_count"), F.col("o_orderpriority").cast("string").alias("caption"),
         F.lit(None).cast("bigint").alias("view_count"),
     ).alias("p"))
 

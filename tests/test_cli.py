@@ -37,10 +37,12 @@ def test_history_runs_are_incremental_then_candidates(spark):
     results = tempfile.mkdtemp(prefix="rollcall-cli-res-")
     with open(f"{results}/r.csv", "w") as fh:
         fh.write("run_id;seq;username;status\nr;1;c;true\nr;2;a2;false\n")
-    marked = scratch_path(spark, "t-cli-marked")
-    assert main(["welcomed", store, results, marked]) == 0
-    rows = [ln.split(";") for ln in _csv_rows(marked)]
-    assert sorted((r[1], r[-1]) for r in rows) == [("a2", ""), ("b", ""), ("c", "1")]
+    assert main(["welcomed", store, results]) == 0
+    marked = {(r.pk, r.data_saida is None): r.welcome for r in read_history(spark, store).collect()}
+    assert marked == {(1, True): None, (2, False): None, (3, True): 1}
+    out = scratch_path(spark, "t-cli-outbox2")
+    assert main(["candidates", store, out, "--template", "Oi {}"]) == 0
+    assert _csv_rows(out) == ["a2;Oi A"]  # c was greeted
     for p in sorted(glob.glob(f"{later}/*")):
         os.rename(p, f"{folder}/{os.path.basename(p)}")
         os.utime(f"{folder}/{os.path.basename(p)}")
@@ -93,6 +95,44 @@ def test_daily_apply_command(spark):
     results = tempfile.mkdtemp(prefix="rollcall-cli-res2-")
     with open(f"{results}/r.csv", "w") as fh:
         fh.write("run_id;seq;username;status\nr;1;b;true\n")
-    marked = scratch_path(spark, "t-cli-marked2")
-    assert main(["welcomed", store, results, marked]) == 0
-    assert len(_csv_rows(marked)) == len(EXPECTED)
+    before = read_history(spark, store).count()
+    assert main(["welcomed", store, results]) == 0
+    assert read_history(spark, store).count() == before
+
+
+def test_no_interaction_from_csv_with_rejects_and_protect_list(spark, capsys):
+    folder = tempfile.mkdtemp(prefix="rollcall-cli-csv-")
+
+    def write(name, header, *lines):
+        os.makedirs(f"{folder}/{name}")
+        with open(f"{folder}/{name}/x.csv", "w", encoding="utf-8") as fh:
+            fh.write("\n".join([header, *lines]) + "\n")
+
+    write("posts", "post_id;criado_em_post;media_type;dia_semana_post;comment_count;like_count;caption_text;hashtags;view_count;repost",
+          "p1;2024-05-01 10:00:00;1;2;0;0;c;;0;", "p0;2023-01-01 10:00:00;1;2;0;0;c;;0;")
+    write("likes", "follower_pk;post_pk;is_private;stories", "1;p1;false;", "1.0;p1;false;", "2;p0;false;")
+    write("comments", "post_pk;comment_pk;text;follower_pk;is_private;created_at;dia_semana;content_type;status;has_liked_comment;like_count",
+          "p1;7;hi;3;false;2024-05-01 11:00:00;2;comment;Active;false;0")
+    write("followings", "pk;username;full_name", *(f"{k};u{k};U" for k in range(1, 6)), "x9;bad;B")
+    write("protect", "username", "u4")
+    out = scratch_path(spark, "t-cli-noint-csv")
+    args = ["no-interaction", *(f"{folder}/{n}" for n in ("posts", "likes", "comments", "followings")), out,
+            "--as-of", "2024-05-02", "--format", "csv", "--protect", f"{folder}/protect", "--stamp", "2024-05-02 101500"]
+    assert main(args) == 0
+    stamped = f"{out}_2024-05-02 101500"
+    assert sorted(ln.split(";")[0] for ln in _csv_rows(stamped)) == ["2", "5"]
+    said = capsys.readouterr().out
+    assert "likes: 1 rows" in said and "followings: 1 rows" in said and "comments" not in said
+    assert _csv_rows(f"{stamped}_rejects/likes") == ["1.0"]
+
+
+def test_new_followers_command(spark):
+    folder = tempfile.mkdtemp(prefix="rollcall-cli-new-")
+    for name, rows in (("a.csv", ["0;1;a;A", "1;2;b;B"]), ("b.csv", ["0;2;z;Z", "1;3;c;C", "2;3;d;D"])):
+        with open(f"{folder}/{name}", "w") as fh:
+            fh.write("\n".join([";pk;username;full_name", *rows]) + "\n")
+    first, second = scratch_path(spark, "t-cli-new1"), scratch_path(spark, "t-cli-new2")
+    assert main(["new-followers", f"{folder}/a.csv", f"{folder}/none", first, "--at", "2024-01-01 09:00:00"]) == 0
+    assert main(["new-followers", f"{folder}/b.csv", first, second, "--at", "2024-01-02 09:00:00"]) == 0
+    rows = sorted((r.pk, r.username, r.follow_time.day) for r in spark.read.parquet(second).collect())
+    assert rows == [(1, "a", 1), (2, "b", 1), (3, "c", 2)]

@@ -19,7 +19,8 @@ def test_no_interaction_pushes_filters_to_the_scan(spark):
 
 
 def test_inventory_never_reads_file_content(spark):
-    plan = _plan(QUERIES["q07_file_inventory"](spark, SF))
+    from rollcall.sources.inventory import file_inventory
+    plan = _plan(file_inventory(spark, SF))
     schema = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
     assert "content" not in schema and "length" in schema
 
@@ -40,6 +41,14 @@ def test_likes_semi_join_runs_before_the_nested_grouping(spark):
     assert semi > collect  # printed below it in the tree, i.e. evaluated first
 
 
-def test_upsert_deduplicates_map_side(spark):
+def test_upsert_reads_and_shuffles_its_batch_once(spark):
     plan = _plan(QUERIES["q10_upsert_last_wins"](spark, SF))
-    assert "partial_max_by" in plan
+    assert "WindowGroupLimit" in plan and plan.count("Scan parquet") == 1
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+
+
+def test_chain_selects_posts_below_the_explode(spark):
+    plan = _plan(QUERIES["q35_no_interaction_chain"](spark, SF))
+    lines = plan.split("\n")
+    explode = next(i for i, x in enumerate(lines) if "explode(likers" in x)
+    assert any("LeftSemi" in x for x in lines[explode:])  # printed below it, i.e. evaluated first
