@@ -17,7 +17,7 @@ import pyarrow as pa
 U = np.uint64
 BYTE_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 WORD_BASE = 0xC2B2AE3D27D4EB4F
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _powers: dict[int, np.ndarray] = {}
 
