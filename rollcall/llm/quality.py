@@ -137,4 +137,4 @@ def quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: s
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality(table(spark, sf_dir, "documents"))
+    return quality(table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")

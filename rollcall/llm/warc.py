@@ -58,7 +58,8 @@ def member(page_id, url, payload: bytes, first) -> bytes:
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if first is not None else http + payload
     lines = ["WARC/1.1", f"WARC-Type: {'response' if first is None else 'revisit'}", f"WARC-Record-ID: {_record_id(page_id, digest)}", f"WARC-Date: {DATE}"]
-    lines += [f"WARC-Target-URI: {_line(url)}"] * (url is not None) + [f"X-Page-ID: {page_id}"] * (page_id is not None)
+    lines += [f"WARC-Target-URI: {_line(url)}"] if url is not None else []
+    lines += [f"X-Page-ID: {page_id}"] if page_id is not None else []
     lines += [f"WARC-Payload-Digest: sha1:{digest}", "Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}"]
     if first is not None:
         lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {_record_id(first, digest)}", f"X-Refers-To-Page-ID: {first}"]
