@@ -137,10 +137,20 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str)
                 lists = np.split((both & ((1 << BITS) - 1)).astype(np.int32), np.searchsorted(both >> BITS, np.arange(1, rows)))
                 yield pa.RecordBatch.from_arrays([batch.column(0)[first : first + rows], pa.array([x.tobytes() for x in lists], pa.binary())], ["label", "terms"])
 
+    def learn(batches):
+        rows = sorted((label, terms) for batch in batches for label, terms in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+        m = train(np.array([r[0] for r in rows], np.int64), [np.frombuffer(r[1], np.int32).astype(np.int64) for r in rows])
+        number = np.flatnonzero(m.active >= 0)
+        yield pa.RecordBatch.from_pylist([{"number": number.tobytes(), "bias": m.bias, "linear": m.linear.tobytes(), "factors": m.factors.tobytes()}])
+
     texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(sample), "_id")  # SAMPLE rows
-    got = texts.select("_label", "_text").mapInArrow(distinct, "label int, terms binary").collect()
-    got.sort()
-    return train(np.array([r[0] for r in got], np.int64), [np.frombuffer(r[1], np.int32).astype(np.int64) for r in got])
+    rows = texts.select("_label", "_text").mapInArrow(distinct, "label int, terms binary")
+    # the sample is bounded, and so is the one task that learns from it
+    model = rows.repartition(1).mapInArrow(learn, "number binary, bias double, linear binary, factors binary").first()
+    number, linear = np.frombuffer(model["number"], np.int64), np.frombuffer(model["linear"])
+    active = np.full(1 << BITS, -1, np.int64)
+    active[number] = np.arange(len(number))
+    return Machine(active, model["bias"], linear, np.frombuffer(model["factors"]).reshape(len(linear), FACTORS))
 
 
 def score(docs: DataFrame, machine: Machine, doc_id: str, text: str) -> DataFrame:
