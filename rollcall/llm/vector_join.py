@@ -3,7 +3,7 @@
 Vectors are turned by a random rotation and cut into two blocks.  Each block has a code of random
 unit vectors; a filter direction is a pair of code words, so a vector's inner products with all
 directions are sums of two short lists.  List decoding sorts both and reads off exactly the pairs
-whose sum exceeds the cap height.  Vectors meet in the filters they share, and every met pair is
+whose sum exceeds the cap height, or its nearest ``LEAST`` where those are fewer.  Vectors meet in the filters they share, and every met pair is
 verified by its cosine in double precision.
 
 Size and height follow from the number of vectors: about ``IN_CAP`` vectors to a filter, about
@@ -29,7 +29,8 @@ from rollcall.llm.store import table, written
 from rollcall.session import bounded_broadcast
 
 COSINE = 0.9
-FILTERS = 28
+FILTERS = 48
+LEAST = 32  # a vector near few directions takes at least so many, its nearest
 IN_CAP = 8
 BLOCK = 1024
 SEED = 7
@@ -66,6 +67,11 @@ class Code:
             counts = np.searchsorted(best, x[near] - self.height, "right")
             i = np.repeat(near, counts)
             j = order[np.arange(len(i)) - np.repeat(np.cumsum(counts) - counts, counts)]
+            if len(i) < LEAST:  # the best LEAST sums lie among the LEAST best of either block
+                rows, columns = np.argsort(-x)[:LEAST], order[:LEAST]
+                sums = (x[rows][:, None] + y[columns][None, :]).ravel()
+                top = np.argpartition(-sums, LEAST - 1)[:LEAST]
+                i, j = rows[top // len(columns)], columns[top % len(columns)]
             found.append(np.sort(i * self.words + j))
         return found
 
