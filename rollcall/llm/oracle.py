@@ -76,7 +76,8 @@ j as (select g.*, case when word_chars >= {MIN_CHARS} then {_distance('chars', '
   case when n_words >= {MIN_COMMON} then {_distance('common', 'rw')} end as dw from g left join ref on g.key = ref.key)
 select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars, cast(n_symbols as bigint) as n_symbols,
   cast(n_dup_lines as bigint) as n_dup_lines, cast(n_repeat_words as bigint) as n_repeat_words, base_failed,
-  not base_failed and not coalesce(dc > {MAX_CHAR_DISTANCE}, false) and not coalesce(dw > {MAX_WORD_DISTANCE}, false) as kept from j""",
+  not base_failed and not coalesce(dc > {MAX_CHAR_DISTANCE[0]} + {MAX_CHAR_DISTANCE[1]} / sqrt(n_words), false)
+    and not coalesce(dw > {MAX_WORD_DISTANCE[0]} + {MAX_WORD_DISTANCE[1]} / sqrt(n_words), false) as kept from j""",
 
     "op5_warc": f"""with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages),
 b as (select *, cast(cast(unhex(h) as bit) as varchar) as bits, min(page_id) over (partition by h) as first from p)

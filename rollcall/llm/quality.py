@@ -4,7 +4,7 @@ Two histograms of each document are compared with its language's by Jensen-Shann
 (square root, base 2, between 0 and 1): character classes, and common words with one bin for all
 others.  The references are sums over all documents of the language that pass the base rules.
 Guards: a text under a minimum length is too small a sample of either histogram and isn't judged
-by it.  Base rules: at least ``MIN_WORDS`` words, and at most 30 of 100 words in 8-word windows
+by it, and above it the distance allowed falls as the sample grows.  Base rules: at least ``MIN_WORDS`` words, and at most 30 of 100 words in 8-word windows
 that the text repeats.
 """
 
@@ -28,8 +28,10 @@ LISTED = {name: words_.split() for name, words_ in COMMON.items()}
 LISTED[OTHER] = list(dict.fromkeys(w for listed in LISTED.values() for w in listed[:5]))
 LETTERS = ".abcdefghijklmnopqrst"
 MIN_WORDS, WINDOW, REPEATED_PERCENT = 20, 8, 30
-MIN_CHARS, MAX_CHAR_DISTANCE = 100, 0.25
-MIN_COMMON, MAX_WORD_DISTANCE = 40, 0.4
+MIN_CHARS, MIN_COMMON = 100, 40  # smaller samples aren't judged
+# A sample's own distance from its source falls with the square root of its size: the most that is
+# allowed at n words is (a + b / sqrt(n)).
+MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = (0.1, 1.5), (0.08, 2.0)
 
 
 def repeated_words(tokens: Column, window: int = WINDOW) -> Column:
@@ -117,7 +119,8 @@ def judge(rows: DataFrame, keep: list[str]) -> DataFrame:
     rows = rows.join(F.broadcast(sums), F.col("_f.lang") == F.col("_lang"), "left")
     chars, common = distance(F.col("_chars"), F.col("_ref_chars")), distance(f["common"], F.col("_ref_words"))
     rows = rows.withColumns({"_dc": F.when(f["word_chars"] >= MIN_CHARS, chars), "_dw": F.when(f["n_words"] >= MIN_COMMON, common)})
-    far = F.coalesce(F.col("_dc") > MAX_CHAR_DISTANCE, F.lit(False)) | F.coalesce(F.col("_dw") > MAX_WORD_DISTANCE, F.lit(False))
+    most = lambda limit: limit[0] + limit[1] / F.sqrt(F.greatest(f["n_words"], F.lit(1)))
+    far = F.coalesce(F.col("_dc") > most(MAX_CHAR_DISTANCE), F.lit(False)) | F.coalesce(F.col("_dw") > most(MAX_WORD_DISTANCE), F.lit(False))
     figures = F.struct(
         f["n_words"].alias("n_words"), f["word_chars"].alias("word_chars"), f["classes"][0].alias("n_symbols"), f["n_dup_lines"].alias("n_dup_lines"),
         f["n_repeat_words"].alias("n_repeat_words"), F.col("_failed").alias("base_failed"), (~F.col("_failed") & ~far).alias("kept"),
