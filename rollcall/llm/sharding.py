@@ -48,30 +48,30 @@ def first_map(spark: SparkSession, slots: int, shards: int) -> DataFrame:
 
 
 def current(log: DataFrame) -> DataFrame:
-    """``slot, shard`` as the latest version has it."""
-    return log.groupBy("slot").agg(F.max_by("shard", "version").alias("shard"))
+    """``slot, shard, since`` as the latest version has it."""
+    return log.groupBy("slot").agg(F.max_by("shard", "version").alias("shard"), F.max("version").alias("since"))
 
 
 def rebalance(log: DataFrame, sizes: DataFrame, shards: int, version: int) -> DataFrame:
     """The slots that move in ``version``, for ``shards`` shards; those of removed shards all move."""
     known = current(log).join(sizes, F.col("slot") == F.col("virtual_slot"), "left")
     known = known.select("slot", "shard", F.coalesce("bytes", F.lit(0)).cast("long").alias("bytes"))
-    room = known.agg((F.sum("bytes") / shards).alias("mean"))
     largest = Window.partitionBy("shard").orderBy(F.desc("bytes"), "slot")
-    known = known.withColumn("upto", F.sum("bytes").over(largest)).join(F.broadcast(room))  # one row
-    stays = (F.col("upto") <= F.col("mean")) & (F.col("shard") < shards)
-    known = known.withColumn("stays", stays)
-    kept = known.where("stays").groupBy("shard").agg(F.sum("bytes").alias("bytes"))
-    loads = kept.agg(F.map_from_entries(F.collect_list(F.struct("shard", "bytes"))).alias("kept"))
-    loads = loads.select(F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: F.coalesce(F.element_at("kept", s), F.lit(0).cast("long"))).alias("loads"))
-    moving = known.where("not stays").agg(F.sort_array(F.collect_list(F.struct((-F.col("bytes")).alias("less"), "slot", "shard"))).alias("moving"))
+    known = known.withColumns({"upto": F.sum("bytes").over(largest), "mean": F.sum("bytes").over(Window.partitionBy(F.lit(0))) / shards})
+    known = known.withColumn("stays", (F.col("upto") <= F.col("mean")) & (F.col("shard") < shards))
+    # one row: an entry per slot, of which there is a fixed number
+    whole = known.agg(F.collect_list(F.struct("stays", "shard", "bytes", "slot")).alias("slots"))
+    load = "aggregate(filter(slots, x -> x.stays and x.shard = s), 0L, (a, x) -> a + x.bytes)"
+    whole = whole.select(
+        F.expr(f"transform(sequence(0, {shards - 1}), s -> {load})").alias("loads"),
+        F.expr("sort_array(transform(filter(slots, x -> not x.stays), x -> named_struct('less', -x.bytes, 'slot', x.slot, 'shard', x.shard)))").alias("moving"),
+    )
     dealt = """aggregate(moving, named_struct('loads', loads, 'to', cast(array() as array<int>)),
         (acc, x) -> named_struct(
             'loads', transform(acc.loads, (load, i) -> if(i + 1 = array_position(acc.loads, array_min(acc.loads)), load - x.less, load)),
             'to', concat(acc.to, array(cast(array_position(acc.loads, array_min(acc.loads)) - 1 as int)))),
         acc -> acc.to)"""
-    both = moving.join(F.broadcast(loads)).select("moving", F.expr(dealt).alias("to"))  # one row each
-    each = both.select(F.posexplode("moving").alias("i", "m"), "to")
+    each = whole.select("moving", F.expr(dealt).alias("to")).select(F.posexplode("moving").alias("i", "m"), "to")
     moved = each.select(F.lit(version).alias("version"), "m.slot", F.col("m.shard").alias("was"), F.get("to", F.col("i")).alias("shard"))
     return moved.where("was <> shard").drop("was")
 
@@ -82,13 +82,13 @@ def place(rows: DataFrame, sizes: DataFrame, log: DataFrame) -> DataFrame:
     Places are counted per virtual slot and shifted by the rows of the shard's earlier slots, so no
     task sees a whole shard.  The map has one row per slot, a fixed number, and is broadcast.
     """
-    slots = current(log).join(sizes, F.col("slot") == F.col("virtual_slot")).drop("slot")
+    newest = F.max("since").over(Window.partitionBy(F.lit(0)))
+    slots = current(log).withColumn("map_version", newest).join(sizes, F.col("slot") == F.col("virtual_slot")).drop("slot")
     before = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)
-    slots = slots.withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0))).select("virtual_slot", "shard", "before")
-    newest = log.agg(F.max("version").alias("map_version"))
+    slots = slots.withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0))).select("virtual_slot", "shard", "map_version", "before")
     within = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "copy")
     placed = rows.join(F.broadcast(slots), "virtual_slot").withColumn("slot", F.col("before") + F.row_number().over(within) - 1)
-    return placed.join(F.broadcast(newest)).drop("before")
+    return placed.drop("before")
 
 
 def shard_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int = 16, slots: int = SLOTS) -> DataFrame:
