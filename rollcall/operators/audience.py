@@ -77,7 +77,7 @@ def exclude_protected(df: DataFrame, protected, column: str = "username",
         names = bounded_broadcast(names, max_rows)
     else:
         schema = T.StructType([T.StructField(column, T.StringType())])
-        names = F.broadcast(df.sparkSession.createDataFrame([(n,) for n in set(protected)], schema))
+        names = bounded_broadcast(df.sparkSession.createDataFrame([(n,) for n in set(protected)], schema), max_rows)
     return df.join(names, column, "left_anti").select(*df.columns)
 
 

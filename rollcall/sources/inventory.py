@@ -60,9 +60,9 @@ def _mine(name: str, part: int, parts: int) -> bool:
 def _scan_folder(folder: str, recurse: bool, part: int = 0, parts: int = 1):
     """Rows of one folder's files (its ``part`` share); sub-folders walked when ``recurse``.
 
-    A folder whose listing or one of whose file stats raises yields one
-    error row; files already yielded stay, the rest of that folder is
-    skipped, sub-folders found before the error are still walked.
+    A folder whose listing raises, and a file whose stat raises, yields one
+    error row and costs nothing else, so the rows don't depend on how folders
+    are dealt out.
     """
     pending = [folder]
     while pending:
@@ -75,7 +75,10 @@ def _scan_folder(folder: str, recurse: bool, part: int = 0, parts: int = 1):
                         pending.append(full)
                     continue
                 if _mine(entry, part, parts):
-                    yield _stat_row(current, entry)
+                    try:
+                        yield _stat_row(current, entry)
+                    except OSError as exc:
+                        yield _error(current, exc)
         except Exception as exc:  # noqa: BLE001 - every failure becomes an error row
             yield _error(current, exc)
 

@@ -102,7 +102,9 @@ def test_inventory_binary_file(spark, tree):
 def test_inventory_data_source_lists_hidden_and_errors(spark, tree):
     got = {(r.pasta, r.arquivo) for r in file_inventory(spark, tree, hidden=True).collect()}
     assert {(tree, ".h"), (f"{tree}/_x", "in_x.txt"), (tree, "top.txt"),
-            (f"{tree}/sub", "name é.txt"), (f"{tree}/sub/deeper", "nested.csv")} <= got
+            (f"{tree}/sub", "name é.txt"), (f"{tree}/sub/deeper", "nested.csv"), (f"{tree}/broken", "ok.txt")} <= got
+    one_each = {(r.pasta, r.arquivo) for r in file_inventory(spark, tree, hidden=True, files_per_part=1).collect()}
+    assert one_each == got  # however the folder is dealt out
     assert not any(p == f"{tree}/empty" for p, _ in got)
     errs = inventory_errors(spark, tree).collect()
     assert [e.pasta for e in errs] == [f"{tree}/broken"] and "FileNotFoundError" in errs[0].error
