@@ -58,7 +58,7 @@ def main() -> None:
     print("# PLANS — executed physical plans of the driver queries\n")
     print(f"Generated by `tools/plan_report.py` at `{sf}` on `local[*]` with AQE on (final adaptive "
           "plans). Shuffle keys are shown once per exchange; a reused exchange is counted apart. "
-          "Broadcasts are decided at runtime by AQE or by `bounded_broadcast`'s row check; on the "
+          "Broadcasts are decided at runtime by AQE or by `bounded_broadcast`'s size check; on the "
           "test tables most build sides are small, so at scale some broadcasts become sort-merge "
           "joins, as noted per query in README.\n")
     print("| query | shuffles (kind: keys) | reused | broadcasts | joins | aggregates | windows | pushed filters |")
@@ -80,17 +80,18 @@ NOTES = """
 ## Reading the table at 100 TB
 
 - **No cartesian or nested-loop join anywhere.** Every join is an equi-join.
-- **Every shuffle follows a map-side combine or is keyed on a unique key.**
-  - `hashpartitioning` exchanges under `HashAggregate` / `SortAggregate` / `ObjectHashAggregate` ship partial aggregates, not raw rows. So a key holding a third of the rows is reduced before it moves. This covers q10-q12, q14, q15, q23 and q27.
-  - Where a join shuffles both sides (a sort-merge join, e.g. q13's full outer join on `pk`, or an upsert anti-join once AQE keeps it sort-merge), its keys are unique on both sides after de-duplication, so no join key can be hot.
+- **What the shuffles carry.**
+  - `hashpartitioning` exchanges under `HashAggregate` / `SortAggregate` / `ObjectHashAggregate` ship partial aggregates, not raw rows, and those under a `row_number() = 1` window one row per key and task (`WindowGroupLimit`). So a key holding a third of the rows is reduced before it moves. This covers q10-q15, q23, q27 and q36-q40.
+  - Where a join shuffles both sides (a sort-merge join, e.g. q13's full outer join on `pk`), its keys are unique on both sides after de-duplication, so no join key can be hot.
+  - Raw rows move in three places: the range sort of an indexed or ordered CSV export (with a tie-breaker, so equal keys spread), the range partitioning of snapshot folders, and `spread`'s round robin.
 - **Broadcast build sides and their bounds.**
-  - The replay calendar (one row per snapshot) and the accepted-prefix cut table (one row per run) go through `bounded_broadcast`: checkpoint, count, then broadcast under 2M rows.
+  - The replay calendar (one row per snapshot) and the accepted-prefix cut table (one row per run) go through `bounded_broadcast`: checkpoint, measure, then broadcast under 2M rows and 128 MB.
   - `customer` is broadcast here only because it is small; at scale it is a sort-merge join. AQE may still convert it at runtime.
 - **q02 / q29** show the one `RoundRobinPartitioning`, from `spread`: the documents table is one row group, so the caption parsing is spread over the cores. On an input with more splits than cores there is no exchange.
 - **q19**'s `SinglePartition` + `ObjectHashAggregate` is Spark's runtime bloom filter for the semi-join (built from the small side).
 - **q21 / q32** `SinglePartition` exchanges carry one partial count per task.
 - **Pushed filters** reach every scan that has a predicate: the cutoff in q03 / q17 / q18 / q20, the split date in q11 / q12, and the snapshot day in q13 / q19.
-- **q05, q28-q31, q33** write and read files, so their plans are scans only. The work happens while the query is built: the export and stream (q30), and the store's seed and daily apply (q33, whose join reads the pk-bucketed open set in place; see `tests/test_history_store.py`).
+- **q05, q28-q30, q33, q36** write and read files, so their plans are scans only. The work happens while the query is built: the export and stream (q30), and the store's seed and daily apply (q33, q36; the join reads the pk-bucketed open set in place; see `tests/test_history_store.py`).
 """
 
 
