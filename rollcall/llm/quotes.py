@@ -94,12 +94,14 @@ def parents(sent: DataFrame) -> DataFrame:
 def threads(sent: DataFrame, links: DataFrame) -> DataFrame:
     """``id, parent, root, steps``: the message that started the thread and how many replies lie between."""
     start = sent.select("id").join(links, "id", "left")
-    now = written(start.select("id", "parent", F.coalesce("parent", "id").alias("root"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("steps")), "threads")
-    while True:
-        up = now.select(F.col("id").alias("root"), F.col("root").alias("above"), F.col("steps").alias("more"))
-        if not up.where("more > 0").join(now.where("root <> id"), "root", "left_semi").limit(1).count():
-            return now
-        now = written(now.join(up, "root").select("id", "parent", F.col("above").alias("root"), (F.col("steps") + F.col("more")).alias("steps")), "threads")
+    starts = F.col("parent").isNull()
+    now = written(start.select("id", "parent", F.coalesce("parent", "id").alias("root"), F.when(starts, 0).otherwise(1).cast("long").alias("steps"), starts.alias("done")), "threads")
+    while now.where("not done").limit(1).count():
+        up = now.select(F.col("id").alias("root"), F.col("root").alias("above"), F.col("steps").alias("more"), F.col("done").alias("there"))
+        moved = now.where("not done").join(up, "root")  # messages that have arrived aren't joined again
+        moved = moved.select("id", "parent", F.col("above").alias("root"), (F.col("steps") + F.col("more")).alias("steps"), F.col("there").alias("done"))
+        now = written(now.where("done").unionByName(moved), "threads")
+    return now.drop("done")
 
 
 def link_quotes(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
