@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm.components import components
-from rollcall.llm.store import table, written
+from rollcall.llm.store import modest_batches, table, written
 from rollcall.llm.textvec import U, Windows, Words, chunks, lower_ascii, mix
 from rollcall.session import bounded_broadcast
 
@@ -219,6 +219,7 @@ def ngram_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
     """
     if not 50 < percent <= 100:
         raise ValueError("percent must be in (50, 100]")
+    modest_batches(docs.sparkSession)
     rows = written(_incidence(docs, doc_id, text, n, percent), "incidence")
     classes = written(
         rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("tk").alias("tk"), F.first("n").alias("n"), F.first("block").alias("block")),

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm.store import table
+from rollcall.llm.store import modest_batches, table
 from rollcall.llm.textvec import Spans, chunks, ragged
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -36,7 +36,7 @@ NONE = np.iinfo(np.int32).max
 FILTER_BITS = 22
 LONGEST = 64  # longer segments are cut further, or encoded one by one
 KEPT = 1 << 21  # tokens of known segments that a task remembers
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -330,6 +330,7 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL, doc_id: str = "do
     round_trip: the ids decode to the text again, with U+2581 as the space it stands for.  A null
     or empty text has no ids and comes back empty.  Repeated rows are encoded each.
     """
+    modest_batches(docs.sparkSession)
     with open(model_path, "rb") as f:  # the driver's copy goes to the tasks
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
 

@@ -21,3 +21,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# Rows and bytes of one Arrow batch between Spark and the Python workers; Spark's own defaults are 10000 and 64 MB.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
+
+def modest_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch sizes to what operators on whole texts need, so that workers stay small beside each other."""
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
+    spark.conf.set(size, str(BATCH_BYTES))

@@ -22,13 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm.store import table, written
+from rollcall.llm.store import modest_batches, table, written
 from rollcall.llm.textvec import U, Windows, Words, chunks, leftmost_minima
 from rollcall.session import bounded_broadcast
 
 WINDOW = 35
 BASE = 9
 FILTER_BITS = 27
+ROWS = 512  # texts that a task holds in cut form at a time
 
 
 def levels(window: int, base: int) -> list[int]:
@@ -152,13 +153,14 @@ def dedup_substrings(docs: DataFrame, text: str = "text", window: int = WINDOW,
     words, and kept is empty.  A text shorter than the window is kept whole.  Repeated rows are
     copies of each other.  An empty table gives no rows.
     """
+    modest_batches(docs.sparkSession)
     spans = written(repeated_windows(docs, text, window, base), "spans")
     spans = spans.groupBy("tk").agg(F.collect_list("from").alias("_from"), F.collect_list("to").alias("_to"))
     rows = docs.select(F.struct(*carry).alias("_row"), F.col(text).alias("_text"), F.xxhash64(text).alias("tk"))
     rows = rows.join(bounded_broadcast(spans), "tk", "left").select("_row", "_text", "_from", "_to")
 
     def cut(batches):
-        for batch in batches:
+        for batch in (b.slice(s, ROWS) for b in batches for s in range(0, b.num_rows, ROWS)):
             counts, removed, kept = [], [], []
             for value, starts, ends in zip(*(batch.column(i) for i in (1, 2, 3)), strict=True):
                 words = (value.as_py() or "").encode().split()  # on 0x20 and 0x09-0x0D

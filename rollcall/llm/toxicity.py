@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm.store import table
+from rollcall.llm.store import modest_batches, table
 from rollcall.llm.textvec import Spans, U, Words, chunks, mix
 
 BITS = 20
@@ -126,6 +126,7 @@ def train(labels: np.ndarray, texts: list[np.ndarray]) -> Machine:
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str) -> Machine:
     """Train on the sample of ``labels`` (``doc_id, label``) with their texts in ``docs``; null labels and ids are left out."""
+    modest_batches(docs.sparkSession)
     known = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_label"))
     sample = known.orderBy(F.xxhash64("_id"), "_id", "_label").limit(SAMPLE)  # kept as one top-k of each task
 

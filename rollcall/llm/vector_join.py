@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.llm.components import components
-from rollcall.llm.store import table, written
+from rollcall.llm.store import modest_batches, table, written
 from rollcall.session import bounded_broadcast
 
 COSINE = 0.9
@@ -115,7 +115,7 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     different lengths.  Null ids are ignored in component_id.  Repeated rows link with each other.
     No rows give no rows.
     """
-    spark = vectors.sparkSession
+    modest_batches(vectors.sparkSession)
     values = F.col(embedding).cast("array<double>")
     good = F.coalesce(F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(values, lambda x: x != 0), F.lit(False))
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.when(good, values).alias("v"))

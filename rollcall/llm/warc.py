@@ -25,7 +25,7 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm.store import table, written
+from rollcall.llm.store import modest_batches, table, written
 from rollcall.session import scratch_path
 
 MIN_BYTES = 0  # smaller payloads are never revisits
@@ -149,6 +149,7 @@ def write(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: st
     null html is an empty payload, a null url no target.  A null page_id comes after all others;
     if a payload has no other, all its rows are responses.  An empty table writes nothing.
     """
+    modest_batches(pages.sparkSession)
     folder = scratch_path(pages.sparkSession, "warc")
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html).cast("binary"), F.lit("").cast("binary")).alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
