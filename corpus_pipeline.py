@@ -25,8 +25,9 @@ from rollcall.llm.substring_dedup import dedup_substrings  # noqa: E402
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or diverge from their language go."""
-    rows = written(features(docs, "text", "lang"), "features")
-    return judge(rows, docs.columns).where("_j.kept").select(*docs.columns)
+    # the references and the verdicts both read the figures: they are worked out twice rather than
+    # written with all texts, which would take the corpus's size on disk
+    return judge(features(docs, "text", "lang"), docs.columns).where("_j.kept").select(*docs.columns)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

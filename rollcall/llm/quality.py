@@ -87,7 +87,8 @@ def features(docs: DataFrame, text: str, lang: str) -> DataFrame:
             F.array(*(F.regexp_count(whole, F.lit(p)).cast("long") for p in (r"[#*$%&|<>]", r"[.,;:!?]", r"[0-9]", r"\p{Lu}"))).alias("classes"),
         )
 
-    return docs.withColumn("_f", let(words(text), figures))
+    # a generator, not a projection: no later step can fold the work into each of its uses
+    return docs.select("*", F.explode(F.transform(F.array(words(text)), figures)).alias("_f"))
 
 
 def distance(counts: Column, reference: Column) -> Column:
