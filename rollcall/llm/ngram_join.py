@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm.components import components
-from rollcall.llm.store import modest_batches, table, written
-from rollcall.llm.textvec import U, Windows, Words, chunks, lower_ascii, mix
+from rollcall.llm.store import forget, modest_batches, table, written
+from rollcall.llm.textvec import U, Windows, Words, chunks, frugal, lower_ascii, mix
 from rollcall.session import bounded_broadcast
 
 SKETCH_BITS = 20
@@ -83,7 +83,7 @@ def _sketch(docs: DataFrame, text: str, n: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array([x.tobytes() for x in totals.values()], pa.binary())], ["part", "counts"])
 
     schema = "part int, counts binary"
-    parts = docs.select(text).mapInArrow(count, schema).repartition(SKETCH_PARTS, "part").mapInArrow(add, schema)
+    parts = docs.select(text).mapInArrow(frugal(count), schema).repartition(SKETCH_PARTS, "part").mapInArrow(add, schema)
     whole = np.zeros(1 << SKETCH_BITS, np.int64)
     for part, counts in parts.collect():  # SKETCH_PARTS rows of fixed size
         whole[part * width : (part + 1) * width] = np.frombuffer(counts, np.int64)
@@ -113,7 +113,7 @@ def _incidence(docs: DataFrame, doc_id: str, text: str, n: int, percent: int) ->
             )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("tk"), F.col(text).alias("text"))
-    return rows.mapInArrow(block, "doc_id long, tk long, node long, n long, block array<long>")
+    return rows.mapInArrow(frugal(block), "doc_id long, tk long, node long, n long, block array<long>")
 
 
 def _overlapping(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, n: int, percent: int) -> DataFrame:
@@ -134,7 +134,9 @@ def _overlapping(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: st
     texts = written(texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
     sides = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     sides = sides.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    return written(sides.select("a", "b", "text_a", "text_b").mapInArrow(product, "a long, b long"), "links")
+    links = written(sides.select("a", "b", "text_a", "text_b").mapInArrow(frugal(product), "a long, b long"), "links")
+    forget(pairs, texts)
+    return links
 
 
 def _size_fits(a: str, b: str, percent: int):
@@ -209,13 +211,14 @@ def _large_columns(large: DataFrame, classes: DataFrame, percent: int) -> DataFr
     return dealt.mapInArrow(product, "a long, b long")
 
 
-def ngram_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 3, percent: int = 90) -> DataFrame:
+def ngram_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 3, percent: int = 90, scratch: list[DataFrame] | None = None) -> DataFrame:
     """``doc_id, tk, n_shingles, root, component_id`` per row of ``docs``; tk hashes its text, root names its component.
 
     Two documents link when ``100 * |A and B| >= percent * |A or B|`` for their sets of distinct
     word n-grams (A-Z lower-cased; fewer than n words: the whole sequence as one).  A null or
     wordless text has the empty set and links with nothing.  component_id is the smallest doc_id
     reachable; null ids are ignored in that minimum and keep their row.  Repeated rows are copies.
+    ``scratch`` takes the written tables that the result still reads.
     """
     if not 50 < percent <= 100:
         raise ValueError("percent must be in (50, 100]")
@@ -241,15 +244,19 @@ def ngram_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
     near = _overlapping(star, classes, docs, text, n, percent)
     parts = components(near).withColumnsRenamed({"root": "part"})
 
-    lit = written(shared.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node")), "parts")
-    sizes = lit.groupBy("key", "part").count().groupBy("key")
+    everyone = written(shared.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node")), "parts")
+    sizes = everyone.groupBy("key", "part").count().groupBy("key")
     sizes = sizes.agg(F.max_by("part", F.struct("count", "part")).alias("main"), F.max("count").alias("most"), F.sum("count").alias("all"), F.count("*").alias("parts"))
-    lit = written(lit.join(sizes.where("parts > 1").drop("parts"), "key"), "open")
-    small, large = lit.where(F.col("all") <= LEADERS), lit.where(F.col("all") > LEADERS)
+    open_ = written(everyone.join(sizes.where("parts > 1").drop("parts"), "key"), "open")
+    forget(shared, everyone)
+    small, large = open_.where(F.col("all") <= LEADERS), open_.where(F.col("all") > LEADERS)
     pairs = _small_columns(small, large, percent).unionByName(_large_columns(large, classes, percent)).distinct()
     far = _overlapping(pairs, classes, docs, text, n, percent)
 
-    roots = components(near.unionByName(far))
+    roots = components(near.unionByName(far))  # checkpointed
+    forget(open_, near, far)
+    if scratch is not None:
+        scratch += [rows, classes]
     joined = classes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = joined.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = joined.select("node", "root").join(smallest, "root").select("node", "root", "component_id")
@@ -263,7 +270,9 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     Rows without words are in no component and all stay.
     """
-    groups = written(ngram_groups(docs, doc_id, text).where("n_shingles > 0").select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tk").alias("row"), "root"), "groups")
+    scratch: list[DataFrame] = []
+    groups = written(ngram_groups(docs, doc_id, text, scratch=scratch).where("n_shingles > 0").select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tk").alias("row"), "root"), "groups")
+    forget(*scratch)
     first = groups.groupBy("root").agg(F.min("row").alias("first"))
     others = groups.join(first, "root").where("row <> first").select("row").distinct()
     repeats = groups.groupBy("row").count().where("count > 1").select("row")

@@ -27,16 +27,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.llm.store import modest_batches, table
-from rollcall.llm.textvec import Spans, chunks, ragged
+from rollcall.llm.textvec import Spans, chunks, frugal, ragged
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 NONE = np.iinfo(np.int32).max
 FILTER_BITS = 22
+CHUNK = 256 << 10  # bytes of texts encoded at a time
 LONGEST = 64  # longer segments are cut further, or encoded one by one
-KEPT = 1 << 21  # tokens of known segments that a task remembers
-CHUNK = 1 << 20
+KEPT = 1 << 19  # tokens of known segments that a task remembers
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -349,7 +349,7 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL, doc_id: str = "do
                 )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
+    return rows.mapInArrow(frugal(run), "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
 
 
 def decode_documents(rows: DataFrame, model_path: str = MODEL, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:

@@ -16,7 +16,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """``df``, computed once and read back from the shared folder."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def forget(*frames: DataFrame) -> None:
+    """Delete tables of ``written`` that nothing reads any more."""
+    for frame in frames:
+        spark = frame.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(frame.written_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Rows and bytes of one Arrow batch between Spark and the Python workers; Spark's own defaults are 10000 and 64 MB.
-BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
 def modest_batches(spark: SparkSession) -> None:

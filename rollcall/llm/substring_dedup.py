@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm.store import modest_batches, table, written
-from rollcall.llm.textvec import U, Windows, Words, chunks, leftmost_minima
+from rollcall.llm.store import forget, modest_batches, table, written
+from rollcall.llm.textvec import U, Windows, Words, chunks, frugal, leftmost_minima
 from rollcall.session import bounded_broadcast
 
 WINDOW = 35
@@ -79,8 +79,8 @@ def _bits(rows: DataFrame) -> np.ndarray | None:
     return whole
 
 
-def repeated_windows(docs: DataFrame, text: str, window: int, base: int) -> DataFrame:
-    """``(tk, from, to)``: runs of starts of repeated windows in the text hashed to ``tk``, and ``(tk, null, null)`` for texts with copies."""
+def repeated_windows(docs: DataFrame, text: str, window: int, base: int, scratch: list[DataFrame]) -> DataFrame:
+    """``(tk, from, to)``: runs of starts of repeated windows in the text hashed to ``tk``, and ``(tk, null, null)`` for texts with copies; ``scratch`` takes the written tables it reads."""
     spark = docs.sparkSession
     keyed = docs.select(F.xxhash64(text).alias("tk"), F.col(text).alias("text")).where("text is not null")
     copies = written(keyed.groupBy("tk").agg(F.count("*").alias("c")).where("c > 1").select("tk"), "copies")
@@ -90,6 +90,7 @@ def repeated_windows(docs: DataFrame, text: str, window: int, base: int) -> Data
     shared = keyed.join(twice, "tk", "left_semi").groupBy("tk").agg(F.first("text").alias("text")).withColumn("w", F.lit(2))
     shared = written(shared, "copied")
     source = alone.unionByName(shared)
+    scratch += [copies, shared]
 
     lengths, filters = levels(window, base), []
     if any(2 * length > window + 1 + lengths[0] for length in lengths[:-1]):
@@ -133,12 +134,13 @@ def repeated_windows(docs: DataFrame, text: str, window: int, base: int) -> Data
 
     whole = copies.select("tk", F.lit(None).cast("int").alias("from"), F.lit(None).cast("int").alias("to"))
     for step in range(len(lengths) - 1):
-        bits = _bits(source.mapInArrow(probe(step), "h long, w int"))
+        bits = _bits(source.mapInArrow(frugal(probe(step)), "h long, w int"))
         if bits is None:
             return whole
         filters.append(spark.sparkContext.broadcast(bits))
-    rows = written(source.mapInArrow(last, "h long, tk long, pos int, w int"), "windows")
+    rows = written(source.mapInArrow(frugal(last), "h long, tk long, pos int, w int"), "windows")
     many = written(rows.groupBy("h").agg(F.sum("w").alias("c")).where("c > 1").select("h"), "repeated")
+    scratch += [rows, many]
     found = rows.where("w = 1").join(many, "h", "left_semi").select("tk", "pos")
     found = found.repartition("tk").sortWithinPartitions("tk", "pos").mapInArrow(runs, "tk long, from int, to int")
     return whole.unionByName(found)
@@ -154,7 +156,9 @@ def dedup_substrings(docs: DataFrame, text: str = "text", window: int = WINDOW,
     copies of each other.  An empty table gives no rows.
     """
     modest_batches(docs.sparkSession)
-    spans = written(repeated_windows(docs, text, window, base), "spans")
+    scratch: list[DataFrame] = []
+    spans = written(repeated_windows(docs, text, window, base, scratch), "spans")
+    forget(*scratch)
     spans = spans.groupBy("tk").agg(F.collect_list("from").alias("_from"), F.collect_list("to").alias("_to"))
     rows = docs.select(F.struct(*carry).alias("_row"), F.col(text).alias("_text"), F.xxhash64(text).alias("tk"))
     rows = rows.join(bounded_broadcast(spans), "tk", "left").select("_row", "_text", "_from", "_to")
@@ -181,7 +185,7 @@ def dedup_substrings(docs: DataFrame, text: str = "text", window: int = WINDOW,
             )
 
     row = rows.schema["_row"].dataType.simpleString()
-    out = rows.mapInArrow(cut, f"_row {row}, n_words long, n_removed long, kept string")
+    out = rows.mapInArrow(frugal(cut), f"_row {row}, n_words long, n_removed long, kept string")
     return out.select("_row.*", "n_words", "n_removed", "kept")
 
 

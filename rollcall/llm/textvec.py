@@ -9,7 +9,8 @@ character buffer is scanned at once, and a word or a window of words is named by
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """``base ** 0 .. base ** (n - 1)`` modulo 2**64, kept for the next call."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        size = max(CHUNK_BYTES, 1 << (n - 1).bit_length())
+        size = max(CHUNK_BYTES + 1, n)
         steps = np.full(size, base, dtype=U)
         steps[0] = 1
         have = np.multiply.accumulate(steps)
@@ -36,6 +37,19 @@ def powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for a task of a reused Python worker: what it kept is freed at its end, not whenever garbage is next collected."""
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _powers.clear()
+            gc.collect()
+
+    return task
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words whose every output bit depends on every input bit."""
     x = x ^ (x >> U(30))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.llm.store import modest_batches, table
-from rollcall.llm.textvec import Spans, U, Words, chunks, mix
+from rollcall.llm.textvec import Spans, U, Words, chunks, frugal, mix
 
 BITS = 20
 STEMS = (5, 6, 7, 8)
@@ -145,7 +145,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str)
         yield pa.RecordBatch.from_pylist([{"number": number.tobytes(), "bias": m.bias, "linear": m.linear.tobytes(), "factors": m.factors.tobytes()}])
 
     texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(sample), "_id")  # SAMPLE rows
-    rows = texts.select("_label", "_text").mapInArrow(distinct, "label int, terms binary")
+    rows = texts.select("_label", "_text").mapInArrow(frugal(distinct), "label int, terms binary")
     # the sample is bounded, and so is the one task that learns from it
     model = rows.repartition(1).mapInArrow(learn, "number binary, bias double, linear binary, factors binary").first()
     number, linear = np.frombuffer(model["number"], np.int64), np.frombuffer(model["linear"])
@@ -164,7 +164,7 @@ def score(docs: DataFrame, machine: Machine, doc_id: str, text: str) -> DataFram
             for first, rows, row, number in terms(batch.column(1)):
                 yield pa.RecordBatch.from_arrays([batch.column(0)[first : first + rows], pa.array(machine.scores(rows, row, number))], ["doc_id", "score"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, score double")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(frugal(run), "doc_id long, score double")
 
 
 def held_out(doc_id):
