@@ -2,19 +2,19 @@
 
 Messages are cut into runs of lines of one quote depth (leading ``>`` signs).  A quoted run is
 normalised (A-Z and other letters lower-cased, white space collapsed) and hashed, and so is every
-message's own text and each of its paragraphs.  A run of depth 1 joins the message it quotes: one
-of the same conversation that comes earlier and whose text, or a paragraph of it, has the hash.
-Where the quoted text itself quotes another, that deeper run must be what the original quoted, if
-such an original is there.  Replies are then followed up to the message that started the thread,
+message's own text and each of its paragraphs.  A run of depth 1 finds the message it quotes: the
+latest earlier one of the same conversation whose text, or a paragraph of it, has the hash.
+What the quoted text itself quotes, if anything, must be what the original quoted, if such an
+original is there.  Replies are then followed up to the message that started the thread,
 in rounds that double the distance, and conversations come out in reply order without quotes.
 
-Every join is on a hash within a conversation with one original per key, so the same text said
-very often costs no more than any other.
+Originals and quotes are put in order by hash and turn and each quote takes the last original
+before it, with no pairs of them, so the same text said very often costs no more than any other.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm.store import table, written
@@ -78,17 +78,40 @@ def messages(rows: DataFrame, conv: str, turn: str, role: str, text: str) -> Dat
     return made.select("id", "conv", "turn", "role", "m.content", "m.quotes", key(F.col("m.content")).alias("k"), F.get("m.quotes", F.lit(0))["k"].alias("first"))
 
 
+def _latest(rows: DataFrame, by: list[str], name: str) -> DataFrame:
+    """``rows`` with ``name``: ``(turn, id)`` of the last original of the same ``by`` at an earlier turn.
+
+    Rows are cut into ranges of ``by`` and turn, so a key said very often lies in several, and each
+    range takes over the last original of those before: only a range's first key can go on from them.
+    """
+    cut = rows.repartitionByRange(*by, "turn", "original", "id").withColumn("part", F.spark_partition_id())
+    cut = written(cut, "ranges")
+    found = F.when(F.col("original"), F.struct("turn", "id"))
+    ends = cut.groupBy(*by, "part").agg(F.max(found).alias("end"))
+    earlier = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.withColumn("carried", F.max("end").over(earlier)).where("carried is not null")
+    carried = carried.select("part", "carried", *(F.col(c).alias(f"_{c}") for c in by))  # at most one row per range
+    # at one turn the asks come first, so what is found lies at an earlier one
+    inside = Window.partitionBy(*by, "part").orderBy("turn", "original").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = cut.withColumn(name, F.last(found, ignorenulls=True).over(inside)).alias("o")
+    same = F.col("o.part") == F.col("c.part")
+    for c in by:
+        same = same & F.col(f"o.{c}").eqNullSafe(F.col(f"c._{c}"))
+    joined = out.join(F.broadcast(carried.alias("c")), same, "left")
+    return joined.select(*(F.col(f"o.{c}") for c in rows.columns), F.coalesce(F.col(f"o.{name}"), F.col("c.carried")).alias(name))
+
+
 def parents(sent: DataFrame) -> DataFrame:
     """``id, parent``: the latest message that a message quotes."""
     paragraphs = F.filter(F.transform(F.split("content", r"\n[ \t]*\n"), key), lambda k: k.isNotNull())
     said = sent.where("conv is not null and turn is not null")
-    texts = said.select("conv", "turn", "id", "first", F.explode(F.array_union(F.filter(F.array("k"), lambda k: k.isNotNull()), paragraphs)).alias("k"))
-    exact = texts.where("first is not null").groupBy("conv", "k", F.col("first").alias("deeper")).agg(F.min(F.struct("turn", "id")).alias("exact"))
-    any_ = texts.groupBy("conv", "k").agg(F.min(F.struct("turn", "id")).alias("any"))
-    asks = said.select("conv", "turn", "id", F.explode("quotes").alias("q")).select("conv", "turn", "id", "q.k", "q.deeper")
-    found = asks.join(any_, ["conv", "k"]).join(exact, ["conv", "k", "deeper"], "left")
-    best = F.when(F.col("exact.turn") < F.col("turn"), F.col("exact")).when(F.col("any.turn") < F.col("turn"), F.col("any"))
-    return found.select("id", best.alias("p")).where("p is not null").groupBy("id").agg(F.max("p").alias("p")).select("id", F.col("p.id").alias("parent"))
+    texts = said.select("conv", "turn", "id", F.col("first").alias("deeper"), F.explode(F.array_union(F.filter(F.array("k"), lambda k: k.isNotNull()), paragraphs)).alias("k"))
+    texts = texts.groupBy("conv", "k", "deeper", "turn").agg(F.min("id").alias("id")).withColumn("original", F.lit(True))
+    asks = said.select("conv", "turn", "id", F.explode("quotes").alias("q")).select("conv", "q.k", "q.deeper", "turn", "id", F.lit(False).alias("original"))
+    rows = _latest(texts.unionByName(asks.distinct()), ["conv", "k"], "any")
+    rows = _latest(rows, ["conv", "k", "deeper"], "exact")
+    best = F.coalesce("exact", "any")
+    return rows.where(~F.col("original") & best.isNotNull()).groupBy("id").agg(F.max(best).alias("p")).select("id", F.col("p.id").alias("parent"))
 
 
 def threads(sent: DataFrame, links: DataFrame) -> DataFrame:
@@ -109,8 +132,8 @@ def link_quotes(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role
 
     Sorted by ``conv_id, root_turn, reply_depth, turn`` every reply follows what it quotes.
     ``content`` has no quoted lines.  A message that quotes nothing, or nothing that was said
-    earlier in its conversation, starts a thread.  Of equal originals the earliest is taken, and of
-    several quoted messages the latest is the parent.  A null conversation or turn links with
+    earlier in its conversation, starts a thread.  Of equal originals the latest before the message
+    is taken, and of several quoted messages the latest is the parent.  A null conversation or turn links with
     nothing; a null text is empty.  Repeated rows are one message.  No rows give no rows.
     """
     sent = written(messages(rows, conv, turn, role, text), "messages")

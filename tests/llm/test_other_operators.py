@@ -107,6 +107,22 @@ def test_quotes_link_replies(spark):
     assert linked(spark, []) == {}
 
 
+def mail(spark, rows):
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    return [(r["conv_id"], r["turn"], r["parent_turn"], r["root_turn"], r["reply_depth"]) for r in quotes.link_quotes(quotes.mailed(df)).collect()]
+
+
+def test_repeated_exchanges_link_to_the_turn_before(spark):
+    """Of equal originals the latest before the reply; the same text very often lies in several ranges."""
+    said = ["AB" * 3, "AAAA", "ABCAB", "AABAAB", "AB" * 60]
+    rows = [(c, t, "user", x) for c, texts in enumerate(said) for t, x in enumerate(texts)]
+    assert sort(mail(spark, rows)) == sort((c, t, t - 1 if t else None, 0, t) for c, t, _, _ in rows)
+    # a quote without the original's own quote, and an original that comes only later
+    late = [(1, 0, "a", "> q\nsame", 0, ""), (1, 3, "a", "> r\nsame", 0, ""), (1, 3, "a", "> same\nx", 0, ""), (1, 4, "a", "> same\ny", 0, ""), (1, 5, "a", ">> q\n> same\nz", 0, "")]
+    got = {(r["turn"], r["content"]): r["parent_turn"] for r in quotes.link_quotes(spark.createDataFrame(late, "conv_id long, turn long, role string, text string, root long, k string")).collect()}
+    assert got == {(0, "same"): None, (3, "same"): None, (3, "x"): 0, (4, "y"): 3, (5, "z"): 0}
+
+
 # WARC
 
 
