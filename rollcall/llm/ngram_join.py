@@ -37,13 +37,17 @@ SKETCH_PARTS = 64
 LEADERS = 16
 ROWS = 1024  # members of a column that meet in one block of the product
 CELLS = 4096  # n-grams of one side of a block that are multiplied at a time
-SMALLEST = 9  # with 90 of 100, sets of up to 8 n-grams link with equal sets only
 
 
 def _ceil(a, b: int):
     return -(-a // b)
 
 
+def _smallest(percent: int) -> float:
+    """The least s with ``100 * s >= percent * (s + 1)``: smaller sets link with equal sets only."""
+    return _ceil(percent, 100 - percent) if percent < 100 else float("inf")
+
+
 def ngram_sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
     """The sorted distinct n-gram hashes of each row."""
     for row, end, data, offsets in chunks(column):
@@ -93,6 +97,7 @@ def _sketch(docs: DataFrame, text: str, n: int) -> np.ndarray:
 def _incidence(docs: DataFrame, doc_id: str, text: str, n: int, percent: int) -> DataFrame:
     """Per row: doc_id, a hash of the text, the set's size and hash, and the n-grams of its column block."""
     counts = docs.sparkSession.sparkContext.broadcast(_sketch(docs, text, n))
+    smallest = _smallest(percent)
 
     def block(batches):
         order = counts.value
@@ -102,7 +107,7 @@ def _incidence(docs: DataFrame, doc_id: str, text: str, n: int, percent: int) ->
                 size = len(grams)
                 sizes.append(size)
                 nodes.append(mix(np.array([grams.sum(dtype=U) + U(size)]))[0].view(np.int64))
-                keep = size - _ceil(percent * size, 100) + 1 if size >= SMALLEST else 0
+                keep = size - _ceil(percent * size, 100) + 1 if size >= smallest else 0
                 rare = np.argsort(order[(grams >> U(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")[:keep]
                 prefixes.append(grams[rare].view(np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)

@@ -40,6 +40,18 @@ def test_ngram_join_crowded_columns(spark, monkeypatch):
     assert sort(map(tuple, got)) == sort(groups(rows))
 
 
+@pytest.mark.parametrize("percent", [51, 67, 80, 90, 100])
+def test_ngram_join_short_texts(spark, percent):
+    """Sets of a few n-grams, each with one that has one n-gram more."""
+    rows = []
+    for size in range(1, 14):
+        text = [f"s{size}_{j}" for j in range(size + 2)]
+        rows += [(10 * size, " ".join(text)), (10 * size + 1, " ".join([*text, "more"])), (10 * size + 2, " ".join(text).upper())]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = ngram_join.ngram_groups(df, percent=percent).select("doc_id", "n_shingles", "component_id").collect()
+    assert sort(map(tuple, got)) == sort(groups(rows, percent))
+
+
 def test_one_of_each(spark, docs):
     rows = pairs(docs)
     kept = pairs(ngram_join.one_of_each(docs))
