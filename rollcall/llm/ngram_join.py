@@ -270,13 +270,13 @@ def ngram_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
     return out.select("doc_id", "tk", "n_shingles", "root", own.alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: the smallest id, and of rows with that id the one whose text hashes lowest.
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 3, percent: int = 90) -> DataFrame:
+    """``docs`` with one row of each component of ``ngram_groups``: the smallest id, and of rows with that id the one whose text hashes lowest.
 
     Rows without words are in no component and all stay.
     """
     scratch: list[DataFrame] = []
-    groups = written(ngram_groups(docs, doc_id, text, scratch=scratch).where("n_shingles > 0").select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tk").alias("row"), "root"), "groups")
+    groups = written(ngram_groups(docs, doc_id, text, n, percent, scratch).where("n_shingles > 0").select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tk").alias("row"), "root"), "groups")
     forget(*scratch)
     first = groups.groupBy("root").agg(F.min("row").alias("first"))
     others = groups.join(first, "root").where("row <> first").select("row").distinct()

@@ -63,6 +63,16 @@ def test_one_of_each(spark, docs):
     assert len(kept) == empty_ + len(wanted) + sum(1 for i, n, c in named if n and c is None)
 
 
+def test_one_of_each_by_other_ngrams(spark):
+    """Two changed words of a hundred: 0.81 of the 5-word n-grams are shared, too few of the 3-word ones for 0.9."""
+    base = [f"b{i}" for i in range(100)]
+    near = [{30: "x", 70: "y"}.get(i, w) for i, w in enumerate(base)]
+    rows = [(1, " ".join(base)), (2, " ".join(near)), (3, "a b c d e f g h"), (4, "a b c d e f g h i"), (5, "a b c d"), (6, "a b c d e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sort(pairs(ngram_join.one_of_each(df))) == sort(rows)
+    assert sorted(i for i, _ in pairs(ngram_join.one_of_each(df, n=5, percent=80))) == [1, 3, 5, 6]
+
+
 def test_substring_dedup(spark, docs):
     rows = pairs(docs)
     got = substring_dedup.dedup_substrings(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256)).collect()
