@@ -146,10 +146,16 @@ def link_quotes(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role
 
 
 def mailed(turns: DataFrame) -> DataFrame:
-    """Conversations as mail: each message follows a quote of the one before, and that one's own quote."""
-    before = lambda k, name: turns.select("conv_id", (F.col("turn") + k).alias("turn"), F.col("text").alias(name))
+    """Conversations as mail: each message follows a quote of the one before, and that one's own quote.
+
+    Repeated rows are one message.  Of different texts at one turn all are sent, and the one that
+    sorts first is quoted.
+    """
+    sent = turns.select("conv_id", "turn", "role", "text").distinct()
+    told = sent.groupBy("conv_id", "turn").agg(F.min("text").alias("text"))
+    before = lambda k, name: told.select("conv_id", (F.col("turn") + k).alias("turn"), F.col("text").alias(name))
     quote = lambda name, signs: F.regexp_replace(name, r"(?m)^", signs)
-    rows = turns.join(before(1, "last"), ["conv_id", "turn"], "left").join(before(2, "older"), ["conv_id", "turn"], "left")
+    rows = sent.join(before(1, "last"), ["conv_id", "turn"], "left").join(before(2, "older"), ["conv_id", "turn"], "left")
     return rows.select("conv_id", "turn", "role", F.concat_ws("\n", quote("older", ">> "), quote("last", "> "), "text").alias("text"))
 
 

@@ -123,6 +123,13 @@ def test_repeated_exchanges_link_to_the_turn_before(spark):
     assert got == {(0, "same"): None, (3, "same"): None, (3, "x"): 0, (4, "y"): 3, (5, "z"): 0}
 
 
+def test_mail_has_one_message_per_row_whatever_repeats(spark):
+    rows = [(1, t, "user", f"text {t}") for t in range(4)] * 5 + [(2, 0, "user", "one"), (2, 0, "user", "other"), (2, 1, "user", "re"), (2, 2, "user", "re re"), (2, 1, "user", None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert quotes.mailed(df).count() == len(set(rows))
+    assert sort(mail(spark, rows)) == sort([*((1, t, t - 1 if t else None, 0, t) for t in range(4)), (2, 0, None, 0, 0), (2, 0, None, 0, 0), (2, 1, 0, 0, 1), (2, 1, 0, 0, 1), (2, 2, 1, 0, 2)])
+
+
 # WARC
 
 
