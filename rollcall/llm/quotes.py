@@ -3,7 +3,8 @@
 Messages are cut into runs of lines of one quote depth (leading ``>`` signs).  A quoted run is
 normalised (A-Z and other letters lower-cased, white space collapsed) and hashed, and so is every
 message's own text and each of its paragraphs.  A run of depth 1 finds the message it quotes: the
-latest earlier one of the same conversation whose text, or a paragraph of it, has the hash.
+latest earlier one of the same conversation whose text, or a paragraph of it, has the hash.  If
+no run of depth 1 finds one, those of depth 2 are tried, and so on.
 What the quoted text itself quotes, if anything, must be what the original quoted, if such an
 original is there.  Replies are then followed up to the message that started the thread,
 in rounds that double the distance, and conversations come out in reply order without quotes.
@@ -59,23 +60,23 @@ def key(text: Column) -> Column:
     return let(normalised(text), lambda n: F.when(n != "", F.xxhash64(n)))
 
 
-def quoted(parts: Column, depth: int) -> Column:
-    """``array<struct<k, deeper>>``: hashes of the runs at ``depth``, each with that of the run just inside it."""
+def quoted(parts: Column) -> Column:
+    """``array<struct<depth, k, deeper>>``: hashes of the quoted runs, each with that of the run just inside it."""
 
     def one(p: Column, i: Column) -> Column:
         before, after = F.get(parts, i - 1), F.get(parts, i + 1)
-        inner = F.when(before["depth"] == depth + 1, before).when(after["depth"] == depth + 1, after)
+        inner = F.when(before["depth"] == p["depth"] + 1, before).when(after["depth"] == p["depth"] + 1, after)
         return F.struct(p["depth"].alias("depth"), key(F.array_join(p["lines"], "\n")).alias("k"), key(F.array_join(inner["lines"], "\n")).alias("deeper"))
 
-    return F.filter(F.transform(parts, one), lambda q: (q["depth"] == depth) & q["k"].isNotNull())
+    return F.filter(F.transform(parts, one), lambda q: (q["depth"] > 0) & q["k"].isNotNull())
 
 
 def messages(rows: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
     """``id, conv, turn, role, content, quotes, k, deeper`` per distinct row."""
     plain = rows.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text")).distinct()
     plain = plain.withColumn("id", F.xxhash64("conv", "turn", F.coalesce("role", F.lit("\0")), F.coalesce("text", F.lit("\0"))))
-    made = plain.withColumn("m", let(runs(F.col("text")), lambda p: F.struct(own_text(p).alias("content"), quoted(p, 1).alias("quotes"))))
-    return made.select("id", "conv", "turn", "role", "m.content", "m.quotes", key(F.col("m.content")).alias("k"), F.get("m.quotes", F.lit(0))["k"].alias("first"))
+    made = plain.withColumn("m", let(runs(F.col("text")), lambda p: F.struct(own_text(p).alias("content"), quoted(p).alias("quotes"))))
+    return made.select("id", "conv", "turn", "role", "m.content", "m.quotes", key(F.col("m.content")).alias("k"), F.get(F.filter("m.quotes", lambda q: q["depth"] == 1), F.lit(0))["k"].alias("first"))
 
 
 def _latest(rows: DataFrame, by: list[str], name: str) -> DataFrame:
@@ -102,16 +103,17 @@ def _latest(rows: DataFrame, by: list[str], name: str) -> DataFrame:
 
 
 def parents(sent: DataFrame) -> DataFrame:
-    """``id, parent``: the latest message that a message quotes."""
+    """``id, parent``: the latest message that a message quotes, at the least depth of which one is found."""
     paragraphs = F.filter(F.transform(F.split("content", r"\n[ \t]*\n"), key), lambda k: k.isNotNull())
     said = sent.where("conv is not null and turn is not null")
     texts = said.select("conv", "turn", "id", F.col("first").alias("deeper"), F.explode(F.array_union(F.filter(F.array("k"), lambda k: k.isNotNull()), paragraphs)).alias("k"))
-    texts = texts.groupBy("conv", "k", "deeper", "turn").agg(F.min("id").alias("id")).withColumn("original", F.lit(True))
-    asks = said.select("conv", "turn", "id", F.explode("quotes").alias("q")).select("conv", "q.k", "q.deeper", "turn", "id", F.lit(False).alias("original"))
+    texts = texts.groupBy("conv", "k", "deeper", "turn").agg(F.min("id").alias("id")).withColumns({"original": F.lit(True), "depth": F.lit(0)})
+    asks = said.select("conv", "turn", "id", F.explode("quotes").alias("q")).select("conv", "q.k", "q.deeper", "turn", "id", F.lit(False).alias("original"), "q.depth")
     rows = _latest(texts.unionByName(asks.distinct()), ["conv", "k"], "any")
     rows = _latest(rows, ["conv", "k", "deeper"], "exact")
     best = F.coalesce("exact", "any")
-    return rows.where(~F.col("original") & best.isNotNull()).groupBy("id").agg(F.max(best).alias("p")).select("id", F.col("p.id").alias("parent"))
+    found = rows.where(~F.col("original") & best.isNotNull()).groupBy("id").agg(F.max(F.struct(-F.col("depth"), best.alias("p"))).alias("m"))
+    return found.select("id", F.col("m.p.id").alias("parent"))
 
 
 def threads(sent: DataFrame, links: DataFrame) -> DataFrame:

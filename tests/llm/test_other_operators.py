@@ -130,6 +130,15 @@ def test_mail_has_one_message_per_row_whatever_repeats(spark):
     assert sort(mail(spark, rows)) == sort([*((1, t, t - 1 if t else None, 0, t) for t in range(4)), (2, 0, None, 0, 0), (2, 0, None, 0, 0), (2, 1, 0, 0, 1), (2, 1, 0, 0, 1), (2, 2, 1, 0, 2)])
 
 
+def test_the_shallowest_quote_that_is_found_is_the_parent(spark):
+    rows = [
+        (1, 0, "a", "start"), (1, 1, "b", ">> start\nonly a deeper quote"), (1, 2, "c", ">> start\n> this one is missing\nre"),
+        (1, 3, "d", ">>> start\n>> lost\n> only a deeper quote\nre re"), (1, 4, "e", ">>> re\n>> gone\n> lost\ndeep"), (1, 5, "f", "> lost\n>> gone\nnothing there"),
+    ]
+    got = linked(spark, [(*r, 9, "clash") for r in rows])
+    assert {t: r["parent_turn"] for (_, t), r in got.items()} == {0: None, 1: 0, 2: 0, 3: 1, 4: 2, 5: None}
+
+
 # WARC
 
 
