@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from rollcall.llm.class_lm import op11_lm_scoring
 from rollcall.llm.mixing import op7_mixing
 from rollcall.llm.ngram_join import op10_ngram_jaccard_join
 from rollcall.llm.pieces import op8_sentencepiece
@@ -24,4 +25,5 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_toxicity": op9_toxicity,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_lm_scoring": op11_lm_scoring,
 }
