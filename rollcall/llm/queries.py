@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from rollcall.llm.class_lm import op11_lm_scoring
+from rollcall.llm.conversation_repair import op13_conversation_repair
 from rollcall.llm.mixing import op7_mixing
 from rollcall.llm.ngram_join import op10_ngram_jaccard_join
 from rollcall.llm.pieces import op8_sentencepiece
 from rollcall.llm.quality import op4_quality_rules
 from rollcall.llm.quotes import op2_quotation_linking
 from rollcall.llm.sharding import op1_sharding
+from rollcall.llm.spelling import op12_spelling_variants
 from rollcall.llm.substring_dedup import op3_substring_dedup
 from rollcall.llm.toxicity import op9_toxicity
 from rollcall.llm.vector_join import op6_embedding_near_dedup
@@ -26,4 +28,6 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_lm_scoring": op11_lm_scoring,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_conversation_repair": op13_conversation_repair,
 }
