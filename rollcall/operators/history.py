@@ -95,6 +95,58 @@ def apply_snapshot(history: DataFrame, snap: DataFrame, run_date, order: str | N
     return closed.unionByName(updated)
 
 
+def late_changes(near: DataFrame, snap: DataFrame, day: _dt.date, following: _dt.date,
+                 previous: _dt.date | None, names: DataFrame | None) -> DataFrame:
+    """K7 for a snapshot that comes late: what it changes in a history that later snapshots went into.
+
+    ``near``: the periods that touch the gap between the snapshots around ``day``, that is, entered
+    on the ``following`` one's date or before and not left before it (one per pk at most); ``snap``:
+    the late snapshot, one row per pk; ``names``: the rows of the ``previous`` one, if there is one.
+    Who was there before and after follows from the period itself:
+
+    ======  ====  =====  =========================================================================
+    before  late  after  the period
+    ======  ====  =====  =========================================================================
+    yes     no    yes    is split: left on the late date, with the names of then; entered again after
+    yes     yes   no     was last seen on the late date, and takes its names
+    yes     no    no     was left on the late date already
+    no      yes   yes    was entered on the late date already
+    no      yes   no     is new: entered on the late date, left on the following one
+    ======  ====  =====  =========================================================================
+
+    A mark of welcome stays with the earlier part.  Returns one row per pk touched: ``pk``, the
+    ``old_entrada`` of the period changed (null: a new one), whether it ``was_open``, and its new ``rows``.
+    """
+    late, after = F.lit(day), F.lit(following)
+    o = near.select(*HISTORY_COLS, F.lit(True).alias("_o"))
+    t = snap.select("pk", F.struct("username", "full_name").alias("_t"))
+    j = o.join(t, "pk", "full_outer")
+    seen = F.col("_t").isNotNull()
+    was = F.col("_o").isNotNull() & (F.col("data_entrada") <= F.lit(previous)) if previous else F.lit(False)
+    stays = F.col("_o").isNotNull() & (F.col("data_saida").isNull() | (F.col("data_saida") > after))
+    case = (F.when(was & ~seen & stays, "split").when(was & seen & ~stays, "seen").when(was & ~seen & ~stays, "left")
+            .when(~was & seen & stays, "entered").when(~was & seen & ~stays, "new"))
+    j = j.withColumn("_case", case).where(F.col("_case").isNotNull())
+    if names is not None:
+        n = names.select(F.col("pk").alias("_npk"), F.struct("username", "full_name").alias("_n"))
+        j = j.join(n, (F.col("pk") == F.col("_npk")) & (F.col("_case") == "split"), "left")
+    else:
+        j = j.withColumn("_n", F.col("_t"))
+
+    def row(**changed):
+        return F.struct(*[changed.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in FOLLOWERS.fields])
+
+    def named(c: str) -> dict:
+        return {"username": F.col(f"{c}.username"), "full_name": F.col(f"{c}.full_name")}
+
+    nothing = F.lit(None)
+    split = F.array(row(data_saida=late, data_update=F.lit(previous), **named("_n")), row(data_entrada=after, welcome=nothing))
+    rows = (F.when(F.col("_case") == "split", split).when(F.col("_case") == "seen", F.array(row(data_update=late, **named("_t"))))
+            .when(F.col("_case") == "left", F.array(row(data_saida=late))).when(F.col("_case") == "entered", F.array(row(data_entrada=late)))
+            .otherwise(F.array(row(data_entrada=late, data_saida=after, data_update=late, welcome=nothing, **named("_t")))))
+    return j.select("pk", F.col("data_entrada").alias("old_entrada"), (F.col("_o").isNotNull() & F.col("data_saida").isNull()).alias("was_open"), rows.alias("rows"))
+
+
 def present_in(history: DataFrame, snap: DataFrame) -> DataFrame:
     """Open rows whose pk is in the snapshot (``EXISTS``)."""
     return (history.where(F.col("data_saida").isNull())

@@ -348,6 +348,20 @@ def q40_upsert_comments(spark: SparkSession, sf: str) -> DataFrame:
     return U.upsert_replace(empty(spark, COMMENTS), comments, KEYS["comments"], ["created_at", "post_pk"])
 
 
+def q41_late_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """K7 out of order: a store seeded with the first day's history takes the other days' snapshots shuffled."""
+    rows = X.snapshot_rows(spark, sf)
+    catalog = X.snapshot_catalog_rows(rows).checkpoint()
+    first, *days = sorted(r["snap_date"] for r in catalog.collect())  # one row a day
+    root = scratch_path(spark, "q41-store")
+    of_first = rows.where(F.col("snap_date") == F.lit(first))
+    HS.seed_store(spark, root, H.replay_history(of_first, catalog.where(F.col("snap_date") == F.lit(first)), order="event_id"), buckets=4)
+    days.sort(key=lambda d: hashlib.md5(str(d).encode()).hexdigest())
+    for version, day in enumerate(days, start=1):
+        HS.apply_daily(spark, root, rows.where(F.col("snap_date") == F.lit(day)), day, version, order="event_id")
+    return HS.read_store(spark, root, len(days))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }

@@ -7,7 +7,10 @@ Layout below ``root``, for run ``n``:
   the full outer join with a snapshot shuffles only the snapshot into the same
   buckets.  Each run writes a new version; no path is overwritten while read.
 * ``closed/run=<n>/``: periods closed by the run (never rewritten).
-* ``snaps/run=<n>/``: the snapshot rows it took, where it came from snapshot files.
+* ``snaps/run=<n>/``: the snapshot rows it took (of a seed: who was there at its last date).
+* ``calendar/run=<n>/``: the snapshots it took, one row each.
+* ``gone/run=<n>/``: keys of closed periods of earlier runs that a late snapshot changed; their
+  new rows are among the run's own.
 * ``meta/run=<n>/``: one row, and the run's commit mark: the bucket count its open
   set was written with, the first run whose closed periods count (a rebuilt
   history starts again at its own run), the latest snapshot applied, whether
@@ -18,6 +21,10 @@ the session's ``spark.sql.shuffle.partitions`` may change between runs; Spark
 shuffles the stored side too where the counts don't fit each other.  A version
 is registered as a table named after a hash of its full path, and declared anew
 when it is read, so stores never share a table.
+
+A daily snapshot may come late.  Only periods that touch its date are looked at and changed
+(``operators.history.late_changes``); closed history before the next snapshot is never read, and
+the open set is joined in place.
 """
 
 from __future__ import annotations
@@ -29,13 +36,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.operators.history import apply_snapshot_split, clean_snapshot, dedupe_snapshot
+from rollcall.operators.history import apply_snapshot_split, clean_snapshot, dedupe_snapshot, late_changes
 from rollcall.schemas import FOLLOWERS, conform, empty
 
 META = T.StructType([T.StructField("buckets", T.IntegerType()), T.StructField("base", T.IntegerType()),
                      T.StructField("last_ts", T.TimestampNTZType()), T.StructField("replayable", T.BooleanType()),
                      T.StructField("batch", T.LongType())])
 
+STORED = T.StructType([T.StructField("snap_ts", T.TimestampNTZType()), T.StructField("snap_date", T.DateType()),
+                       T.StructField("place", T.StructType([T.StructField("file", T.StringType()),
+                                                            T.StructField("row", T.LongType())])),
+                       T.StructField("pk", T.LongType()), T.StructField("username", T.StringType()),
+                       T.StructField("full_name", T.StringType())])
+# first: nothing is known of the snapshots before this one
+CALENDAR = T.StructType([T.StructField("snap_ts", T.TimestampNTZType()), T.StructField("snap_date", T.DateType()),
+                         T.StructField("first", T.BooleanType())])
+GONE = T.StructType([T.StructField("pk", T.LongType()), T.StructField("data_entrada", T.DateType())])
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -81,16 +98,39 @@ def read_open(spark: SparkSession, root: str, version: int) -> DataFrame:
     return spark.table(register_open(spark, root, version))
 
 
+def _runs(spark: SparkSession, root: str, what: str, schema: T.StructType, base: int, version: int) -> DataFrame:
+    """Rows of ``what`` written by the committed runs from ``base`` to ``version``, with their ``run``."""
+    path = f"{root.rstrip('/')}/{what}"
+    schema = T.StructType([*schema.fields, T.StructField("run", T.IntegerType())])
+    if not exists(spark, path):
+        return empty(spark, schema)
+    done = [v for v in committed_versions(spark, root) if base <= v <= version]
+    return spark.read.schema(schema).parquet(path).where(F.col("run").isin(done))
+
+
+def read_closed(spark: SparkSession, root: str, version: int) -> DataFrame:
+    """The closed periods after run ``version``, each as its latest run wrote it."""
+    base = meta(spark, root, version)["base"]
+    closed = _runs(spark, root, "closed", FOLLOWERS, base, version)
+    if exists(spark, f"{root.rstrip('/')}/gone"):
+        gone = _runs(spark, root, "gone", GONE, base, version).withColumnsRenamed({"pk": "g_pk", "data_entrada": "g_entrada", "run": "g_run"})
+        closed = closed.join(gone, (F.col("pk") == F.col("g_pk")) & (F.col("data_entrada") == F.col("g_entrada")) & (F.col("run") < F.col("g_run")), "left_anti")
+    return closed.drop("run")
+
+
 def read_store(spark: SparkSession, root: str, version: int) -> DataFrame:
     """The whole history after run ``version``: its closed periods and its open set."""
     opened, root = read_open(spark, root, version), root.rstrip("/")
     if not exists(spark, f"{root}/closed"):
         return opened
-    schema = T.StructType(FOLLOWERS.fields + [T.StructField("run", T.IntegerType())])
-    base = meta(spark, root, version)["base"]
-    closed = (spark.read.schema(schema).parquet(f"{root}/closed")
-              .where(F.col("run").between(base, version)).drop("run"))
-    return closed.unionByName(opened)
+    return read_closed(spark, root, version).unionByName(opened)
+
+
+def read_calendar(spark: SparkSession, root: str) -> list:
+    """The snapshots taken by the committed runs, oldest first (one row each, however large they were)."""
+    done = committed_versions(spark, root)
+    rows = _runs(spark, root, "calendar", CALENDAR, 0, done[-1] if done else 0).collect()
+    return sorted(rows, key=lambda r: r["snap_ts"])
 
 
 def default_buckets(spark: SparkSession, root: str, buckets: int | None = None) -> int:
@@ -101,9 +141,12 @@ def default_buckets(spark: SparkSession, root: str, buckets: int | None = None)
 
 
 def commit(spark: SparkSession, root: str, version: int, history: DataFrame, buckets: int, base: int,
-           last_ts: _dt.datetime | None = None, replayable: bool = False, batch: int | None = None) -> None:
+           last_ts: _dt.datetime | None = None, replayable: bool = False, batch: int | None = None,
+           calendar: list[tuple] = (), gone: DataFrame | None = None) -> None:
     """Write run ``version``: the closed periods among ``history``, its open set, and at last the mark.
 
+    ``calendar``: the snapshots it took; ``gone``: keys of closed periods that its own rows replace.
+
     A run that was cut off before its mark is written again whole; it only
     ever reads earlier versions.
     """
@@ -118,33 +161,91 @@ def commit(spark: SparkSession, root: str, version: int, history: DataFrame, buc
     (opened.write.mode("overwrite").bucketBy(buckets, "pk").sortBy("pk")
      .option("path", path).saveAsTable(name))
     spark.sql(f"DROP TABLE {name}")
+    if gone is not None:
+        gone.write.mode("overwrite").parquet(f"{root}/gone/run={version}")
+    if calendar:
+        spark.createDataFrame(list(calendar), CALENDAR).coalesce(1).write.mode("overwrite").parquet(f"{root}/calendar/run={version}")
     row = spark.createDataFrame([(buckets, base, last_ts, replayable, batch)], META)
     row.coalesce(1).write.mode("overwrite").parquet(f"{root}/meta/run={version}")
 
 
+def _keep_rows(root: str, version: int, rows: DataFrame, taken: _dt.datetime, order: str | None) -> None:
+    """Write the rows of the snapshot that run ``version`` takes, one per pk."""
+    place = F.struct(F.lit(None).cast("string").alias("file"), (F.col(order).cast("long") if order else F.lit(None).cast("long")).alias("row"))
+    rows.select(F.lit(taken).cast("timestamp_ntz").alias("snap_ts"), F.lit(taken.date()).alias("snap_date"),
+                place.alias("place"), "pk", "username", "full_name").write.mode("overwrite").parquet(f"{root.rstrip('/')}/snaps/run={version}")
+
+
 def apply_daily(spark: SparkSession, root: str, snap: DataFrame, run_date: _dt.date | str,
                 version: int, buckets: int | None = None, order: str | None = None) -> None:
-    """K7 as one run: apply ``snap`` (taken on ``run_date``) to the open set of run
+    """K7 as one run: apply ``snap`` (taken on ``run_date``) to the history of run
     ``version - 1``, append the newly closed periods, write open set ``version``.
 
     ``order`` is the snapshot's row position: of a pk listed twice the first row names it.
+    A snapshot older than the store's last one is worked in where it belongs: the history is then
+    that of all snapshots in the order of their dates.
     """
-    opened, base = empty(spark, FOLLOWERS), version
-    if version > 0:
-        opened, base = read_open(spark, root, version - 1), meta(spark, root, version - 1)["base"]
-    valid, _ = clean_snapshot(snap)
-    updated = apply_snapshot_split(opened, dedupe_snapshot(valid, order), run_date)
     day = _dt.date.fromisoformat(run_date) if isinstance(run_date, str) else run_date
     taken = _dt.datetime(day.year, day.month, day.day)
-    commit(spark, root, version, updated, default_buckets(spark, root, buckets), base, taken)
+    valid, _ = clean_snapshot(snap)
+    opened, base, last = empty(spark, FOLLOWERS), version, None
+    if version > 0:
+        known = meta(spark, root, version - 1)
+        opened, base, last = read_open(spark, root, version - 1), known["base"], known["last_ts"]
+    buckets = default_buckets(spark, root, buckets)
+    if last and taken.date() < last.date():
+        _apply_late(spark, root, valid, taken, version, buckets, order)
+        return
+    _keep_rows(root, version, valid, taken, order)
+    updated = apply_snapshot_split(opened, dedupe_snapshot(valid, order), run_date)
+    commit(spark, root, version, updated, buckets, base, taken, calendar=[(taken, day, False)])
+
+
+def _apply_late(spark: SparkSession, root: str, valid: DataFrame, taken: _dt.datetime, version: int, buckets: int, order: str | None) -> None:
+    """Work a snapshot in that is older than the store's last one."""
+    day, known = taken.date(), meta(spark, root, version - 1)
+    calendar = read_calendar(spark, root)
+    dates = [r["snap_date"] for r in calendar]
+    before, after = [r for r in calendar if r["snap_date"] < day], [r for r in calendar if r["snap_date"] > day]
+    if day in dates:
+        raise ValueError(f"the store has a snapshot of {day}, and later ones; which came first isn't known")
+    if not after or dates.count(after[0]["snap_date"]) > 1:
+        raise ValueError(f"the snapshot after {day} isn't known, or is one of several of its date")
+    if any(r["first"] for r in after):
+        raise ValueError(f"nothing is known of the snapshots around {day}: the store was seeded with a later history")
+    following = after[0]["snap_date"]
+    previous = before[-1] if before else None
+    _keep_rows(root, version, valid, taken, order)
+    around = (F.col("data_entrada") <= F.lit(following))
+    opened = read_open(spark, root, version - 1)
+    closed = read_closed(spark, root, version - 1).where(around & (F.col("data_saida") >= F.lit(following)))
+    # the open set lies in buckets of pk, and what joins it is dealt alike: it doesn't move
+    near = opened.where(around).unionByName(closed.repartition(buckets, "pk"))
+    names = None
+    if previous:
+        rows = _runs(spark, root, "snaps", STORED, 0, version - 1).where((F.col("snap_ts") == F.lit(previous["snap_ts"])) & F.col("pk").isNotNull())
+        names = dedupe_snapshot(rows, "place")
+    changes = late_changes(near, dedupe_snapshot(valid, order), day, following, previous and previous["snap_date"], names)
+    changes = changes.checkpoint()  # touched people only
+    old = changes.where("was_open").select("pk", "old_entrada")
+    kept = opened.join(old, (opened["pk"] == old["pk"]) & (opened["data_entrada"] == old["old_entrada"]), "left_anti")
+    rows = changes.select(F.explode("rows").alias("r")).select("r.*")
+    gone = changes.where("NOT was_open AND old_entrada IS NOT NULL").select("pk", F.col("old_entrada").alias("data_entrada"))
+    commit(spark, root, version, kept.unionByName(rows), buckets, known["base"], known["last_ts"], known["replayable"], calendar=[(taken, day, False)], gone=gone)
 
 
 def seed_store(spark: SparkSession, root: str, history: DataFrame, buckets: int | None = None) -> None:
-    """Start a store at run 0 from an existing history (closed rows appended, open set bucketed)."""
+    """Start a store at run 0 from an existing history (closed rows appended, open set bucketed).
+
+    Snapshots older than its last date can't be worked in later, as those it was made of aren't known.
+    """
     history = conform(history, FOLLOWERS).checkpoint()
     last = history.agg(F.greatest(F.max("data_entrada"), F.max("data_saida"), F.max("data_update"))).first()[0]
     last = last and _dt.datetime(last.year, last.month, last.day)
-    commit(spark, root, 0, history, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), 0, last)
+    if last:
+        _keep_rows(root, 0, history.where(F.col("data_saida").isNull()), last, None)
+    commit(spark, root, 0, history, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), 0, last,
+           calendar=[(last, last.date(), True)] if last else [])
 
 
 def mark_store(spark: SparkSession, root: str, accepted: DataFrame) -> int:

@@ -31,17 +31,12 @@ from rollcall.operators.history import replay_history
 from rollcall.schemas import FOLLOWERS, empty
 from rollcall.sources.catalog import snapshot_catalog, snapshot_date, snapshot_time
 from rollcall.sources.csv_io import INDEX_COL, read_export_csv
-from rollcall.sources.history_store import META, commit, committed_versions, default_buckets, meta, read_open, read_store
+from rollcall.sources.history_store import META, STORED, commit, committed_versions, default_buckets, meta, read_open, read_store
 
 SNAPSHOT_FILE = T.StructType([T.StructField("pk", T.LongType()),
                               T.StructField("username", T.StringType()),
                               T.StructField("full_name", T.StringType())])
 
-STORED = T.StructType([T.StructField("snap_ts", T.TimestampNTZType()), T.StructField("snap_date", T.DateType()),
-                       T.StructField("place", T.StructType([T.StructField("file", T.StringType()),
-                                                            T.StructField("row", T.LongType())])),
-                       *SNAPSHOT_FILE.fields])
-
 BINARY_FILE = T.StructType([T.StructField("path", T.StringType()),
                             T.StructField("modificationTime", T.TimestampType()),
                             T.StructField("length", T.LongType()),
@@ -82,7 +77,7 @@ def apply_files(spark: SparkSession, files: DataFrame, root: str, batch_id: int)
         return  # re-delivered batch, already committed
     run, known = (done[-1] + 1, meta(spark, root, done[-1])) if done else (0, None)
     catalog = snapshot_catalog(files.select("path")).checkpoint()
-    listed = catalog.select("_path", "arquivo", "snap_ts").collect()  # file names of one trigger (bounded)
+    listed = catalog.select("_path", "arquivo", "snap_ts", "snap_date").collect()  # file names of one trigger (bounded)
     if undated := [r["arquivo"] for r in listed if r["snap_ts"] is None]:
         raise ValueError(f"snapshot files without a date in their names: {undated[:5]}")
     _rows(spark, catalog, [r["_path"] for r in listed]).write.mode("overwrite").parquet(f"{root}/snaps/run={run}")
@@ -102,7 +97,8 @@ def apply_files(spark: SparkSession, files: DataFrame, root: str, batch_id: int)
         stored = stored.where(F.col("run").isin(*done, run)).drop("run")  # none of runs cut off
         marks = read_history(spark, root).where(F.col("welcome").isNotNull()).select("pk", "data_entrada", "welcome")
         out, base = _replay(stored).drop("welcome").join(marks, ["pk", "data_entrada"], "left"), run
-    commit(spark, root, run, out, buckets, base, latest, known["replayable"] if known else True, batch_id)
+    taken = sorted({(r["snap_ts"], r["snap_date"], False) for r in listed})
+    commit(spark, root, run, out, buckets, base, latest, known["replayable"] if known else True, batch_id, calendar=taken)
 
 
 def snapshot_stream(spark: SparkSession, folder: str, root: str, checkpoint_location: str,
