@@ -95,11 +95,11 @@ def apply_snapshot(history: DataFrame, snap: DataFrame, run_date, order: str | N
     return closed.unionByName(updated)
 
 
-def late_changes(near: DataFrame, snap: DataFrame, day: _dt.date, following: _dt.date,
+def late_changes(opened: DataFrame, closed: DataFrame, snap: DataFrame, day: _dt.date, following: _dt.date,
                  previous: _dt.date | None, names: DataFrame | None) -> DataFrame:
     """K7 for a snapshot that comes late: what it changes in a history that later snapshots went into.
 
-    ``near``: the periods that touch the gap between the snapshots around ``day``, that is, entered
+    ``opened`` and ``closed``: the periods that touch the gap between the snapshots around ``day``, that is, entered
     on the ``following`` one's date or before and not left before it (one per pk at most); ``snap``:
     the late snapshot, one row per pk; ``names``: the rows of the ``previous`` one, if there is one.
     Who was there before and after follows from the period itself:
@@ -118,9 +118,12 @@ def late_changes(near: DataFrame, snap: DataFrame, day: _dt.date, following: _dt
     ``old_entrada`` of the period changed (null: a new one), whether it ``was_open``, and its new ``rows``.
     """
     late, after = F.lit(day), F.lit(following)
-    o = near.select(*HISTORY_COLS, F.lit(True).alias("_o"))
+    o, c = (df.select("pk", F.struct(*HISTORY_COLS).alias(name)) for df, name in ((opened, "_open"), (closed, "_closed")))
     t = snap.select("pk", F.struct("username", "full_name").alias("_t"))
-    j = o.join(t, "pk", "full_outer")
+    # the open set comes last, so that it stays in its buckets
+    j = o.join(c.join(t, "pk", "full_outer"), "pk", "full_outer")
+    j = j.select("pk", F.coalesce("_open", "_closed").alias("_o"), F.col("_open").isNotNull().alias("was_open"), "_t")
+    j = j.select("*", *[F.col(f"_o.{c}") for c in HISTORY_COLS if c != "pk"])
     seen = F.col("_t").isNotNull()
     was = F.col("_o").isNotNull() & (F.col("data_entrada") <= F.lit(previous)) if previous else F.lit(False)
     stays = F.col("_o").isNotNull() & (F.col("data_saida").isNull() | (F.col("data_saida") > after))
@@ -144,7 +147,7 @@ def late_changes(near: DataFrame, snap: DataFrame, day: _dt.date, following: _dt
     rows = (F.when(F.col("_case") == "split", split).when(F.col("_case") == "seen", F.array(row(data_update=late, **named("_t"))))
             .when(F.col("_case") == "left", F.array(row(data_saida=late))).when(F.col("_case") == "entered", F.array(row(data_entrada=late)))
             .otherwise(F.array(row(data_entrada=late, data_saida=after, data_update=late, welcome=nothing, **named("_t")))))
-    return j.select("pk", F.col("data_entrada").alias("old_entrada"), (F.col("_o").isNotNull() & F.col("data_saida").isNull()).alias("was_open"), rows.alias("rows"))
+    return j.select("pk", F.col("data_entrada").alias("old_entrada"), "was_open", rows.alias("rows"))
 
 
 def present_in(history: DataFrame, snap: DataFrame) -> DataFrame:

@@ -219,13 +219,11 @@ def _apply_late(spark: SparkSession, root: str, valid: DataFrame, taken: _dt.dat
     around = (F.col("data_entrada") <= F.lit(following))
     opened = read_open(spark, root, version - 1)
     closed = read_closed(spark, root, version - 1).where(around & (F.col("data_saida") >= F.lit(following)))
-    # the open set lies in buckets of pk, and what joins it is dealt alike: it doesn't move
-    near = opened.where(around).unionByName(closed.repartition(buckets, "pk"))
     names = None
     if previous:
         rows = _runs(spark, root, "snaps", STORED, 0, version - 1).where((F.col("snap_ts") == F.lit(previous["snap_ts"])) & F.col("pk").isNotNull())
         names = dedupe_snapshot(rows, "place")
-    changes = late_changes(near, dedupe_snapshot(valid, order), day, following, previous and previous["snap_date"], names)
+    changes = late_changes(opened.where(around), closed, dedupe_snapshot(valid, order), day, following, previous and previous["snap_date"], names)
     changes = changes.checkpoint()  # touched people only
     old = changes.where("was_open").select("pk", "old_entrada")
     kept = opened.join(old, (opened["pk"] == old["pk"]) & (opened["data_entrada"] == old["old_entrada"]), "left_anti")
