@@ -85,7 +85,7 @@ def _candidates(spark: SparkSession, a) -> None:
 
 
 def _welcomed(spark: SparkSession, a) -> None:
-    results = IO.read_export_csv(spark, a.results, RESULTS)
+    results = IO.read_export_csv(spark, a.results, RESULTS, has_index=None)
     accepted = A.accepted_prefix(results, "run_id", ["seq"], "status")
     version = HS.mark_store(spark, a.store, A.accepted_pks(read_history(spark, a.store), accepted))
     print(f"history run {version} committed")
@@ -115,7 +115,7 @@ def _no_interaction(spark: SparkSession, a) -> None:
     out = _out(a, a.out)
     if a.format == "csv":
         posts, likes, comments, followings = (
-            IO.read_export_csv(spark, path, _texts(schema, ids))
+            IO.read_export_csv(spark, path, _texts(schema, ids), has_index=None)
             for path, schema, ids in ((a.posts, POSTS, ()), (a.likes, LIKES, ("follower_pk",)),
                                       (a.comments, COMMENTS, ("follower_pk",)), (a.followings, FOLLOWINGS, ("pk",))))
         recent = A.posts_since(posts, a.as_of, a.days).select(F.col("post_id").alias("post_pk"))
@@ -131,7 +131,7 @@ def _no_interaction(spark: SparkSession, a) -> None:
     followings = _checked(spark, followings, "pk", out, "followings")
     inactive = A.no_interaction(followings, likes, comments)
     if a.protect:
-        inactive = A.exclude_protected(inactive, IO.read_export_csv(spark, a.protect, INVITES))
+        inactive = A.exclude_protected(inactive, IO.read_export_csv(spark, a.protect, INVITES, has_index=None))
     IO.write_export_csv(inactive, out)
 
 

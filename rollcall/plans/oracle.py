@@ -276,3 +276,4 @@ ORACLE["q29_raw_dump"] = ORACLE["q02_caption_parse"]
 ORACLE["q30_snapshot_files_stream"] = ORACLE["q15_replay_history"]
 ORACLE["q33_daily_apply_store"] = ORACLE["q15_replay_history"]
 ORACLE["q41_late_snapshots"] = ORACLE["q15_replay_history"]
+ORACLE["q42_split_csv"] = "select doc_id, nullif(text, '') as text, lang, source, n_chars from documents"

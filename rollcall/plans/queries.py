@@ -362,6 +362,22 @@ def q41_late_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     return HS.read_store(spark, root, len(days))
 
 
+def q42_split_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """S5 in byte ranges: texts with line breaks and quotes, exported and read back in ranges of 64 KB."""
+    docs = X.table(spark, sf, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    path = scratch_path(spark, "q42-csv")
+    IO.write_export_csv(docs, path)
+    settings = {"spark.sql.files.maxPartitionBytes": str(64 << 10), "spark.sql.files.openCostInBytes": "4096"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        return IO.read_export_csv(spark, path, docs.schema, split_bytes=1).checkpoint()  # ranges are settled when the scan is planned
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }

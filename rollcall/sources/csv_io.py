@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from rollcall.functions.times import stamp
 from rollcall.session import bounded_broadcast, checkpoint_root
+from rollcall.sources.csv_split import read_split_csv
 
 # Fixed values of the export format.
 SEP = ";"
@@ -166,18 +167,31 @@ def write_raw(df: DataFrame, path: str, mode: str = "append") -> None:
      .option("timestampNTZFormat", JSON_TS_NTZ).json(path))
 
 
+# Files from this size on are read in ranges.  A smaller one is a task of its own in any case.
+SPLIT_BYTES = 32 << 20
+
+
+def _largest(spark: SparkSession, paths: list[str]) -> int:
+    sizes = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).agg(F.max("length")).first()[0]
+    return sizes or 0
+
+
 def read_export_csv(spark: SparkSession, path, schema: T.StructType,
-                    has_index: bool = False, source_col: str | None = None,
-                    encoding: str = "UTF-8", keep_index: bool = False) -> DataFrame:
+                    has_index: bool | None = False, source_col: str | None = None,
+                    encoding: str = "UTF-8", keep_index: bool = False, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Read ``;`` CSV written by K1 (or by the studied code) into ``schema``.
 
     ``path`` is a path or a list of paths.  Columns are taken by the names in
     the header; a name missing from it, or unknown to ``schema``, is an error.
     All files of one call share the first one's header (checked by Spark where
     there is no unnamed index column).  The leading index column is dropped, or
-    kept as ``INDEX_COL``.  ``source_col`` adds the file each row came from
+    kept as ``INDEX_COL``; with ``has_index=None`` there is one where the header's first
+    name is empty, or its name by ``INDEX_COL``.  ``source_col`` adds the file each row came from
     (decoded path).  Text is read as text, then cast: decimal commas become
     dots for DOUBLE / FLOAT, and casts fail loudly (ANSI) on bad text.
+
+    Where a file is as large as ``split_bytes`` (and UTF-8), all are read in byte ranges by many tasks
+    (``csv_split``), else each file is one task.
     """
     def reader():
         return (spark.read.option("sep", SEP).option("header", True)
@@ -188,13 +202,20 @@ def read_export_csv(spark: SparkSession, path, schema: T.StructType,
 
     paths = [path] if isinstance(path, str) else list(path)
     header = reader().csv(paths[:1]).columns
+    if has_index is None:
+        # an unnamed first column comes as _c0
+        has_index = bool(header) and header[0] in ("_c0", INDEX_COL) and header[0] not in schema.fieldNames()
     if not header:  # nothing was written
         header = [INDEX_COL] * has_index + schema.fieldNames()
     names = header[1:] if has_index else header
     if sorted(names) != sorted(schema.fieldNames()):
         raise ValueError(f"columns {names} where {schema.fieldNames()} are expected")
-    fields = [T.StructField(n, T.StringType(), True) for n in ([INDEX_COL] if has_index else []) + names]
-    raw = reader().schema(T.StructType(fields)).option("enforceSchema", has_index).csv(paths)
+    columns = ([INDEX_COL] if has_index else []) + names
+    if encoding == "UTF-8" and _largest(spark, paths) >= split_bytes:
+        raw, source = read_split_csv(spark, paths, columns, SEP, QUOTE, has_index), F.col("file")
+    else:
+        fields = [T.StructField(n, T.StringType(), True) for n in columns]
+        raw, source = reader().schema(T.StructType(fields)).option("enforceSchema", has_index).csv(paths), F.col("_metadata.file_path")
     cols = [F.col(INDEX_COL)] if keep_index else []
     for f in schema.fields:
         c = F.col(f.name)
@@ -204,6 +225,5 @@ def read_export_csv(spark: SparkSession, path, schema: T.StructType,
             c = c.cast(f.dataType)
         cols.append(c.alias(f.name))
     if source_col:
-        cols.append(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-                    .alias(source_col))
+        cols.append(F.url_decode(F.replace(source, F.lit("+"), F.lit("%2B"))).alias(source_col))
     return raw.select(*cols)
