@@ -6,6 +6,8 @@
     python -m rollcall candidates STORE OUT [--template TEXT]
     python -m rollcall welcomed STORE RESULTS
     python -m rollcall new-followers SNAPSHOT_CSV TABLE OUT --at "YYYY-MM-DD HH:MM:SS"
+    python -m rollcall store posts|likes|comments|followings INPUT TABLES [--mode upsert|ignore|replace|append]
+                       [--format json|csv]
     python -m rollcall no-interaction POSTS LIKES COMMENTS FOLLOWINGS OUT --as-of YYYY-MM-DD
                        [--days 115] [--format json|csv] [--protect CSV]
 
@@ -32,12 +34,13 @@ from rollcall.functions.scalars import split_ids
 from rollcall.operators import audience as A
 from rollcall.operators.upsert import insert_ignore
 from rollcall.schemas import (
-    COMMENTS, FOLLOWINGS, INVITES, KEYS, LIKES, NEW_FOLLOWERS, POSTS, RAW_COMMENTS, RAW_LIKES, RAW_POSTS, RAW_USERS, RESULTS, empty)
+    COMMENTS, FOLLOWINGS, INVITES, KEYS, LIKES, NEW_FOLLOWERS, POSTS, RAW_COMMENTS, RAW_LIKES, RAW_POSTS, RAW_USERS, RESULTS, TABLES, empty)
 from rollcall.session import build_session, checkpoint_root
 from rollcall.sources import csv_io as IO
 from rollcall.sources import flatten as FL
 from rollcall.sources import history_store as HS
 from rollcall.sources import inventory as INV
+from rollcall.sources import keyed_store as KS
 from rollcall.streaming.snapshots import SNAPSHOT_FILE, read_history, snapshot_stream
 
 
@@ -101,6 +104,26 @@ def _new_followers(spark: SparkSession, a) -> None:
     insert_ignore(target, rows, KEYS["new_followers"], ["_row"]).write.parquet(a.out)
 
 
+def _store(spark: SparkSession, a) -> None:
+    """K4, K5, K6: rows into the stored table of their name, made where there is none; later rows of the input win."""
+    root = f"{a.tables.rstrip('/')}/{a.name}"
+    if KS.latest(spark, root) is None:
+        KS.create(spark, root, TABLES[a.name], KEYS[a.name])
+    if a.format == "csv":
+        rows = IO.read_export_csv(spark, a.input, TABLES[a.name], has_index=None)
+    else:
+        raw, flatten = {"posts": (RAW_POSTS, FL.flatten_posts), "likes": (RAW_LIKES, FL.flatten_likes),
+                        "comments": (RAW_COMMENTS, FL.flatten_comments), "followings": (RAW_USERS, FL.flatten_users)}[a.name]
+        rows = flatten(FL.read_landed(spark, a.input, raw))
+    rows = rows.withColumn("_row", F.monotonically_increasing_id())
+    mode = a.mode or ("replace" if a.name == "followings" else "upsert")
+    if mode in ("upsert", "ignore"):
+        done = (KS.upsert if mode == "upsert" else KS.insert_ignore)(spark, root, rows, ["_row"])
+    else:
+        done = (KS.replace if mode == "replace" else KS.append)(spark, root, rows)
+    print(f"{a.name} at version {done.number}: {KS.read(spark, root, done).count()} rows")
+
+
 def _checked(spark: SparkSession, df, name: str, out: str, label: str):
     """``df`` without rows whose id is none; those go to ``out``_rejects."""
     good, bad = split_ids(df, name)
@@ -171,6 +194,12 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--format", choices=("json", "csv"), default="json")
     s.add_argument("--protect", help="; CSV of usernames never listed")
     s.set_defaults(run=_no_interaction)
+    s = sub.add_parser("store", help="rows into a stored table, by its key")
+    s.add_argument("name", choices=("posts", "likes", "comments", "followings"))
+    s.add_argument("input"), s.add_argument("tables")
+    s.add_argument("--mode", choices=("upsert", "ignore", "replace", "append"), help="followings are replaced, others upserted by default")
+    s.add_argument("--format", choices=("json", "csv"), default="json")
+    s.set_defaults(run=_store)
     for s in sub.choices.values():
         s.add_argument("--stamp", type=lambda v: _dt.datetime.strptime(v, "%Y-%m-%d %H%M%S"), help="name the output with this time")
     return p

@@ -277,3 +277,14 @@ ORACLE["q30_snapshot_files_stream"] = ORACLE["q15_replay_history"]
 ORACLE["q33_daily_apply_store"] = ORACLE["q15_replay_history"]
 ORACLE["q41_late_snapshots"] = ORACLE["q15_replay_history"]
 ORACLE["q42_split_csv"] = "select doc_id, nullif(text, '') as text, lang, source, n_chars from documents"
+ORACLE["q43_stored_posts"] = ORACLE["q38_upsert_posts"]
+ORACLE["q44_stored_likes"] = ORACLE["q39_upsert_likes"]
+ORACLE["q45_stored_comments"] = ORACLE["q40_upsert_comments"]
+ORACLE["q46_load_tables"] = f"""{HIST_ALL}, ppl as ({PPL})
+select 'followers' as table_name, count(*) as n, count(distinct (pk, data_entrada)) as n_keys, 0 as refused from hist
+union all select 'new_followers', count(distinct user_id), count(distinct user_id), 1 from events
+union all select 'followings', count(*), count(distinct pk), 1 from ppl where pk in (select user_id from events)
+union all select 'posts', count(*), count(distinct doc_id), 1 from documents
+union all select 'likes', count(distinct (l_orderkey, l_suppkey)), count(distinct (l_orderkey, l_suppkey)), 0 from lineitem
+union all select 'comments', count(distinct turn), count(distinct turn), 0 from conversations
+union all select 'invites', count(*), count(distinct username), 1 from ppl"""

@@ -19,13 +19,14 @@ from rollcall.operators import history as H
 from rollcall.operators import upsert as U
 from rollcall.operators.preview import preview
 from rollcall.plans import standins as X
-from rollcall.schemas import COMMENTS, KEYS, LIKES, NEW_FOLLOWERS, PAGE_INVENTORY, POSTS, RAW_POSTS, empty, key_violations
+from rollcall.schemas import COMMENTS, KEYS, LIKES, NEW_FOLLOWERS, PAGE_INVENTORY, POSTS, RAW_POSTS, TABLES, empty, key_violations
 from rollcall.session import scratch_path
 from rollcall.sources import catalog as C
 from rollcall.sources import csv_io as IO
 from rollcall.sources import flatten as FL
 from rollcall.sources import history_store as HS
 from rollcall.sources import inventory as INV
+from rollcall.sources import keyed_store as KS
 from rollcall.sources import tables as TB
 from rollcall.streaming.snapshots import read_history, snapshot_stream
 
@@ -378,6 +379,69 @@ def q42_split_csv(spark: SparkSession, sf: str) -> DataFrame:
             spark.conf.set(k, v)
 
 
+def _stored(spark: SparkSession, name: str, *batches: DataFrame, order: list[str]) -> DataFrame:
+    """The table after the batches were upserted into it, one run each."""
+    root = scratch_path(spark, f"stored-{name}")
+    KS.create(spark, root, TABLES[name], KEYS[name])
+    for batch in batches:
+        KS.upsert(spark, root, batch, order)
+    return KS.read(spark, root)
+
+
+def q43_stored_posts(spark: SparkSession, sf: str) -> DataFrame:
+    """K5 as q38, into the stored table by buckets."""
+    posts = FL.flatten_posts(X.raw_posts(spark, sf))
+    again = posts.where(F.col("post_id").cast("bigint") % 3 == 0).withColumn("like_count", F.col("like_count") + 1).drop("view_count")
+    return _stored(spark, "posts", posts, again, order=["criado_em_post"])
+
+
+def q44_stored_likes(spark: SparkSession, sf: str) -> DataFrame:
+    """K5 as q39, into the stored table by its two-column key."""
+    likes = FL.flatten_likes(X.raw_likes(spark, sf))
+    again = FL.flatten_likes(X.raw_likes(spark, sf), A.posts_since(X.posts(spark, sf), X.POSTS_AS_OF)).withColumn("is_private", F.lit(True))
+    return _stored(spark, "likes", likes, again, order=["is_private", "stories"])
+
+
+def q45_stored_comments(spark: SparkSession, sf: str) -> DataFrame:
+    """K5 as q40, into the stored table."""
+    return _stored(spark, "comments", FL.flatten_comments(X.raw_comments(spark, sf)), order=["created_at", "post_pk"])
+
+
+def q46_load_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """K10 + K4 + K5 + K6: all tables created and loaded by their schemas; batches that break a key are refused whole.
+
+    Per table its rows, distinct keys, and batches refused.
+    """
+    root = scratch_path(spark, "q46-tables")
+    KS.create_all(spark, root)
+    e = X.table(spark, sf, "events")
+    seen = e.select(F.col("user_id").alias("pk"), F.col("ts").alias("follow_time"), "event_id")
+    people, followings = X.people(spark, sf), X.followings(spark, sf)
+    at = {name: f"{root}/{name}" for name in TABLES}
+    KS.append(spark, at["followers"], full_history(spark, sf))
+    KS.insert_ignore(spark, at["new_followers"], seen, ["follow_time", "event_id"])
+    KS.replace(spark, at["followings"], people)
+    KS.replace(spark, at["followings"], followings)
+    KS.append(spark, at["posts"], FL.flatten_posts(X.raw_posts(spark, sf)))
+    KS.upsert(spark, at["likes"], FL.flatten_likes(X.raw_likes(spark, sf)), ["is_private", "stories"])
+    KS.upsert(spark, at["comments"], FL.flatten_comments(X.raw_comments(spark, sf)), ["created_at", "post_pk"])
+    KS.append(spark, at["invites"], people.select("username"))
+    refused = dict.fromkeys(TABLES, 0)
+    bad = {"followings": people.unionByName(people), "new_followers": seen, "invites": people.select(F.when(F.col("pk") % 2 == 0, F.col("username")).alias("username")),
+           "posts": FL.flatten_posts(X.raw_posts(spark, sf))}
+    for name, batch in bad.items():
+        try:
+            (KS.replace if name == "followings" else KS.append)(spark, at[name], batch)
+        except KS.KeyViolation:
+            refused[name] += 1
+    out = None
+    for name in TABLES:
+        counts = KS.read(spark, at[name]).agg(F.count("*").alias("n"), F.countDistinct(F.struct(*KEYS[name])).alias("n_keys"))
+        row = counts.select(F.lit(name).alias("table_name"), "n", "n_keys", F.lit(refused[name]).alias("refused"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }
