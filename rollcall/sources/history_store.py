@@ -1,20 +1,20 @@
 """History store (K7, K8): the open set bucketed by pk, closed periods append-only.
 
-Layout below ``root``, for run ``n``:
+Layout below ``root``, for run ``n`` (each attempt at a run writes below a name of its own):
 
-* ``open/v=<n>/``: the open periods after the run, written ``bucketBy(buckets, "pk")``
+* ``open/v=<n>-<attempt>/``: the open periods after the run, written ``bucketBy(buckets, "pk")``
   and sorted by pk.  As a bucketed table it is the join side that never moves:
   the full outer join with a snapshot shuffles only the snapshot into the same
   buckets.  Each run writes a new version; no path is overwritten while read.
-* ``closed/run=<n>/``: periods closed by the run (never rewritten).
-* ``snaps/run=<n>/``: the snapshot rows it took (of a seed: who was there at its last date).
-* ``calendar/run=<n>/``: the snapshots it took, one row each.
-* ``gone/run=<n>/``: keys of closed periods of earlier runs that a late snapshot changed; their
+* ``closed/run=<n>/part=<attempt>/``: periods closed by the run (never rewritten).
+* ``snaps/run=<n>/part=<attempt>/``: the snapshot rows it took (of a seed: who was there at its last date).
+* ``gone/run=<n>/part=<attempt>/``: keys of closed periods of earlier runs that a late snapshot changed; their
   new rows are among the run's own.
-* ``meta/run=<n>/``: one row, and the run's commit mark: the bucket count its open
-  set was written with, the first run whose closed periods count (a rebuilt
-  history starts again at its own run), the latest snapshot applied, whether
-  ``snaps`` holds all of them, and the stream's batch if it was one.
+* ``marks/<n>``: the run's commit mark, a JSON line: the attempts that make up the history, the bucket
+  count its open set was written with, the first run whose closed periods count (a rebuilt
+  history starts again at its own run), all snapshots applied, whether ``snaps`` holds all of them,
+  and the stream's batches.  Of two runs that started from the same version only
+  one gets its mark (``marks.Conflict``); what the other wrote is never read.
 
 Every reader declares the bucket count that the version was *written* with, so
 the session's ``spark.sql.shuffle.partitions`` may change between runs; Spark
@@ -31,6 +31,8 @@ from __future__ import annotations
 
 import datetime as _dt
 import hashlib
+import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,58 +40,65 @@ from pyspark.sql import types as T
 
 from rollcall.operators.history import apply_snapshot_split, clean_snapshot, dedupe_snapshot, late_changes
 from rollcall.schemas import FOLLOWERS, conform, empty
-
-META = T.StructType([T.StructField("buckets", T.IntegerType()), T.StructField("base", T.IntegerType()),
-                     T.StructField("last_ts", T.TimestampNTZType()), T.StructField("replayable", T.BooleanType()),
-                     T.StructField("batch", T.LongType())])
+from rollcall.sources import marks
+from rollcall.sources.marks import file_system, hadoop_path
 
 STORED = T.StructType([T.StructField("snap_ts", T.TimestampNTZType()), T.StructField("snap_date", T.DateType()),
                        T.StructField("place", T.StructType([T.StructField("file", T.StringType()),
                                                             T.StructField("row", T.LongType())])),
                        T.StructField("pk", T.LongType()), T.StructField("username", T.StringType()),
                        T.StructField("full_name", T.StringType())])
-# first: nothing is known of the snapshots before this one
-CALENDAR = T.StructType([T.StructField("snap_ts", T.TimestampNTZType()), T.StructField("snap_date", T.DateType()),
-                         T.StructField("first", T.BooleanType())])
 GONE = T.StructType([T.StructField("pk", T.LongType()), T.StructField("data_entrada", T.DateType())])
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.makeQualified(p), fs
-
-
 def exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _fs(spark, path)
-    return bool(fs.exists(p))
+    return bool(file_system(spark, path).exists(hadoop_path(spark, path)))
 
 
 def committed_versions(spark: SparkSession, root: str) -> list[int]:
     """Runs that carry their commit mark."""
-    p, fs = _fs(spark, f"{root.rstrip('/')}/meta")
-    if not fs.exists(p):
-        return []
-    names = [st.getPath() for st in fs.listStatus(p)]
-    return sorted(int(n.getName()[4:]) for n in names
-                  if n.getName().startswith("run=") and fs.exists(n.suffix("/_SUCCESS")))
+    return marks.numbers(spark, root.rstrip("/"))
+
+
+@dataclass
+class Run:
+    """A committed run, and the history it made."""
 
+    buckets: int
+    base: int
+    replayable: bool
+    calendar: list[dict]  # ts, date, first (nothing is known of the snapshots before it) of every snapshot applied
+    attempts: dict[int, str]  # of all runs up to it
+    snaps: list[int]  # runs whose snapshot rows are kept
+    gone: list[int]  # runs that replaced closed periods
+    batches: list[int]
+    last_ts: _dt.datetime | None = None
 
-def meta(spark: SparkSession, root: str, version: int):
-    """The one row of a committed run."""
-    return spark.read.schema(META).parquet(f"{root.rstrip('/')}/meta/run={version}").first()
+    def parts(self, root: str, what: str, runs) -> list[str]:
+        return [f"{root}/{what}/run={n}/part={self.attempts[n]}" for n in runs]
+
+
+def meta(spark: SparkSession, root: str, version: int) -> Run:
+    """What the mark of a committed run says."""
+    d = marks.load(spark, root.rstrip("/"), version)
+    calendar = [{"ts": _dt.datetime.fromisoformat(c["ts"]), "date": _dt.date.fromisoformat(c["date"]), "first": c["first"]} for c in d["calendar"]]
+    calendar.sort(key=lambda c: c["ts"])
+    return Run(d["buckets"], d["base"], d["replayable"], calendar, {int(n): a for n, a in d["attempts"].items()}, d["snaps"], d["gone"], d["batches"],
+               calendar[-1]["ts"] if calendar else None)
 
 
 def register_open(spark: SparkSession, root: str, version: int) -> str:
     """Declare a version's open set as the bucketed table it was written as; returns its name."""
-    path = _fs(spark, f"{root.rstrip('/')}/open/v={version}")[0].toString()
+    root = root.rstrip("/")
+    run = meta(spark, root, version)
+    fs = file_system(spark, root)
+    path = fs.makeQualified(hadoop_path(spark, f"{root}/open/v={version}-{run.attempts[version]}")).toString()
     name = "history_open_" + hashlib.sha1(path.encode()).hexdigest()[:24]
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in FOLLOWERS.fields)
     quoted = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"DROP TABLE IF EXISTS {name}")  # only the declaration: the table is external
     spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet "
-              f"CLUSTERED BY (pk) SORTED BY (pk) INTO {meta(spark, root, version)['buckets']} BUCKETS "
+              f"CLUSTERED BY (pk) SORTED BY (pk) INTO {run.buckets} BUCKETS "
               f"LOCATION '{quoted}'")
     return name
 
@@ -98,82 +107,86 @@ def read_open(spark: SparkSession, root: str, version: int) -> DataFrame:
     return spark.table(register_open(spark, root, version))
 
 
-def _runs(spark: SparkSession, root: str, what: str, schema: T.StructType, base: int, version: int) -> DataFrame:
-    """Rows of ``what`` written by the committed runs from ``base`` to ``version``, with their ``run``."""
-    path = f"{root.rstrip('/')}/{what}"
+def _runs(spark: SparkSession, root: str, what: str, schema: T.StructType, run: Run, numbers) -> DataFrame:
+    """Rows of ``what`` written by the runs ``numbers``, with their ``run``."""
     schema = T.StructType([*schema.fields, T.StructField("run", T.IntegerType())])
-    if not exists(spark, path):
+    paths = run.parts(root.rstrip("/"), what, numbers)
+    if not paths:
         return empty(spark, schema)
-    done = [v for v in committed_versions(spark, root) if base <= v <= version]
-    return spark.read.schema(schema).parquet(path).where(F.col("run").isin(done))
+    return spark.read.schema(schema).option("basePath", f"{root.rstrip('/')}/{what}").parquet(*paths).select(*schema.fieldNames())
+
+
+def read_snaps(spark: SparkSession, root: str, version: int) -> DataFrame:
+    """The snapshot rows kept by the runs up to ``version``."""
+    run = meta(spark, root, version)
+    return _runs(spark, root, "snaps", STORED, run, run.snaps).drop("run")
 
 
 def read_closed(spark: SparkSession, root: str, version: int) -> DataFrame:
     """The closed periods after run ``version``, each as its latest run wrote it."""
-    base = meta(spark, root, version)["base"]
-    closed = _runs(spark, root, "closed", FOLLOWERS, base, version)
-    if exists(spark, f"{root.rstrip('/')}/gone"):
-        gone = _runs(spark, root, "gone", GONE, base, version).withColumnsRenamed({"pk": "g_pk", "data_entrada": "g_entrada", "run": "g_run"})
-        closed = closed.join(gone, (F.col("pk") == F.col("g_pk")) & (F.col("data_entrada") == F.col("g_entrada")) & (F.col("run") < F.col("g_run")), "left_anti")
+    run = meta(spark, root, version)
+    closed = _runs(spark, root, "closed", FOLLOWERS, run, [n for n in run.attempts if n >= run.base])
+    gone = [n for n in run.gone if n >= run.base]
+    if gone:
+        names = {"pk": "g_pk", "data_entrada": "g_entrada", "run": "g_run"}
+        keys = _runs(spark, root, "gone", GONE, run, gone).withColumnsRenamed(names)
+        closed = closed.join(keys, (F.col("pk") == F.col("g_pk")) & (F.col("data_entrada") == F.col("g_entrada")) & (F.col("run") < F.col("g_run")), "left_anti")
     return closed.drop("run")
 
 
 def read_store(spark: SparkSession, root: str, version: int) -> DataFrame:
     """The whole history after run ``version``: its closed periods and its open set."""
-    opened, root = read_open(spark, root, version), root.rstrip("/")
-    if not exists(spark, f"{root}/closed"):
-        return opened
-    return read_closed(spark, root, version).unionByName(opened)
-
-
-def read_calendar(spark: SparkSession, root: str) -> list:
-    """The snapshots taken by the committed runs, oldest first (one row each, however large they were)."""
-    done = committed_versions(spark, root)
-    rows = _runs(spark, root, "calendar", CALENDAR, 0, done[-1] if done else 0).collect()
-    return sorted(rows, key=lambda r: r["snap_ts"])
+    return read_closed(spark, root, version).unionByName(read_open(spark, root, version))
 
 
 def default_buckets(spark: SparkSession, root: str, buckets: int | None = None) -> int:
     """Asked count, else that of the store, else the session's shuffle partitions."""
     done = committed_versions(spark, root)
-    return buckets or (meta(spark, root, done[-1])["buckets"] if done
+    return buckets or (meta(spark, root, done[-1]).buckets if done
                        else int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def commit(spark: SparkSession, root: str, version: int, history: DataFrame, buckets: int, base: int,
-           last_ts: _dt.datetime | None = None, replayable: bool = False, batch: int | None = None,
-           calendar: list[tuple] = (), gone: DataFrame | None = None) -> None:
-    """Write run ``version``: the closed periods among ``history``, its open set, and at last the mark.
+def new_attempt() -> str:
+    return uuid.uuid4().hex[:16]
 
-    ``calendar``: the snapshots it took; ``gone``: keys of closed periods that its own rows replace.
 
-    A run that was cut off before its mark is written again whole; it only
-    ever reads earlier versions.
+def commit(spark: SparkSession, root: str, version: int, history: DataFrame, buckets: int, base: int | None = None,
+           calendar: list[tuple] = (), replayable: bool = False, batch: int | None = None,
+           gone: DataFrame | None = None, attempt: str | None = None, kept_rows: bool = False) -> None:
+    """Write run ``version``: the closed periods among ``history``, its open set, and at last the mark.
+
+    ``base``: the run that the history starts at, if not where the one before did; ``calendar``: the
+    snapshots it took (time, date, whether nothing is known of earlier ones); ``gone``: keys of closed periods that its own
+    rows replace; ``attempt``: the name below which its snapshot rows were written, if ``kept_rows``.
+    A run that was cut off before its mark leaves files that nothing reads.
     """
-    root = root.rstrip("/")
+    root, attempt = root.rstrip("/"), attempt or new_attempt()
+    before = meta(spark, root, version - 1) if version else None
     history = conform(history, FOLLOWERS).checkpoint()
-    (history.where(F.col("data_saida").isNotNull()).write.mode("overwrite")
-     .parquet(f"{root}/closed/run={version}"))
+    (history.where(F.col("data_saida").isNotNull()).write.parquet(f"{root}/closed/run={version}/part={attempt}"))
     opened = history.where(F.col("data_saida").isNull())
-    path = _fs(spark, f"{root}/open/v={version}")[0].toString()
+    path = file_system(spark, root).makeQualified(hadoop_path(spark, f"{root}/open/v={version}-{attempt}")).toString()
     name = "history_write_" + hashlib.sha1(path.encode()).hexdigest()[:24]
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    (opened.write.mode("overwrite").bucketBy(buckets, "pk").sortBy("pk")
-     .option("path", path).saveAsTable(name))
+    (opened.write.bucketBy(buckets, "pk").sortBy("pk").option("path", path).saveAsTable(name))
     spark.sql(f"DROP TABLE {name}")
     if gone is not None:
-        gone.write.mode("overwrite").parquet(f"{root}/gone/run={version}")
-    if calendar:
-        spark.createDataFrame(list(calendar), CALENDAR).coalesce(1).write.mode("overwrite").parquet(f"{root}/calendar/run={version}")
-    row = spark.createDataFrame([(buckets, base, last_ts, replayable, batch)], META)
-    row.coalesce(1).write.mode("overwrite").parquet(f"{root}/meta/run={version}")
-
-
-def _keep_rows(root: str, version: int, rows: DataFrame, taken: _dt.datetime, order: str | None) -> None:
+        gone.write.parquet(f"{root}/gone/run={version}/part={attempt}")
+    taken = [{"ts": ts.isoformat(), "date": day.isoformat(), "first": first} for ts, day, first in calendar]
+    known = [{"ts": c["ts"].isoformat(), "date": c["date"].isoformat(), "first": c["first"]} for c in before.calendar] if before else []
+    marks.put(spark, root, version, {
+        "buckets": buckets, "base": before.base if base is None and before else base or 0, "replayable": replayable,
+        "calendar": [*known, *(c for c in taken if c not in known)],
+        "attempts": (before.attempts if before else {}) | {version: attempt},
+        "snaps": (before.snaps if before else []) + [version] * kept_rows,
+        "gone": (before.gone if before else []) + [version] * (gone is not None),
+        "batches": (before.batches if before else []) + ([] if batch is None else [batch])})
+
+
+def _keep_rows(root: str, version: int, attempt: str, rows: DataFrame, taken: _dt.datetime, order: str | None) -> None:
     """Write the rows of the snapshot that run ``version`` takes, one per pk."""
     place = F.struct(F.lit(None).cast("string").alias("file"), (F.col(order).cast("long") if order else F.lit(None).cast("long")).alias("row"))
     rows.select(F.lit(taken).cast("timestamp_ntz").alias("snap_ts"), F.lit(taken.date()).alias("snap_date"),
-                place.alias("place"), "pk", "username", "full_name").write.mode("overwrite").parquet(f"{root.rstrip('/')}/snaps/run={version}")
+                place.alias("place"), "pk", "username", "full_name").write.parquet(f"{root.rstrip('/')}/snaps/run={version}/part={attempt}")
 
 
 def apply_daily(spark: SparkSession, root: str, snap: DataFrame, run_date: _dt.date | str,
@@ -188,48 +201,46 @@ def apply_daily(spark: SparkSession, root: str, snap: DataFrame, run_date: _dt.d
     day = _dt.date.fromisoformat(run_date) if isinstance(run_date, str) else run_date
     taken = _dt.datetime(day.year, day.month, day.day)
     valid, _ = clean_snapshot(snap)
-    opened, base, last = empty(spark, FOLLOWERS), version, None
+    opened, last = empty(spark, FOLLOWERS), None
     if version > 0:
-        known = meta(spark, root, version - 1)
-        opened, base, last = read_open(spark, root, version - 1), known["base"], known["last_ts"]
+        opened, last = read_open(spark, root, version - 1), meta(spark, root, version - 1).last_ts
     buckets = default_buckets(spark, root, buckets)
     if last and taken.date() < last.date():
         _apply_late(spark, root, valid, taken, version, buckets, order)
         return
-    _keep_rows(root, version, valid, taken, order)
+    attempt = new_attempt()
+    _keep_rows(root, version, attempt, valid, taken, order)
     updated = apply_snapshot_split(opened, dedupe_snapshot(valid, order), run_date)
-    commit(spark, root, version, updated, buckets, base, taken, calendar=[(taken, day, False)])
+    commit(spark, root, version, updated, buckets, calendar=[(taken, day, False)], attempt=attempt, kept_rows=True)
 
 
 def _apply_late(spark: SparkSession, root: str, valid: DataFrame, taken: _dt.datetime, version: int, buckets: int, order: str | None) -> None:
     """Work a snapshot in that is older than the store's last one."""
     day, known = taken.date(), meta(spark, root, version - 1)
-    calendar = read_calendar(spark, root)
-    dates = [r["snap_date"] for r in calendar]
-    before, after = [r for r in calendar if r["snap_date"] < day], [r for r in calendar if r["snap_date"] > day]
+    dates = [c["date"] for c in known.calendar]
+    before, after = [c for c in known.calendar if c["date"] < day], [c for c in known.calendar if c["date"] > day]
     if day in dates:
         raise ValueError(f"the store has a snapshot of {day}, and later ones; which came first isn't known")
-    if not after or dates.count(after[0]["snap_date"]) > 1:
-        raise ValueError(f"the snapshot after {day} isn't known, or is one of several of its date")
-    if any(r["first"] for r in after):
+    if dates.count(after[0]["date"]) > 1:
+        raise ValueError(f"the snapshot after {day} is one of several of its date")
+    if any(c["first"] for c in after):
         raise ValueError(f"nothing is known of the snapshots around {day}: the store was seeded with a later history")
-    following = after[0]["snap_date"]
-    previous = before[-1] if before else None
-    _keep_rows(root, version, valid, taken, order)
+    following, previous, attempt = after[0]["date"], before[-1] if before else None, new_attempt()
+    _keep_rows(root, version, attempt, valid, taken, order)
     around = (F.col("data_entrada") <= F.lit(following))
     opened = read_open(spark, root, version - 1)
     closed = read_closed(spark, root, version - 1).where(around & (F.col("data_saida") >= F.lit(following)))
     names = None
     if previous:
-        rows = _runs(spark, root, "snaps", STORED, 0, version - 1).where((F.col("snap_ts") == F.lit(previous["snap_ts"])) & F.col("pk").isNotNull())
+        rows = read_snaps(spark, root, version - 1).where((F.col("snap_ts") == F.lit(previous["ts"])) & F.col("pk").isNotNull())
         names = dedupe_snapshot(rows, "place")
-    changes = late_changes(opened.where(around), closed, dedupe_snapshot(valid, order), day, following, previous and previous["snap_date"], names)
+    changes = late_changes(opened.where(around), closed, dedupe_snapshot(valid, order), day, following, previous and previous["date"], names)
     changes = changes.checkpoint()  # touched people only
     old = changes.where("was_open").select("pk", "old_entrada")
     kept = opened.join(old, (opened["pk"] == old["pk"]) & (opened["data_entrada"] == old["old_entrada"]), "left_anti")
     rows = changes.select(F.explode("rows").alias("r")).select("r.*")
     gone = changes.where("NOT was_open AND old_entrada IS NOT NULL").select("pk", F.col("old_entrada").alias("data_entrada"))
-    commit(spark, root, version, kept.unionByName(rows), buckets, known["base"], known["last_ts"], known["replayable"], calendar=[(taken, day, False)], gone=gone)
+    commit(spark, root, version, kept.unionByName(rows), buckets, calendar=[(taken, day, False)], replayable=known.replayable, gone=gone, attempt=attempt, kept_rows=True)
 
 
 def seed_store(spark: SparkSession, root: str, history: DataFrame, buckets: int | None = None) -> None:
@@ -240,10 +251,11 @@ def seed_store(spark: SparkSession, root: str, history: DataFrame, buckets: int
     history = conform(history, FOLLOWERS).checkpoint()
     last = history.agg(F.greatest(F.max("data_entrada"), F.max("data_saida"), F.max("data_update"))).first()[0]
     last = last and _dt.datetime(last.year, last.month, last.day)
+    attempt = new_attempt()
     if last:
-        _keep_rows(root, 0, history.where(F.col("data_saida").isNull()), last, None)
-    commit(spark, root, 0, history, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), 0, last,
-           calendar=[(last, last.date(), True)] if last else [])
+        _keep_rows(root, 0, attempt, history.where(F.col("data_saida").isNull()), last, None)
+    commit(spark, root, 0, history, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")),
+           calendar=[(last, last.date(), True)] if last else [], attempt=attempt, kept_rows=bool(last))
 
 
 def mark_store(spark: SparkSession, root: str, accepted: DataFrame) -> int:
@@ -253,5 +265,5 @@ def mark_store(spark: SparkSession, root: str, accepted: DataFrame) -> int:
     last = committed_versions(spark, root)[-1]
     known = meta(spark, root, last)
     marked = mark_open(read_open(spark, root, last), accepted)
-    commit(spark, root, last + 1, marked, known["buckets"], known["base"], known["last_ts"], known["replayable"])
+    commit(spark, root, last + 1, marked, known.buckets, replayable=known.replayable)
     return last + 1

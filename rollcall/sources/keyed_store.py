@@ -21,7 +21,6 @@ run again.  A run cut off leaves files that nobody reads; ``vacuum`` deletes the
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -33,12 +32,12 @@ from pyspark.sql import types as T
 from rollcall.operators.upsert import pick_row
 from rollcall.schemas import KEYS, TABLES, conform, empty
 from rollcall.session import bounded_broadcast
+from rollcall.sources import marks
+from rollcall.sources.marks import Conflict, file_system, hadoop_path
 
-BUCKET, NTH = "__bucket", "__nth"
-
+__all__ = ["Conflict", "KeyViolation", "Version", "append", "create", "create_all", "insert_ignore", "latest", "read", "replace", "upsert", "vacuum"]
 
-class Conflict(RuntimeError):
-    """Another run committed first."""
+BUCKET, NTH = "__bucket", "__nth"
 
 
 class KeyViolation(ValueError):
@@ -54,54 +53,18 @@ class Version:
     parts: dict[int, list[str]]  # bucket -> attempts
 
 
-def _path(spark: SparkSession, path: str):
-    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-
-
-def _fs(spark: SparkSession, root: str):
-    return _path(spark, root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def latest(spark: SparkSession, root: str) -> Version | None:
     """The newest committed version, or None."""
-    fs, marks = _fs(spark, root), _path(spark, f"{root}/marks")
-    if not fs.exists(marks):
+    done = marks.numbers(spark, root)
+    if not done:
         return None
-    names = [s.getPath().getName() for s in fs.listStatus(marks)]
-    numbers = [int(n) for n in names if n.isdigit()]
-    return _read_mark(spark, root, max(numbers)) if numbers else None
-
-
-def _read_mark(spark: SparkSession, root: str, number: int) -> Version:
-    stream = _fs(spark, root).open(_path(spark, f"{root}/marks/{number}"))
-    try:
-        d = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
-    return Version(number, T.StructType.fromJson(d["schema"]), d["keys"], d["buckets"], {int(b): p for b, p in d["parts"].items()})
+    d = marks.load(spark, root, done[-1])
+    return Version(done[-1], T.StructType.fromJson(d["schema"]), d["keys"], d["buckets"], {int(b): p for b, p in d["parts"].items()})
 
 
 def _commit(spark: SparkSession, root: str, v: Version) -> None:
     """Make ``v`` the newest version, if no other run has made one of its number."""
-    fs = _fs(spark, root)
-    text = json.dumps({"schema": v.schema.jsonValue(), "keys": v.keys, "buckets": v.buckets, "parts": v.parts})
-    fs.mkdirs(_path(spark, f"{root}/marks"))
-    tmp, mark = _path(spark, f"{root}/marks/_{uuid.uuid4().hex}"), _path(spark, f"{root}/marks/{v.number}")
-    out = fs.create(tmp, False)
-    out.write(bytearray(text.encode()))
-    out.close()
-    jvm = spark.sparkContext._jvm
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(mark).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    kinds = spark.sparkContext._gateway.new_array(rename, 1)
-    kinds[0] = rename.NONE
-    try:
-        context.rename(fs.makeQualified(tmp), fs.makeQualified(mark), kinds)
-    except Exception as e:
-        fs.delete(tmp, False)
-        if fs.exists(mark):
-            raise Conflict(f"version {v.number} of {root} was committed by another run") from e
-        raise
+    marks.put(spark, root, v.number, {"schema": v.schema.jsonValue(), "keys": v.keys, "buckets": v.buckets, "parts": v.parts})
 
 
 def create(spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str], buckets: int | None = None) -> Version:
@@ -162,7 +125,7 @@ def _write(spark: SparkSession, root: str, v: Version, stored: DataFrame | None,
     rows.drop(NTH).withColumnRenamed(BUCKET, "bucket").write.partitionBy("bucket").parquet(f"{root}/data/part={attempt}")
     found = seen.get
     if found["repeated"] or found["null"]:
-        _fs(spark, root).delete(_path(spark, f"{root}/data/part={attempt}"), True)
+        file_system(spark, root).delete(hadoop_path(spark, f"{root}/data/part={attempt}"), True)
         raise KeyViolation(f"{root}: {found['repeated'] or 0} keys repeated, {found['null'] or 0} null, in {v.keys}")
     return attempt, sorted(found["buckets"])
 
@@ -250,11 +213,11 @@ def replace(spark: SparkSession, root: str, batch: DataFrame) -> Version:
 def vacuum(spark: SparkSession, root: str) -> int:
     """Delete files that the newest version doesn't name; not to be run beside writers or readers of older versions."""
     root = root.rstrip("/")
-    v, fs = _of(spark, root), _fs(spark, root)
+    v, fs = _of(spark, root), file_system(spark, root)
     live, gone = {p for parts in v.parts.values() for p in parts}, 0
-    if not fs.exists(_path(spark, f"{root}/data")):
+    if not fs.exists(hadoop_path(spark, f"{root}/data")):
         return 0
-    for status in fs.listStatus(_path(spark, f"{root}/data")):
+    for status in fs.listStatus(hadoop_path(spark, f"{root}/data")):
         if status.getPath().getName().removeprefix("part=") not in live:
             fs.delete(status.getPath(), True)
             gone += 1

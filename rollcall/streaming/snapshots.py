@@ -31,7 +31,7 @@ from rollcall.operators.history import replay_history
 from rollcall.schemas import FOLLOWERS, empty
 from rollcall.sources.catalog import snapshot_catalog, snapshot_date, snapshot_time
 from rollcall.sources.csv_io import INDEX_COL, read_export_csv
-from rollcall.sources.history_store import META, STORED, commit, committed_versions, default_buckets, meta, read_open, read_store
+from rollcall.sources.history_store import STORED, commit, committed_versions, default_buckets, meta, new_attempt, read_open, read_snaps, read_store
 
 SNAPSHOT_FILE = T.StructType([T.StructField("pk", T.LongType()),
                               T.StructField("username", T.StringType()),
@@ -73,32 +73,32 @@ def apply_files(spark: SparkSession, files: DataFrame, root: str, batch_id: int)
     """Extend the history at ``root`` with the snapshot files listed in ``files.path``."""
     root = root.rstrip("/")
     done = committed_versions(spark, root)
-    if done and spark.read.schema(META).parquet(f"{root}/meta").where(F.col("batch") == batch_id).limit(1).count():
-        return  # re-delivered batch, already committed
     run, known = (done[-1] + 1, meta(spark, root, done[-1])) if done else (0, None)
+    if known and batch_id in known.batches:
+        return  # re-delivered batch, already committed
+    attempt = new_attempt()
     catalog = snapshot_catalog(files.select("path")).checkpoint()
     listed = catalog.select("_path", "arquivo", "snap_ts", "snap_date").collect()  # file names of one trigger (bounded)
     if undated := [r["arquivo"] for r in listed if r["snap_ts"] is None]:
         raise ValueError(f"snapshot files without a date in their names: {undated[:5]}")
-    _rows(spark, catalog, [r["_path"] for r in listed]).write.mode("overwrite").parquet(f"{root}/snaps/run={run}")
-    new = spark.read.schema(STORED).parquet(f"{root}/snaps/run={run}")
-    latest = max([r["snap_ts"] for r in listed] + ([known["last_ts"]] if known and known["last_ts"] else []), default=None)
-    buckets, base = default_buckets(spark, root), known["base"] if known else run
+    snaps = f"{root}/snaps/run={run}/part={attempt}"
+    _rows(spark, catalog, [r["_path"] for r in listed]).write.parquet(snaps)
+    new = spark.read.schema(STORED).parquet(snaps)
+    buckets, base = default_buckets(spark, root), known.base if known else run
 
-    late = [r["arquivo"] for r in listed if known and known["last_ts"] and r["snap_ts"] <= known["last_ts"]]
+    late = [r["arquivo"] for r in listed if known and known.last_ts and r["snap_ts"] <= known.last_ts]
     if not late:
         opened = read_open(spark, root, done[-1]) if done else empty(spark, FOLLOWERS)
         # the open set is stored bucketed by pk: it is read in place, never shuffled
-        out = _replay(new, opened, known["buckets"] if known else None) if listed else opened
-    elif not known["replayable"]:
+        out = _replay(new, opened, known.buckets if known else None) if listed else opened
+    elif not known.replayable:
         raise ValueError(f"snapshots not later than the stored history, which has no rows to replay: {late[:5]}")
     else:
-        stored = spark.read.schema(T.StructType([*STORED.fields, T.StructField("run", T.IntegerType())])).parquet(f"{root}/snaps")
-        stored = stored.where(F.col("run").isin(*done, run)).drop("run")  # none of runs cut off
+        stored = read_snaps(spark, root, done[-1]).unionByName(new)
         marks = read_history(spark, root).where(F.col("welcome").isNotNull()).select("pk", "data_entrada", "welcome")
         out, base = _replay(stored).drop("welcome").join(marks, ["pk", "data_entrada"], "left"), run
     taken = sorted({(r["snap_ts"], r["snap_date"], False) for r in listed})
-    commit(spark, root, run, out, buckets, base, latest, known["replayable"] if known else True, batch_id, calendar=taken)
+    commit(spark, root, run, out, buckets, base, taken, known.replayable if known else True, batch_id, attempt=attempt, kept_rows=True)
 
 
 def snapshot_stream(spark: SparkSession, folder: str, root: str, checkpoint_location: str,

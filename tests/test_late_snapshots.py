@@ -50,7 +50,7 @@ def test_any_order_gives_the_fold(spark, seed):
     for version, d in enumerate(order):
         apply_daily(spark, root, _snap(spark, dt.datetime.combine(_day(d), dt.time()), snaps[d]), _day(d), version, buckets=2)
     assert _rows(read_store(spark, root, 5)) == _rows(_fold(spark, snaps))
-    assert meta(spark, root, 5)["last_ts"].date() == _day(5)
+    assert meta(spark, root, 5).last_ts.date() == _day(5)
 
 
 def test_each_kind_of_presence(spark):
@@ -118,3 +118,24 @@ def test_closed_periods_replaced_are_read_once(spark):
         apply_daily(spark, root, snap, _day(d), version, buckets=2)
     ends = [[r["data_saida"] for r in read_store(spark, root, v).collect()] for v in range(5)]
     assert ends == [[None], [_day(9)], [_day(5)], [_day(3)], [_day(3)]]
+
+
+def test_of_two_runs_one_is_committed(spark, monkeypatch):
+    """Both start from run 0; the second to end is refused, and nothing of it is read."""
+    from rollcall.sources import history_store, marks
+
+    root = scratch_path(spark, "t-two-runs")
+    snap = _snap(spark, dt.datetime.combine(DAY, dt.time()), [(1, "a", None), (2, "b", None)])
+    apply_daily(spark, root, snap, _day(0), 0)
+    put, entered = marks.put, []
+
+    def late(spark, root, number, content):
+        if not entered:
+            entered.append(True)
+            apply_daily(spark, root, snap.where("pk = 1"), _day(1), 1)
+        put(spark, root, number, content)
+
+    monkeypatch.setattr(history_store.marks, "put", late)
+    with pytest.raises(marks.Conflict):
+        apply_daily(spark, root, snap.where("pk = 2"), _day(1), 1)
+    assert {r.pk: r.data_saida for r in read_store(spark, root, 1).collect()} == {1: None, 2: _day(1)}

@@ -109,7 +109,7 @@ def test_next_batch_reads_the_open_set_in_place(spark):
     root = scratch_path(spark, "t-hist-plan")
     snapshot_stream(spark, folder, root, scratch_path(spark, "t-ckpt-plan")).awaitTermination(300)
     last = committed_versions(spark, root)[-1]
-    buckets, opened = meta(spark, root, last)["buckets"], read_open(spark, root, last)
+    buckets, opened = meta(spark, root, last).buckets, read_open(spark, root, last)
     ts = dt.datetime(2024, 1, 5, 9)
     rows = spark.createDataFrame([(ts, 2, "b", "B"), (ts, 5, "e", None)], SNAPSHOT)
     cat = rows.select("snap_ts", F.to_date("snap_ts").alias("snap_date")).distinct()
