@@ -1,8 +1,9 @@
 """Connected components of a link table, by alternating star contraction.
 
 Each round attaches the larger neighbours of every node to its smallest one (large star), then
-the smaller ones (small star).  Both are a map-side combined minimum and an equi-join, so a node
-with very many links is combined before the shuffle and its join partition can be split.  The
+the smaller ones (small star).  Both are a map-side combined minimum and an equi-join.  The minimum
+is checkpointed before it is joined: an aggregate on the key in the join's own stage would keep Spark
+from splitting the partition of a node with very many links.  The
 link table is checkpointed after every round; only its row count and a checksum reach the driver.
 """
 
@@ -15,7 +16,7 @@ from rollcall.session import checkpoint_root
 
 
 def _smallest(links: DataFrame) -> DataFrame:
-    return links.groupBy("u").agg(F.min("v").alias("m"))
+    return links.groupBy("u").agg(F.min("v").alias("m")).checkpoint()
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -47,6 +48,6 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         print_ = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if print_ == seen or not print_[0]:
             break
-        seen, now = print_, _small_star(_large_star(now)).checkpoint()
+        seen, now = print_, _small_star(_large_star(now).checkpoint()).checkpoint()
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

@@ -233,27 +233,29 @@ def ngram_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
         rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("tk").alias("tk"), F.first("n").alias("n"), F.first("block").alias("block")),
         "classes",
     )
-    column = Window.partitionBy("key").orderBy("node")
-    shared = classes.select(F.explode("block").alias("key"), "node", "n")
-    shared = shared.withColumns({"one": F.row_number().over(column), "next": F.lead("node").over(column)})
-    shared = written(shared.where("one > 1 or next is not null").drop("one", "next"), "columns")
+    # counts are combined before they travel and written before they are joined, so that a column
+    # with very many members is split between tasks
+    members = classes.select(F.explode("block").alias("key"), "node", "n")
+    counts = written(members.groupBy("key").count().where("count > 1"), "counts")
+    shared = written(members.join(counts, "key"), "columns")
 
     # the members that share most with others lead a crowded column: near copies hang on to them
-    crowded = shared.join(shared.groupBy("key").count().where(F.col("count") > LEADERS), "key")
-    weight = crowded.groupBy("node").agg(F.sum("count").alias("weight"))
+    crowded = shared.where(F.col("count") > LEADERS)
+    weight = written(crowded.groupBy("node").agg(F.sum("count").alias("weight")), "weights")
     central = Window.partitionBy("key").orderBy(F.desc("weight"), "node")
-    crowded = crowded.join(weight, "node").withColumn("rank", F.row_number().over(central))
-    leaders = crowded.where(F.col("rank") <= LEADERS).select("key", F.col("node").alias("a"), F.col("n").alias("na"))
-    late = crowded.where(F.col("rank") > LEADERS).select("key", F.col("node").alias("b"), F.col("n").alias("nb"))
+    # each task passes on at most so many of a column
+    ranked = crowded.join(weight, "node").withColumn("rank", F.row_number().over(central)).where(F.col("rank") <= LEADERS)
+    leaders = written(ranked.select("key", F.col("node").alias("a"), F.col("n").alias("na")), "leaders")
+    late = crowded.select("key", F.col("node").alias("b"), F.col("n").alias("nb")).join(leaders.select("key", F.col("a").alias("b")), ["key", "b"], "left_anti")
     star = late.join(leaders, "key").where(_size_fits("na", "nb", percent)).select("a", "b").distinct()
     near = _overlapping(star, classes, docs, text, n, percent)
     parts = components(near).withColumnsRenamed({"root": "part"})
 
-    everyone = written(shared.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node")), "parts")
+    everyone = written(shared.drop("count").join(parts, "node", "left").withColumn("part", F.coalesce("part", "node")), "parts")
     sizes = everyone.groupBy("key", "part").count().groupBy("key")
     sizes = sizes.agg(F.max_by("part", F.struct("count", "part")).alias("main"), F.max("count").alias("most"), F.sum("count").alias("all"), F.count("*").alias("parts"))
     open_ = written(everyone.join(sizes.where("parts > 1").drop("parts"), "key"), "open")
-    forget(shared, everyone)
+    forget(counts, shared, weight, leaders, everyone)
     small, large = open_.where(F.col("all") <= LEADERS), open_.where(F.col("all") > LEADERS)
     pairs = _small_columns(small, large, percent).unionByName(_large_columns(large, classes, percent)).distinct()
     far = _overlapping(pairs, classes, docs, text, n, percent)

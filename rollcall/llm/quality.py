@@ -13,8 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm.store import table, written
+from rollcall.llm.store import forget, table, written
 from rollcall.llm.text import let, words
+from rollcall.session import bounded_broadcast
 
 # The commonest words of each language.
 COMMON = {
@@ -136,9 +137,25 @@ def quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: s
     A null text counts as empty: no words, base_failed.  A null or unlisted language is compared
     with all such documents together.  Repeated rows are judged alike.  No rows give no rows.
     """
-    rows = written(features(docs, text, lang).select(F.col(doc_id).alias("doc_id"), "_f"), "features")
+    named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    rows = written(features(named, "text", "lang").select("doc_id", "_f"), "features")
     return judge(rows, ["doc_id"]).select("doc_id", "_j.*")
 
 
+def passing(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """``docs`` without the rows that ``quality`` rejects; a row is named by its id, language and the hash of its text.
+
+    The figures are worked out once, and only the names of rejected rows meet the texts again.
+    Rows of one name are judged alike.  Columns of any name pass through.
+    """
+    name = F.struct(F.col(doc_id).isNull().alias("none"), F.coalesce(F.col(doc_id), F.lit(0)).alias("id"), F.coalesce(lang, F.lit("")).alias("lang"), F.xxhash64(text).alias("hash"))
+    named = docs.select(name.alias("name"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    rows = written(features(named, "text", "lang").select("name", "_f"), "features")
+    rejected = bounded_broadcast(judge(rows, ["name"]).where("not _j.kept").select("name").distinct())
+    forget(rows)
+    packed = docs.select(F.struct("*").alias("row"), name.alias("name"))
+    return packed.join(rejected, "name", "left_anti").select("row.*")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")

@@ -21,14 +21,27 @@ from pyspark.sql import functions as F
 from rollcall.llm.store import table, written
 from rollcall.llm.text import let
 
-SIGNS = r"^((?:>[ \t]?)*)"
+
+
+def signs(line: Column) -> Column:
+    """A line's quote signs, each with at most one blank after it.
+
+    No repeated group: that recurses once per sign, and a line may hold any number of them.
+    """
+    run = F.regexp_extract(line, r"^[> \t]*", 0)
+    two = F.regexp_instr(run, F.lit(r"[ \t][ \t]"))  # what follows the first of two blanks is text
+    return F.when(line.startswith(">"), F.when(two > 0, F.left(run, two)).otherwise(run)).otherwise("")
 
 
 def runs(text: Column) -> Column:
     """``array<struct<depth, lines>>``: maximal runs of lines of one quote depth, in order."""
     lines = F.split(F.coalesce(text, F.lit("")), r"\r?\n")
-    signs = lambda x: F.regexp_extract(x, SIGNS, 1)
-    parsed = F.transform(lines, lambda x: F.struct((F.length(signs(x)) - F.length(F.replace(signs(x), F.lit(">"), F.lit("")))).alias("depth"), F.substr(x, F.length(signs(x)) + 1).alias("line")))
+
+
+    def parse(x: Column) -> Column:
+        return let(signs(x), lambda s: F.struct((F.length(s) - F.length(F.replace(s, F.lit(">"), F.lit("")))).alias("depth"), F.substr(x, F.length(s) + 1).alias("line")))
+
+    parsed = F.transform(lines, parse)
 
     def grouped(rows: Column) -> Column:
         starts = F.filter(F.sequence(F.lit(0), F.size(rows) - 1), lambda i: (i == 0) | (F.get(rows, i)["depth"] != F.get(rows, i - 1)["depth"]))

@@ -19,6 +19,7 @@ from rollcall.llm.store import table, written
 from rollcall.session import scratch_path
 
 SLOTS = 8192
+COPIES = 10_000  # of one row that are numbered at once
 
 
 def records(docs: DataFrame, doc_id: str, text: str, slots: int) -> DataFrame:
@@ -33,7 +34,11 @@ def records(docs: DataFrame, doc_id: str, text: str, slots: int) -> DataFrame:
         F.crc32(F.col(text).cast("binary")).alias("text_crc32"),
     )
     counted = sized.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("copies"))
-    each = counted.select("doc_id", "size", "text_crc32", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+    # in blocks, so that no array is as long as the copies of one row
+    blocks = F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {COPIES}"))
+    each = counted.select("doc_id", "size", "text_crc32", "copies", F.explode(blocks).alias("block"))
+    first = F.col("block") * COPIES + 1
+    each = each.select("doc_id", "size", "text_crc32", F.explode(F.sequence(first, F.least("copies", first + COPIES - 1))).alias("copy"))
     return each.withColumn("virtual_slot", F.pmod(F.xxhash64("doc_id", "text_crc32", "copy"), F.lit(slots)).cast("int"))
 
 
