@@ -3,6 +3,10 @@
 Each stage takes ``(spark, docs, sf_dir)``, works on everything the one before kept, and returns a
 DataFrame that is written as Parquet and read again as the next one's ``docs``.  All but the last
 return the columns of ``documents``.
+
+Every stage takes nulls in any column, empty and very long texts, repeated rows, tables without rows,
+and further columns of any name, which pass through: a null or empty text fails the quality rules, a
+null id is a document of its own, and repeated rows are copies, of which one stays.
 """
 
 from __future__ import annotations
@@ -18,21 +22,20 @@ from pyspark.sql import functions as F  # noqa: E402
 from rollcall.llm.mixing import mix  # noqa: E402
 from rollcall.llm.ngram_join import one_of_each  # noqa: E402
 from rollcall.llm.pieces import encode_documents  # noqa: E402
-from rollcall.llm.quality import features, judge  # noqa: E402
-from rollcall.llm.store import table, written  # noqa: E402
+from rollcall.llm.quality import passing  # noqa: E402
+from rollcall.llm.store import forget, table, written  # noqa: E402
 from rollcall.llm.substring_dedup import dedup_substrings  # noqa: E402
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules or diverge from their language go."""
-    # the references and the verdicts both read the figures: they are worked out twice rather than
-    # written with all texts, which would take the corpus's size on disk
-    return judge(features(docs, "text", "lang"), docs.columns).where("_j.kept").select(*docs.columns)
+    """Documents that fail the base rules or diverge from their language go; equal rows go or stay together."""
+    return passing(docs)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    return one_of_each(docs).select(*docs.columns)
+    """One document of each group of near duplicates (five words, similarity 0.8) stays; documents without words all stay."""
+    row = docs.select(F.struct("*").alias("row"), "doc_id", "text")  # its columns may have any names
+    return one_of_each(row, n=5, percent=80).select("row.*")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +47,9 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document is there as often as the mix takes it."""
-    rows, _ = mix(docs)
+    rows, _ = mix(docs.select(F.struct("*").alias("row"), "doc_id", "text", "source"))
     rows = rows.where("_passes > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_passes")))
-    return rows.select(*docs.columns)
+    return rows.select("row.*")
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,5 +71,7 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        before, docs = docs, written(stage(spark, docs, sf_dir), name)
+        if hasattr(before, "written_at"):
+            forget(before)
     return STAGES[-1][1](spark, docs, sf_dir)
