@@ -57,9 +57,9 @@ def shingles(text, n=3):
     return frozenset(tuple(w[i : i + n]) for i in range(len(w) - n + 1))
 
 
-def groups(rows, percent=90):
+def groups(rows, percent=90, n=3):
     """``rows`` of (id, text): per row (id, set size, smallest id reachable)."""
-    sets = [shingles(t) for _, t in rows]
+    sets = [shingles(t, n) for _, t in rows]
     root = list(range(len(rows)))
 
     def find(i):

@@ -355,7 +355,7 @@ def brute_pipeline(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     kept = {r["doc_id"] for r in quality.quality(docs).where("kept").select("doc_id").collect()}
     rows = [tuple(r) for r in docs.select("doc_id", "text", "lang", "source").collect() if r["doc_id"] in kept]
-    named = groups([(i, t) for i, t, _, _ in rows])
+    named = groups([(i, t) for i, t, _, _ in rows], percent=80, n=5)
     rows = [r for r, (i, _, c) in zip(rows, named, strict=True) if i == c]
     rows = [(i, " ".join(k), lang, source) for (i, _, lang, source), k in zip(rows, removed([t for _, t, _, _ in rows]), strict=True)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
@@ -370,10 +370,21 @@ def test_pipeline(spark):
 
 
 def test_stages_take_awkward_rows(spark):
-    docs = documents(spark).select("doc_id", "text", "lang", "source", F.col("n_chars"))
+    """Also columns named like those that operators add themselves."""
+    clash = [F.lit(k).alias(c) for k, c in enumerate(("_f", "_m", "_row", "_size", "_copy", "_j", "_passes", "row", "name", "rest", "kept_"))]
+    docs = documents(spark).select("doc_id", "text", "lang", "source", F.col("n_chars"), *clash)
     for rows in (docs, docs.where("false")):
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, rows, SMALL)
             if name != corpus_pipeline.STAGES[-1][0]:
                 assert out.schema.fieldNames() == docs.schema.fieldNames()
             assert (out.count() > 0) == (rows is docs)
+
+
+def test_quote_signs_of_any_number(spark):
+    """A line of very many signs is parsed like any other; only one blank after each counts."""
+    lines = {">" * 100_000 + " a": (100_000, "a"), "> " * 100_000 + "b": (100_000, "b"), "> >  > c": (2, " > c"), " > d": (0, " > d"), ">\t>e": (2, "e"), "": (0, ""), ">": (1, "")}
+    df = spark.createDataFrame([(x,) for x in lines], "text string")
+    got = {r["text"]: r["p"] for r in df.select("text", quotes.runs(F.col("text")).alias("p")).collect()}
+    for line, (depth, rest) in lines.items():
+        assert [(p["depth"], p["lines"]) for p in got[line]] == [(depth, [rest])], line[:20]
