@@ -7,6 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def free_name(name: str, *frames: DataFrame) -> str:
+    """``name``, lengthened until no column of the frames has it."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def to_pk(c: Column) -> Column:
     """T5: text or number id to BIGINT; unparsable text gives null (see ``split_rejects``)."""
     return F.trim(c.cast("string")).try_cast("bigint")
@@ -43,10 +51,11 @@ def to_ts(c: Column) -> Column:
 
 def split_rejects(df: DataFrame, name: str, parsed: Column) -> tuple[DataFrame, DataFrame]:
     """Rows whose ``name`` parses (value replaced) and rows that do not (kept as is)."""
-    tagged = df.withColumn("_parsed", parsed)
-    bad = tagged.where(F.col(name).isNotNull() & F.col("_parsed").isNull()).drop("_parsed")
-    good = (tagged.where(F.col(name).isNull() | F.col("_parsed").isNotNull())
-            .withColumn(name, F.col("_parsed")).drop("_parsed"))
+    new = free_name("_parsed", df)
+    tagged = df.withColumn(new, parsed)
+    bad = tagged.where(F.col(name).isNotNull() & F.col(new).isNull()).drop(new)
+    good = (tagged.where(F.col(name).isNull() | F.col(new).isNotNull())
+            .withColumn(name, F.col(new)).drop(new))
     return good, bad
 
 

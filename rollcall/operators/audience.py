@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.functions.scalars import greeting_name, render, strict_pk
+from rollcall.functions.scalars import free_name, greeting_name, render, strict_pk
 from rollcall.operators.upsert import pick_row
 from rollcall.session import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 
@@ -115,24 +115,23 @@ def accepted_prefix(results: DataFrame, run: str = "run_id", order: Sequence[str
     run holding a third of all rows is fine) joined back through a
     size-checked broadcast; beyond the bound AQE splits skewed partitions.
     """
-    key = F.struct(*[F.col(c) for c in order])
+    key, at, end = F.struct(*[F.col(c) for c in order]), free_name("_run", results), free_name("_cut", results)
     cut = (results.where(F.col(status) == F.lit(False))
-           .groupBy(run).agg(F.min(key).alias("_cut")))
+           .groupBy(F.col(run).alias(at)).agg(F.min(key).alias(end)))
     cut = bounded_broadcast(cut, max_runs)
-    cut = cut.withColumnRenamed(run, "_run")
-    j = results.join(cut, F.col(run).eqNullSafe(F.col("_run")), "left")
-    before = (key <= F.col("_cut")) if include_failing else (key < F.col("_cut"))
-    return j.where(F.col("_cut").isNull() | before).select(*results.columns)
+    j = results.join(cut, F.col(run).eqNullSafe(F.col(at)), "left")
+    before = (key <= F.col(end)) if include_failing else (key < F.col(end))
+    return j.where(F.col(end).isNull() | before).select(*results.columns)
 
 
 def mark_welcomed(people: DataFrame, accepted: DataFrame, key: str = "username",
                   mark: str = "welcome") -> DataFrame:
     """K9: ``welcome = 1`` where ``key`` is among the accepted keys, else unchanged."""
-    keys = accepted.select(F.col(key)).where(F.col(key).isNotNull()).distinct().withColumn(
-        "_hit", F.lit(True))
+    hit = free_name("_hit", people)
+    keys = accepted.select(F.col(key)).where(F.col(key).isNotNull()).distinct().withColumn(hit, F.lit(True))
     j = people.join(keys, key, "left")
     base = F.col(mark) if mark in people.columns else F.lit(None)
-    return j.withColumn(mark, F.when(F.col("_hit"), F.lit(1)).otherwise(base).cast("int")).select(
+    return j.withColumn(mark, F.when(F.col(hit), F.lit(1)).otherwise(base).cast("int")).select(
         *people.columns, *([] if mark in people.columns else [mark]))
 
 

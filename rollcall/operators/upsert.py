@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollcall.functions.scalars import free_name
+
 
 def pick_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool = True) -> DataFrame:
     """One row per key, the last (or first) by ``order``; ties are broken arbitrarily.
@@ -22,7 +24,8 @@ def pick_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: boo
     """
     by = [F.col(c).desc_nulls_last() if last else F.col(c).asc_nulls_first() for c in order]
     w = Window.partitionBy(*keys).orderBy(*by)
-    return df.withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") == 1).drop("_nth")
+    nth = free_name("_nth", df)
+    return df.withColumn(nth, F.row_number().over(w)).where(F.col(nth) == 1).drop(nth)
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
@@ -35,12 +38,12 @@ def replace_table(df: DataFrame, name: str, path: str | None = None) -> DataFram
 
 
 def _one_pass(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool) -> DataFrame:
-    names = [f"_by{i}" for i in range(len(order))]
-    new = batch.select(*[c for c in batch.columns if c in target.columns], F.lit(True).alias("_new"),
+    fresh, names = free_name("_new", target), [free_name(f"_by{i}", target) for i in range(len(order))]
+    new = batch.select(*[c for c in batch.columns if c in target.columns], F.lit(True).alias(fresh),
                        *[F.col(c).alias(n) for c, n in zip(order, names, strict=True)])
-    old = target.withColumn("_new", F.lit(False))
+    old = target.withColumn(fresh, F.lit(False))
     both = old.unionByName(new, allowMissingColumns=True)
-    kept = pick_row(both, keys, ["_new", *names], last=last)
+    kept = pick_row(both, keys, [fresh, *names], last=last)
     return kept.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields])
 
 

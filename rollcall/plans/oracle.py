@@ -288,3 +288,9 @@ union all select 'posts', count(*), count(distinct doc_id), 1 from documents
 union all select 'likes', count(distinct (l_orderkey, l_suppkey)), count(distinct (l_orderkey, l_suppkey)), 0 from lineitem
 union all select 'comments', count(distinct turn), count(distinct turn), 0 from conversations
 union all select 'invites', count(*), count(distinct username), 1 from ppl"""
+ORACLE["q47_raw_variant"] = f"""select cast(doc_id as varchar) as post_id, case when doc_id % 2 = 0 then n_chars end as extra_n,
+  case when doc_id % 2 = 0 then length({CAPTION}) end as extra_chars, true as unchanged,
+  case when doc_id % 5 <> 0 then n_chars * 3 end as view_count, n_chars as like_count,
+  cast(isodow(timezone('UTC', to_timestamp({POST_EPOCH} + doc_id * {POST_STEP}))) - 1 as integer) as dia_semana_post from documents"""
+ORACLE["q48_inventory_order"] = """select row_number() over (order by regexp_extract(url, '^(.*)/([^/]*)$', 1), regexp_extract(url, '^(.*)/([^/]*)$', 2)) - 1 as position,
+  nullif(regexp_extract(url, '^(.*)/([^/]*)$', 1), '') as pasta, nullif(regexp_extract(url, '^(.*)/([^/]*)$', 2), '') as arquivo from pages"""

@@ -350,13 +350,13 @@ def q40_upsert_comments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q41_late_snapshots(spark: SparkSession, sf: str) -> DataFrame:
-    """K7 out of order: a store seeded with the first day's history takes the other days' snapshots shuffled."""
+    """K7 out of order: a store seeded with the history of the first days takes the other days' snapshots shuffled."""
     rows = X.snapshot_rows(spark, sf)
     catalog = X.snapshot_catalog_rows(rows).checkpoint()
-    first, *days = sorted(r["snap_date"] for r in catalog.collect())  # one row a day
-    root = scratch_path(spark, "q41-store")
-    of_first = rows.where(F.col("snap_date") == F.lit(first))
-    HS.seed_store(spark, root, H.replay_history(of_first, catalog.where(F.col("snap_date") == F.lit(first)), order="event_id"), buckets=4)
+    days = sorted(r["snap_date"] for r in catalog.collect())  # one row a day
+    root, last = scratch_path(spark, "q41-store"), F.lit(days[len(days) // 3])
+    HS.seed_store(spark, root, H.replay_history(rows.where(F.col("snap_date") <= last), catalog.where(F.col("snap_date") <= last), order="event_id"), buckets=4)
+    days = days[len(days) // 3 + 1:]
     days.sort(key=lambda d: hashlib.md5(str(d).encode()).hexdigest())
     for version, day in enumerate(days, start=1):
         HS.apply_daily(spark, root, rows.where(F.col("snap_date") == F.lit(day)), day, version, order="event_id")
@@ -442,6 +442,35 @@ def q46_load_tables(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+def q47_raw_variant(spark: SparkSession, sf: str) -> DataFrame:
+    """K3 for records whose fields aren't known: dumped untouched, read back, and projected (S2) from the dump.
+
+    Every second record has fields that no schema declares, every fifth lacks one that is declared.
+    """
+    known = X.raw_posts(spark, sf).select("p.*")
+    extra = F.when(F.col("id").cast("bigint") % 2 == 0, F.struct(F.array(F.col("like_count"), F.col("comment_count")).alias("n"), F.col("caption").alias("said")))
+    lines = known.select(F.to_json(F.struct(F.struct(*known.columns, extra.alias("extra")).alias("p"), F.lit(None).cast("string").alias("none"))).alias("value"))
+    landed, dump = scratch_path(spark, "q47-landed"), scratch_path(spark, "q47-dump")
+    lines.write.text(landed)
+    IO.write_records(IO.read_records(spark, landed), dump)
+    records = spark.read.parquet(dump)
+    text = F.to_json("record")
+    got = records.select(
+        F.variant_get("record", "$.p.id", "string").alias("post_id"), F.try_variant_get("record", "$.p.extra.n[0]", "bigint").alias("extra_n"),
+        F.length(F.try_variant_get("record", "$.p.extra.said", "string")).cast("bigint").alias("extra_chars"), F.md5(text).alias("dumped"))
+    sent = spark.read.text(landed).select(F.md5(F.to_json(F.parse_json("value"))).alias("dumped"), F.lit(True).alias("unchanged")).distinct()
+    flat = FL.flatten_posts(IO.project_records(records, RAW_POSTS)).select("post_id", "view_count", "like_count", "dia_semana_post")
+    return got.join(sent, "dumped", "left").drop("dumped").join(flat, "post_id")
+
+
+def q48_inventory_order(spark: SparkSession, sf: str) -> DataFrame:
+    """O1 + K2: every row's place in the written inventory, files by name and rows as they stand."""
+    path = scratch_path(spark, "q48-inventory")
+    IO.write_inventory_csv(q07_page_inventory(spark, sf), path)
+    back = IO.read_export_csv(spark, path, PAGE_INVENTORY, encoding="ISO-8859-1", source_col="file")
+    return IO.in_file_order(back, "file").select("position", "pasta", "arquivo")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }

@@ -91,7 +91,8 @@ def create_tables(spark: SparkSession, root: str, names: list[str] | None = None
     for name in names or list(TABLES):
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in TABLES[name].fields)
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet LOCATION '{root.rstrip('/')}/{name}'")
+        path = f"{root.rstrip('/')}/{name}".replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet LOCATION '{path}'")
 
 
 def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -176,6 +176,37 @@ def _largest(spark: SparkSession, paths: list[str]) -> int:
     return sizes or 0
 
 
+def in_file_order(df: DataFrame, file_col: str, position: str = "position") -> DataFrame:
+    """``df`` as read from files (``file_col``: which), with each row's place among all rows: files by name, rows as they stand.
+
+    Rows are numbered within their file, which a task reads in order, and shifted by the rows of the files before it.
+    """
+    checkpoint_root(df.sparkSession)
+    read = df.withColumn("_at", F.monotonically_increasing_id()).checkpoint()
+    files = read.groupBy(F.col(file_col).alias("_file")).agg(F.count(F.lit(1)).alias("_n"))
+    # one row a file
+    offsets = bounded_broadcast(files.select("_file", (F.sum("_n").over(Window.orderBy("_file")) - F.col("_n")).alias("_off")))
+    within = F.row_number().over(Window.partitionBy(file_col).orderBy("_at")) - 1
+    placed = read.withColumn("_within", within).join(offsets, F.col(file_col) == F.col("_file"))
+    return placed.select(*df.columns, (F.col("_off") + F.col("_within")).alias(position))
+
+
+def read_records(spark: SparkSession, path: str, column: str = "record") -> DataFrame:
+    """K3: JSON records of any fields as a VARIANT, none of them lost or retyped."""
+    return spark.read.option("singleVariantColumn", column).json(path)
+
+
+def write_records(df: DataFrame, path: str, mode: str = "append") -> None:
+    """K3: dump untouched records (VARIANT columns among others), before any projection."""
+    df.write.mode(mode).parquet(path)
+
+
+def project_records(df: DataFrame, schema: T.StructType, column: str = "record") -> DataFrame:
+    """The declared fields of dumped records: one that a record lacks is null, and its further fields stay in the dump."""
+    fields = [F.try_variant_get(column, f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema.fields]
+    return df.select(*fields)
+
+
 def read_export_csv(spark: SparkSession, path, schema: T.StructType,
                     has_index: bool | None = False, source_col: str | None = None,
                     encoding: str = "UTF-8", keep_index: bool = False, split_bytes: int = SPLIT_BYTES) -> DataFrame:

@@ -136,3 +136,32 @@ def test_new_followers_command(spark):
     assert main(["new-followers", f"{folder}/b.csv", first, second, "--at", "2024-01-02 09:00:00"]) == 0
     rows = sorted((r.pk, r.username, r.follow_time.day) for r in spark.read.parquet(second).collect())
     assert rows == [(1, "a", 1), (2, "b", 1), (3, "c", 2)]
+
+
+def test_no_interaction_from_exports_with_an_unnamed_index(spark):
+    """The studied exports lead with an index column that has no name."""
+    folder = tempfile.mkdtemp(prefix="rollcall-cli-index-")
+    files = {
+        "posts": (";post_id;media_type;criado_em_post;dia_semana_post;comment_count;like_count;caption_text;hashtags;view_count;repost", ["0;p1;1;2024-05-01 10:00:00;2;0;0;c;;0;"]),
+        "likes": (";post_pk;follower_pk;is_private;stories", ["0;p1;1;False;"]),
+        "comments": (";post_pk;comment_pk;text;follower_pk;is_private;created_at;dia_semana;content_type;status;has_liked_comment;like_count",
+                     ['0;p1;7;"two\nlines; ""quoted""";3;False;2024-05-01 11:00:00;2;comment;Active;False;0']),
+        "followings": (";pk;username;full_name", [f"{k};{k};u{k};U" for k in range(1, 6)]),
+    }
+    for name, (header, lines) in files.items():
+        with open(f"{folder}/{name}.csv", "w", encoding="utf-8") as fh:
+            fh.write("\n".join([header, *lines]) + "\n")
+    out = scratch_path(spark, "t-cli-index")
+    assert main(["no-interaction", *(f"{folder}/{n}.csv" for n in files), out, "--as-of", "2024-05-02", "--format", "csv"]) == 0
+    assert sorted(ln.split(";")[0] for ln in _csv_rows(out)) == ["2", "4", "5"]
+
+
+def test_late_snapshot_command(spark):
+    """``apply`` works an older snapshot in where it belongs."""
+    folder, store = tempfile.mkdtemp(prefix="rollcall-cli-late-"), scratch_path(spark, "t-cli-late")
+    for day, rows in (("2024-01-01", ["0;1;a;A", "1;2;b;B"]), ("2024-01-05", ["0;1;a;A"]), ("2024-01-03", ["0;1;a;A"])):
+        with open(f"{folder}/{day}.csv", "w") as fh:
+            fh.write("\n".join([";pk;username;full_name", *rows]) + "\n")
+        assert main(["apply", f"{folder}/{day}.csv", store, "--date", day]) == 0
+    ends = {r.pk: str(r.data_saida) for r in read_history(spark, store).collect()}
+    assert ends == {1: "None", 2: "2024-01-03"}

@@ -119,3 +119,24 @@ def test_flatten_likes_and_comments(spark):
     assert (r.post_pk, r.comment_pk, r.follower_pk, r.is_private, r.has_liked_comment, r.like_count) == \
         ("p1", 5, 77, True, False, 3)
     assert r.created_at == _d.datetime(2023, 12, 31, 21, 30) and r.dia_semana == 0
+
+
+def test_columns_named_like_helper_columns(spark):
+    """Columns of any name pass through, also those that operators would add themselves."""
+    from rollcall.functions.scalars import split_ids
+    from rollcall.operators.audience import accepted_prefix, mark_welcomed
+    from rollcall.operators.upsert import insert_ignore, pick_row, upsert_replace
+
+    helpers = ["_nth", "_new", "_by0", "_parsed", "_hit", "_cut", "_run"]
+    schema = "pk long, username string, seq long, status boolean, run_id string, " + ", ".join(f"{c} string" for c in helpers)
+    rows = spark.createDataFrame([(k % 3, f"u{k}", k, k != 2, "r", *helpers) for k in range(4)], schema)
+    last = {r.pk: r for r in pick_row(rows, ["pk"], ["seq"]).collect()}
+    assert {k: r.seq for k, r in last.items()} == {0: 3, 1: 1, 2: 2} and [last[0][c] for c in helpers] == helpers
+    for upsert, seq in ((upsert_replace, 3), (insert_ignore, 0)):
+        got = upsert(rows.where("seq < 3"), rows.where("seq = 3"), ["pk"], ["seq"]).where("pk = 0").collect()
+        assert [r.seq for r in got] == [seq] and [got[0][c] for c in helpers] == helpers
+    assert sorted(r.seq for r in accepted_prefix(rows).collect()) == [0, 1]
+    marked = mark_welcomed(rows, rows.where("seq = 1"), "username").collect()
+    assert {r.username: r.welcome for r in marked} == {"u0": None, "u1": 1, "u2": None, "u3": None}
+    good, bad = split_ids(rows.withColumn("pk", rows["pk"].cast("string")), "pk")
+    assert good.count() == 4 and bad.count() == 0 and good.columns == rows.columns
