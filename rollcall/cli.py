@@ -30,17 +30,17 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.functions.scalars import split_ids
 from rollcall.operators import audience as A
 from rollcall.operators.upsert import insert_ignore
 from rollcall.schemas import (
     COMMENTS, FOLLOWINGS, INVITES, KEYS, LIKES, NEW_FOLLOWERS, POSTS, RAW_COMMENTS, RAW_LIKES, RAW_POSTS, RAW_USERS, RESULTS, TABLES, empty)
-from rollcall.session import build_session, checkpoint_root
+from rollcall.session import build_session, checkpoint_root, scratch_path
 from rollcall.sources import csv_io as IO
 from rollcall.sources import flatten as FL
 from rollcall.sources import history_store as HS
 from rollcall.sources import inventory as INV
 from rollcall.sources import keyed_store as KS
+from rollcall.sources.checked import checked_ids
 from rollcall.streaming.snapshots import SNAPSHOT_FILE, read_history, snapshot_stream
 
 
@@ -126,9 +126,8 @@ def _store(spark: SparkSession, a) -> None:
 
 def _checked(spark: SparkSession, df, name: str, out: str, label: str):
     """``df`` without rows whose id is none; those go to ``out``_rejects."""
-    good, bad = split_ids(df, name)
-    bad = bad.checkpoint()
-    if count := bad.count():
+    good, bad, count = checked_ids(df, name, scratch_path(spark, f"checked-{label}"))
+    if count:
         IO.write_export_csv(bad, f"{out}_rejects/{label}")
         print(f"{label}: {count} rows without a valid id in {out}_rejects/{label}")
     return good

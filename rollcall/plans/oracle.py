@@ -294,3 +294,8 @@ ORACLE["q47_raw_variant"] = f"""select cast(doc_id as varchar) as post_id, case
   cast(isodow(timezone('UTC', to_timestamp({POST_EPOCH} + doc_id * {POST_STEP}))) - 1 as integer) as dia_semana_post from documents"""
 ORACLE["q48_inventory_order"] = """select row_number() over (order by regexp_extract(url, '^(.*)/([^/]*)$', 1), regexp_extract(url, '^(.*)/([^/]*)$', 2)) - 1 as position,
   nullif(regexp_extract(url, '^(.*)/([^/]*)$', 1), '') as pasta, nullif(regexp_extract(url, '^(.*)/([^/]*)$', 2), '') as arquivo from pages"""
+ORACLE["q49_checked_ids"] = """select event_type as kind, count(*) filter (event_id % 50 <> 0 and event_id % 77 <> 0) as n_good,
+  count(distinct user_id) filter (event_id % 50 <> 0 and event_id % 77 <> 0) as ids,
+  count(*) filter (event_id % 50 = 0 or event_id % 77 = 0) as rejected,
+  count(distinct case when event_id % 50 = 0 then user_id::varchar || '.0' else 'x' || user_id::varchar end) filter (event_id % 50 = 0 or event_id % 77 = 0) as rejected_ids
+  from events where event_type in ('click', 'view') group by event_type"""

@@ -28,6 +28,7 @@ from rollcall.sources import history_store as HS
 from rollcall.sources import inventory as INV
 from rollcall.sources import keyed_store as KS
 from rollcall.sources import tables as TB
+from rollcall.sources.checked import checked_ids
 from rollcall.streaming.snapshots import read_history, snapshot_stream
 
 
@@ -471,6 +472,22 @@ def q48_inventory_order(spark: SparkSession, sf: str) -> DataFrame:
     return IO.in_file_order(back, "file").select("position", "pasta", "arquivo")
 
 
+def q49_checked_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """T5 as q34, each input computed once: rows, rejects as counted by the writing job, and distinct rejected ids."""
+    e = X.table(spark, sf, "events")
+    text = F.col("user_id").cast("string")
+    bad = F.when(F.col("event_id") % 50 == 0, F.concat(text, F.lit(".0"))).when(F.col("event_id") % 77 == 0, F.concat(F.lit("x"), text)).otherwise(text)
+    out = None
+    for kind in ("click", "view"):
+        rows = e.where(F.col("event_type") == kind).select(bad.alias("follower_pk"))
+        good, rejects, count = checked_ids(rows, "follower_pk", scratch_path(spark, f"q49-{kind}"))
+        counts = good.agg(F.count("*").alias("n_good"), F.countDistinct("follower_pk").alias("ids"))
+        row = counts.withColumn("one", F.lit(1)).join(rejects.agg(F.countDistinct("follower_pk").alias("rejected_ids")).withColumn("one", F.lit(1)), "one").select(
+            F.lit(kind).alias("kind"), "n_good", "ids", F.lit(count).cast("bigint").alias("rejected"), "rejected_ids")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }

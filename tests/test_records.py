@@ -59,3 +59,17 @@ def test_counts_read_footers_only(spark):
     assert [tuple(r)[1] for r in counts.collect()] == [1000]
     plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(counts._jdf.queryExecution(), "formatted")
     assert "ReadSchema: struct<>" in plan
+
+
+def test_rejects_are_counted_by_the_writing_job(spark):
+    """What comes back reads the written rows, not the input again; a column named like the helper's stays."""
+    from rollcall.sources.checked import checked_ids
+
+    rows = spark.createDataFrame([("1", "a"), ("x", "b"), (None, "c"), ("2.0", "d"), (" 3 ", "e")], "pk string, _parsed string")
+    path = scratch_path(spark, "t-checked")
+    good, bad, count = checked_ids(rows, "pk", path)
+    assert count == 2 and sorted(tuple(r) for r in bad.collect()) == [("2.0", "d"), ("x", "b")]
+    assert sorted((tuple(r) for r in good.collect()), key=str) == [(1, "a"), (3, "e"), (None, "c")]
+    for df in (good, bad):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan parquet" in plan and "ExistingRDD" not in plan
