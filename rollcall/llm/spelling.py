@@ -11,8 +11,9 @@
   may replace.  The most is the word's affected-gram bound; all other grams stand in every word one
   edit away, at the same place or one beside.
 * **Merging.**  So two near words share a gram among the bound + 1 rarest of each, at places and
-  lengths that fit: only these lists are merged, and a pair is dropped where the grams that may still
-  be shared are fewer than the larger bound asks.  The rest is verified by edit distance.
+  lengths that fit: only these lists are merged.  A pair is dropped where either word has more grams
+  that the other lacks than its bound allows (told by a bit a gram, of 64: a bit that is missing is a
+  gram that is missing).  The rest is verified by edit distance.
 * Words all of whose grams one edit can affect list all of them; pairs of two such words, which
   need not share any, are found by the texts they leave with one code point taken out.
 
@@ -23,6 +24,9 @@ texts count each; other columns are not looked at; an empty table has no words.
 
 from __future__ import annotations
 
+import functools
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -127,9 +131,10 @@ class Grams:
 
 
 def listed(words: DataFrame, dictionary: set[str], numbers: dict[str, int]) -> DataFrame:
-    """Per word the lists to merge: ``(word, n, length, need, size, grams)``.
+    """Per word the lists to merge: ``(word, n, length, affected, bits, weak, grams)``.
 
-    ``grams`` are (gram, place, rank) of the bound + 1 rarest of its ``size`` grams, ``need`` is how many of them any near word has.
+    ``affected`` is its bound, ``grams`` are (gram, place) of the bound + 1 rarest of its grams, ``bits`` stand for all of
+    them, and a ``weak`` word has no gram that every near word has too.
     """
     shared = words.sparkSession.sparkContext.broadcast((dictionary, numbers))
 
@@ -137,23 +142,22 @@ def listed(words: DataFrame, dictionary: set[str], numbers: dict[str, int]) -> D
         dictionary, numbers = shared.value
         index = Grams(dictionary)
         for batch in batches:
-            need, size, offsets, flat = [], [], [0], []
+            bound, weak, bits, offsets, flat = [], [], [], [0], []
             for w in batch.column(0).to_pylist():
                 s = FIRST + w + LAST
                 grams = index.decompose(s)
                 affected = index.bound(s, grams)
-                rare = sorted((numbers[s[p : p + q]], p) for p, q in grams)[: affected + 1]
-                need.append(len(grams) - affected)
-                size.append(len(grams))
-                flat += [(g, p, i) for i, (g, p) in enumerate(rare)]
+                named = sorted((numbers[s[p : p + q]], p) for p, q in grams)
+                flat += named[: affected + 1]
+                bits.append(functools.reduce(int.__or__, (1 << (g & 63) for g, _ in named)))
+                bound.append(affected)
+                weak.append(affected >= len(grams))
                 offsets.append(len(flat))
-            parts = [pa.array([x[k] for x in flat], pa.int32()) for k in range(3)]
-            items = pa.StructArray.from_arrays(parts, ["gram", "place", "rank"])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(need, pa.int32()), pa.array(size, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items)],
-                ["word", "n", "need", "size", "grams"])
+            items = pa.StructArray.from_arrays([pa.array([x[k] for x in flat], pa.int32()) for k in range(2)], ["gram", "place"])
+            columns = [pa.array(bound, pa.int32()), pa.array(np.array(bits, np.uint64).view(np.int64)), pa.array(weak, pa.bool_()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["word", "n", "affected", "bits", "weak", "grams"])
 
-    rows = words.select("word", "n").mapInArrow(run, "word string, n long, need int, size int, grams array<struct<gram: int, place: int, rank: int>>")
+    rows = words.select("word", "n").mapInArrow(run, "word string, n long, affected int, bits long, weak boolean, grams array<struct<gram: int, place: int>>")
     return rows.withColumn("length", F.length("word"))
 
 
@@ -164,20 +168,21 @@ def _near(a: Column, b: Column) -> Column:
 def near_words(words: DataFrame, frequent: int = FREQUENT, size: int = DICTIONARY) -> DataFrame:
     """``(a, na, b, nb)``: every pair of words exactly one edit apart, once."""
     lists = written(listed(words, *gram_dictionary(words, frequent, size)), "gram-lists")
-    each = lists.select("word", "n", "length", "need", "size", F.explode("grams").alias("g")).select("word", "n", "length", "need", "size", "g.*")
-    left = each.select("gram", "place", "length", *[F.col(c).alias(f"a_{c}") for c in ("word", "n", "need", "size", "rank")])
+    own = ("word", "n", "affected", "bits")
+    each = lists.select(*own, "length", F.explode("grams").alias("g")).select(*own, "length", "g.*")
+    left = each.select("gram", "place", "length", *[F.col(c).alias(f"a_{c}") for c in own])
     # the longer word b lists a gram where the shorter one, or one as long, would have it
     fits = F.array(F.struct("place", "length"), F.struct("place", (F.col("length") - 1).alias("length")),
                    F.struct((F.col("place") - 1).alias("place"), (F.col("length") - 1).alias("length")))
-    right = each.select("gram", F.explode(fits).alias("f"), F.col("length").alias("b_length"), *[F.col(c).alias(f"b_{c}") for c in ("word", "n", "need", "size", "rank")])
+    right = each.select("gram", F.explode(fits).alias("f"), F.col("length").alias("b_length"), *[F.col(c).alias(f"b_{c}") for c in own])
     right = right.select("gram", "f.place", "f.length", *[c for c in right.columns if c.startswith("b_")])
     met = left.join(right, ["gram", "place", "length"])
     met = met.where((F.col("b_length") > F.col("length")) | (F.col("a_word") < F.col("b_word")))
-    shared = F.least("a_rank", "b_rank") + F.least(F.col("a_size") - F.col("a_rank"), F.col("b_size") - F.col("b_rank"))
-    met = met.where(shared >= F.greatest("a_need", "b_need")).where(_near(F.col("a_word"), F.col("b_word")))
+    lacks = lambda x, y: F.bit_count(F.col(f"{x}_bits").bitwiseAND(F.bitwise_not(F.col(f"{y}_bits")))) <= F.col(f"{x}_affected")
+    met = met.where(lacks("a", "b") & lacks("b", "a") & _near(F.col("a_word"), F.col("b_word")))
     pairs = met.select(F.col("a_word").alias("a"), F.col("a_n").alias("na"), F.col("b_word").alias("b"), F.col("b_n").alias("nb"))
 
-    weak = lists.where("need <= 0").select("word", "n", "length")
+    weak = lists.where("weak").select("word", "n", "length")
     cut = F.transform(F.sequence(F.lit(1), F.col("length")), lambda i: F.struct(
         F.concat(F.substring("word", F.lit(1), i - 1), F.substring("word", i + 1, F.col("length"))).alias("rest"), i.alias("at")))
     rests = weak.select("word", "n", F.explode(cut).alias("c")).select("word", "n", "c.*")
