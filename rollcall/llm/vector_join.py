@@ -3,11 +3,12 @@
 Vectors are turned by a random rotation and cut into two blocks.  Each block has a code of random
 unit vectors; a filter direction is a pair of code words, so a vector's inner products with all
 directions are sums of two short lists.  List decoding sorts both and reads off exactly the pairs
-whose sum exceeds the cap height, or its nearest ``LEAST`` where those are fewer.  Vectors meet in the filters they share, and every met pair is
-verified by its cosine in double precision.
+whose sum exceeds the cap height, or its nearest ``LEAST`` where those are fewer.  Vectors meet in
+the filters they share, and every met pair is verified by its cosine in double precision.
 
-Size and height follow from the number of vectors: about ``IN_CAP`` vectors to a filter, about
-``FILTERS`` filters to a vector.  Equal vectors are one class beforehand.  A filter with more than
+Size and height follow from the number of vectors of a length (``designed``): about ``IN_CAP``
+vectors to a filter, ``FILTERS`` filters to a vector or more, as the wanted recall needs.  Equal
+vectors are one class beforehand.  A filter with more than
 ``BLOCK`` vectors is dealt out over pairs of parts, so no task holds it whole; each task returns
 one row per vector with its number of links and one link that keeps its component together, never
 all pairs.  A pair that shares several filters is counted in the smallest.
@@ -16,7 +17,7 @@ all pairs.  A pair that shares several filters is counted in the smallest.
 from __future__ import annotations
 
 import math
-from statistics import NormalDist
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,50 +32,96 @@ from rollcall.session import bounded_broadcast
 COSINE = 0.9
 FILTERS = 48
 LEAST = 32  # a vector near few directions takes at least so many, its nearest
+WANTED, TRIED = 0.99, 512  # share of pairs at the very limit that are to meet, of so many random ones
+SLICE = 1 << 12  # filters compared at a time
 IN_CAP = 8
 BLOCK = 1024
 SEED = 7
 
 
 class Code:
-    """The rotation and code words for vectors of ``dim`` components."""
+    """The rotation and code words for vectors of ``dim`` components; ``words`` of them to a block."""
 
-    def __init__(self, dim: int, vectors: int):
-        cap = min(5e-3, IN_CAP / max(vectors, 1))
-        self.words = Code.size(vectors)
-        self.height = NormalDist().inv_cdf(1 - cap) / math.sqrt(dim)
+    def __init__(self, dim: int, words: int, height: float):
+        self.words, self.height = words, height
+        self.least = min(LEAST, words * words)
         random = np.random.default_rng([SEED, dim])
         self.rotation = np.linalg.qr(random.standard_normal((dim, dim)))[0]
         self.cut = max(1, dim // 2)
         self.blocks = []
         for size in (self.cut, dim - self.cut):
-            words = random.standard_normal((self.words, size))
-            self.blocks.append(words / np.maximum(np.linalg.norm(words, axis=1, keepdims=True), 1e-12) / math.sqrt(2) if size else words)
+            each = random.standard_normal((words, size))
+            self.blocks.append(each / np.maximum(np.linalg.norm(each, axis=1, keepdims=True), 1e-12) / math.sqrt(2) if size else each)
 
-    @staticmethod
-    def size(vectors: int) -> int:
-        return math.ceil(math.sqrt(FILTERS / min(5e-3, IN_CAP / max(vectors, 1))))
+    def products(self, units: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Per unit vector its inner products with the words of either block."""
+        step = max(1, min(512, (1 << 22) // self.words))
+        for s in range(0, len(units), step):
+            turned = units[s : s + step] @ self.rotation
+            yield from zip(turned[:, : self.cut] @ self.blocks[0].T, turned[:, self.cut :] @ self.blocks[1].T, strict=True)
 
     def decode(self, units: np.ndarray) -> list[np.ndarray]:
         """Per unit vector, the sorted numbers of all filters whose direction it exceeds the height with."""
-        turned = units @ self.rotation
-        left, right = turned[:, : self.cut] @ self.blocks[0].T, turned[:, self.cut :] @ self.blocks[1].T
         found = []
-        for x, y in zip(left, right, strict=True):
-            order = np.argsort(-y)
-            best = -y[order]
-            near = np.flatnonzero(x >= self.height + best[0])
-            counts = np.searchsorted(best, x[near] - self.height, "right")
+        for x, y in self.products(units):
+            near, far = np.flatnonzero(x >= self.height - y.max()), np.flatnonzero(y >= self.height - x.max())
+            far = far[np.argsort(-y[far])]
+            counts = np.searchsorted(-y[far], x[near] - self.height, "right")
             i = np.repeat(near, counts)
-            j = order[np.arange(len(i)) - np.repeat(np.cumsum(counts) - counts, counts)]
-            if len(i) < LEAST:  # the best LEAST sums lie among the LEAST best of either block
-                rows, columns = np.argsort(-x)[:LEAST], order[:LEAST]
+            j = far[np.arange(len(i)) - np.repeat(np.cumsum(counts) - counts, counts)]
+            if len(i) < self.least:  # the best sums lie among as many best of either block
+                rows, columns = np.argsort(-x)[: self.least], np.argsort(-y)[: self.least]
                 sums = (x[rows][:, None] + y[columns][None, :]).ravel()
-                top = np.argpartition(-sums, LEAST - 1)[:LEAST]
+                top = np.argpartition(-sums, self.least - 1)[: self.least]
                 i, j = rows[top // len(columns)], columns[top % len(columns)]
             found.append(np.sort(i * self.words + j))
         return found
 
+    def calibrate(self, units: np.ndarray, filters: float) -> None:
+        """The height that ``filters`` of the directions exceed on average, measured on ``units``."""
+        sums = [(x, np.sort(-y)) for x, y in self.products(units)]
+        low, high = 0.0, max(x.max() - y[0] for x, y in sums) + 1e-9
+        for _ in range(40):
+            height = (low + high) / 2
+            count = sum(int(np.searchsorted(y, x[x >= height + y[0]] - height, "right").sum()) for x, y in sums)
+            low, high = (height, high) if count >= filters * len(sums) else (low, height)
+        self.height = high
+
+
+def pairs_at(cosine: float, count: int, dim: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Random unit vectors, and one at that cosine of each."""
+    random = np.random.default_rng([seed, dim, count])
+    a, b = unit(random.standard_normal((count, dim))), random.standard_normal((count, dim))
+    if dim == 1:
+        return a, a
+    b = unit(b - (a * b).sum(1, keepdims=True) * a)
+    return a, cosine * a + math.sqrt(1 - cosine * cosine) * b
+
+
+def recall(code: Code, a: np.ndarray, b: np.ndarray) -> float:
+    """The share of pairs that meet in a filter."""
+    return float(np.mean([len(np.intersect1d(x, y, assume_unique=True)) > 0 for x, y in zip(code.decode(a), code.decode(b), strict=True)]))
+
+
+def designed(dim: int, vectors: int, cosine: float = COSINE) -> tuple[int, float]:
+    """Words of a block and cap height for a table of so many vectors.
+
+    About ``IN_CAP`` unrelated vectors are in a filter.  The height is measured on the code itself,
+    and a vector takes as many filters as let ``WANTED`` of random pairs at exactly ``cosine`` meet:
+    the rotation is random, so a pair of any table is such a pair.  Up to ``BLOCK`` vectors share
+    one filter, where all meet.
+    """
+    if vectors <= BLOCK:
+        return 1, -math.inf
+    cap, (a, b) = min(5e-3, IN_CAP / vectors), pairs_at(cosine, TRIED, dim, SEED)
+    filters = float(FILTERS)
+    while True:
+        code = Code(dim, math.ceil(math.sqrt(filters / cap)), 0.0)
+        code.calibrate(a[:128], filters)
+        if recall(code, a, b) >= WANTED or filters > 64 * FILTERS:
+            return code.words, code.height
+        filters *= 1.25
+
 
 def unit(vectors: np.ndarray) -> np.ndarray:
     vectors = vectors / np.abs(vectors).max(1, keepdims=True)
@@ -100,10 +147,17 @@ def _blocks(part: np.ndarray, units: np.ndarray, lists: list[np.ndarray], at: in
     flat = np.concatenate(lists)
     before = flat < at
     names, column, count = np.unique(flat[before], return_inverse=True, return_counts=True)
-    met = np.zeros((len(lists), len(names)), np.float32)
-    met[rows[before], column] = 1
-    met = met[:, count > 1]
-    first = links & (met @ met.T == 0)
+    shared = count > 1  # a filter of one member says nothing about pairs
+    place = np.cumsum(shared) - 1
+    rows, column = rows[before][shared[column]], place[column[shared[column]]]
+    order = np.argsort(column, kind="stable")
+    rows, column = rows[order], column[order]
+    first = links
+    for low in range(0, int(shared.sum()), SLICE):
+        a, b = np.searchsorted(column, [low, low + SLICE])
+        met = np.zeros((len(lists), min(SLICE, int(shared.sum()) - low)), np.float32)
+        met[rows[a:b], column[a:b] - low] = 1
+        first = first & (met @ met.T == 0)
     return first @ weight, label, links.any(1)
 
 
@@ -122,10 +176,11 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     rows = rows.withColumn("node", F.when(F.col("v").isNotNull(), F.xxhash64("v")))
     classes = rows.where("node is not null").groupBy("node").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("w"), F.first("v").alias("v"))
     classes = written(classes, "vectors")
-    total = classes.count()
+    lengths = classes.groupBy(F.size("v").alias("dim")).count().where(F.col("count") > BLOCK).collect()  # one row a length
+    design = {r["dim"]: designed(r["dim"], r["count"], cosine) for r in lengths}
 
     kind = np.float32 if isinstance(vectors.schema[embedding].dataType.elementType, T.FloatType) else np.float64
-    number = np.int32 if Code.size(total) ** 2 < 1 << 31 else np.int64
+    number = np.int32 if max((words for words, _ in design.values()), default=1) ** 2 < 1 << 31 else np.int64
 
     def caps(batches):
         codes: dict[int, Code] = {}
@@ -135,7 +190,7 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
             dims = np.diff(ends)
             for dim in np.unique(dims).tolist():
                 at = np.flatnonzero(dims == dim)
-                code = codes.setdefault(dim, Code(dim, total))
+                code = codes.get(dim) or codes.setdefault(dim, Code(dim, *design.get(dim, (1, -math.inf))))
                 for s in range(0, len(at), 512):
                     each = np.stack([flat[ends[i] : ends[i + 1]] for i in at[s : s + 512]])
                     lists = code.decode(unit(each))

@@ -242,6 +242,31 @@ def test_vector_recall(spark):
     assert out >= 0.98 * 3000
 
 
+@pytest.mark.parametrize(("dim", "power"), [(64, 4), (64, 5), (64, 6), (64, 7), (64, 8), (64, 9), (256, 5), (256, 7)])
+def test_recall_holds_at_any_size(dim, power):
+    code = vector_join.Code(dim, *vector_join.designed(dim, 10**power))
+    assert vector_join.recall(code, *vector_join.pairs_at(0.9, 400, dim, 99)) >= 0.95
+
+
+def test_decoding_finds_every_direction_above_the_height():
+    r = np.random.default_rng(8)
+    code = vector_join.Code(20, 40, 0.35)
+    units = vector_join.unit(r.standard_normal((50, 20)))
+    for each, found in zip(units, code.decode(units), strict=True):
+        turned = each @ code.rotation
+        sums = ((turned[:10] @ code.blocks[0].T)[:, None] + (turned[10:] @ code.blocks[1].T)[None, :]).ravel()
+        assert found.tolist() == np.sort(np.argsort(-sums)[: max(vector_join.LEAST, (sums >= 0.35).sum())]).tolist()
+
+
+def test_many_near_copies(spark):
+    r = np.random.default_rng(12)
+    rows = r.standard_normal(32) + 0.02 * r.standard_normal((5000, 32))
+    rows = np.concatenate([rows, r.standard_normal((300, 32))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<float>")
+    got = df.transform(vector_join.near_vectors).where("vec_id < 5000").agg(F.min("n_links"), F.max("n_links"), F.countDistinct("component_id")).first()
+    assert tuple(got) == (4999, 4999, 1)
+
+
 # toxicity
 
 
