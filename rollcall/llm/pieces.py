@@ -7,8 +7,14 @@ sorted hashes of the pieces.
 * Unigram models: Viterbi.  Position by position, the best score over all piece lengths is a
   vectorised maximum over the matrix, which also stores the backpointers.
 * BPE models (the installed ``piece_bpe_32k.model`` is one): their scores are merge ranks, and the
-  path with the largest sum of ranks isn't the model's encoding.  So the matrix advances by merges:
-  each round every segment joins its best-ranked adjacent pair, the leftmost of equals.
+  path with the largest sum of ranks isn't the model's encoding.  But a sequence of pieces is the
+  encoding exactly where each neighbouring pair is compatible, that is, where merges of the two
+  pieces' characters alone end in these two.  So a prefix ends in the one piece that is compatible
+  with the last piece of the prefix before it: the same position-by-position pass, with a mask of
+  compatible pairs in place of the maximum, and stored backpointers (``linked``).  Needed for it: each
+  piece comes out of its own characters, by merges of rising rank.  Models without that property
+  (``Model.parts`` is None) advance by merges: each round every segment joins its best-ranked
+  adjacent pair, the leftmost of equals.
 
 The model file is read and never trained.  A character that no piece covers becomes the pieces of
 its bytes where the model has them, else the unknown piece.
@@ -27,15 +33,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.llm.store import modest_batches, table
-from rollcall.llm.textvec import Spans, chunks, frugal, ragged
+from rollcall.llm.textvec import BYTE_BASE, Spans, chunks, frugal, ragged
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 NONE = np.iinfo(np.int32).max
-FILTER_BITS = 22
+TOP_BITS = 20
+PAIR_BITS = 20
 CHUNK = 256 << 10  # bytes of texts encoded at a time
 LONGEST = 64  # longer segments are cut further, or encoded one by one
+CELLS = 1 << 18  # starts and widths of segments looked up at once
+STEP = 1 << 12  # positions of a long segment looked up at once
 KEPT = 1 << 19  # tokens of known segments that a task remembers
 
 
@@ -67,7 +76,7 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
 class Model:
     """Pieces, scores and kinds of a model file's bytes."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes, parts: np.ndarray | None = None):
         self.pieces: list[str] = []
         scores, kinds = [], []
         self.kind, self.prefix, squeeze, charsmap = UNIGRAM, True, True, b""
@@ -85,6 +94,9 @@ class Model:
         if self.kind not in (UNIGRAM, BPE) or squeeze or charsmap:
             raise ValueError("only unigram and BPE models that keep texts as they are")
         self._index(scores, np.array(kinds))
+        self.parts = parts if parts is not None or self.kind != BPE else self._parts()
+        if self.parts is not None:
+            self.formed, self.split, self.left, self.right = self.parts
 
     def _index(self, scores: list[float], kinds: np.ndarray) -> None:
         self.unknown = int(np.flatnonzero(kinds == UNKNOWN)[0])
@@ -110,8 +122,11 @@ class Model:
         score = np.array(scores)[self.ids]
         self.scores = score
         self.ranks = np.unique(-score, return_inverse=True)[1].astype(np.int32)
-        self.filter = np.zeros(1 << FILTER_BITS, bool)
-        self.filter[(self.keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+        top = (self.keys >> np.uint64(64 - TOP_BITS)).astype(np.int64)
+        self.first = np.full(1 << TOP_BITS, -1, np.int32)  # the first key of each leading bits
+        self.first[top[::-1]] = np.arange(len(top) - 1, -1, -1)
+        self.most = int(np.bincount(top, minlength=1).max())
+        self.pairs_met = np.full(1 << PAIR_BITS, -1, np.int64)  # pairs judged before, and whether compatible in the last bit
         self.least = float(score.min()) - 10 if len(score) else 0.0
 
         texts = [self.pieces[i].replace("▁", " ") for i in own]
@@ -124,14 +139,35 @@ class Model:
                 self.lonely[[ord(c) for c in t if ord(c) < 128]] = False
         self.cut_at_space = not any(a != " " and b == " " for a, b in self.pairs)
 
+    def _parts(self) -> np.ndarray | None:
+        """Per place: the rank of the merge that forms the piece, the bytes of its left part, and both parts' places (-1: none, as in the last column, a character without a piece)."""
+        texts = [self.pieces[i].replace("▁", " ") for i in self.ids]
+        place = {t: k for k, t in enumerate(texts)}
+        out = np.full((4, len(texts) + 1), -1, np.int64)
+        for k, t in enumerate(texts):
+            symbols, before, parts = list(t), -1, None
+            while len(symbols) > 1:
+                rank, i = min((self.ranks[place[a + b]] if a + b in place else NONE, i) for i, (a, b) in enumerate(zip(symbols, symbols[1:], strict=False)))
+                if rank == NONE or rank < before:
+                    return None
+                before, parts = rank, symbols[i : i + 2]
+                symbols[i : i + 2] = ["".join(parts)]
+            if parts:
+                out[:, k] = before, len(parts[0].encode()), place.get(parts[0], -1), place.get(parts[1], -1)
+        return out
+
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Places among the sorted keys, -1 for none."""
-        out = np.full(hashes.shape, -1, np.int64)
-        maybe = self.filter[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
-        few = hashes[maybe]
-        at = np.minimum(np.searchsorted(self.keys, few), len(self.keys) - 1)
-        out[maybe] = np.where(self.keys[at] == few, at, -1)
-        return out
+        at = self.first[(hashes >> np.uint64(64 - TOP_BITS)).astype(np.int64)].astype(np.int64)
+        maybe = np.nonzero(at >= 0)
+        few, place = hashes[maybe], at[maybe]
+        wrong = np.flatnonzero(self.keys[place] != few)
+        for _ in range(self.most - 1):  # keys of equal leading bits follow each other
+            place[wrong] = np.minimum(place[wrong] + 1, len(self.keys) - 1)
+            wrong = wrong[self.keys[place[wrong]] != few[wrong]]
+        place[wrong] = -1
+        at[maybe] = place
+        return at
 
     def rank(self, hashes: np.ndarray) -> np.ndarray:
         at = self.find(hashes)
@@ -204,6 +240,120 @@ def viterbi(model: Model, spans: Spans, edges: np.ndarray) -> Iterator[tuple[np.
             scored[k] = np.where(at >= 0, model.scores[at], model.least if width == 1 else -np.inf) + best[:, i - width]
         k = scored.argmax(0)
         best[:, i], back[:, i] = scored[k, np.arange(count)], i - np.array(reach)[k]
+    yield from _followed(back, edges)
+
+
+def compatible(model: Model, spans: Spans, start: np.ndarray, middle: np.ndarray, end: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether no merge crosses ``middle`` when the characters of piece ``a`` and the following piece ``b`` are merged.
+
+    The pieces are taken apart again, the one formed later first; between two steps back the two
+    symbols at the border stood beside each other until the later step, so they must have no piece,
+    or one of a later rank (of equal ranks the left merge comes first).
+    """
+    out = model.rank(spans.hashes(start, end)) == NONE
+    at = np.flatnonzero(out)
+    start, middle, end, a, b = start[at], middle[at], end[at], a[at], b[at]
+    while len(at):
+        of_a, of_b = model.formed[a], model.formed[b]
+        left = of_a > of_b
+        start, end = np.where(left, start + model.split[a], start), np.where(left, end, middle + model.split[b])
+        a, b = np.where(left, model.right[a], a), np.where(left, b, model.left[b])
+        whole = (of_a < 0) & (of_b < 0)
+        end = np.where(whole, middle, end)
+        rank = model.rank(spans.hashes(start, end))
+        crossed = ~whole & np.where(left, rank < of_a, rank <= of_b)
+        out[at[crossed]] = False
+        on = ~(whole | crossed)
+        at, start, middle, end, a, b = at[on], start[on], middle[on], end[on], a[on], b[on]
+    return out
+
+
+def judged(model: Model, spans: Spans, start: np.ndarray, middle: np.ndarray, end: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``compatible``, which remembers pairs in a table of fixed size; a character without a piece is none to remember."""
+    key = a * len(model.keys) + b
+    slot = ((key.astype(np.uint64) * np.uint64(BYTE_BASE)) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+    met = model.pairs_met[slot]
+    out = (met & 1).astype(bool)
+    named = (a >= 0) & (b >= 0)
+    new = np.flatnonzero(~(named & (met >> 1 == key)))
+    out[new] = compatible(model, spans, start[new], middle[new], end[new], a[new], b[new])
+    new = new[named[new]]
+    model.pairs_met[slot[new]] = key[new] << 1 | out[new]
+    return out
+
+
+def linked(model: Model, spans: Spans, edges: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """BPE of each segment: per position the one piece compatible with the last of the prefix before it.
+
+    All pieces in the matrix and all neighbouring pairs of them are looked up at once; then the
+    rows advance together, position by position.
+    """
+    length = edges.shape[1] - 1
+    widths = np.arange(1, min(model.widest, length) + 1)
+    step = max(1, CELLS // (length * len(widths)))
+    for low in range(0, len(edges), step):
+        some = edges[low : low + step]
+        count, each = len(some), np.arange(len(some))
+        starts = np.arange(1, length + 1)[:, None] - widths
+        at = model.find(spans.hashes(some[:, np.maximum(starts, 0)], some[:, 1:, None]))
+        pieces = (starts >= 0) & ((at >= 0) | (widths == 1))
+        row, stop, column = np.nonzero(pieces)
+        begin, place = starts[stop, column], at[pieces]
+        number = np.full(at.shape, -1, np.int64)
+        number[pieces] = np.arange(len(row))
+        amount = pieces.sum(2).ravel()  # pieces that end in each position of each row
+        first = np.cumsum(amount) - amount
+        cell = np.maximum(row * length + begin - 1, 0)  # the pieces that end where this one begins
+        counts = np.where(begin > 0, amount[cell], 0)
+        a, b = ragged(first[cell], counts), np.repeat(np.arange(len(row)), counts)
+        fits = np.append(judged(model, spans, some[row[a], begin[a]], some[row[b], begin[b]], some[row[b], stop[b] + 1], place[a], place[b]), True)
+        offset = np.cumsum(counts) - counts - first[cell]
+        last, back = np.zeros((count, length + 1), np.int64), np.zeros((count, length + 1), np.int64)
+        for i in range(1, length + 1):
+            reach = slice(0, min(i, len(widths)))
+            mine, begins = number[:, i - 1, reach], starts[i - 1, reach]
+            pair = np.where(begins > 0, offset[mine] + last[:, begins], -1)  # a piece at the start fits
+            k = ((mine >= 0) & fits[np.where(mine >= 0, pair, -1)]).argmax(1)
+            last[:, i], back[:, i] = mine[each, k], begins[k]
+        for rows, found in _followed(back, some):
+            yield low + rows, found
+
+
+def linked_one(model: Model, spans: Spans, edges: np.ndarray) -> np.ndarray:
+    """The same for one long segment: pieces and compatible pairs of ``STEP`` positions are looked up at once."""
+    n = len(edges) - 1
+    back, chosen = [0] * (n + 1), [-1] * (n + 1)  # start, and number of the last piece of each prefix
+    begin, stop, place = (np.zeros(0, np.int64) for _ in range(3))  # pieces that end in the positions looked at
+    first = 0  # number of the first of them
+    for low in range(0, n, STEP):
+        high = min(low + STEP, n)
+        keep = stop > low - model.widest
+        first += int(len(keep) - keep.sum())
+        old = int(keep.sum())
+        ends, widths = np.arange(low + 1, high + 1)[:, None], np.arange(1, min(model.widest, high) + 1)[None, :]
+        starts = ends - widths
+        at = model.find(spans.hashes(edges[np.maximum(starts, 0)], edges[np.broadcast_to(ends, starts.shape)]))
+        row, column = np.nonzero((starts >= 0) & ((at >= 0) | (widths == 1)))
+        begin = np.concatenate([begin[keep], starts[row, column]])
+        stop, place = np.concatenate([stop[keep], row + low + 1]), np.concatenate([place[keep], at[row, column]])
+        b = np.arange(old, len(stop))
+        before = np.searchsorted(stop, begin[b])
+        counts = np.where(begin[b] > 0, np.searchsorted(stop, begin[b], "right") - before, 0)
+        a, of = ragged(before, counts), np.repeat(b, counts)
+        fits = judged(model, spans, edges[begin[a]], edges[stop[a]], edges[stop[of]], place[a], place[of])
+        offset = np.cumsum(counts) - counts - before - first
+        for k, s, e, shift in zip((b + first).tolist(), begin[b].tolist(), stop[b].tolist(), offset.tolist(), strict=True):
+            if not s or fits[shift + chosen[s]]:
+                back[e], chosen[e] = s, k
+    out = [n]
+    while out[-1]:
+        out.append(back[out[-1]])
+    return edges[out[::-1]]
+
+
+def _followed(back: np.ndarray, edges: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Edges of the pieces that the backpointers name from the end, rows of equally many pieces together."""
+    count, length = len(back), back.shape[1] - 1
     used = np.zeros((count, length + 1), bool)
     at, each = np.full(count, length), np.arange(count)
     used[:, length] = True
@@ -273,7 +423,7 @@ class Encoder:
 
     def _tokens(self, data: np.ndarray, spans: Spans, ends: np.ndarray, place: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of segments of ``counts`` characters from character ``place``, in turn, and how many each has."""
-        advance = merge if self.model.kind == BPE else viterbi
+        advance, alone = (viterbi, None) if self.model.kind != BPE else (merge, merge_one) if self.model.parts is None else (linked, linked_one)
         rows, froms, tos = [], [], []
 
         def add(which, edges):
@@ -286,8 +436,8 @@ class Encoder:
             if count > LONGEST:
                 for i in these:
                     for edges in self._long(data, ends[place[i] : place[i] + count + 1]):
-                        if self.model.kind == BPE and len(edges) > LONGEST:
-                            add(np.array([i]), merge_one(self.model, spans, edges)[None, :])
+                        if alone and len(edges) > LONGEST:
+                            add(np.array([i]), alone(self.model, spans, edges)[None, :])
                         else:
                             for _, found in advance(self.model, spans, edges[None, :]):
                                 add(np.array([i]), found)
@@ -332,10 +482,11 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL, doc_id: str = "do
     """
     modest_batches(docs.sparkSession)
     with open(model_path, "rb") as f:  # the driver's copy goes to the tasks
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())
+        data = f.read()
+    shared = docs.sparkSession.sparkContext.broadcast((data, Model(data).parts))
 
     def run(batches):
-        model = Model(shared.value)
+        model = Model(*shared.value)
         encoder = Encoder(model)
         for batch in batches:
             for row, end, ids, offsets, data, bounds in encoder.encode(batch.column(1)):
@@ -355,10 +506,11 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL, doc_id: str = "do
 def decode_documents(rows: DataFrame, model_path: str = MODEL, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:
     """``doc_id, text`` of encoded rows; bytes that aren't UTF-8 become U+FFFD, null ids an empty text."""
     with open(model_path, "rb") as f:
-        shared = rows.sparkSession.sparkContext.broadcast(f.read())
+        data = f.read()
+    shared = rows.sparkSession.sparkContext.broadcast((data, Model(data).parts))
 
     def run(batches):
-        model = Model(shared.value)
+        model = Model(*shared.value)
         for batch in batches:
             lists = [x.as_py() or [] for x in batch.column(1)]
             offsets = np.cumsum([0, *(len(x) for x in lists)])

@@ -372,6 +372,40 @@ def test_long_words_and_odd_characters_equal_the_library(spark):
     assert got == {i: (library.encode(t), True) for i, t in enumerate(texts)}
 
 
+def tokens(model, texts):
+    return [x.tolist() for _, _, ids, offsets, _, _ in pieces.Encoder(model).encode(pa.array(texts, pa.large_string())) for x in np.split(ids, offsets[1:-1])]
+
+
+@pytest.mark.parametrize(("longest", "step"), [(64, 1 << 12), (3, 7)])
+def test_compatible_pieces_are_the_encoding(monkeypatch, longest, step):
+    """Position by position with compatible pairs: the library's ids, and those of merges; long segments in steps too."""
+    monkeypatch.setattr(pieces, "LONGEST", longest)
+    monkeypatch.setattr(pieces, "STEP", step)
+    rng = random.Random(11)
+    with open(pieces.MODEL, "rb") as f:
+        model = pieces.Model(f.read())
+    assert model.parts is not None
+    letters = ["aabbcde  nrstioéü屋ทา★xX#=-_\n\t\U0001f600", "aeinrst", "ab", "= -_#"]
+    texts = ["".join(rng.choice(rng.choice(letters)) for _ in range(rng.randrange(50))) for _ in range(1500)]
+    texts += ["".join(rng.choice(some) for _ in range(rng.randrange(400))) for some in letters for _ in range(20)] + ["x" * 999, " " * 300 + "a" * 200, ""]
+    want = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL).encode(texts)
+    assert tokens(model, texts) == want
+    model.parts = None
+    assert tokens(model, texts) == want
+
+
+def test_models_that_merge_by_falling_ranks_have_no_parts():
+    """abc is formed by a merge (b with c) that ranks after it: its encoding goes by merges."""
+    scored = [("▁", -9.0), ("a", -9.0), ("b", -9.0), ("c", -9.0), ("abc", -1.0), ("bc", -2.0)]
+    data = unigram_model(scored)
+    rising = unigram_model([(p, {"abc": -2.0, "bc": -1.0}.get(p, s)) for p, s in scored])
+    assert data.count(b"\x12\x02\x18\x01") == rising.count(b"\x12\x02\x18\x01") == 1
+    models = [pieces.Model(d.replace(b"\x12\x02\x18\x01", b"\x12\x02\x18\x02")) for d in (data, rising)]  # BPE in place of unigram
+    assert models[0].parts is None and models[1].parts is not None
+    for model in models:
+        assert [[model.pieces[i] for i in ids] for ids in tokens(model, ["abcab", "cbcabc"])] == [["▁", "abc", "a", "b"], ["▁", "c", "bc", "abc"]]
+
+
 # the pipeline
 
 
