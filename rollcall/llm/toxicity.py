@@ -5,9 +5,12 @@ part learns that two terms count together (an insult with a mention of a group)
 alone.  Terms are runs of letters and digits, A-Z lower-cased,
 and the first bytes of longer ones, hashed to ``2**BITS`` numbers.
 
-Training takes at most ``SAMPLE`` labelled rows, those whose ids have the smallest hashes (a stated
-bound), and keeps the ``ACTIVE`` terms whose presence differs most between the labels.  Scoring
-reads every whole text; the model has a fixed size and is broadcast.
+Training takes at most ``SAMPLE`` labelled documents, those whose ids have the smallest hashes (a
+stated bound).  Its terms are counted by Spark: the ``ACTIVE`` whose presence differs most between
+the labels are kept, and of the terms that stand beside one of these, the ``COMPANY`` whose presence
+differs most among such rows, so a term that counts only beside another has its factors too.  Only
+these terms of each row go to the one task that learns.  Scoring reads every whole text; the model
+has a fixed size and is broadcast.
 """
 
 from __future__ import annotations
@@ -17,13 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm.store import modest_batches, table
+from rollcall.llm.store import forget, modest_batches, table, written
 from rollcall.llm.textvec import Spans, U, Words, chunks, frugal, mix
 
 BITS = 20
 STEMS = (5, 6, 7, 8)
 SAMPLE = 20_000
 ACTIVE = 2048
+COMPANY = 1024
 LEAST_ROWS = 4
 LEAST_SPREAD = 4.5  # standard deviations between a term's rows of label 1 and those expected of it
 FACTORS = 8
@@ -78,27 +82,13 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
 
 
-def train(labels: np.ndarray, texts: list[np.ndarray]) -> Machine:
-    """Fit on rows of distinct term numbers; without rows of both labels every score is the share of label 1."""
+def train(labels: np.ndarray, places: list[np.ndarray], size: int) -> tuple[float, np.ndarray, np.ndarray]:
+    """Bias, weights and factors of ``size`` terms, fitted on rows of distinct terms and both labels."""
     rows, ones = len(labels), int(labels.sum())
-    active = np.full(1 << BITS, -1, np.int64)
     bias = float(np.log((ones + 1) / (rows - ones + 1)))
-    if not ones or ones == rows:
-        return Machine(active, bias, np.zeros(0), np.zeros((0, FACTORS)))
-    flat = np.concatenate(texts)
-    of = np.repeat(labels, [len(t) for t in texts])
-    all_, toxic = np.bincount(flat, minlength=1 << BITS), np.bincount(flat[of == 1], minlength=1 << BITS)
-    share = (all_ + 1) / (rows + 2)
-    spread = np.abs(toxic - ones * share) / np.sqrt(ones * share * (1 - share))
-    spread[(all_ < LEAST_ROWS) | (spread < LEAST_SPREAD)] = 0
-    chosen = np.argsort(-spread, kind="stable")[:ACTIVE]
-    chosen = np.sort(chosen[spread[chosen] > 0])
-    active[chosen] = np.arange(len(chosen))
-
     random = np.random.default_rng(SEED)
-    linear, factors = np.zeros(len(chosen)), random.normal(0, 0.01, (len(chosen), FACTORS))
-    seen_w, seen_v, seen_b = np.full(len(chosen), 1e-6), np.full((len(chosen), FACTORS), 1e-6), 1e-6
-    places = [p[p >= 0] for p in (active[t] for t in texts)]
+    linear, factors = np.zeros(size), random.normal(0, 0.01, (size, FACTORS))
+    seen_w, seen_v, seen_b = np.full(size, 1e-6), np.full((size, FACTORS), 1e-6), 1e-6
     for _ in range(EPOCHS):
         order = random.permutation(rows)
         for s in range(0, rows, BATCH):
@@ -111,9 +101,9 @@ def train(labels: np.ndarray, texts: list[np.ndarray]) -> Machine:
             raw = bias + np.bincount(row, linear[place], len(batch)) + ((sums**2).sum(1) - squares) / 2
             error = 1 / (1 + np.exp(-np.clip(raw, -30, 30))) - labels[batch]
             g = error[row]
-            grad_w = np.bincount(place, g, len(chosen)) / len(batch) + DECAY * linear
+            grad_w = np.bincount(place, g, size) / len(batch) + DECAY * linear
             pull = g[:, None] * (sums[row] - v)
-            grad_v = np.stack([np.bincount(place, pull[:, f], len(chosen)) for f in range(FACTORS)], 1) / len(batch) + DECAY * factors
+            grad_v = np.stack([np.bincount(place, pull[:, f], size) for f in range(FACTORS)], 1) / len(batch) + DECAY * factors
             grad_b = error.mean()
             seen_w += grad_w**2
             seen_v += grad_v**2
@@ -121,14 +111,49 @@ def train(labels: np.ndarray, texts: list[np.ndarray]) -> Machine:
             linear -= RATE * grad_w / np.sqrt(seen_w)
             factors -= RATE * grad_v / np.sqrt(seen_v) / 4
             bias -= RATE * grad_b / np.sqrt(seen_b)
-    return Machine(active, bias, linear, factors)
+    return bias, linear, factors
+
+
+def _telling(rows: DataFrame, beside: np.ndarray | None, most: int) -> np.ndarray:
+    """The at most ``most`` terms of ``label, terms`` rows whose presence differs most between the labels; ``beside``: among rows that hold one of these, others than these."""
+
+    def count(batches):
+        for batch in batches:
+            labels, lists = batch.column(0).to_numpy(), [np.frombuffer(x, np.int32) for x in batch.column(1).to_pylist()]
+            if beside is not None:
+                held = [i for i, x in enumerate(lists) if np.isin(x, beside).any()]
+                labels, lists = labels[held], [lists[i] for i in held]
+            if not lists:
+                continue
+            flat, of = np.concatenate(lists), np.repeat(labels, [len(x) for x in lists])
+            # the number -1 counts the rows themselves
+            number, which = np.unique(np.concatenate([np.full(len(labels), -1, np.int32), flat]), return_inverse=True)
+            of = np.concatenate([labels, of])
+            yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(np.bincount(which, minlength=len(number))), pa.array(np.bincount(which, of, len(number)).astype(np.int64))], ["number", "n", "ones"])
+
+    sums = rows.mapInArrow(count, "number int, n long, ones long").groupBy("number").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones")).checkpoint()
+    all_ = sums.where("number = -1").first()
+    if all_ is None or all_["ones"] in (0, all_["n"]):
+        return np.zeros(0, np.int64)
+    share = (F.col("n") + 1) / (all_["n"] + 2)
+    spread = F.abs(F.col("ones") - share * all_["ones"]) / F.sqrt(share * (1 - share) * all_["ones"])
+    told = sums.where(F.col("number") >= 0).where(F.col("n") >= LEAST_ROWS).withColumn("spread", spread).where(F.col("spread") >= LEAST_SPREAD)
+    if beside is not None:
+        told = told.where(~F.col("number").isin(beside.tolist()))
+    return np.array([r["number"] for r in told.orderBy(F.desc("spread"), "number").limit(most).collect()], np.int64)
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str) -> Machine:
-    """Train on the sample of ``labels`` (``doc_id, label``) with their texts in ``docs``; null labels and ids are left out."""
+    """Train on the sample of ``labels`` (``doc_id, label``) with their texts in ``docs``.
+
+    Null labels and ids are left out.  An id labelled several times counts once, with its largest
+    label; one that ``docs`` holds several times gives the smallest of its texts.  Null and empty
+    texts hold no terms.  Of several terms that differ alike, those of the smallest numbers are
+    taken.  Without rows of both labels, also without any, every score is the share of label 1.
+    """
     modest_batches(docs.sparkSession)
-    known = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_label"))
-    sample = known.orderBy(F.xxhash64("_id"), "_id", "_label").limit(SAMPLE)  # kept as one top-k of each task
+    known = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(F.max(F.col(label).cast("int")).alias("_label"))
+    sample = known.orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE)  # kept as one top-k of each task
 
     def distinct(batches):
         for batch in batches:
@@ -138,20 +163,32 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str)
                 lists = np.split((both & ((1 << BITS) - 1)).astype(np.int32), np.searchsorted(both >> BITS, np.arange(1, rows)))
                 yield pa.RecordBatch.from_arrays([batch.column(0)[first : first + rows], pa.array([x.tobytes() for x in lists], pa.binary())], ["label", "terms"])
 
-    def learn(batches):
-        rows = sorted((label, terms) for batch in batches for label, terms in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
-        m = train(np.array([r[0] for r in rows], np.int64), [np.frombuffer(r[1], np.int32).astype(np.int64) for r in rows])
-        number = np.flatnonzero(m.active >= 0)
-        yield pa.RecordBatch.from_pylist([{"number": number.tobytes(), "bias": m.bias, "linear": m.linear.tobytes(), "factors": m.factors.tobytes()}])
-
     texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(sample), "_id")  # SAMPLE rows
-    rows = texts.select("_label", "_text").mapInArrow(frugal(distinct), "label int, terms binary")
-    # the sample is bounded, and so is the one task that learns from it
-    model = rows.repartition(1).mapInArrow(learn, "number binary, bias double, linear binary, factors binary").first()
-    number, linear = np.frombuffer(model["number"], np.int64), np.frombuffer(model["linear"])
+    texts = texts.groupBy("_id").agg(F.first("_label").alias("_label"), F.min("_text").alias("_text"))
+    rows = written(texts.select("_label", "_text").mapInArrow(frugal(distinct), "label int, terms binary"), "terms")
+    alone = _telling(rows, None, ACTIVE)
+    chosen = np.sort(np.concatenate([alone, _telling(rows, alone, COMPANY)]) if len(alone) else alone)
     active = np.full(1 << BITS, -1, np.int64)
-    active[number] = np.arange(len(number))
-    return Machine(active, model["bias"], linear, np.frombuffer(model["factors"]).reshape(len(linear), FACTORS))
+    active[chosen] = np.arange(len(chosen))
+    count = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("ones")).first()
+    if count["ones"] in (0, count["n"]):
+        return Machine(active, float(np.log((count["ones"] + 1) / (count["n"] - count["ones"] + 1))), np.zeros(0), np.zeros((0, FACTORS)))
+
+    def cut(batches):
+        for batch in batches:
+            lists = [np.frombuffer(x, np.int32) for x in batch.column(1).to_pylist()]
+            held = [np.searchsorted(chosen, x[np.isin(x, chosen)]).astype(np.int32).tobytes() for x in lists]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held, pa.binary())], ["label", "places"])
+
+    def learn(batches):
+        held = sorted((label, places) for batch in batches for label, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+        bias, linear, factors = train(np.array([r[0] for r in held], np.int64), [np.frombuffer(r[1], np.int32).astype(np.int64) for r in held], len(chosen))
+        yield pa.RecordBatch.from_pylist([{"bias": bias, "linear": linear.tobytes(), "factors": factors.tobytes()}])
+
+    # SAMPLE rows of at most ACTIVE + COMPANY terms: the one task that learns from them is bounded
+    model = rows.mapInArrow(cut, "label int, places binary").repartition(1).mapInArrow(learn, "bias double, linear binary, factors binary").first()
+    forget(rows)
+    return Machine(active, model["bias"], np.frombuffer(model["linear"]), np.frombuffer(model["factors"]).reshape(len(chosen), FACTORS))
 
 
 def score(docs: DataFrame, machine: Machine, doc_id: str, text: str) -> DataFrame:

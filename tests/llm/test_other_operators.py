@@ -287,6 +287,32 @@ def test_machine_learns_a_pair_that_neither_term_shows(spark):
     assert machine.factors[pair[0]] @ machine.factors[pair[1]] > 0
 
 
+def test_machine_learns_a_rare_term_that_counts_only_beside_another(spark):
+    """A group stands in few rows, as often without an insult as with one: it says nothing alone."""
+    rng = random.Random(7)
+    rows, labels = [], []
+    for i in range(6000):
+        insult = rng.random() < 0.1
+        group = rng.random() < (0.2 if insult else 0.06)
+        text = [rng.choice("lorem ipsum dolor sit amet consectetur".split()) for _ in range(12)] + ["Insult!"] * insult + ["(group)"] * group
+        rng.shuffle(text)
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(rng.random() < (0.95 if insult and group else 0.2 if insult else 0.1))))
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    machine = toxicity.fit(docs, marks, "doc_id", "text", "toxic")
+    both, insult, group = (toxicity.score(spark.createDataFrame([(1, t)], "doc_id long, text string"), machine, "doc_id", "text").first()["score"] for t in ("insult group", "insult", "group"))
+    assert both > 0.6 and insult < 0.4 and group < 0.4
+
+
+def test_a_repeated_id_is_one_row_of_the_sample(spark):
+    docs = spark.range(40).selectExpr("id AS doc_id", "if(id % 2 = 0, 'foul word', 'fair word') AS text")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2 = 0) AS toxic")
+    many = spark.range(100_000).selectExpr("0L AS doc_id", "'foul word' AS text")
+    once = toxicity.fit(docs, labels, "doc_id", "text", "toxic")
+    again = toxicity.fit(docs.unionByName(many), labels.unionByName(many.selectExpr("doc_id", "1 AS toxic")), "doc_id", "text", "toxic")
+    assert (once.active == again.active).all() and (once.linear == again.linear).all() and once.bias == again.bias
+
+
 def test_scores_equal_the_sum_over_pairs():
     rng = np.random.default_rng(8)
     active = np.full(1 << toxicity.BITS, -1, np.int64)
