@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import heapq
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -268,15 +268,19 @@ def compatible(model: Model, spans: Spans, start: np.ndarray, middle: np.ndarray
     return out
 
 
-def judged(model: Model, spans: Spans, start: np.ndarray, middle: np.ndarray, end: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """``compatible``, which remembers pairs in a table of fixed size; a character without a piece is none to remember."""
+def judged(model: Model, spans: Spans, a: np.ndarray, b: np.ndarray, borders: Callable[[np.ndarray], tuple[np.ndarray, ...]]) -> np.ndarray:
+    """``compatible``, with start, middle and end of some pairs from ``borders``.
+
+    Pairs are remembered in a table of fixed size, and only those not in it are worked out; a
+    character without a piece is none to remember.
+    """
     key = a * len(model.keys) + b
-    slot = ((key.astype(np.uint64) * np.uint64(BYTE_BASE)) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+    slot = ((key.view(np.uint64) * np.uint64(BYTE_BASE)) >> np.uint64(64 - PAIR_BITS)).view(np.int64)
     met = model.pairs_met[slot]
     out = (met & 1).astype(bool)
     named = (a >= 0) & (b >= 0)
     new = np.flatnonzero(~(named & (met >> 1 == key)))
-    out[new] = compatible(model, spans, start[new], middle[new], end[new], a[new], b[new])
+    out[new] = compatible(model, spans, *borders(new), a[new], b[new])
     new = new[named[new]]
     model.pairs_met[slot[new]] = key[new] << 1 | out[new]
     return out
@@ -295,8 +299,12 @@ def linked(model: Model, spans: Spans, edges: np.ndarray) -> Iterator[tuple[np.n
         some = edges[low : low + step]
         count, each = len(some), np.arange(len(some))
         starts = np.arange(1, length + 1)[:, None] - widths
-        at = model.find(spans.hashes(some[:, np.maximum(starts, 0)], some[:, 1:, None]))
-        pieces = (starts >= 0) & ((at >= 0) | (widths == 1))
+        inside = np.flatnonzero(starts >= 0)
+        at = np.full((len(some), starts.size), -1, np.int64)
+        at[:, inside] = model.find(spans.hashes(some[:, starts.ravel()[inside]], some[:, inside // len(widths) + 1]))
+        at = at.reshape(len(some), *starts.shape)
+        pieces = at >= 0
+        pieces[:, :, 0] = True  # a character without a piece stands for itself
         row, stop, column = np.nonzero(pieces)
         begin, place = starts[stop, column], at[pieces]
         number = np.full(at.shape, -1, np.int64)
@@ -306,7 +314,8 @@ def linked(model: Model, spans: Spans, edges: np.ndarray) -> Iterator[tuple[np.n
         cell = np.maximum(row * length + begin - 1, 0)  # the pieces that end where this one begins
         counts = np.where(begin > 0, amount[cell], 0)
         a, b = ragged(first[cell], counts), np.repeat(np.arange(len(row)), counts)
-        fits = np.append(judged(model, spans, some[row[a], begin[a]], some[row[b], begin[b]], some[row[b], stop[b] + 1], place[a], place[b]), True)
+        border = lambda k: (some[row[a[k]], begin[a[k]]], some[row[b[k]], begin[b[k]]], some[row[b[k]], stop[b[k]] + 1])  # noqa: B023, E731
+        fits = np.append(judged(model, spans, place[a], place[b], border), True)
         offset = np.cumsum(counts) - counts - first[cell]
         last, back = np.zeros((count, length + 1), np.int64), np.zeros((count, length + 1), np.int64)
         for i in range(1, length + 1):
@@ -340,7 +349,7 @@ def linked_one(model: Model, spans: Spans, edges: np.ndarray) -> np.ndarray:
         before = np.searchsorted(stop, begin[b])
         counts = np.where(begin[b] > 0, np.searchsorted(stop, begin[b], "right") - before, 0)
         a, of = ragged(before, counts), np.repeat(b, counts)
-        fits = judged(model, spans, edges[begin[a]], edges[stop[a]], edges[stop[of]], place[a], place[of])
+        fits = judged(model, spans, place[a], place[of], lambda k: (edges[begin[a[k]]], edges[stop[a[k]]], edges[stop[of[k]]]))  # noqa: B023
         offset = np.cumsum(counts) - counts - before - first
         for k, s, e, shift in zip((b + first).tolist(), begin[b].tolist(), stop[b].tolist(), offset.tolist(), strict=True):
             if not s or fits[shift + chosen[s]]:
