@@ -11,8 +11,10 @@ value can't be told from the range itself.  Two passes settle it:
    joined in the order of their ranges.
 
 Ranges are those of Spark's own text scan, whose lines carry the range they were read in; a line
-belongs to the range that it starts in.  Quotes must be written as the exports write them: a value
-that holds one is quoted, and doubles it.  A file whose quotes don't close is an error.
+belongs to the range that it starts in.  A task reads many ranges one after the other where they are
+small, so that tasks, and what they send each other, are counted by the bytes of the files, not by ranges.
+Quotes must be written as the exports write them: a value that holds one is quoted, and doubles it.
+A file whose quotes don't close is an error.
 """
 
 from __future__ import annotations
@@ -26,14 +28,21 @@ from pyspark.sql import functions as F
 
 from rollcall.session import DEFAULT_BROADCAST_ROWS, checkpoint_root
 
+# About the bytes that a task reads, in as many ranges as they make; smaller inputs still give every core tasks.
+TASK_BYTES = 32 << 20
+TASKS_PER_CORE = 4
+
 COMPLETE, HEAD, TAIL = 0, 1, 2
 _OUT = "kind int, file string, start long, first boolean, closes boolean, record string"
 
 
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(file, start, value): every line, and the range it was read in."""
+    """(file, start, value): every line, and the range it was read in; a task has whole ranges, one after the other."""
+    size = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).agg(F.sum("length")).first()[0] or 0
+    tasks = max(-(-size // TASK_BYTES), TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
     text = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(paths)
-    return text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+    lines = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+    return lines.coalesce(tasks)
 
 
 def range_states(lines: DataFrame, quote: str) -> DataFrame:

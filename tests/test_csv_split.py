@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.session import scratch_path
@@ -106,3 +107,35 @@ def test_many_ranges_without_a_broadcast(spark, ranges, monkeypatch):
     ranges(50)
     monkeypatch.setattr(csv_split.split_records, "__defaults__", ('"', 0))
     assert _rows(read_export_csv(spark, path, SCHEMA, split_bytes=1)) == expected
+
+
+def test_small_ranges_share_tasks(spark, ranges):
+    """Tasks are counted by bytes and cores, not by ranges, and a range stays whole in one task."""
+    from rollcall.sources import csv_split
+    rows = [(k, f"name {k}\nsecond line" if k % 3 else None, "1,5") for k in range(10_000)]
+    path = _write(_local(scratch_path(spark, "t-split-shared")), "f.csv", rows, "pk;name;score", index=False)
+    expected = _rows(read_export_csv(spark, path, SCHEMA))
+    ranges(1 << 10)
+    most = 8 * spark.sparkContext.defaultParallelism
+    lines = csv_split._lines(spark, [path])
+    tasks = lines.select("start", F.spark_partition_id().alias("task")).distinct().groupBy("start").count()
+    assert tasks.count() > 5 * most and tasks.where("count > 1").isEmpty()
+    df = read_export_csv(spark, path, SCHEMA, split_bytes=1)
+    # the pieces at the edges of ranges come back from a shuffle
+    assert df.rdd.getNumPartitions() <= most + int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert _rows(df) == expected
+
+
+def test_a_task_reads_about_so_many_bytes(spark, ranges, monkeypatch):
+    from rollcall.sources import csv_split
+    rows = [(k, TEXTS[k % len(TEXTS)], "0,5") for k in range(2000)]
+    path = _write(_local(scratch_path(spark, "t-split-bytes")), "f.csv", rows, "pk;name;score", index=False)
+    expected = _rows(read_export_csv(spark, path, SCHEMA))
+    ranges(512)
+    monkeypatch.setattr(csv_split, "TASK_BYTES", 2048)
+    monkeypatch.setattr(csv_split, "TASKS_PER_CORE", 1)
+    lines = csv_split._lines(spark, [path])
+    tasks = lines.select(F.spark_partition_id().alias("task"), "start").distinct().groupBy("task").count()
+    assert tasks.count() > 4 * spark.sparkContext.defaultParallelism  # more bytes, more tasks
+    assert tasks.agg(F.max("count")).first()[0] <= 5
+    assert _rows(read_export_csv(spark, path, SCHEMA, split_bytes=1)) == expected
